@@ -565,6 +565,18 @@ p AS (SELECT id, kind, latitude, longitude,
 SQL_SILVER_CLEAN = f"WITH {SQL_SILVER_PUBLISHED}\nSELECT * FROM p"
 
 
+def q_incremental_silver(spark, d):
+    from ..sources.snapshots import write_snapshot
+    from ..streaming.incremental import incremental_silver
+
+    bronze = storage.scratch_path(spark, "bronze")
+    write_snapshot(entities(spark, d), bronze, "2024-01-01T00-00")
+    silver = storage.scratch_path(spark, "silver")
+    ckpt = storage.scratch_path(spark, "stream")
+    incremental_silver(spark, bronze, silver, ENTITY_SCHEMA, ckpt, cols=COLS, checks=[SILVER_CHECK])
+    return read_table(spark, silver, ENTITY_SCHEMA)
+
+
 def q_dq_report(spark, d):
     from .stages import clean_entities
 
@@ -644,6 +656,7 @@ QUERIES: dict[str, Query] = {
     "dq_datatype": q_dq_datatype,
     "dq_report": q_dq_report,
     "silver_clean": q_silver_clean,
+    "incremental_silver": q_incremental_silver,
     "medallion_end_to_end": q_medallion_end_to_end,
     "paged_read": q_paged_read,
 }
@@ -672,6 +685,7 @@ ORACLE_SQL: dict[str, str] = {
     "dq_datatype": SQL_DQ_DATATYPE,
     "dq_report": SQL_DQ_REPORT,
     "silver_clean": SQL_SILVER_CLEAN,
+    "incremental_silver": SQL_SILVER_CLEAN,
     "medallion_end_to_end": SQL_MEDALLION,
     "paged_read": SQL_PAGED_READ,
 }
