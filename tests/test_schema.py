@@ -1,0 +1,58 @@
+"""Schema loader."""
+
+import json
+import os
+
+import pytest
+from pyspark.sql import types as T
+
+from stratalake.sources import load_schema, parse_type, schema_from_fields
+
+
+def test_dict_config_order_and_nullability():
+    cfg = {"bronze": {"my_table": {"fields": {"age": "integer", "name": "string"}}}}
+    s = load_schema(cfg, "bronze", "my_table")
+    assert s.fieldNames() == ["age", "name"]
+    assert s["age"].dataType == T.IntegerType() and all(f.nullable for f in s.fields)
+
+
+def test_yaml_and_json_files(tmp_dir):
+    import yaml
+
+    cfg = {"silver": {"t": {"fields": {"id": "string", "latitude": "float", "amount": "decimal(12,2)"}}}}
+    y = os.path.join(tmp_dir, "tables.yaml")
+    with open(y, "w") as fh:
+        yaml.safe_dump(cfg, fh)
+    j = os.path.join(tmp_dir, "tables.json")
+    with open(j, "w") as fh:
+        json.dump(cfg, fh)
+    for p in (y, j):
+        s = load_schema(p, "silver", "t")
+        assert s["amount"].dataType == T.DecimalType(12, 2)
+        assert s["latitude"].dataType == T.FloatType()
+
+
+def test_errors(tmp_dir):
+    with pytest.raises(FileNotFoundError):
+        load_schema(os.path.join(tmp_dir, "missing.yaml"), "a", "b")
+    bad = os.path.join(tmp_dir, "bad.yaml")
+    with open(bad, "w") as fh:
+        fh.write("a: [unclosed")
+    import yaml
+
+    with pytest.raises(yaml.YAMLError):
+        load_schema(bad, "a", "b")
+    with pytest.raises(KeyError):
+        load_schema({"silver": {}}, "silver", "t")
+    with pytest.raises(ValueError, match="Invalid data type"):
+        schema_from_fields({"x": "unknown"})
+
+
+@pytest.mark.parametrize(
+    "name,want",
+    [("string", T.StringType()), ("long", T.LongType()), ("decimal", T.DecimalType(10, 0)),
+     ("timestamp_ntz", T.TimestampNTZType()), ("array<string>", T.ArrayType(T.StringType())),
+     ("map<string,int>", T.MapType(T.StringType(), T.IntegerType())), ("null", T.NullType())],
+)
+def test_type_names(name, want):
+    assert parse_type(name) == want
