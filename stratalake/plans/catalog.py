@@ -19,9 +19,8 @@ from ..operators.quality import MSG_EMPTY, MSG_FAILED, Check, at_least, type_his
 from ..operators.rollup import distinct_rollup
 from ..sources import storage
 from ..sources.paged import ParquetPages, parse_records, read_paged
-from ..sources.sinks import read_table, write_partitioned
+from ..sources.sinks import read_table, write_json, write_partitioned
 from ..sources.snapshots import (
-    JSON_TIME_OPTIONS,
     LABEL_SPARK_FORMAT,
     latest_snapshot,
     read_latest_snapshot,
@@ -280,7 +279,7 @@ FROM lineitem GROUP BY 1, 2"""
 # ---------------------------------------------------------------------------
 def q_json_schema_read(spark, d):
     path = storage.scratch_path(spark, "json")
-    table(spark, d, "events").write.mode("overwrite").options(**JSON_TIME_OPTIONS).json(path)
+    write_json(table(spark, d, "events"), path)
     back = spark.read.schema(EVENTS_SCHEMA).json(path)
     return back.withColumn("k", F.from_json("props", "k bigint")["k"])
 

@@ -2,7 +2,7 @@
 
 from .paged import ParquetPages, PagedReadError, parse_records, raw_pages, read_paged
 from .schema import load_schema, parse_type, schema_from_fields, with_field
-from .sinks import prepare_partitions, read_table, write_partitioned, write_table
+from .sinks import prepare_partitions, read_table, write_json, write_partitioned, write_table
 from .snapshots import (
     LABEL_COL,
     current_label,
@@ -39,6 +39,7 @@ __all__ = [
     "scratch_path",
     "shared_dir",
     "with_field",
+    "write_json",
     "write_partitioned",
     "write_snapshot",
     "write_snapshots",

@@ -72,6 +72,13 @@ def write_table(
     df.write.mode(mode).format(fmt).save(path)
 
 
+def write_json(df: DataFrame, path: str, *, mode: str = "overwrite") -> None:
+    """Plain JSON Lines output (no dated folder); timestamps keep microseconds."""
+    from .snapshots import JSON_TIME_OPTIONS
+
+    df.write.mode(mode).options(**JSON_TIME_OPTIONS).json(path)
+
+
 def read_table(
     spark: SparkSession,
     path: str,
