@@ -321,6 +321,66 @@ def metrics(df: DataFrame, *checks: Check) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
+def _decide(entries, values: dict) -> list[tuple]:
+    """Report rows (driver side) from metric values keyed by constraint index."""
+    passed = {}
+    for i, (chk, c) in enumerate(entries):
+        v = values.get(i)
+        ok = False
+        if v is not None:
+            try:
+                ok = bool(c.assertion(v))
+            except Exception:  # an assertion that raises is a failed constraint
+                log.exception("assertion of %s raised", c.name)
+        passed[i] = ok
+    failed_checks = {chk.name for i, (chk, _) in enumerate(entries) if not passed[i]}
+    rows = []
+    for i, (chk, c) in enumerate(entries):
+        v = values.get(i)
+        ok = passed[i]
+        msg = "" if ok else (MSG_EMPTY if v is None else MSG_FAILED)
+        rows.append((
+            chk.name, chk.level, chk.level if chk.name in failed_checks else SUCCESS,
+            c.name, SUCCESS if ok else FAILURE, msg, None if v is None else float(v),
+        ))
+    return rows
+
+
+class ObservedVerification:
+    """Verification that rides along another action (typically the write).
+
+    :meth:`attach` adds every scan-shareable metric to a DataFrame as an
+    observation, so those metrics cost no extra pass over the data. Attach it
+    as the *last* step before the action (after any exchange), so that it runs
+    in the result stage, where Spark applies each task's update exactly once
+    even when tasks or executors are lost. After the action has run,
+    :meth:`report` adds the uniqueness metrics (each one ``groupBy`` over
+    ``stored``, reading only its key columns) and returns the report.
+    """
+
+    def __init__(self, df: DataFrame, *checks: Check):
+        from pyspark.sql import Observation
+
+        require_columns(df, _required(checks))
+        self.entries = list(_entries(checks))
+        self.scan = [i for i, (_, c) in enumerate(self.entries) if c.kind != "uniqueness"]
+        self.obs = Observation()
+        self.exprs = [_scan_metric(df, self.entries[i][1]).alias(f"m{i}") for i in self.scan]
+
+    def attach(self, frame: DataFrame) -> DataFrame:
+        return frame.observe(self.obs, *self.exprs) if self.exprs else frame
+
+    def report(self, stored: DataFrame) -> DataFrame:
+        values = {}
+        if self.scan:
+            got = self.obs.get
+            values.update({i: got[f"m{i}"] for i in self.scan})
+        for i, (_, c) in enumerate(self.entries):
+            if c.kind == "uniqueness":
+                values[i] = _uniqueness_metric(stored, c.columns).first()["metric"]
+        return stored.sparkSession.createDataFrame(_decide(self.entries, values), REPORT_SCHEMA)
+
+
 def _finish(m: DataFrame) -> DataFrame:
     failed_error = F.max(
         F.when(~F.col("passed"), F.col("check_level")).otherwise(F.lit(None))
@@ -346,20 +406,8 @@ def verify(df: DataFrame, *checks: Check) -> DataFrame:
     if all(c.lazy for _, c in entries):
         return _finish(m)
     # A Python assertion: decide on the driver over the (bounded) metric rows.
-    spark = df.sparkSession
-    rows = {r["cid"]: r["metric"] for r in m.select("cid", "metric").collect()}
-    decided = []
-    for i, (chk, c) in enumerate(entries):
-        v = rows.get(i)
-        ok = False
-        if v is not None:
-            try:
-                ok = bool(c.assertion(v))
-            except Exception:  # an assertion that raises is a failed constraint
-                log.exception("assertion of %s raised", c.name)
-        decided.append((i, chk.name, chk.level, c.name, v, ok))
-    schema = "cid int, check string, check_level string, constraint string, metric double, passed boolean"
-    return _finish(spark.createDataFrame(decided, schema))
+    values = {r["cid"]: r["metric"] for r in m.select("cid", "metric").collect()}
+    return df.sparkSession.createDataFrame(_decide(entries, values), REPORT_SCHEMA)
 
 
 class VerificationError(AssertionError):

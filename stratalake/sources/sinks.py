@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
@@ -42,6 +42,7 @@ def write_partitioned(
     empty_as: str | None = NULL_LABEL,
     max_records_per_file: int | None = None,
     fmt: str = "parquet",
+    observe: Callable[[DataFrame], DataFrame] | None = None,
 ) -> None:
     """Write ``df`` partitioned by ``partition_cols``.
 
@@ -53,12 +54,17 @@ def write_partitioned(
     task writing into every directory. A rebalance (unlike a plain
     ``repartition``) lets AQE split a partition value that holds a large share
     of the rows over several tasks and merge tiny ones.
+
+    ``observe`` (e.g. ``ObservedVerification.attach``) is applied after the
+    rebalance, so observed metrics are collected in the writing stage.
     """
     cols = list(partition_cols)
     require_columns(df, cols)
     if overwrite not in OVERWRITE_MODES:
         raise ValueError(f"overwrite must be one of {OVERWRITE_MODES}")
     out = prepare_partitions(df, cols, empty_as).hint("rebalance", *cols)
+    if observe is not None:
+        out = observe(out)
     w = out.write.mode(mode).option("partitionOverwriteMode", overwrite).partitionBy(*cols)
     if max_records_per_file:
         w = w.option("maxRecordsPerFile", int(max_records_per_file))
@@ -66,10 +72,15 @@ def write_partitioned(
 
 
 def write_table(
-    df: DataFrame, path: str, *, mode: str = "overwrite", fmt: str = "parquet"
+    df: DataFrame,
+    path: str,
+    *,
+    mode: str = "overwrite",
+    fmt: str = "parquet",
+    observe: Callable[[DataFrame], DataFrame] | None = None,
 ) -> None:
     """Unpartitioned write (one file per task)."""
-    df.write.mode(mode).format(fmt).save(path)
+    (observe(df) if observe is not None else df).write.mode(mode).format(fmt).save(path)
 
 
 def write_json(df: DataFrame, path: str, *, mode: str = "overwrite") -> None:

@@ -17,7 +17,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .._cols import as_col
-from ..operators.guards import require_rows
 from . import storage
 from .schema import with_field
 
@@ -79,11 +78,17 @@ def write_snapshot(
 
     Raises ``ValueError`` on an empty input unless ``allow_empty``.
     """
-    if not allow_empty:
-        require_rows(df, "snapshot")
+    from pyspark.sql import Observation
+
     label = label or current_label()
-    _writer(df.withColumn(label_col, F.lit(label)), fmt, label_col).save(base)
+    obs = Observation()
+    out = df.withColumn(label_col, F.lit(label)).observe(obs, F.count(F.lit(1)).alias("rows"))
+    # Writing no rows creates no label directory, so the empty check can ride
+    # along the write instead of costing a separate pass over the input.
+    _writer(out, fmt, label_col).save(base)
     path = f"{base.rstrip('/')}/{label_col}={label}"
+    if not allow_empty and not obs.get["rows"]:
+        raise ValueError("No rows in snapshot; refusing to write an empty result.")
     log.info("snapshot written: %s", path)
     return path
 

@@ -138,3 +138,22 @@ def test_single_scan_for_scan_metrics(spark):
     plan = verify(df, chk1, chk2)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Range (") == 1
     assert "PythonUDF" not in plan
+
+
+def test_observed_verification_matches_verify_and_sits_in_result_stage(spark, tmp_dir):
+    from stratalake.operators.quality import ObservedVerification
+    from stratalake.sources import read_table, write_partitioned
+
+    df = spark.createDataFrame(
+        [("a", "x", 1.5, True, 1), ("b", "x", 100.0, None, 2), ("b", None, None, None, None)], SCHEMA
+    )
+    chk = (Check("c").is_complete("id").is_unique("id").has_data_type("id", "String")
+           .satisfies("latitude <= 90", "lat").is_complete("n", assertion=at_least(0.5)))
+    ov = ObservedVerification(df, chk)
+    write_partitioned(df, tmp_dir, ["id"], observe=ov.attach)
+    got = sorted(tuple(r) for r in ov.report(read_table(spark, tmp_dir, df.schema)).collect())
+    want = sorted(tuple(r) for r in verify(df, chk).collect())
+    assert got == want
+    fresh = ObservedVerification(df, chk)
+    plan = fresh.attach(df.hint("rebalance", "id"))._jdf.queryExecution().executedPlan().toString()
+    assert plan.index("CollectMetrics") < plan.index("Exchange")  # metrics above the shuffle
