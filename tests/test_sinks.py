@@ -75,3 +75,31 @@ def test_rebalance_in_plan(spark, tmp_dir, frame):
 def test_write_table(spark, tmp_dir, frame):
     write_table(frame, tmp_dir)
     assert read_table(spark, tmp_dir).count() == len(STATES)
+
+
+def test_hot_partition_value_is_split_over_tasks(spark, tmp_dir):
+    """One value holds a third of all rows: AQE splits it over several writing tasks."""
+    keys = {
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64k",
+        "spark.sql.adaptive.coalescePartitions.minPartitionSize": "16k",
+    }
+    old = {k: spark.conf.get(k, None) for k in keys}
+    for k, v in keys.items():
+        spark.conf.set(k, v)
+    try:
+        df = spark.range(0, 300000, numPartitions=8).selectExpr(
+            "CAST(id AS STRING) AS id",
+            "CASE WHEN id % 3 = 0 THEN 'hot' ELSE CAST(id % 50 AS STRING) END AS state",
+            "repeat('x', 20) AS pad",
+        )
+        write_partitioned(df, tmp_dir, ["state"])
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
+    hot_files = glob.glob(os.path.join(tmp_dir, "state=hot", "*.parquet"))
+    assert len(hot_files) > 1
+    back = spark.read.parquet(tmp_dir)
+    assert back.count() == 300000 and back.where("state = 'hot'").count() == 100000

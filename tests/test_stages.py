@@ -10,21 +10,21 @@ from stratalake.plans import EntityColumns, entity_checks, run_stage, to_bronze,
 from stratalake.sources import read_table, write_snapshot
 from stratalake.streaming import incremental_silver
 
-COLS = EntityColumns(kind="brewery_type")
+COLS = EntityColumns(kind="venue_type")
 SCHEMA = T.StructType(
-    [T.StructField(n, T.StringType()) for n in ("id", "name", "brewery_type", "country", "state")]
+    [T.StructField(n, T.StringType()) for n in ("id", "name", "venue_type", "country", "state")]
     + [T.StructField("longitude", T.FloatType()), T.StructField("latitude", T.FloatType())]
 )
 GOLD_SCHEMA = SCHEMA
 
 ROWS = [
-    {"id": "a1", "name": "A", "brewery_type": "micro", "country": "United States", "state": "new york",
+    {"id": "a1", "name": "A", "venue_type": "small", "country": "United States", "state": "new york",
      "longitude": -73.9, "latitude": 40.7},
-    {"id": "b2", "name": "B", "brewery_type": "micro", "country": " United  States ", "state": "NEW  YORK",
+    {"id": "b2", "name": "B", "venue_type": "small", "country": " United  States ", "state": "NEW  YORK",
      "longitude": 40.0, "latitude": -120.0},
-    {"id": "c3", "name": "C", "brewery_type": "brewpub", "country": "Brazil", "state": "  São paulo ",
+    {"id": "c3", "name": "C", "venue_type": "pub", "country": "Brazil", "state": "  São paulo ",
      "longitude": 200.0, "latitude": 50.0},
-    {"id": "d4", "name": "D", "brewery_type": "micro", "country": None, "state": None,
+    {"id": "d4", "name": "D", "venue_type": "small", "country": None, "state": None,
      "longitude": None, "latitude": None},
 ]
 
@@ -49,10 +49,10 @@ def test_end_to_end(spark, tmp_dir):
         "UnitedStates", "NewYork", 40.0, -120.0)
     assert (s["c3"].state, s["c3"].latitude, s["c3"].longitude) == ("SoPaulo", None, 50.0)
     assert (s["d4"].country, s["d4"].state) == ("unknown", "unknown")
-    to_gold(spark, silver, gold, SCHEMA, keys=["country", "state", "brewery_type"], alias="brewery_count")
-    g = {(r.country, r.state, r.brewery_type): r.brewery_count for r in read_table(spark, gold).collect()}
-    assert g == {("UnitedStates", "NewYork", "micro"): 2, ("Brazil", "SoPaulo", "brewpub"): 1,
-                 ("unknown", "unknown", "micro"): 1}
+    to_gold(spark, silver, gold, SCHEMA, keys=["country", "state", "venue_type"], alias="venue_count")
+    g = {(r.country, r.state, r.venue_type): r.venue_count for r in read_table(spark, gold).collect()}
+    assert g == {("UnitedStates", "NewYork", "small"): 2, ("Brazil", "SoPaulo", "pub"): 1,
+                 ("unknown", "unknown", "small"): 1}
 
 
 def test_sequential_mode(spark, tmp_dir):
