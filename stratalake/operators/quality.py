@@ -240,7 +240,30 @@ def value_class(df: DataFrame, column: str) -> Column:
     return F.when(c.isNull(), F.lit("Null")).otherwise(F.lit(fixed))
 
 
-def _scan_metric(df: DataFrame, c: Constraint) -> Column:
+CLASS_PREFIX = "__dq_class_"
+
+
+def _class_columns(df: DataFrame, entries) -> dict[str, Column]:
+    """One class column per column that has a data-type constraint.
+
+    Projecting the class once per row lets every data-type metric on that
+    column (and every histogram bucket) reuse it instead of re-running the
+    regex chain per aggregate expression.
+    """
+    cols = sorted({c.columns[0] for _, c in entries if c.kind == "datatype"})
+    return {f"{CLASS_PREFIX}{n}": value_class(df, col) for n, col in enumerate(cols)}
+
+
+def _class_name(entries, column: str) -> str:
+    cols = sorted({c.columns[0] for _, c in entries if c.kind == "datatype"})
+    return f"{CLASS_PREFIX}{cols.index(column)}"
+
+
+def _scan_metric(df: DataFrame, c: Constraint, cls: str | None = None) -> Column:
+    """Aggregate expression of a scan-shareable constraint.
+
+    ``cls`` names a pre-projected class column for data-type constraints.
+    """
     rows = F.count(F.lit(1))
     if c.kind == "completeness":
         return _ratio(F.count(F.col(c.columns[0])), rows)
@@ -251,7 +274,8 @@ def _scan_metric(df: DataFrame, c: Constraint) -> Column:
         return _ratio(F.count_if(pred), rows)
     if c.kind == "datatype":
         col = c.columns[0]
-        hit = value_class(df, col).isin(*DATA_TYPES[c.data_type])
+        klass = F.col(cls) if cls is not None else value_class(df, col)
+        hit = klass.isin(*DATA_TYPES[c.data_type])
         non_null = F.count(F.col(col))
         share = F.coalesce(_ratio(F.count_if(hit), non_null), F.lit(0.0))
         return F.when(rows > 0, share)
@@ -268,9 +292,9 @@ def _uniqueness_metric(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 def type_histogram(df: DataFrame, column: str) -> DataFrame:
     """One row: number of values per class (Null, Fractional, Integral, Boolean, String)."""
     require_columns(df, [column])
-    cls = value_class(df, column)
-    return df.agg(
-        *[F.count_if(cls == F.lit(k)).alias(f"n_{k.lower()}") for k in TYPE_CLASSES]
+    cls = df.select(value_class(df, column).alias("_class"))  # classify each value once
+    return cls.agg(
+        *[F.count_if(F.col("_class") == F.lit(k)).alias(f"n_{k.lower()}") for k in TYPE_CLASSES]
     )
 
 
@@ -311,7 +335,11 @@ def metrics(df: DataFrame, *checks: Check) -> DataFrame:
     parts: list[DataFrame] = []
     scan = [(i, chk, c) for i, (chk, c) in enumerate(entries) if c.kind != "uniqueness"]
     if scan:
-        one = df.agg(*[_scan_metric(df, c).alias(f"m{i}") for i, _, c in scan])
+        prep = df.withColumns(_class_columns(df, entries)) if _class_columns(df, entries) else df
+        one = prep.agg(*[
+            _scan_metric(df, c, _class_name(entries, c.columns[0]) if c.kind == "datatype" else None)
+            .alias(f"m{i}") for i, _, c in scan
+        ])
         structs = [F.struct(*meta(i, chk, c, F.col(f"m{i}"))) for i, chk, c in scan]
         parts.append(one.select(F.inline(F.array(*structs))))
     for i, (chk, c) in enumerate(entries):
@@ -365,10 +393,21 @@ class ObservedVerification:
         self.entries = list(_entries(checks))
         self.scan = [i for i, (_, c) in enumerate(self.entries) if c.kind != "uniqueness"]
         self.obs = Observation()
-        self.exprs = [_scan_metric(df, self.entries[i][1]).alias(f"m{i}") for i in self.scan]
+        self.classes = _class_columns(df, self.entries)
+        self.exprs = []
+        for i in self.scan:
+            c = self.entries[i][1]
+            cls = _class_name(self.entries, c.columns[0]) if c.kind == "datatype" else None
+            self.exprs.append(_scan_metric(df, c, cls).alias(f"m{i}"))
 
     def attach(self, frame: DataFrame) -> DataFrame:
-        return frame.observe(self.obs, *self.exprs) if self.exprs else frame
+        if not self.exprs:
+            return frame
+        if not self.classes:
+            return frame.observe(self.obs, *self.exprs)
+        # class columns exist only for the observation; the action sees ``frame``'s columns
+        observed = frame.withColumns(self.classes).observe(self.obs, *self.exprs)
+        return observed.drop(*self.classes)
 
     def report(self, stored: DataFrame) -> DataFrame:
         values = {}
