@@ -124,3 +124,24 @@ def test_incremental_picks_newest_and_skips_old(spark, tmp_dir):
         "2024-01-03T00-00"]
     assert [r.id for r in read_table(spark, silver, SCHEMA).collect()] == ["a1"]
     assert Check  # keep import
+
+
+def test_command_line_stages(spark, tmp_dir):
+    import json
+
+    from stratalake.plans.jobs import run
+
+    cfg = {layer: {"venues": {"fields": {f.name: f.dataType.simpleString() for f in SCHEMA.fields}}}
+           for layer in ("silver", "gold")}
+    cfg_path = os.path.join(tmp_dir, "tables.json")
+    with open(cfg_path, "w") as fh:
+        json.dump(cfg, fh)
+    bronze, silver, gold = (os.path.join(tmp_dir, n) for n in ("b", "s", "g"))
+    write_snapshot(spark.createDataFrame(ROWS, SCHEMA), bronze, "2024-01-01T00-00")
+    common = ["--config", cfg_path, "--table", "venues", "--kind-col", "venue_type"]
+    assert run(["silver", "--bronze", bronze, "--silver", silver, *common], spark) == 0
+    assert run(["gold", "--silver", silver, "--gold", gold, "--alias", "venue_count", *common], spark) == 0
+    assert read_table(spark, gold).count() == 3
+    dup_bronze = os.path.join(tmp_dir, "b2")
+    write_snapshot(spark.createDataFrame(ROWS + [ROWS[0]], SCHEMA), dup_bronze, "2024-01-01T00-00")
+    assert run(["silver", "--bronze", dup_bronze, "--silver", silver, *common], spark) == 2
