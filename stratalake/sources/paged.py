@@ -34,7 +34,6 @@ import json
 import random
 import sys
 import time
-import uuid
 from dataclasses import dataclass
 from datetime import date, datetime
 
@@ -138,23 +137,27 @@ class _Reader(DataSourceReader):
             yield batch(page, OK, [json.dumps(r, default=_jsonable) for r in recs])
 
 
-class _PagedSource(DataSource):
-    """Base class; :func:`read_paged` registers a subclass carrying the fetcher."""
+SOURCE_NAME = "stratalake_paged"
 
-    fetch = None
-    source_name = "stratalake_paged"
+
+class PagedSource(DataSource):
+    """Registered once per session; the fetcher travels (pickled) in the options."""
 
     @classmethod
     def name(cls):
-        return cls.source_name
+        return SOURCE_NAME
 
     def schema(self):
         return RAW_SCHEMA
 
     def reader(self, schema):
+        import base64
+
+        from pyspark import cloudpickle
+
         o = self.options
         return _Reader(
-            type(self).fetch,
+            cloudpickle.loads(base64.b64decode(o["fetcher"])),
             int(o.get("per_page", DEFAULT_PER_PAGE)),
             int(o.get("pages_per_partition", 16)),
             int(o.get("retries", DEFAULT_RETRIES)),
@@ -172,15 +175,16 @@ def raw_pages(
     base_wait: float = 0.5,
 ) -> DataFrame:
     """Lazy ``(page, status, record)`` rows straight from the source (not checkpointed)."""
+    import base64
+
     from pyspark import cloudpickle
 
     # Ship this module by value: executors need not have the package installed.
     cloudpickle.register_pickle_by_value(sys.modules[__name__])
-    name = f"stratalake_paged_{uuid.uuid4().hex[:12]}"
-    cls = type(name, (_PagedSource,), {"fetch": staticmethod(fetch), "source_name": name})
-    spark.dataSource.register(cls)
+    spark.dataSource.register(PagedSource)
     return (
-        spark.read.format(name)
+        spark.read.format(SOURCE_NAME)
+        .option("fetcher", base64.b64encode(cloudpickle.dumps(fetch)).decode("ascii"))
         .option("per_page", per_page)
         .option("pages_per_partition", pages_per_partition)
         .option("retries", retries)
