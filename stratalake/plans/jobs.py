@@ -66,6 +66,9 @@ def parser() -> argparse.ArgumentParser:
             s.add_argument("--mode", choices=["atomic", "sequential"], default="atomic")
             s.add_argument("--keep-empty-labels", action="store_true",
                            help="do not map '' partition labels to 'unknown'")
+            s.add_argument("--multiline", action="store_true",
+                           help="bronze files are JSON arrays (one document per file)")
+            s.add_argument("--filename", default=None, help="read only this file of the newest snapshot")
         else:
             s.add_argument("--gold", required=True)
             s.add_argument("--keys", default=None, help="comma-separated (default country,state,kind)")
@@ -87,7 +90,8 @@ def run(argv: list[str] | None = None, spark=None) -> int:
         elif a.stage == "silver":
             schema = load_schema(a.config, a.layer, a.table)
             to_silver(spark, a.bronze, a.silver, schema, cols=_cols(a), mode=a.mode,
-                      empty_as=None if a.keep_empty_labels else "unknown")
+                      empty_as=None if a.keep_empty_labels else "unknown",
+                      multiline=a.multiline, filename=a.filename)
         else:
             schema = load_schema(a.config, a.layer, a.table)
             c = _cols(a)

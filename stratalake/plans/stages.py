@@ -273,11 +273,17 @@ def to_silver(
     empty_as: str | None = NULL_LABEL,
     multiline: bool = False,
     verify_on: str = "staged",
+    filename: str | None = None,
 ) -> DataFrame:
-    """Newest bronze snapshot -> cleaned, verified silver table partitioned by country/state."""
+    """Newest bronze snapshot -> cleaned, verified silver table partitioned by country/state.
+
+    ``multiline=True`` reads snapshots written as one JSON array per file;
+    ``filename`` reads a single file of the newest snapshot.
+    """
     partition_cols = [cols.country, cols.state] if partition_cols is None else list(partition_cols)
     checks = [entity_checks(cols)] if checks is None else checks
-    df = read_latest_snapshot(spark, bronze_base, schema, multiline=multiline).drop(LABEL_COL)
+    df = read_latest_snapshot(spark, bronze_base, schema, multiline=multiline,
+                              filename=filename).drop(LABEL_COL)
     df = clean_entities(df, cols, mode)
     return publish(df, silver_path, checks, partition_cols=partition_cols,
                    empty_as=empty_as, verify_on=verify_on)

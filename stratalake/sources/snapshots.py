@@ -170,9 +170,11 @@ def read_latest_snapshot(
     fmt: str = "json",
     multiline: bool = False,
     label_col: str = LABEL_COL,
+    filename: str | None = None,
 ) -> DataFrame:
-    """Rows of the newest snapshot only; the scan touches only its directory."""
-    path = latest_snapshot_path(spark, base, label_col=label_col)
+    """Rows of the newest snapshot only; the scan touches only its directory
+    (or only ``filename`` inside it)."""
+    path = latest_snapshot_path(spark, base, filename, label_col=label_col)
     reader = spark.read.schema(with_field(schema, label_col, "string")).option("basePath", base)
     if fmt == "json":
         reader = reader.option("multiline", str(multiline).lower())

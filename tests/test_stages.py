@@ -145,3 +145,19 @@ def test_command_line_stages(spark, tmp_dir):
     dup_bronze = os.path.join(tmp_dir, "b2")
     write_snapshot(spark.createDataFrame(ROWS + [ROWS[0]], SCHEMA), dup_bronze, "2024-01-01T00-00")
     assert run(["silver", "--bronze", dup_bronze, "--silver", silver, *common], spark) == 2
+
+
+def test_silver_from_json_array_file(spark, tmp_dir):
+    """Bronze written as one pretty-printed JSON array per snapshot, picked by file name."""
+    import json
+
+    bronze, silver = os.path.join(tmp_dir, "b"), os.path.join(tmp_dir, "s")
+    for label, rows in (("2024-01-01T00-00", ROWS[:1]), ("2024-01-02T00-00", ROWS[:2])):
+        d = os.path.join(bronze, f"dt_extraction={label}")
+        os.makedirs(d)
+        with open(os.path.join(d, "data.json"), "w") as fh:
+            json.dump(rows, fh, indent=4)
+        with open(os.path.join(d, "other.json"), "w") as fh:
+            json.dump(ROWS[2:], fh, indent=4)
+    to_silver(spark, bronze, silver, SCHEMA, cols=COLS, multiline=True, filename="data.json")
+    assert sorted(r.id for r in read_table(spark, silver, SCHEMA).collect()) == ["a1", "b2"]
