@@ -65,6 +65,13 @@ def newest_label(batch: DataFrame, label_col: str = LABEL_COL) -> str | None:
     return row[label_col] if row else None
 
 
+def _older(label: str, than: str) -> bool:
+    """``label`` loses to ``than`` under the latest-snapshot rule (newest time,
+    ties to the smallest name)."""
+    a, b = _label_dt(label), _label_dt(than)
+    return a < b or (a == b and label > than)
+
+
 def incremental_silver(
     spark: SparkSession,
     bronze_base: str,
@@ -78,12 +85,22 @@ def incremental_silver(
     mode: str = "atomic",
     empty_as: str | None = NULL_LABEL,
     label_col: str = LABEL_COL,
+    multiline: bool = False,
     max_files_per_trigger: int | None = None,
 ) -> list[str]:
-    """Process all new snapshots under ``bronze_base``; return the labels published."""
+    """Process all new snapshots under ``bronze_base``; return the labels published.
+
+    A micro-batch only tells *which* snapshots received new files. The newest
+    of them is then read whole from its directory, so a snapshot whose files
+    are split over several micro-batches (``max_files_per_trigger``, or a
+    listing taken while the snapshot was being committed) is never published
+    partially: a later batch with more files of the same snapshot publishes it
+    again, complete. Older snapshots arriving late are skipped.
+    """
     partition_cols = [cols.country, cols.state] if partition_cols is None else list(partition_cols)
     checks = [entity_checks(cols)] if checks is None else list(checks)
-    reader = spark.readStream.schema(with_field(schema, label_col, "string"))
+    full_schema = with_field(schema, label_col, "string")
+    reader = spark.readStream.schema(full_schema).option("multiline", str(multiline).lower())
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", int(max_files_per_trigger))
     stream = reader.json(bronze_base)
@@ -95,10 +112,16 @@ def incremental_silver(
         if label is None:
             return
         done = _published_label(s, checkpoint)
-        if done is not None and _label_dt(label) <= _label_dt(done):
-            log.info("batch %s: snapshot %s is not newer than %s; skipped", epoch_id, label, done)
+        if done is not None and _older(label, done):
+            log.info("batch %s: snapshot %s is older than %s; skipped", epoch_id, label, done)
             return
-        rows = batch.where(F.col(label_col) == F.lit(label)).drop(label_col)
+        rows = (
+            s.read.schema(full_schema)
+            .option("multiline", str(multiline).lower())
+            .option("basePath", bronze_base)
+            .json(f"{bronze_base.rstrip('/')}/{label_col}={label}")
+            .drop(label_col)
+        )
         publish(clean_entities(rows, cols, mode), silver_path, checks,
                 partition_cols=partition_cols, empty_as=empty_as)
         _mark_published(s, checkpoint, label)

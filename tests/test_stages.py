@@ -161,3 +161,17 @@ def test_silver_from_json_array_file(spark, tmp_dir):
             json.dump(ROWS[2:], fh, indent=4)
     to_silver(spark, bronze, silver, SCHEMA, cols=COLS, multiline=True, filename="data.json")
     assert sorted(r.id for r in read_table(spark, silver, SCHEMA).collect()) == ["a1", "b2"]
+
+
+def test_incremental_never_publishes_a_partial_snapshot(spark, tmp_dir):
+    """One file per micro-batch: the snapshot is still published whole."""
+    bronze, silver, ckpt = (os.path.join(tmp_dir, n) for n in ("b", "s", "c"))
+    df = spark.createDataFrame(ROWS[:3], SCHEMA).repartition(3)
+    write_snapshot(df, bronze, "2024-01-05T00-00")
+    files = [f for f in os.listdir(os.path.join(bronze, "dt_extraction=2024-01-05T00-00"))
+             if f.endswith(".json")]
+    assert len(files) >= 2
+    out = incremental_silver(spark, bronze, silver, SCHEMA, ckpt, cols=COLS,
+                             checks=[entity_checks(COLS)], max_files_per_trigger=1)
+    assert set(out) == {"2024-01-05T00-00"}
+    assert sorted(r.id for r in read_table(spark, silver, SCHEMA).collect()) == ["a1", "b2", "c3"]
