@@ -175,3 +175,14 @@ def test_incremental_never_publishes_a_partial_snapshot(spark, tmp_dir):
                              checks=[entity_checks(COLS)], max_files_per_trigger=1)
     assert set(out) == {"2024-01-05T00-00"}
     assert sorted(r.id for r in read_table(spark, silver, SCHEMA).collect()) == ["a1", "b2", "c3"]
+
+
+@pytest.mark.parametrize("parts", [[], ["state"]])
+def test_publish_empty_input_fails_gate_and_writes_nothing(spark, tmp_dir, parts):
+    from stratalake.plans import publish
+
+    empty = spark.createDataFrame([], "id string, state string").where("id IS NOT NULL")
+    target = os.path.join(tmp_dir, "t")
+    with pytest.raises(VerificationError, match="Completeness"):
+        publish(empty, target, [Check("c").is_complete("id")], partition_cols=parts)
+    assert not os.path.exists(target)
