@@ -14,6 +14,8 @@ Execution plan:
   partial aggregation, a one-row result);
 * every uniqueness constraint is one ``groupBy(columns).count()`` followed by a
   global aggregate; a hot value is pre-aggregated map-side before the shuffle;
+* when there are both, the scan metrics ride along the first uniqueness
+  ``groupBy`` as per-group partial sums, so the input is read once;
 * the metric rows are unioned; when every assertion is expressible as a Column
   (the default "metric == 1", or :func:`at_least` / :func:`between` / ...) the
   report stays lazy. A Python callable assertion makes ``verify`` collect the
@@ -282,6 +284,58 @@ def _scan_metric(df: DataFrame, c: Constraint, cls: str | None = None) -> Column
     raise ValueError(c.kind)
 
 
+def _partials(df: DataFrame, c: Constraint, cls: str | None) -> list[Column]:
+    """Per-group partial sums of a scan-shareable metric (see :func:`_fused_metrics`)."""
+    if c.kind == "completeness":
+        return [F.count(F.col(c.columns[0]))]
+    if c.kind == "compliance":
+        pred = F.expr(c.predicate)
+        if c.nulls == "pass":
+            pred = F.coalesce(pred, F.lit(True))
+        return [F.count_if(pred)]
+    if c.kind == "datatype":
+        col = c.columns[0]
+        klass = F.col(cls) if cls is not None else value_class(df, col)
+        return [F.count_if(klass.isin(*DATA_TYPES[c.data_type])), F.count(F.col(col))]
+    raise ValueError(c.kind)
+
+
+def _from_partials(c: Constraint, parts: list[Column], rows: Column) -> Column:
+    if c.kind in ("completeness", "compliance"):
+        return _ratio(parts[0], rows)
+    share = F.coalesce(_ratio(parts[0], parts[1]), F.lit(0.0))
+    return F.when(rows > 0, share)
+
+
+def _fused_metrics(df: DataFrame, entries, scan_ids: list[int], key: Sequence[str]) -> DataFrame:
+    """Scan metrics and the uniqueness of ``key`` in ONE pass over ``df``.
+
+    Every scan metric is a ratio of sums, so it is computed as per-group partial
+    sums inside the uniqueness ``groupBy(key)`` and summed afterwards. The input
+    is read (and, for an expensive lineage, computed) once; the only shuffle is
+    the one uniqueness needs anyway, and map-side partial aggregation collapses
+    a hot key before it.
+    """
+    classes = _class_columns(df, entries)
+    prep = df.withColumns(classes) if classes else df
+    aggs = [F.count(F.lit(1)).alias("_n")]
+    layout = {}
+    for i in scan_ids:
+        c = entries[i][1]
+        cls = _class_name(entries, c.columns[0]) if c.kind == "datatype" else None
+        ps = _partials(df, c, cls)
+        layout[i] = [f"_p{i}_{k}" for k in range(len(ps))]
+        aggs += [p.alias(n) for p, n in zip(ps, layout[i])]
+    groups = prep.groupBy(*key).agg(*aggs)
+    any_set = reduce(lambda a, b: a | b, [F.col(k).isNotNull() for k in key])
+    rows = F.sum("_n")
+    out = [_ratio(F.count_if((F.col("_n") == 1) & any_set), F.sum(F.when(any_set, F.col("_n"))))
+           .alias("u")]
+    for i in scan_ids:
+        out.append(_from_partials(entries[i][1], [F.sum(n) for n in layout[i]], rows).alias(f"m{i}"))
+    return groups.agg(*out)
+
+
 def _uniqueness_metric(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """One-row frame with the uniqueness ratio of ``cols``."""
     any_set = reduce(lambda a, b: a | b, [F.col(c).isNotNull() for c in cols])
@@ -334,7 +388,16 @@ def metrics(df: DataFrame, *checks: Check) -> DataFrame:
 
     parts: list[DataFrame] = []
     scan = [(i, chk, c) for i, (chk, c) in enumerate(entries) if c.kind != "uniqueness"]
-    if scan:
+    uniq = [i for i, (_, c) in enumerate(entries) if c.kind == "uniqueness"]
+    fused_key = entries[uniq[0]][1].columns if (scan and uniq) else None
+    if fused_key is not None:
+        # one pass: scan metrics ride along the first uniqueness key's groupBy
+        one = _fused_metrics(df, entries, [i for i, _, _ in scan], fused_key)
+        structs = [F.struct(*meta(i, chk, c, F.col(f"m{i}"))) for i, chk, c in scan]
+        structs += [F.struct(*meta(i, *entries[i], F.col("u")))
+                    for i in uniq if entries[i][1].columns == fused_key]
+        parts.append(one.select(F.inline(F.array(*structs))))
+    elif scan:
         prep = df.withColumns(_class_columns(df, entries)) if _class_columns(df, entries) else df
         one = prep.agg(*[
             _scan_metric(df, c, _class_name(entries, c.columns[0]) if c.kind == "datatype" else None)
@@ -342,8 +405,9 @@ def metrics(df: DataFrame, *checks: Check) -> DataFrame:
         ])
         structs = [F.struct(*meta(i, chk, c, F.col(f"m{i}"))) for i, chk, c in scan]
         parts.append(one.select(F.inline(F.array(*structs))))
-    for i, (chk, c) in enumerate(entries):
-        if c.kind == "uniqueness":
+    for i in uniq:
+        chk, c = entries[i]
+        if c.columns != fused_key:
             u = _uniqueness_metric(df, c.columns)
             parts.append(u.select(*meta(i, chk, c, F.col("metric"))))
     return reduce(DataFrame.unionByName, parts)

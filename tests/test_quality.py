@@ -157,3 +157,22 @@ def test_observed_verification_matches_verify_and_sits_in_result_stage(spark, tm
     fresh = ObservedVerification(df, chk)
     plan = fresh.attach(df.hint("rebalance", "id"))._jdf.queryExecution().executedPlan().toString()
     assert plan.index("CollectMetrics") < plan.index("Exchange")  # metrics above the shuffle
+
+
+def test_uniqueness_and_scan_metrics_share_one_pass(spark):
+    """With a uniqueness constraint present, the input is scanned once in total."""
+    from .conftest import SF_SMALL
+
+    df = spark.read.parquet(f"{SF_SMALL}/orders.parquet")
+    chk = (Check("o").is_complete("o_orderkey").is_unique("o_orderkey")
+           .has_data_type("o_orderpriority", "String").satisfies("o_totalprice > 0", "positive"))
+    rep = verify(df, chk)
+    plan = rep._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan parquet") == 1
+    got = {r.constraint: r.metric for r in rep.collect()}
+    assert got["Uniqueness(o_orderkey)"] == 1.0 and got["Completeness(o_orderkey)"] == 1.0
+    # same numbers as the unfused computation
+    sep = {r.constraint: r.metric for r in verify(df, Check("o")
+           .is_complete("o_orderkey").has_data_type("o_orderpriority", "String")
+           .satisfies("o_totalprice > 0", "positive")).collect()}
+    assert all(got[k] == v for k, v in sep.items())
