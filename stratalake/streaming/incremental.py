@@ -1,7 +1,8 @@
 """Incremental silver: pick up only new bronze snapshots with Structured Streaming.
 
-The bronze folder is a streaming file source (new ``dt_extraction=...``
-directories are discovered by the source's own file log). Each micro-batch
+The bronze folder is watched by a streaming file source that lists files only
+(``binaryFile`` projected to the partition label, so no file is opened); new
+``dt_extraction=...`` directories are discovered by the source's own file log. Each micro-batch
 keeps only its newest snapshot and, if that snapshot is newer than the one
 already published, cleans, verifies and publishes it -- "the latest snapshot
 replaces the table". ``trigger(availableNow=True)`` processes everything that
@@ -27,6 +28,14 @@ from ..sources.snapshots import LABEL_COL, LABEL_PY_FORMAT, LABEL_REGEX, label_t
 log = logging.getLogger(__name__)
 
 MARKER = "_published_label"
+FILE_SCHEMA = T.StructType(
+    [
+        T.StructField("path", T.StringType()),
+        T.StructField("modificationTime", T.TimestampType()),
+        T.StructField("length", T.LongType()),
+        T.StructField("content", T.BinaryType()),
+    ]
+)
 
 
 def _published_label(spark: SparkSession, checkpoint: str) -> str | None:
@@ -100,10 +109,12 @@ def incremental_silver(
     partition_cols = [cols.country, cols.state] if partition_cols is None else list(partition_cols)
     checks = [entity_checks(cols)] if checks is None else list(checks)
     full_schema = with_field(schema, label_col, "string")
-    reader = spark.readStream.schema(full_schema).option("multiline", str(multiline).lower())
+    # The stream tracks *files*: a binaryFile source projected to the partition
+    # label never opens a file, so discovering new snapshots costs metadata only.
+    reader = spark.readStream.format("binaryFile").schema(with_field(FILE_SCHEMA, label_col, "string"))
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", int(max_files_per_trigger))
-    stream = reader.json(bronze_base)
+    stream = reader.load(bronze_base).select(label_col)
     published: list[str] = []
 
     def on_batch(batch: DataFrame, epoch_id: int) -> None:
