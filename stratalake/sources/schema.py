@@ -14,30 +14,35 @@ from collections.abc import Mapping
 
 from pyspark.sql import types as T
 
-# Short type names accepted in configs and their Spark DDL form.
+# Short type names accepted in configs and their Spark types.
 SHORT_NAMES = {
-    "string": "string",
-    "float": "float",
-    "double": "double",
-    "integer": "int",
-    "long": "bigint",
-    "short": "smallint",
-    "byte": "tinyint",
-    "boolean": "boolean",
-    "binary": "binary",
-    "date": "date",
-    "timestamp": "timestamp",
-    "decimal": "decimal(10,0)",
-    "null": "void",
+    "string": T.StringType(),
+    "float": T.FloatType(),
+    "double": T.DoubleType(),
+    "integer": T.IntegerType(),
+    "long": T.LongType(),
+    "short": T.ShortType(),
+    "byte": T.ByteType(),
+    "boolean": T.BooleanType(),
+    "binary": T.BinaryType(),
+    "date": T.DateType(),
+    "timestamp": T.TimestampType(),
+    "decimal": T.DecimalType(10, 0),
+    "null": T.NullType(),
 }
 
 
 def parse_type(name: str) -> T.DataType:
-    """Short name or DDL string -> ``DataType``; ``ValueError`` if unknown."""
-    ddl = SHORT_NAMES.get(name.strip().lower(), name)
+    """Short name or Spark DDL type string -> ``DataType``; ``ValueError`` if unknown.
+
+    Short names need no session; DDL strings are parsed by the active session.
+    """
+    short = SHORT_NAMES.get(name.strip().lower())
+    if short is not None:
+        return short
     try:
-        return T.DataType.fromDDL(ddl)
-    except Exception as e:  # AnalysisException / ParseException
+        return T.DataType.fromDDL(name)
+    except Exception as e:  # ParseException / no active session
         raise ValueError(f"Invalid data type in schema configuration: {name!r}") from e
 
 

@@ -16,7 +16,7 @@ def test_dict_config_order_and_nullability():
     assert s["age"].dataType == T.IntegerType() and all(f.nullable for f in s.fields)
 
 
-def test_yaml_and_json_files(tmp_dir):
+def test_yaml_and_json_files(spark, tmp_dir):
     import yaml
 
     cfg = {"silver": {"t": {"fields": {"id": "string", "latitude": "float", "amount": "decimal(12,2)"}}}}
@@ -32,7 +32,7 @@ def test_yaml_and_json_files(tmp_dir):
         assert s["latitude"].dataType == T.FloatType()
 
 
-def test_errors(tmp_dir):
+def test_errors(spark, tmp_dir):
     with pytest.raises(FileNotFoundError):
         load_schema(os.path.join(tmp_dir, "missing.yaml"), "a", "b")
     bad = os.path.join(tmp_dir, "bad.yaml")
@@ -54,5 +54,5 @@ def test_errors(tmp_dir):
      ("timestamp_ntz", T.TimestampNTZType()), ("array<string>", T.ArrayType(T.StringType())),
      ("map<string,int>", T.MapType(T.StringType(), T.IntegerType())), ("null", T.NullType())],
 )
-def test_type_names(name, want):
+def test_type_names(spark, name, want):
     assert parse_type(name) == want
