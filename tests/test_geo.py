@@ -30,6 +30,7 @@ CASES = [
     ((95, N), None, (N, N), (N, N)),
     ((NAN, 40), True, (40, N), (40, 40)),
     ((INF, 40), True, (40, N), (40, 40)),
+    ((-INF, 40), True, (40, N), (40, 40)),
     ((40, NAN), True, (N, 40), (N, N)),
 ]
 
@@ -69,7 +70,7 @@ def test_types_preserved(geo):
 
 def test_counts(geo):
     got = {r.inverted: r.n_rows for r in inversion_counts(geo).collect()}
-    assert got == {True: 10, False: 7, None: 3}
+    assert got == {True: 11, False: 7, None: 3}
 
 
 def test_atomic_is_one_projection(spark):

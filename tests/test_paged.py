@@ -91,3 +91,12 @@ def test_parse_records_is_permissive(spark):
     schema = T.StructType.fromDDL("id string, latitude float")
     got = sorted(tuple(r) for r in parse_records(read_paged(spark, f, base_wait=0), schema).collect())
     assert got == [(1, "2", None), (1, "x", 3.5)]
+
+
+def test_non_serialisable_record_fails_the_read(spark):
+    class Opaque:
+        pass
+
+    f = ListPages([[{"id": 1, "blob": Opaque()}], []])
+    with pytest.raises(Exception, match="not JSON serialisable"):
+        read_paged(spark, f, base_wait=0)
