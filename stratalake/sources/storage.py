@@ -63,13 +63,27 @@ def delete(spark: SparkSession, path: str) -> None:
 
 
 def replace_dir(spark: SparkSession, src: str, dst: str) -> None:
-    """Make ``src`` the new ``dst`` (delete ``dst``, then rename)."""
+    """Make ``src`` the new ``dst``.
+
+    The old ``dst`` is first renamed aside, then ``src`` is renamed into place
+    and only then is the old copy deleted; if the second rename fails the old
+    table is put back. On file systems with atomic rename (HDFS, local) readers
+    see the old or the new table except for the instant between two renames.
+    """
     fs, s = _fs(spark, src)
     _, d = _fs(spark, dst)
-    if fs.exists(d):
-        fs.delete(d, True)
+    jvm = spark.sparkContext._jvm
     parent = d.getParent()
     if parent is not None and not fs.exists(parent):
         fs.mkdirs(parent)
+    old = None
+    if fs.exists(d):
+        old = jvm.org.apache.hadoop.fs.Path(f"{dst.rstrip('/')}.old-{uuid.uuid4().hex}")
+        if not fs.rename(d, old):
+            raise OSError(f"could not move the current {dst} aside")
     if not fs.rename(s, d):
+        if old is not None:
+            fs.rename(old, d)
         raise OSError(f"could not move {src} to {dst}")
+    if old is not None:
+        fs.delete(old, True)

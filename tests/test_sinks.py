@@ -103,3 +103,14 @@ def test_hot_partition_value_is_split_over_tasks(spark, tmp_dir):
     assert len(hot_files) > 1
     back = spark.read.parquet(tmp_dir)
     assert back.count() == 300000 and back.where("state = 'hot'").count() == 100000
+
+
+def test_replace_dir_swaps_tables(spark, tmp_dir, frame):
+    from stratalake.sources import storage
+
+    target, staged = os.path.join(tmp_dir, "t"), os.path.join(tmp_dir, "s")
+    write_table(frame, target)
+    write_table(frame.limit(2), staged)
+    storage.replace_dir(spark, staged, target)
+    assert read_table(spark, target).count() == 2
+    assert sorted(os.listdir(tmp_dir)) == ["t"]  # staging moved, old copy removed
