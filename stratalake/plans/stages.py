@@ -130,9 +130,11 @@ def rollup_checks(
 # ---------------------------------------------------------------------------
 # Publishing
 # ---------------------------------------------------------------------------
-def _write(df: DataFrame, path: str, partition_cols: Sequence[str], empty_as, observe=None) -> None:
+def _write(df: DataFrame, path: str, partition_cols: Sequence[str], empty_as, observe=None,
+           rebalance: bool = True) -> None:
     if partition_cols:
-        write_partitioned(df, path, partition_cols, empty_as=empty_as, observe=observe)
+        write_partitioned(df, path, partition_cols, empty_as=empty_as, observe=observe,
+                          rebalance=rebalance)
     else:
         write_table(df, path, observe=observe)
 
@@ -161,6 +163,7 @@ def publish(
     partition_cols: Sequence[str] = (),
     empty_as: str | None = NULL_LABEL,
     verify_on: str = "staged",
+    rebalance: bool = True,
 ) -> DataFrame:
     """Verify ``checks`` and write ``df`` to ``path`` only if the gate passes.
 
@@ -170,14 +173,14 @@ def publish(
     spark = df.sparkSession
     df = prepare_partitions(df, partition_cols, empty_as) if partition_cols else df
     if not checks:
-        _write(df, path, partition_cols, empty_as)
+        _write(df, path, partition_cols, empty_as, rebalance=rebalance)
         return spark.createDataFrame([], REPORT_SCHEMA)
     if verify_on == "input":
         df = df.persist(StorageLevel.MEMORY_AND_DISK)
         try:
             report = spark.createDataFrame(verify(df, *checks).collect(), REPORT_SCHEMA)
             gate(report)
-            _write(df, path, partition_cols, empty_as)
+            _write(df, path, partition_cols, empty_as, rebalance=rebalance)
         finally:
             df.unpersist()
         return report
@@ -188,10 +191,10 @@ def publish(
         # Scan metrics are observed during the write itself; only uniqueness
         # re-reads the staged files (its key columns only).
         ov = ObservedVerification(df, *checks)
-        _write(df, staging, partition_cols, empty_as, observe=ov.attach)
+        _write(df, staging, partition_cols, empty_as, observe=ov.attach, rebalance=rebalance)
         report = ov.report(read_table(spark, staging, df.schema))
     else:
-        _write(df, staging, partition_cols, empty_as)
+        _write(df, staging, partition_cols, empty_as, rebalance=rebalance)
         staged = read_table(spark, staging, df.schema)
         report = spark.createDataFrame(verify(staged, *checks).collect(), REPORT_SCHEMA)
     try:

@@ -43,6 +43,7 @@ def write_partitioned(
     max_records_per_file: int | None = None,
     fmt: str = "parquet",
     observe: Callable[[DataFrame], DataFrame] | None = None,
+    rebalance: bool = True,
 ) -> None:
     """Write ``df`` partitioned by ``partition_cols``.
 
@@ -55,6 +56,11 @@ def write_partitioned(
     ``repartition``) lets AQE split a partition value that holds a large share
     of the rows over several tasks and merge tiny ones.
 
+    The rebalance costs one shuffle of the rows; ``rebalance=False`` skips it
+    when the input is already clustered by the partition columns or when many
+    small files per directory are acceptable (each task then writes one file
+    into every directory it has rows for).
+
     ``observe`` (e.g. ``ObservedVerification.attach``) is applied after the
     rebalance, so observed metrics are collected in the writing stage.
     """
@@ -62,7 +68,9 @@ def write_partitioned(
     require_columns(df, cols)
     if overwrite not in OVERWRITE_MODES:
         raise ValueError(f"overwrite must be one of {OVERWRITE_MODES}")
-    out = prepare_partitions(df, cols, empty_as).hint("rebalance", *cols)
+    out = prepare_partitions(df, cols, empty_as)
+    if rebalance:
+        out = out.hint("rebalance", *cols)
     if observe is not None:
         out = observe(out)
     w = out.write.mode(mode).option("partitionOverwriteMode", overwrite).partitionBy(*cols)

@@ -114,3 +114,8 @@ def test_replace_dir_swaps_tables(spark, tmp_dir, frame):
     storage.replace_dir(spark, staged, target)
     assert read_table(spark, target).count() == 2
     assert sorted(os.listdir(tmp_dir)) == ["t"]  # staging moved, old copy removed
+
+
+def test_rebalance_can_be_skipped(spark, tmp_dir, frame):
+    write_partitioned(frame, tmp_dir, ["state"], rebalance=False)
+    assert read_table(spark, tmp_dir, SCHEMA).count() == len(STATES)
