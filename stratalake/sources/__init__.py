@@ -1,6 +1,6 @@
 """Sources and sinks: schemas, dated snapshots, paged sources, tables."""
 
-from .paged import ParquetPages, PagedReadError, parse_records, raw_pages, read_paged
+from .paged import HttpPages, ParquetPages, PagedReadError, parse_records, raw_pages, read_paged
 from .schema import load_schema, parse_type, schema_from_fields, with_field
 from .sinks import prepare_partitions, read_table, write_json, write_partitioned, write_table
 from .snapshots import (
@@ -18,6 +18,7 @@ from .snapshots import (
 from .storage import scratch_path, shared_dir
 
 __all__ = [
+    "HttpPages",
     "LABEL_COL",
     "PagedReadError",
     "ParquetPages",

@@ -244,6 +244,51 @@ def parse_records(df: DataFrame, schema: T.StructType, record_col: str = "record
     return df.select(*keep, parsed.alias("_r")).select(*keep, "_r.*")
 
 
+class HttpPages:
+    """Fetcher for a JSON REST endpoint that pages with query parameters.
+
+    ``fetch(page, per_page)`` issues ``GET url?page=..&per_page=..&<params>``
+    (or formats ``{page}`` / ``{per_page}`` placeholders in ``url``) and returns
+    the decoded JSON list. HTTP errors (4xx and 5xx alike), connection errors and
+    timeouts raise, so the paged reader retries them; a body that is not JSON
+    raises ``ValueError``. ``timeout`` is applied to connecting and to each read.
+    """
+
+    def __init__(self, url: str, params: dict | None = None, *, page_param: str = "page",
+                 per_page_param: str = "per_page", timeout: float = 30.0,
+                 headers: dict | None = None):
+        self.url = url
+        self.params = dict(params or {})
+        self.page_param = page_param
+        self.per_page_param = per_page_param
+        self.timeout = timeout
+        self.headers = dict(headers or {})
+
+    def request_url(self, page: int, per_page: int) -> str:
+        from urllib.parse import urlencode
+
+        if "{page}" in self.url:
+            return self.url.format(page=page, per_page=per_page)
+        query = urlencode({self.page_param: page, self.per_page_param: per_page, **self.params})
+        return f"{self.url}{'&' if '?' in self.url else '?'}{query}"
+
+    def __call__(self, page: int, per_page: int) -> list:
+        from urllib.request import Request, urlopen
+
+        req = Request(self.request_url(page, per_page), headers=self.headers)
+        with urlopen(req, timeout=self.timeout) as resp:  # raises HTTPError for >= 400
+            body = resp.read()
+        try:
+            data = json.loads(body)
+        except ValueError as e:
+            raise ValueError(f"page {page}: response is not JSON") from e
+        if data is None:
+            return []
+        if not isinstance(data, list):
+            raise ValueError(f"page {page}: expected a JSON list, got {type(data).__name__}")
+        return data
+
+
 class ParquetPages:
     """Fetcher that serves a Parquet table as pages of a dense integer key.
 
