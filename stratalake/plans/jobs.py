@@ -1,5 +1,6 @@
 """Command-line entry points for the three stages (one scheduled task each).
 
+    python -m stratalake bronze --url https://host/v1/items --param by_state=ohio --bronze PATH
     python -m stratalake bronze --fetcher pkg.module:callable --bronze PATH
     python -m stratalake silver --bronze PATH --silver PATH --config tables.yaml --table venues
     python -m stratalake gold   --silver PATH --gold PATH   --config tables.yaml --table venues \\
@@ -19,6 +20,7 @@ import logging
 import sys
 
 from ..operators.quality import VerificationError
+from ..sources.paged import HttpPages
 from ..sources.schema import load_schema
 from .stages import EntityColumns, to_bronze, to_gold, to_silver
 
@@ -43,7 +45,12 @@ def parser() -> argparse.ArgumentParser:
     sub = p.add_subparsers(dest="stage", required=True)
 
     b = sub.add_parser("bronze", help="paged source -> dated raw snapshot")
-    b.add_argument("--fetcher", required=True, help="module:callable, called as fetch(page, per_page)")
+    src = b.add_mutually_exclusive_group(required=True)
+    src.add_argument("--fetcher", help="module:callable, called as fetch(page, per_page)")
+    src.add_argument("--url", help="JSON REST endpoint paged with ?page=&per_page=")
+    b.add_argument("--param", action="append", default=[], metavar="KEY=VALUE",
+                   help="extra query parameter for --url (repeatable)")
+    b.add_argument("--timeout", type=float, default=30.0)
     b.add_argument("--bronze", required=True)
     b.add_argument("--label", default=None)
     b.add_argument("--per-page", type=int, default=200)
@@ -84,7 +91,12 @@ def run(argv: list[str] | None = None, spark=None) -> int:
         spark = SparkSession.builder.appName(f"stratalake-{a.stage}").getOrCreate()
     try:
         if a.stage == "bronze":
-            path = to_bronze(spark, _fetcher(a.fetcher), a.bronze, label=a.label,
+            if a.url:
+                params = dict(p.split("=", 1) for p in a.param)
+                fetch = HttpPages(a.url, params, timeout=a.timeout)
+            else:
+                fetch = _fetcher(a.fetcher)
+            path = to_bronze(spark, fetch, a.bronze, label=a.label,
                              per_page=a.per_page, on_error=a.on_error)
             log.info("bronze snapshot: %s", path)
         elif a.stage == "silver":

@@ -186,3 +186,20 @@ def test_publish_empty_input_fails_gate_and_writes_nothing(spark, tmp_dir, parts
     with pytest.raises(VerificationError, match="Completeness"):
         publish(empty, target, [Check("c").is_complete("id")], partition_cols=parts)
     assert not os.path.exists(target)
+
+
+def test_command_line_bronze_from_url(spark, tmp_dir):
+    import json
+
+    from stratalake.plans.jobs import run
+
+    pages = os.path.join(tmp_dir, "pages")
+    os.makedirs(pages)
+    for i, p in enumerate([ROWS[:2], ROWS[2:], []], start=1):
+        with open(os.path.join(pages, f"{i}.json"), "w") as fh:
+            json.dump(p, fh)
+    bronze = os.path.join(tmp_dir, "b")
+    assert run(["bronze", "--url", "file://" + pages + "/{page}.json", "--bronze", bronze,
+                "--label", "2025-06-22T15-30", "--per-page", "2"], spark) == 0
+    got = spark.read.schema(SCHEMA).json(os.path.join(bronze, "dt_extraction=2025-06-22T15-30"))
+    assert sorted(r.id for r in got.collect()) == ["a1", "b2", "c3", "d4"]
