@@ -4,10 +4,11 @@ Each stage is extract -> transform -> verify (gate) -> load. Column names,
 checks and paths are parameters, so the same stages serve any entity table.
 
 Publishing (:func:`publish`) is write-then-verify-then-promote by default:
-the transformed rows are written once to a staging folder under the shared
-checkpoint folder, the checks run over the staged Parquet (reading only the
-columns they need), and only if the gate passes is the staging folder moved
-to the target path. The transform is therefore computed exactly once, a lost
+the transformed rows are written once to a hidden staging folder next to the
+target (same file system, so the final move is a rename), the checks run
+during that write and over the staged Parquet (reading only the columns they
+need), and only if the gate passes is the staging folder moved to the target
+path. The transform is therefore computed exactly once, a lost
 executor is covered by task retry on a durable output, and a failed gate
 leaves the published table untouched. ``verify_on="input"`` instead persists
 the input, verifies it, then writes it.
@@ -186,7 +187,7 @@ def publish(
         return report
     if verify_on != "staged":
         raise ValueError("verify_on must be 'staged' or 'input'")
-    staging = storage.scratch_path(spark, "staging")
+    staging = storage.sibling_path(path, "staging")  # same file system as the target
     if _stored_as_written(df, partition_cols, empty_as):
         # Scan metrics are observed during the write itself; only uniqueness
         # re-reads the staged files (its key columns only).

@@ -34,6 +34,18 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+def sibling_path(path: str, tag: str) -> str:
+    """A hidden sibling of ``path`` on the same file system / bucket.
+
+    Names starting with ``_`` are skipped by Spark's file listing, so readers
+    of the parent folder never see staging or set-aside copies; being on the
+    same file system is what makes the final rename possible.
+    """
+    p = path.rstrip("/")
+    parent, _, name = p.rpartition("/")
+    return f"{parent}/_{tag}-{name}-{uuid.uuid4().hex}"
+
+
 def _fs(spark: SparkSession, path: str):
     jvm = spark.sparkContext._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)
@@ -78,7 +90,7 @@ def replace_dir(spark: SparkSession, src: str, dst: str) -> None:
         fs.mkdirs(parent)
     old = None
     if fs.exists(d):
-        old = jvm.org.apache.hadoop.fs.Path(f"{dst.rstrip('/')}.old-{uuid.uuid4().hex}")
+        old = jvm.org.apache.hadoop.fs.Path(sibling_path(dst, "old"))
         if not fs.rename(d, old):
             raise OSError(f"could not move the current {dst} aside")
     if not fs.rename(s, d):

@@ -114,6 +114,8 @@ def test_replace_dir_swaps_tables(spark, tmp_dir, frame):
     storage.replace_dir(spark, staged, target)
     assert read_table(spark, target).count() == 2
     assert sorted(os.listdir(tmp_dir)) == ["t"]  # staging moved, old copy removed
+    aside = storage.sibling_path(target, "old")
+    assert os.path.dirname(aside) == tmp_dir and os.path.basename(aside).startswith("_old-t-")
 
 
 def test_rebalance_can_be_skipped(spark, tmp_dir, frame):
