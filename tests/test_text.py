@@ -63,3 +63,17 @@ def test_cleaners_are_jvm_expressions(labels):
     plan = labels.select(clean_label("s"), clean_code("s"))._jdf.queryExecution().executedPlan().toString()
     assert "PythonUDF" not in plan and "BatchEvalPython" not in plan and "ArrowEval" not in plan
     assert F  # keep import
+
+
+def test_special_chars_class_equals_ascii_ranges(spark):
+    """SPECIAL_CHARS (POSIX \\p{Alnum} form) removes exactly [^a-zA-Z0-9\\s] on every BMP code point."""
+    chars = [chr(cp) for cp in range(0x10000) if not 0xD800 <= cp <= 0xDFFF]
+    chars += [chr(cp) for cp in (0x10000, 0x1D400, 0x1F600, 0x10FFFF)]
+    chunks = ["".join(chars[i : i + 2048]) for i in range(0, len(chars), 2048)]
+    df = spark.createDataFrame([(i, s) for i, s in enumerate(chunks)], "i int, s string")
+    bad = df.where(
+        strip_special("s") != F.regexp_replace("s", r"[^a-zA-Z0-9\s]", "")
+    ).count()
+    assert bad == 0
+    kept = "".join(r.k for r in df.orderBy("i").select(strip_special("s").alias("k")).collect())
+    assert kept == "\t\n\x0b\x0c\r " + "0123456789" + "ABCDEFGHIJKLMNOPQRSTUVWXYZ" + "abcdefghijklmnopqrstuvwxyz"
