@@ -33,3 +33,23 @@ def test_oracle_parity(spark, name):
     assert "error" not in rec, rec.get("error")
     assert rec["match"], rec
     assert rec["type_diff"] == [], rec["types"]
+
+
+# Queries whose values involve timestamps, dates or snapshot labels.
+TIME_SENSITIVE = ["distinct_rollup", "json_schema_read", "bronze_snapshot_roundtrip", "latest_snapshot_subquery"]
+
+
+@pytest.mark.parametrize("name", TIME_SENSITIVE)
+def test_oracle_parity_outside_utc(spark, name):
+    """The caller's session time zone does not change any result."""
+    from compare_oracle import compare
+
+    key = "spark.sql.session.timeZone"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "America/Los_Angeles")
+    try:
+        rec = compare(spark, SF_ORACLE, [name])[name]
+    finally:
+        spark.conf.set(key, before)
+    assert "error" not in rec, rec.get("error")
+    assert rec["match"], rec
