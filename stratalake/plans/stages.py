@@ -187,6 +187,7 @@ def publish(
         return report
     if verify_on != "staged":
         raise ValueError("verify_on must be 'staged' or 'input'")
+    storage.recover_dir(spark, path)  # finish or undo a swap a crashed run left behind
     staging = storage.sibling_path(path, "staging")  # same file system as the target
     if _stored_as_written(df, partition_cols, empty_as):
         # Scan metrics are observed during the write itself; only uniqueness

@@ -8,7 +8,9 @@ setting (unit tests, a laptop) do we create one and register it.
 
 from __future__ import annotations
 
+import re
 import tempfile
+import time
 import uuid
 
 from pyspark.sql import SparkSession
@@ -99,3 +101,48 @@ def replace_dir(spark: SparkSession, src: str, dst: str) -> None:
         raise OSError(f"could not move {src} to {dst}")
     if old is not None:
         fs.delete(old, True)
+
+
+STALE_STAGING_SEC = 24 * 3600
+
+
+def recover_dir(spark: SparkSession, dst: str, *, stale_after_sec: float = STALE_STAGING_SEC) -> None:
+    """Repair what an interrupted :func:`replace_dir` or publish left next to ``dst``.
+
+    * ``dst`` missing but set-aside copies (``_old-<name>-<id>``) present: the
+      driver died between the two renames, so the newest copy (the table that
+      was live) is renamed back to ``dst``.
+    * set-aside copies next to an existing ``dst`` are leftovers of swaps that
+      completed; they are deleted.
+    * staging folders (``_staging-<name>-<id>``) older than ``stale_after_sec``
+      belong to runs that died before promotion; they are deleted. Younger ones
+      are left alone, as they may belong to a run still in progress.
+
+    Only directory metadata is read. Concurrent publishes to the same ``dst``
+    are not supported (as with any static overwrite).
+    """
+    fs, d = _fs(spark, dst)
+    parent = d.getParent()
+    if parent is None or not fs.exists(parent):
+        return
+    name = re.escape(d.getName())
+    old_re = re.compile(rf"_old-{name}-[0-9a-f]{{32}}")
+    staging_re = re.compile(rf"_staging-{name}-[0-9a-f]{{32}}")
+    olds, stagings = [], []
+    for st in fs.listStatus(parent):
+        n = st.getPath().getName()
+        if old_re.fullmatch(n):
+            olds.append(st)
+        elif staging_re.fullmatch(n):
+            stagings.append(st)
+    olds.sort(key=lambda st: st.getModificationTime(), reverse=True)
+    if olds and not fs.exists(d):
+        if not fs.rename(olds[0].getPath(), d):
+            raise OSError(f"could not restore {dst} from {olds[0].getPath().toString()}")
+        olds = olds[1:]
+    for st in olds:
+        fs.delete(st.getPath(), True)
+    cutoff_ms = (time.time() - stale_after_sec) * 1000
+    for st in stagings:
+        if st.getModificationTime() < cutoff_ms:
+            fs.delete(st.getPath(), True)

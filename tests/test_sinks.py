@@ -121,3 +121,52 @@ def test_replace_dir_swaps_tables(spark, tmp_dir, frame):
 def test_rebalance_can_be_skipped(spark, tmp_dir, frame):
     write_partitioned(frame, tmp_dir, ["state"], rebalance=False)
     assert read_table(spark, tmp_dir, SCHEMA).count() == len(STATES)
+
+
+def _crash_between_renames(spark, target):
+    """State left when the driver dies after moving the live table aside."""
+    from stratalake.sources import storage
+
+    fs, t = storage._fs(spark, target)
+    aside = storage.sibling_path(target, "old")
+    assert fs.rename(t, spark.sparkContext._jvm.org.apache.hadoop.fs.Path(aside))
+    return aside
+
+
+def test_recover_restores_table_moved_aside(spark, tmp_dir, frame):
+    from stratalake.sources import storage
+
+    target = os.path.join(tmp_dir, "t")
+    write_table(frame, target)
+    _crash_between_renames(spark, target)
+    assert not os.path.exists(target)
+    storage.recover_dir(spark, target)
+    assert read_table(spark, target).count() == len(STATES)
+    assert sorted(os.listdir(tmp_dir)) == ["t"]
+
+
+def test_recover_removes_leftovers_of_finished_swaps(spark, tmp_dir, frame):
+    from stratalake.sources import storage
+
+    target = os.path.join(tmp_dir, "t")
+    write_table(frame, storage.sibling_path(target, "old"))  # swap done, delete never ran
+    write_table(frame.limit(1), target)
+    fresh = storage.sibling_path(target, "staging")  # a run still writing
+    write_table(frame, fresh)
+    storage.recover_dir(spark, target)
+    assert sorted(os.listdir(tmp_dir)) == sorted(["t", os.path.basename(fresh)])
+    assert read_table(spark, target).count() == 1
+    storage.recover_dir(spark, target, stale_after_sec=-1)  # now treat it as abandoned
+    assert sorted(os.listdir(tmp_dir)) == ["t"]
+
+
+def test_publish_recovers_before_writing(spark, tmp_dir, frame):
+    from stratalake.operators import Check
+    from stratalake.plans.stages import publish
+
+    target = os.path.join(tmp_dir, "t")
+    write_table(frame, target)
+    _crash_between_renames(spark, target)
+    publish(frame.limit(3), target, [Check("rows").is_complete("id")])
+    assert read_table(spark, target).count() == 3
+    assert sorted(os.listdir(tmp_dir)) == ["t"]  # restored copy replaced, nothing left beside it
