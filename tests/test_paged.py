@@ -128,3 +128,17 @@ def test_http_pages_through_the_paged_reader(spark, tmp_dir):
     assert records(read_paged(spark, f, per_page=2, base_wait=0)) == [(1, 1), (1, 2), (2, 3)]
     with pytest.raises(ValueError, match="not JSON"):
         HttpPages("file://" + tmp_dir + "/bad-{page}.json")(1, 2)
+
+
+def test_http_pages_unreachable_endpoint(spark, tmp_dir):
+    """A fetch that cannot connect raises; the paged read then fails (or keeps nothing)."""
+    from urllib.error import URLError
+
+    from stratalake.sources import HttpPages
+
+    f = HttpPages("file://" + tmp_dir + "/missing-{page}.json")
+    with pytest.raises(URLError):
+        f(1, 2)
+    with pytest.raises(PagedReadError, match="page 1"):
+        read_paged(spark, f, per_page=2, retries=1, base_wait=0).collect()
+    assert read_paged(spark, f, per_page=2, retries=1, base_wait=0, on_error="keep_prefix").count() == 0

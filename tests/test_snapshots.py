@@ -154,3 +154,16 @@ def test_json_schema_on_read(spark, tmp_dir, text, want):
         got.append(tuple(vals))
     assert got == want
     assert F  # keep import
+
+
+@pytest.mark.parametrize("err", [PermissionError("denied"), OSError("device not ready")])
+def test_listing_errors_propagate(spark, monkeypatch, err):
+    """Errors other than "nothing found" while listing snapshots are raised unchanged."""
+    from stratalake.sources import storage
+
+    def boom(_spark, _path):
+        raise err
+
+    monkeypatch.setattr(storage, "list_names", boom)
+    with pytest.raises(type(err), match=str(err)):
+        latest_snapshot_path(spark, "/any/base")
