@@ -77,3 +77,27 @@ def test_special_chars_class_equals_ascii_ranges(spark):
     assert bad == 0
     kept = "".join(r.k for r in df.orderBy("i").select(strip_special("s").alias("k")).collect())
     assert kept == "\t\n\x0b\x0c\r " + "0123456789" + "ABCDEFGHIJKLMNOPQRSTUVWXYZ" + "abcdefghijklmnopqrstuvwxyz"
+
+
+def test_clean_label_same_with_and_without_icu_case_mapping(spark):
+    """bench.py turns ICU case mapping off; the cleaned labels must not change."""
+    from .conftest import SF_SMALL
+
+    sample = ["İstanbul ıi", "straße ǅemal ǈ", "ΣΊΣΥΦΟΣ ς", "ﬁne ﬂow", "ǰ ŉ ẞ", "ABC def\tGHI"]
+    lit = spark.createDataFrame([(i, s) for i, s in enumerate(sample + [s for s, _, _ in LABELS])],
+                                "i int, s string")
+    docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet").select(F.col("doc_id").alias("i"),
+                                                                      F.col("text").alias("s"))
+    key = "spark.sql.icu.caseMappings.enabled"
+    before = spark.conf.get(key, None)
+    got = {}
+    try:
+        for flag in ("true", "false"):
+            spark.conf.set(key, flag)
+            got[flag] = [sorted(df.select("i", clean_label("s").alias("c")).collect()) for df in (lit, docs)]
+    finally:
+        if before is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, before)
+    assert got["true"] == got["false"]
