@@ -125,16 +125,17 @@ def recover_dir(spark: SparkSession, dst: str, *, stale_after_sec: float = STALE
     parent = d.getParent()
     if parent is None or not fs.exists(parent):
         return
-    name = re.escape(d.getName())
-    old_re = re.compile(rf"_old-{name}-[0-9a-f]{{32}}")
-    staging_re = re.compile(rf"_staging-{name}-[0-9a-f]{{32}}")
-    olds, stagings = [], []
-    for st in fs.listStatus(parent):
-        n = st.getPath().getName()
-        if old_re.fullmatch(n):
-            olds.append(st)
-        elif staging_re.fullmatch(n):
-            stagings.append(st)
+    jvm = spark.sparkContext._jvm
+    name = d.getName()
+    glob_name = re.sub(r"([{}\[\]*?\\])", r"\\\1", name)  # escape glob characters
+
+    def siblings(tag: str) -> list:
+        # The glob is matched JVM-side: only candidate names cross to Python.
+        found = fs.globStatus(jvm.org.apache.hadoop.fs.Path(parent, f"_{tag}-{glob_name}-*")) or []
+        pat = re.compile(rf"_{tag}-{re.escape(name)}-[0-9a-f]{{32}}")
+        return [st for st in found if pat.fullmatch(st.getPath().getName())]
+
+    olds, stagings = siblings("old"), siblings("staging")
     olds.sort(key=lambda st: st.getModificationTime(), reverse=True)
     if olds and not fs.exists(d):
         if not fs.rename(olds[0].getPath(), d):

@@ -170,3 +170,17 @@ def test_publish_recovers_before_writing(spark, tmp_dir, frame):
     publish(frame.limit(3), target, [Check("rows").is_complete("id")])
     assert read_table(spark, target).count() == 3
     assert sorted(os.listdir(tmp_dir)) == ["t"]  # restored copy replaced, nothing left beside it
+
+
+def test_recover_with_glob_characters_in_the_name(spark, tmp_dir, frame):
+    from stratalake.sources import storage
+
+    target = os.path.join(tmp_dir, "t[1]{a}")
+    other = os.path.join(tmp_dir, "t1a")  # would match an unescaped pattern
+    write_table(frame, target)
+    write_table(frame, storage.sibling_path(other, "old"))
+    write_table(frame, other)
+    _crash_between_renames(spark, target)
+    storage.recover_dir(spark, target)
+    assert read_table(spark, target).count() == len(STATES)
+    assert len(os.listdir(tmp_dir)) == 3  # the other table's leftover is not touched
