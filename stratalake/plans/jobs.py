@@ -5,11 +5,14 @@
     python -m stratalake silver --bronze PATH --silver PATH --config tables.yaml --table venues
     python -m stratalake gold   --silver PATH --gold PATH   --config tables.yaml --table venues \\
                                 --keys country,state,venue_type --alias venue_count
+    python -m stratalake recover --path PATH [--stale-hours 24]
 
 The session comes from ``SparkSession.builder.getOrCreate()`` (master, memory
 and ``spark.checkpoint.dir`` are set by ``spark-submit`` / the cluster). The
 exit status is 0 on success, 2 when a quality gate blocks the write and 1 on
-any other error.
+any other error. ``recover`` repairs a table whose publish was interrupted
+(see :func:`stratalake.sources.storage.recover_dir`); every publish also does
+this first.
 """
 
 from __future__ import annotations
@@ -20,6 +23,7 @@ import logging
 import sys
 
 from ..operators.quality import VerificationError
+from ..sources import storage
 from ..sources.paged import HttpPages
 from ..sources.schema import load_schema
 from .stages import EntityColumns, to_bronze, to_gold, to_silver
@@ -80,6 +84,11 @@ def parser() -> argparse.ArgumentParser:
             s.add_argument("--gold", required=True)
             s.add_argument("--keys", default=None, help="comma-separated (default country,state,kind)")
             s.add_argument("--alias", default="n_entities")
+
+    r = sub.add_parser("recover", help="repair a table whose publish was interrupted")
+    r.add_argument("--path", required=True, help="the published table's path")
+    r.add_argument("--stale-hours", type=float, default=storage.STALE_STAGING_SEC / 3600,
+                   help="delete staging folders older than this")
     return p
 
 
@@ -99,6 +108,8 @@ def run(argv: list[str] | None = None, spark=None) -> int:
             path = to_bronze(spark, fetch, a.bronze, label=a.label,
                              per_page=a.per_page, on_error=a.on_error)
             log.info("bronze snapshot: %s", path)
+        elif a.stage == "recover":
+            storage.recover_dir(spark, a.path, stale_after_sec=a.stale_hours * 3600)
         elif a.stage == "silver":
             schema = load_schema(a.config, a.layer, a.table)
             to_silver(spark, a.bronze, a.silver, schema, cols=_cols(a), mode=a.mode,

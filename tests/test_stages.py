@@ -145,6 +145,13 @@ def test_command_line_stages(spark, tmp_dir):
     dup_bronze = os.path.join(tmp_dir, "b2")
     write_snapshot(spark.createDataFrame(ROWS + [ROWS[0]], SCHEMA), dup_bronze, "2024-01-01T00-00")
     assert run(["silver", "--bronze", dup_bronze, "--silver", silver, *common], spark) == 2
+    # a gold publish that died between its two renames, repaired from the command line
+    from stratalake.sources import storage
+
+    aside = storage.sibling_path(gold, "old")
+    os.rename(gold, aside)
+    assert run(["recover", "--path", gold], spark) == 0
+    assert read_table(spark, gold).count() == 3 and not os.path.exists(aside)
 
 
 def test_silver_from_json_array_file(spark, tmp_dir):
