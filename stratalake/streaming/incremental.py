@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.text import NULL_LABEL
-from ..operators.quality import Check
+from ..operators.quality import Check, VerificationError
 from ..plans.stages import EntityColumns, clean_entities, entity_checks, publish
 from ..sources.schema import with_field
 from ..sources.snapshots import LABEL_COL, LABEL_PY_FORMAT, LABEL_REGEX, label_time
@@ -105,6 +105,13 @@ def incremental_silver(
     listing taken while the snapshot was being committed) is never published
     partially: a later batch with more files of the same snapshot publishes it
     again, complete. Older snapshots arriving late are skipped.
+
+    A snapshot that fails an Error-level check leaves silver untouched and is
+    *not* retried: its micro-batch still commits, later snapshots in the same
+    run are processed, and :class:`VerificationError` is raised once the
+    stream has stopped. Replaying a deterministic gate failure would otherwise
+    block every later snapshot. Any other error fails the micro-batch, so the
+    next run retries it.
     """
     partition_cols = [cols.country, cols.state] if partition_cols is None else list(partition_cols)
     checks = [entity_checks(cols)] if checks is None else list(checks)
@@ -116,6 +123,7 @@ def incremental_silver(
         reader = reader.option("maxFilesPerTrigger", int(max_files_per_trigger))
     stream = reader.load(bronze_base).select(label_col)
     published: list[str] = []
+    rejected: list[tuple[str, VerificationError]] = []
 
     def on_batch(batch: DataFrame, epoch_id: int) -> None:
         s = batch.sparkSession
@@ -133,8 +141,13 @@ def incremental_silver(
             .json(f"{bronze_base.rstrip('/')}/{label_col}={label}")
             .drop(label_col)
         )
-        publish(clean_entities(rows, cols, mode), silver_path, checks,
-                partition_cols=partition_cols, empty_as=empty_as)
+        try:
+            publish(clean_entities(rows, cols, mode), silver_path, checks,
+                    partition_cols=partition_cols, empty_as=empty_as)
+        except VerificationError as e:
+            log.error("batch %s: snapshot %s rejected by the quality gate: %s", epoch_id, label, e)
+            rejected.append((label, e))
+            return
         _mark_published(s, checkpoint, label)
         published.append(label)
 
@@ -145,4 +158,6 @@ def incremental_silver(
         .start()
     )
     q.awaitTermination()
+    if rejected:
+        raise VerificationError([f for _, e in rejected for f in e.failures])
     return published

@@ -210,3 +210,18 @@ def test_command_line_bronze_from_url(spark, tmp_dir):
                 "--label", "2025-06-22T15-30", "--per-page", "2"], spark) == 0
     got = spark.read.schema(SCHEMA).json(os.path.join(bronze, "dt_extraction=2025-06-22T15-30"))
     assert sorted(r.id for r in got.collect()) == ["a1", "b2", "c3", "d4"]
+
+
+def test_incremental_gate_failure_does_not_block_later_snapshots(spark, tmp_dir):
+    """A snapshot that fails the gate is reported, not replayed forever: the next
+    run publishes a newer good snapshot (as the batch silver job would)."""
+    bronze, silver, ckpt = (os.path.join(tmp_dir, n) for n in ("b", "s", "c"))
+    checks = [entity_checks(COLS)]
+    write_snapshot(spark.createDataFrame(ROWS + [ROWS[0]], SCHEMA), bronze, "2024-01-01T00-00")
+    with pytest.raises(VerificationError, match="Uniqueness"):
+        incremental_silver(spark, bronze, silver, SCHEMA, ckpt, cols=COLS, checks=checks)
+    assert not os.path.exists(silver)
+    write_snapshot(spark.createDataFrame(ROWS[1:], SCHEMA), bronze, "2024-01-02T00-00")
+    assert incremental_silver(spark, bronze, silver, SCHEMA, ckpt, cols=COLS, checks=checks) == [
+        "2024-01-02T00-00"]
+    assert sorted(r.id for r in read_table(spark, silver, SCHEMA).collect()) == ["b2", "c3", "d4"]
