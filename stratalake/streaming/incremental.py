@@ -42,6 +42,7 @@ def _published_label(spark: SparkSession, checkpoint: str) -> str | None:
     from ..sources import storage
 
     path = f"{checkpoint.rstrip('/')}/{MARKER}"
+    storage.recover_dir(spark, path)  # a crash while the marker was being replaced
     if not storage.exists(spark, path):
         return None
     row = spark.read.schema("label string").json(path).first()
@@ -49,8 +50,13 @@ def _published_label(spark: SparkSession, checkpoint: str) -> str | None:
 
 
 def _mark_published(spark: SparkSession, checkpoint: str, label: str) -> None:
+    """Replace the marker by a staged copy and a swap, so it is never lost half-way."""
+    from ..sources import storage
+
     path = f"{checkpoint.rstrip('/')}/{MARKER}"
-    spark.createDataFrame([(label,)], "label string").coalesce(1).write.mode("overwrite").json(path)
+    staging = storage.sibling_path(path, "staging")
+    spark.createDataFrame([(label,)], "label string").coalesce(1).write.json(staging)
+    storage.replace_dir(spark, staging, path)
 
 
 def _label_dt(label: str):

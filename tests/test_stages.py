@@ -225,3 +225,21 @@ def test_incremental_gate_failure_does_not_block_later_snapshots(spark, tmp_dir)
     assert incremental_silver(spark, bronze, silver, SCHEMA, ckpt, cols=COLS, checks=checks) == [
         "2024-01-02T00-00"]
     assert sorted(r.id for r in read_table(spark, silver, SCHEMA).collect()) == ["b2", "c3", "d4"]
+
+
+def test_incremental_marker_survives_a_crash_while_replaced(spark, tmp_dir):
+    """If the driver dies while the published-label marker is swapped, the next run
+    restores it, so a late older snapshot still does not replace the table."""
+    from stratalake.sources import storage
+    from stratalake.streaming.incremental import MARKER
+
+    bronze, silver, ckpt = (os.path.join(tmp_dir, n) for n in ("b", "s", "c"))
+    checks = [entity_checks(COLS)]
+    write_snapshot(spark.createDataFrame(ROWS[1:], SCHEMA), bronze, "2024-01-02T00-00")
+    assert incremental_silver(spark, bronze, silver, SCHEMA, ckpt, cols=COLS, checks=checks) == [
+        "2024-01-02T00-00"]
+    marker = os.path.join(ckpt, MARKER)
+    os.rename(marker, storage.sibling_path(marker, "old"))  # crash between the two renames
+    write_snapshot(spark.createDataFrame(ROWS[:1], SCHEMA), bronze, "2023-12-31T00-00")
+    assert incremental_silver(spark, bronze, silver, SCHEMA, ckpt, cols=COLS, checks=checks) == []
+    assert sorted(r.id for r in read_table(spark, silver, SCHEMA).collect()) == ["b2", "c3", "d4"]
