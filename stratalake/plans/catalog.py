@@ -310,7 +310,8 @@ def q_latest_snapshot(spark, d):
 
 
 def q_latest_snapshot_subquery(spark, d):
-    return latest_snapshot(read_snapshots(spark, _day_snapshots(spark, d), EVENTS_SCHEMA))
+    base = _day_snapshots(spark, d)
+    return latest_snapshot(read_snapshots(spark, base, EVENTS_SCHEMA), base=base)
 
 
 SQL_LATEST_SNAPSHOT = f"""SELECT *, {SQL_DAY_LABEL} AS dt_extraction FROM events

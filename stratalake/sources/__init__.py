@@ -10,8 +10,10 @@ from .snapshots import (
     label_time,
     latest_snapshot,
     latest_snapshot_path,
+    newest_label_value,
     read_latest_snapshot,
     read_snapshots,
+    snapshot_files,
     write_snapshot,
     write_snapshots,
 )
@@ -33,6 +35,8 @@ __all__ = [
     "prepare_partitions",
     "raw_pages",
     "read_latest_snapshot",
+    "newest_label_value",
+    "snapshot_files",
     "read_paged",
     "read_snapshots",
     "read_table",

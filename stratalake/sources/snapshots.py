@@ -36,6 +36,16 @@ JSON_TIME_OPTIONS = {
     "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
     "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
 }
+# Schema of Spark's binaryFile source: used to list snapshot files (one row per
+# file; no file is opened unless ``content`` is selected).
+FILE_SCHEMA = T.StructType(
+    [
+        T.StructField("path", T.StringType()),
+        T.StructField("modificationTime", T.TimestampType()),
+        T.StructField("length", T.LongType()),
+        T.StructField("content", T.BinaryType()),
+    ]
+)
 
 
 def current_label(now: datetime | None = None) -> str:
@@ -181,15 +191,40 @@ def read_latest_snapshot(
     return reader.format(fmt).load(path)
 
 
-def latest_snapshot(df: DataFrame, label_col: str = LABEL_COL) -> DataFrame:
+def snapshot_files(spark: SparkSession, base: str, label_col: str = LABEL_COL) -> DataFrame:
+    """One row per file under ``base`` with its ``label_col`` (directory metadata only)."""
+    return (
+        spark.read.format("binaryFile")
+        .schema(with_field(FILE_SCHEMA, label_col, "string"))
+        .load(base)
+        .select("path", label_col)
+    )
+
+
+def newest_label_value(labels: DataFrame, label_col: str = LABEL_COL) -> Column:
+    """Scalar subquery: the newest valid label in ``labels`` (ties: smallest name)."""
+    t = label_time(label_col)
+    return (
+        labels.select(label_col)
+        .where(t.isNotNull())
+        .orderBy(t.desc(), F.col(label_col).asc())
+        .limit(1)
+        .scalar()
+    )
+
+
+def latest_snapshot(df: DataFrame, label_col: str = LABEL_COL, *, base: str | None = None) -> DataFrame:
     """Rows whose label is the newest valid one, as a lazy DataFrame.
 
-    Two uncorrelated scalar subqueries (newest time, then the smallest label
-    at that time). When ``label_col`` is a partition column, Spark applies the
-    comparison as a runtime partition filter, so only the winning directory is
-    scanned by the outer query.
+    The newest label is one uncorrelated scalar subquery (newest time, ties to
+    the smallest name). When ``label_col`` is a partition column, Spark applies
+    the comparison as a runtime partition filter, so only the winning directory
+    is scanned by the outer query.
+
+    Pass ``base``, the folder ``df`` was read from, so the subquery runs over a
+    file listing of that folder (one row per file; no file is opened). Without
+    it, the subquery scans ``df``'s own rows. That is cheap for Parquet (row
+    counts come from footers) but reads every byte of every snapshot for JSON.
     """
-    labels = df.select(F.col(label_col).alias("_l")).where(label_time("_l").isNotNull())
-    newest = labels.select(F.max(label_time("_l"))).scalar()
-    winner = labels.where(label_time("_l") == newest).select(F.min("_l")).scalar()
-    return df.where(F.col(label_col) == winner)
+    labels = snapshot_files(df.sparkSession, base, label_col) if base else df
+    return df.where(F.col(label_col) == newest_label_value(labels, label_col))

@@ -23,19 +23,11 @@ from ..functions.text import NULL_LABEL
 from ..operators.quality import Check, VerificationError
 from ..plans.stages import EntityColumns, clean_entities, entity_checks, publish
 from ..sources.schema import with_field
-from ..sources.snapshots import LABEL_COL, LABEL_PY_FORMAT, LABEL_REGEX, label_time
+from ..sources.snapshots import FILE_SCHEMA, LABEL_COL, LABEL_PY_FORMAT, LABEL_REGEX, label_time
 
 log = logging.getLogger(__name__)
 
 MARKER = "_published_label"
-FILE_SCHEMA = T.StructType(
-    [
-        T.StructField("path", T.StringType()),
-        T.StructField("modificationTime", T.TimestampType()),
-        T.StructField("length", T.LongType()),
-        T.StructField("content", T.BinaryType()),
-    ]
-)
 
 
 def _published_label(spark: SparkSession, checkpoint: str) -> str | None:

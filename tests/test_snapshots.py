@@ -167,3 +167,26 @@ def test_listing_errors_propagate(spark, monkeypatch, err):
     monkeypatch.setattr(storage, "list_names", boom)
     with pytest.raises(type(err), match=str(err)):
         latest_snapshot_path(spark, "/any/base")
+
+
+def test_subquery_form_from_file_listing(spark, tmp_dir):
+    """With ``base`` the newest label comes from a file listing (no JSON is read);
+    same answer as scanning rows: invalid dates skipped, ties to the smallest name."""
+    import contextlib
+    import io
+
+    a = spark.createDataFrame([("1", "x", 1.0, 2.0)], SCHEMA)
+    for label in ("2024-01-02T00-00", "2024-01-03T00-00-backup", "2024-01-03T00-00", "2024-13-01T00-00"):
+        write_snapshot(a, tmp_dir, label)
+    df = read_snapshots(spark, tmp_dir, SCHEMA)
+    listed = latest_snapshot(df, base=tmp_dir)
+    scanned = latest_snapshot(df)
+    assert [r.dt_extraction for r in listed.collect()] == ["2024-01-03T00-00"]
+    assert [r.dt_extraction for r in scanned.collect()] == ["2024-01-03T00-00"]
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        listed.explain("formatted")
+    outer, subs = buf.getvalue().split("===== Subqueries =====")
+    assert "= Subquery subquery" in outer
+    assert "Scan binaryFile" in subs and "Scan json" not in subs
+    assert "ReadSchema: struct<>" in subs
