@@ -31,23 +31,41 @@ MARKER = "_published_label"
 
 
 def _published_label(spark: SparkSession, checkpoint: str) -> str | None:
+    """Label last published from ``checkpoint`` (a one-line file), or None."""
     from ..sources import storage
 
     path = f"{checkpoint.rstrip('/')}/{MARKER}"
     storage.recover_dir(spark, path)  # a crash while the marker was being replaced
     if not storage.exists(spark, path):
         return None
-    row = spark.read.schema("label string").json(path).first()
-    return row["label"] if row else None
+    fs, p = storage._fs(spark, path)
+    if fs.getFileStatus(p).isDirectory():  # marker written as a JSON folder by older versions
+        row = spark.read.schema("label string").json(path).first()
+        return row["label"] if row else None
+    ins = fs.open(p)
+    try:
+        text = spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(ins, "UTF-8")
+    finally:
+        ins.close()
+    return text.strip() or None
 
 
 def _mark_published(spark: SparkSession, checkpoint: str, label: str) -> None:
-    """Replace the marker by a staged copy and a swap, so it is never lost half-way."""
+    """Replace the marker by a staged copy and a swap, so it is never lost half-way.
+
+    The marker is one small file written through the Hadoop file system (no
+    Spark job).
+    """
     from ..sources import storage
 
     path = f"{checkpoint.rstrip('/')}/{MARKER}"
     staging = storage.sibling_path(path, "staging")
-    spark.createDataFrame([(label,)], "label string").coalesce(1).write.json(staging)
+    fs, p = storage._fs(spark, staging)
+    out = fs.create(p, True)
+    try:
+        out.write(bytearray(f"{label}\n".encode("utf-8")))
+    finally:
+        out.close()
     storage.replace_dir(spark, staging, path)
 
 

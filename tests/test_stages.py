@@ -243,3 +243,16 @@ def test_incremental_marker_survives_a_crash_while_replaced(spark, tmp_dir):
     write_snapshot(spark.createDataFrame(ROWS[:1], SCHEMA), bronze, "2023-12-31T00-00")
     assert incremental_silver(spark, bronze, silver, SCHEMA, ckpt, cols=COLS, checks=checks) == []
     assert sorted(r.id for r in read_table(spark, silver, SCHEMA).collect()) == ["b2", "c3", "d4"]
+
+
+def test_published_marker_file_and_legacy_folder(spark, tmp_dir):
+    from stratalake.streaming.incremental import MARKER, _mark_published, _published_label
+
+    assert _published_label(spark, tmp_dir) is None
+    _mark_published(spark, tmp_dir, "2024-01-02T00-00")
+    _mark_published(spark, tmp_dir, "2024-01-03T00-00")  # replaces, leaves nothing beside it
+    assert _published_label(spark, tmp_dir) == "2024-01-03T00-00"
+    assert sorted(n for n in os.listdir(tmp_dir) if not n.startswith(".")) == [MARKER]  # .crc: local FS
+    legacy = os.path.join(tmp_dir, "legacy")
+    spark.createDataFrame([("2024-01-01T00-00",)], "label string").write.json(os.path.join(legacy, MARKER))
+    assert _published_label(spark, legacy) == "2024-01-01T00-00"
