@@ -3,6 +3,7 @@
     python -m stratalake bronze --url https://host/v1/items --param by_state=ohio --bronze PATH
     python -m stratalake bronze --fetcher pkg.module:callable --bronze PATH
     python -m stratalake silver --bronze PATH --silver PATH --config tables.yaml --table venues
+    python -m stratalake silver ... --checkpoint PATH     # incremental: only new snapshots
     python -m stratalake gold   --silver PATH --gold PATH   --config tables.yaml --table venues \\
                                 --keys country,state,venue_type --alias venue_count
     python -m stratalake recover --path PATH [--stale-hours 24]
@@ -80,6 +81,9 @@ def parser() -> argparse.ArgumentParser:
             s.add_argument("--multiline", action="store_true",
                            help="bronze files are JSON arrays (one document per file)")
             s.add_argument("--filename", default=None, help="read only this file of the newest snapshot")
+            s.add_argument("--checkpoint", default=None,
+                           help="process only snapshots that are new since the last run "
+                                "(Structured Streaming, availableNow); its state lives here")
         else:
             s.add_argument("--gold", required=True)
             s.add_argument("--keys", default=None, help="comma-separated (default country,state,kind)")
@@ -112,9 +116,19 @@ def run(argv: list[str] | None = None, spark=None) -> int:
             storage.recover_dir(spark, a.path, stale_after_sec=a.stale_hours * 3600)
         elif a.stage == "silver":
             schema = load_schema(a.config, a.layer, a.table)
-            to_silver(spark, a.bronze, a.silver, schema, cols=_cols(a), mode=a.mode,
-                      empty_as=None if a.keep_empty_labels else "unknown",
-                      multiline=a.multiline, filename=a.filename)
+            empty_as = None if a.keep_empty_labels else "unknown"
+            if a.checkpoint:
+                if a.filename:
+                    raise ValueError("--filename cannot be combined with --checkpoint")
+                from ..streaming.incremental import incremental_silver
+
+                done = incremental_silver(spark, a.bronze, a.silver, schema, a.checkpoint,
+                                          cols=_cols(a), mode=a.mode, empty_as=empty_as,
+                                          multiline=a.multiline)
+                log.info("published snapshots: %s", done or "none new")
+            else:
+                to_silver(spark, a.bronze, a.silver, schema, cols=_cols(a), mode=a.mode,
+                          empty_as=empty_as, multiline=a.multiline, filename=a.filename)
         else:
             schema = load_schema(a.config, a.layer, a.table)
             c = _cols(a)

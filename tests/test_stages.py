@@ -256,3 +256,23 @@ def test_published_marker_file_and_legacy_folder(spark, tmp_dir):
     legacy = os.path.join(tmp_dir, "legacy")
     spark.createDataFrame([("2024-01-01T00-00",)], "label string").write.json(os.path.join(legacy, MARKER))
     assert _published_label(spark, legacy) == "2024-01-01T00-00"
+
+
+def test_command_line_incremental_silver(spark, tmp_dir):
+    import json
+
+    from stratalake.plans.jobs import run
+
+    cfg = {"silver": {"venues": {"fields": {f.name: f.dataType.simpleString() for f in SCHEMA.fields}}}}
+    cfg_path = os.path.join(tmp_dir, "tables.json")
+    with open(cfg_path, "w") as fh:
+        json.dump(cfg, fh)
+    bronze, silver, ckpt = (os.path.join(tmp_dir, n) for n in ("b", "s", "c"))
+    args = ["silver", "--bronze", bronze, "--silver", silver, "--config", cfg_path, "--table", "venues",
+            "--kind-col", "venue_type", "--checkpoint", ckpt]
+    write_snapshot(spark.createDataFrame(ROWS + [ROWS[0]], SCHEMA), bronze, "2024-01-01T00-00")
+    assert run(args, spark) == 2  # duplicate id: gate blocks, reported once
+    write_snapshot(spark.createDataFrame(ROWS[1:], SCHEMA), bronze, "2024-01-02T00-00")
+    assert run(args, spark) == 0
+    assert sorted(r.id for r in read_table(spark, silver, SCHEMA).collect()) == ["b2", "c3", "d4"]
+    assert run(args, spark) == 0  # nothing new
