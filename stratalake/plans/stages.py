@@ -174,8 +174,15 @@ def publish(
     spark = df.sparkSession
     storage.recover_dir(spark, path)  # finish or undo a swap a crashed run left behind
     df = prepare_partitions(df, partition_cols, empty_as) if partition_cols else df
+    if verify_on not in ("staged", "input"):
+        raise ValueError("verify_on must be 'staged' or 'input'")
     if not checks:
-        _write(df, path, partition_cols, empty_as, rebalance=rebalance)
+        if verify_on == "input":  # in place, as chosen for stores without atomic rename
+            _write(df, path, partition_cols, empty_as, rebalance=rebalance)
+        else:  # staged and swapped, so an interrupted write never leaves a partial table
+            staging = storage.sibling_path(path, "staging")
+            _write(df, staging, partition_cols, empty_as, rebalance=rebalance)
+            storage.replace_dir(spark, staging, path)
         return spark.createDataFrame([], REPORT_SCHEMA)
     if verify_on == "input":
         df = df.persist(StorageLevel.MEMORY_AND_DISK)
@@ -186,8 +193,6 @@ def publish(
         finally:
             df.unpersist()
         return report
-    if verify_on != "staged":
-        raise ValueError("verify_on must be 'staged' or 'input'")
     staging = storage.sibling_path(path, "staging")  # same file system as the target
     if _stored_as_written(df, partition_cols, empty_as):
         # Scan metrics are observed during the write itself; only uniqueness

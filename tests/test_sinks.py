@@ -184,3 +184,15 @@ def test_recover_with_glob_characters_in_the_name(spark, tmp_dir, frame):
     storage.recover_dir(spark, target)
     assert read_table(spark, target).count() == len(STATES)
     assert len(os.listdir(tmp_dir)) == 3  # the other table's leftover is not touched
+
+
+def test_publish_without_checks_is_staged_and_swapped(spark, tmp_dir, frame):
+    from stratalake.plans.stages import publish
+
+    target = os.path.join(tmp_dir, "t")
+    write_table(frame, target)
+    assert publish(frame.limit(2), target, [], partition_cols=["state"]).count() == 0
+    assert read_table(spark, target, SCHEMA).count() == 2
+    assert sorted(os.listdir(tmp_dir)) == ["t"]  # staging moved in, old copy removed
+    with pytest.raises(ValueError, match="verify_on"):
+        publish(frame, target, [], verify_on="nowhere")
