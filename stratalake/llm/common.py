@@ -142,3 +142,35 @@ def per_worker(key, make: Callable):
     if key not in kept:
         kept[key] = make()
     return kept[key]
+
+
+def map_texts(df: DataFrame, make: Callable, added: str) -> DataFrame:
+    """Replace the column ``text`` by columns computed from it, batch by batch.
+
+    ``make()`` runs once in each task and returns a function from a list of texts
+    (None for null) to one list per added column; all other columns pass unchanged.
+    Texts are handed over at most ``SLICE`` rows at a time.
+    """
+    from pyspark.sql.types import StructType
+
+    kept = [f for f in df.schema.fields if f.name != "text"]
+    new = StructType.fromDDL(added)
+
+    def run(batches: Iterator) -> Iterator:
+        import pyarrow as pa
+        from pyspark.sql.pandas.types import to_arrow_type
+
+        work = make()
+        types = [(f.name, to_arrow_type(f.dataType)) for f in new.fields]
+        for batch in batches:
+            for at in range(0, batch.num_rows, SLICE):
+                part = batch.slice(at, SLICE)
+                columns = [part.column(part.schema.get_field_index(f.name)) for f in kept]
+                made = work(part.column(part.schema.get_field_index("text")).to_pylist())
+                columns += [pa.array(v, t) for v, (_, t) in zip(made, types)]
+                yield pa.RecordBatch.from_arrays(columns, [f.name for f in kept] + [n for n, _ in types])
+
+    return df.mapInArrow(run, StructType(kept + new.fields))
+
+
+SLICE = 500

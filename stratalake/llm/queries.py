@@ -4,7 +4,17 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from .common import read_table
+from .common import read_table, remainder
+
+
+def q_op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .langid import FOLDS, identify, learn
+
+    docs = read_table(spark, sf_dir, "documents")
+    held = (remainder("doc_id", FOLDS) == 0).alias("held_out")
+    return identify(docs, learn(docs), keep=["doc_id", held]).select(
+        "doc_id", "held_out", "lang_pred", "score", "margin", "reliable"
+    )
 
 
 def q_op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -22,6 +32,7 @@ def q_op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_language_id": q_op1_language_id,
     "op2_mixing": q_op2_mixing,
     "op4_packing": q_op4_packing,
 }
