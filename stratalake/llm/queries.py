@@ -39,11 +39,20 @@ def q_op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score(docs, learn(docs, read_table(spark, sf_dir, "labels")), keep=["doc_id", held])
 
 
+def q_op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .toxicity import FOLDS, learn, score
+
+    docs = read_table(spark, sf_dir, "documents")
+    held = (remainder("doc_id", FOLDS) == 0).alias("held_out")
+    return score(docs, learn(docs, read_table(spark, sf_dir, "labels")), keep=["doc_id", held])
+
+
 QUERIES = {
     "op1_language_id": q_op1_language_id,
     "op2_mixing": q_op2_mixing,
     "op4_packing": q_op4_packing,
     "op7_quality": q_op7_quality,
+    "op10_toxicity": q_op10_toxicity,
 }
 
 ORACLE_SQL: dict[str, str] = {}
