@@ -39,6 +39,12 @@ def q_op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score(docs, learn(docs, read_table(spark, sf_dir, "labels")), keep=["doc_id", held])
 
 
+def q_op8_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .fingerprint import compare_neighbours
+
+    return compare_neighbours(read_table(spark, sf_dir, "documents"))
+
+
 def q_op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .toxicity import FOLDS, learn, score
 
@@ -52,6 +58,7 @@ QUERIES = {
     "op2_mixing": q_op2_mixing,
     "op4_packing": q_op4_packing,
     "op7_quality": q_op7_quality,
+    "op8_fingerprint": q_op8_fingerprint,
     "op10_toxicity": q_op10_toxicity,
 }
 
