@@ -45,6 +45,12 @@ def q_op8_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
     return compare_neighbours(read_table(spark, sf_dir, "documents"))
 
 
+def q_op9_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .jaccard import link_groups
+
+    return link_groups(read_table(spark, sf_dir, "documents"))
+
+
 def q_op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .toxicity import FOLDS, learn, score
 
@@ -59,6 +65,7 @@ QUERIES = {
     "op4_packing": q_op4_packing,
     "op7_quality": q_op7_quality,
     "op8_fingerprint": q_op8_fingerprint,
+    "op9_jaccard": q_op9_jaccard,
     "op10_toxicity": q_op10_toxicity,
 }
 
