@@ -122,8 +122,8 @@ def mix(
     u = (bits.cast("double") + 0.5) / F.lit(float(2**52))
     p = F.when(F.col("mass") > 0, F.col("room") * root / F.col("mass")).otherwise(0.0)
     odds = (F.col("u") / (1 - F.col("u"))) / (F.col("p") / (1 - F.col("p")))
-    # in (-1, 0): certain; in (0, 1): odds / (1 + odds)
-    rank = F.when(F.col("p") >= 1, F.col("u") - 1).when(F.col("p") <= 0, F.lit(1.0)).otherwise(odds / (1 + odds))
+    # in (-1, 0): certain; in (0, 1): odds / (1 + odds); in (1, 2): nothing to draw, only spread
+    rank = F.when(F.col("p") >= 1, F.col("u") - 1).when(F.col("p") <= 0, F.col("u") + 1).otherwise(odds / (1 + odds))
     rows = (
         base.join(per, F.col("source").eqNullSafe(F.col("s")))
         .drop("s")
