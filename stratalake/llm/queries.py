@@ -31,6 +31,12 @@ def q_op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(read_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def q_op6_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .scoring import score
+
+    return score(read_table(spark, sf_dir, "documents"))
+
+
 def q_op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .quality import FOLDS, learn, score
 
@@ -63,6 +69,7 @@ QUERIES = {
     "op1_language_id": q_op1_language_id,
     "op2_mixing": q_op2_mixing,
     "op4_packing": q_op4_packing,
+    "op6_lm_score": q_op6_lm_score,
     "op7_quality": q_op7_quality,
     "op8_fingerprint": q_op8_fingerprint,
     "op9_jaccard": q_op9_jaccard,
