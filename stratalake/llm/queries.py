@@ -31,6 +31,13 @@ def q_op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(read_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def q_op5_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .neighbours import search
+
+    vectors = read_table(spark, sf_dir, "embeddings")
+    return search(vectors, vectors.where("vec_id % 100 = 0"))
+
+
 def q_op6_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .scoring import score
 
@@ -69,6 +76,7 @@ QUERIES = {
     "op1_language_id": q_op1_language_id,
     "op2_mixing": q_op2_mixing,
     "op4_packing": q_op4_packing,
+    "op5_neighbours": q_op5_neighbours,
     "op6_lm_score": q_op6_lm_score,
     "op7_quality": q_op7_quality,
     "op8_fingerprint": q_op8_fingerprint,
