@@ -1,24 +1,62 @@
 """Corpus pipeline: documents -> packed training sequences, in stages.
 
-Each stage reads what the one before it wrote, works on all of it and drops or
-repeats documents; all but the last return the columns of ``documents``.
+Each stage works on all that the one before it kept and wrote, and drops or repeats
+documents; all but the last return the columns of ``documents``, extra ones included.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from stratalake.llm import jaccard, langid, mixing, packing
+from stratalake.llm import quality as quality_op
 from stratalake.llm.common import read_table, staged
-from stratalake.llm.mixing import mix
-from stratalake.llm.packing import pack
 
 
-def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+def _where(docs: DataFrame, judge: Callable[[DataFrame, str, list], DataFrame], stays: Column) -> DataFrame:
+    """Rows of ``docs`` that ``judge`` (frame, text column, columns to keep) lets stay.
+
+    Columns get plain names for the while, so that none clashes with what is added.
+    """
+    names = docs.columns
+    plain = [f"c{i}" for i in range(len(names))]
+    judged = judge(docs.toDF(*plain), plain[names.index("text")], plain)
+    return judged.where(stays).select(*plain).toDF(*names)
+
+
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality network rejects go (null and empty texts are judged, too)."""
+    weights = quality_op.learn(docs, read_table(spark, sf_dir, "labels"))
+    return _where(docs, lambda d, text, keep: quality_op.score(d, weights, text, keep), F.col("predicted") == 1)
+
+
+def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents in no language that is told apart clearly go, as do texts without letters."""
+    known = langid.learn(docs)
+    return _where(docs, lambda d, text, keep: langid.identify(d, known, text, keep), F.col("reliable"))
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of linked documents the one with the smallest id stays.
+
+    Of rows of one id one stays (the smallest text); rows without an id all stay.
+    """
+    groups = jaccard.link_groups(docs)
+    first = groups.where("doc_id = component_id").select("doc_id").distinct()
+    others = [F.col(c) for c in docs.columns if c != "doc_id" and docs.schema[c].dataType.typeName() != "map"]
+    one = Window.partitionBy("doc_id").orderBy("text", *others)
+    kept = docs.join(first, "doc_id", "left_semi").withColumn("_n_of_id", F.row_number().over(one))
+    return kept.where("_n_of_id = 1").select(*docs.columns).unionByName(docs.where(F.col("doc_id").isNull()))
+
+
+def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document as many times as the mix takes it (not at all: it goes)."""
-    key = F.coalesce(F.col("doc_id"), F.xxhash64("text"))
-    taken = mix(docs.select(key.alias("doc_id"), "text", "source"))
+    key = F.coalesce(F.col("doc_id").cast("long"), F.xxhash64("text"))
+    taken = mixing.mix(docs.select(key.alias("doc_id"), "text", "source"))
     copies = taken.groupBy(F.col("doc_id").alias("_key")).agg(F.max("copies").alias("_copies")).where("_copies > 0")
     return (
         docs.withColumn("_key", key)
@@ -28,16 +66,20 @@ def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     )
 
 
-def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return pack(docs, public_tokenizers.path("word_bpe_49k.json"))
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Packed pieces of all documents that are left."""
+    return packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"))
 
 
 STAGES = [
-    ("mixing", mixing),
-    ("packing", packing),
+    ("quality", quality),
+    ("language", language),
+    ("near_duplicates", near_duplicates),
+    ("mixing", mix),
+    ("packing", pack),
 ]
 
-#: Hashing, compression, networks and tokenizers are beyond SQL; tests/llm compares with brute force.
+#: Networks, compression and tokenizers are beyond SQL; tests/llm compares with plain Python.
 ORACLE_SQL = None
 
 

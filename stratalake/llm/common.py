@@ -144,16 +144,18 @@ def per_worker(key, make: Callable):
     return kept[key]
 
 
-def map_texts(df: DataFrame, make: Callable, added: str) -> DataFrame:
-    """Replace the column ``text`` by columns computed from it, batch by batch.
+def map_texts(df: DataFrame, text_col: str, keep: list | None, make: Callable, added: str) -> DataFrame:
+    """The ``keep`` columns, unchanged, and columns computed from the texts batch by batch.
 
     ``make()`` runs once in each task and returns a function from a list of texts
-    (None for null) to one list per added column; all other columns pass unchanged.
-    Texts are handed over at most ``SLICE`` rows at a time.
+    (None for null) to one list per added column. Texts are handed over at most
+    ``SLICE`` rows at a time; the text column itself is returned only if kept.
     """
     from pyspark.sql.types import StructType
 
-    kept = [f for f in df.schema.fields if f.name != "text"]
+    kept = df.select(*(keep or []))
+    rows = kept if text_col in kept.columns else df.select(*(keep or []), text_col)
+    names = kept.columns
     new = StructType.fromDDL(added)
 
     def run(batches: Iterator) -> Iterator:
@@ -165,12 +167,12 @@ def map_texts(df: DataFrame, make: Callable, added: str) -> DataFrame:
         for batch in batches:
             for at in range(0, batch.num_rows, SLICE):
                 part = batch.slice(at, SLICE)
-                columns = [part.column(part.schema.get_field_index(f.name)) for f in kept]
-                made = work(part.column(part.schema.get_field_index("text")).to_pylist())
+                columns = [part.column(part.schema.get_field_index(n)) for n in names]
+                made = work(part.column(part.schema.get_field_index(text_col)).to_pylist())
                 columns += [pa.array(v, t) for v, (_, t) in zip(made, types)]
-                yield pa.RecordBatch.from_arrays(columns, [f.name for f in kept] + [n for n, _ in types])
+                yield pa.RecordBatch.from_arrays(columns, names + [n for n, _ in types])
 
-    return df.mapInArrow(run, StructType(kept + new.fields))
+    return rows.mapInArrow(run, StructType(kept.schema.fields + new.fields))
 
 
 SLICE = 500

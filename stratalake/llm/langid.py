@@ -21,7 +21,7 @@ SAMPLE_TEXTS = 256  # per language
 SLICE_CHARS = 400  # of each sampled text
 CHUNK = 1024  # bytes compressed together
 WINDOW_LOG, SEARCH_LOG, MIN_MATCH = 17, 6, 4  # greedy matches of 4 letters or more tell languages apart best
-MIN_MARGIN = 0.02  # of the second smallest total
+MIN_MARGIN = 0.01  # of the second smallest total
 SHARPNESS = 30.0
 UNKNOWN = "und"
 
@@ -103,5 +103,4 @@ def identify(
     when nothing was learned; equal sizes go to the language first in order. Whole
     texts are read, however long. An empty table gives no rows.
     """
-    d = docs.select(*(keep or []), F.col(text_col).alias("text"))
-    return map_texts(d, lambda: classifier(dictionaries), "lang_pred string, score double, margin double, reliable boolean")
+    return map_texts(docs, text_col, keep, lambda: classifier(dictionaries), "lang_pred string, score double, margin double, reliable boolean")

@@ -253,7 +253,6 @@ def score(docs: DataFrame, weights: dict, text_col: str = "text", keep: list | N
     Whole texts are read, in blocks, however long. A null or empty text is scored as
     no bytes. An empty table gives no rows.
     """
-    d = docs.select(*(keep or []), F.col(text_col).alias("text"))
 
     def make():
         import numpy as np
@@ -267,4 +266,4 @@ def score(docs: DataFrame, weights: dict, text_col: str = "text", keep: list | N
 
         return run
 
-    return map_texts(d, make, "score double, predicted int")
+    return map_texts(docs, text_col, keep, make, "score double, predicted int")

@@ -177,7 +177,6 @@ def score(docs: DataFrame, learned, text_col: str = "text", keep: list | None =
     A null text counts as empty; a text without words has no evidence and gets the
     score of a text of difference 0. Whole texts are read. An empty table gives no rows.
     """
-    d = docs.select(*(keep or []), F.col(text_col).alias("text"))
     model, weights = learned
 
     def make():
@@ -194,4 +193,4 @@ def score(docs: DataFrame, learned, text_col: str = "text", keep: list | None =
 
         return lambda texts: [list(c) for c in zip(*map(one, texts))]
 
-    return map_texts(d, make, "score double, predicted int")
+    return map_texts(docs, text_col, keep, make, "score double, predicted int")
