@@ -25,88 +25,101 @@ RANGES_A_PARTITION = 4  # ranges of ids for each shuffle partition
 MOST_RANGES = 2000
 
 
+#: A long holds the upper 40 bits of a hash and, below, a position modulo 2**24; so sorting
+#: plain longs keeps both together. The upper 6 bits (signed) are the bin: BINS = 64.
+AT_BITS = 24
+AT = (1 << AT_BITS) - 1
+
+
 def _bin(x: Column) -> Column:
-    return F.shiftrightunsigned(x, 58)  # the upper 6 bits: BINS = 64
+    return F.shiftright(x, 58)
+
+
+def _let(value: Column, body) -> Column:
+    """``body(value)`` with ``value`` computed once."""
+    return F.transform(F.array(value), body)[0]
+
+
+def _with(hash_: Column, at: Column) -> Column:
+    return hash_.bitwiseAND(F.lit(~AT)).bitwiseOR(at)
+
+
+def _get(array: Column, i: Column) -> Column:
+    return F.get(array, i)
 
 
 def signature(text: Column) -> Column:
     """array<bigint>, one tuple hash per filled bin in bin order; its upper 6 bits are the bin.
 
     A text of fewer than ``K`` pieces has one k-mer, all of it; one without pieces
-    (null, empty, white space) the one k-mer ''.
+    (null, empty, white space) the one k-mer ''. K-mers are told apart by 40 bits.
     """
     pieces = F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(r"[^\x20\x09-\x0D]{1,%d}" % PIECE), F.lit(0))
-    return F.transform(F.array(pieces), _of_pieces)[0]
+    return _let(pieces, lambda p: _let(_kmers(p), lambda s: _let(F.sort_array(_numbered(s)), _tuples)))
 
 
-def _let(value: Column, body) -> Column:
-    """``body(value)`` with ``value`` computed once."""
-    return F.transform(F.array(value), body)[0]
-
-
-def _of_pieces(p: Column) -> Column:
-    # hashes of pieces, then of k-mers
+def _kmers(p: Column) -> Column:
+    """Hashes of k-mers with their positions, sorted: equal k-mers lie together, first occurrence first."""
     n = F.size(p)
-    kmers = F.when(n < K, F.array(F.xxhash64(F.array_join(p, " ")))).otherwise(
-        _let(
-            F.transform(p, lambda x: F.xxhash64(x)),
-            lambda h: F.transform(
-                F.sequence(F.lit(1), n - (K - 1)),
-                lambda i: F.xxhash64(*[F.element_at(h, (i + j).cast("int")) for j in range(K)]),
-            ),
-        )
+    long_enough = _let(
+        F.transform(p, lambda x: F.xxhash64(x)),
+        lambda h: F.transform(
+            F.sequence(F.lit(0), n - K),
+            lambda i: _with(F.xxhash64(*[_get(h, i + j if j else i) for j in range(K)]), i.bitwiseAND(F.lit(AT))),
+        ),
     )
-    # (k-mer, position) in k-mer order; equal ones lie together, first occurrence first
-    placed = F.array_sort(F.transform(kmers, lambda k, i: F.struct(k.alias("k"), i.alias("at"))))
-    return _let(placed, _of_sorted)
+    only = F.array(_with(F.xxhash64(F.array_join(p, " ")), F.lit(0)))
+    return F.sort_array(F.when(n < K, only).otherwise(long_enough))
 
 
-def _of_sorted(s: Column) -> Column:
+def _numbered(s: Column) -> Column:
+    """Hashes of (k-mer, number among its equals) with their positions."""
     n = F.size(s)
-    at = lambda i: F.get(s, i.cast("int"))
-    # where a run of equal k-mers begins, and one past the end
-    starts = F.concat(
-        F.filter(F.sequence(F.lit(0), n - 1), lambda i: (i == 0) | (at(i)["k"] != at(i - 1)["k"])), F.array(n)
-    )
-    numbered = _let(
-        starts,
-        lambda b: F.flatten(
-            F.transform(
-                F.slice(b, 1, F.size(b) - 1),
-                lambda lo, j: F.transform(
-                    F.sequence(F.lit(0), F.get(b, (j + 1).cast("int")) - lo - 1),
-                    lambda o: F.struct(F.xxhash64(at(lo)["k"], o).alias("v"), at(lo + o)["at"].alias("at")),
-                ),
+    kmer = lambda x: F.shiftright(x, AT_BITS)
+    first = F.filter(F.sequence(F.lit(0), n - 1), lambda i: (i == 0) | (kmer(_get(s, i)) != kmer(_get(s, i - 1))))
+    number = lambda x, o: _with(F.xxhash64(kmer(x), o), x.bitwiseAND(F.lit(AT)))
+    # without repeats, the usual case of short texts, every number is 0
+    return _let(
+        first,
+        lambda b: F.when(F.size(b) == n, F.transform(s, lambda x: number(x, F.lit(0)))).otherwise(
+            F.flatten(
+                F.transform(
+                    b,
+                    lambda lo, j: _let(
+                        F.coalesce(_get(b, j + 1), n) - lo,
+                        lambda times: F.when(times == 1, F.array(number(_get(s, lo), F.lit(0)))).otherwise(
+                            F.transform(F.slice(s, lo + 1, times), number)
+                        ),
+                    ),
+                )
             )
         ),
     )
-    # sorted by unsigned hash, so bins lie together with their smallest first
-    flipped = F.transform(
-        numbered, lambda x: F.struct(x["v"].bitwiseXOR(F.lit(-(2**63))).alias("v"), x["at"].alias("at"))
-    )
-    return _let(F.array_sort(flipped), _of_hashed)
 
 
-def _of_hashed(v: Column) -> Column:
-    of = lambda a, i: F.get(a, i.cast("int"))
-    bin_of = lambda x: _bin(x["v"].bitwiseXOR(F.lit(-(2**63))))
-    small = F.filter(v, lambda x, i: (i < L) | (bin_of(x) != bin_of(of(v, i - L))))
+def _tuples(v: Column) -> Column:
+    """From sorted hashes: in every bin the ``L`` smallest, in text order, hashed together."""
+    small = F.filter(v, lambda x, i: (i < L) | (_bin(x) != _bin(_get(v, i - L))))
 
-    def tuples(s: Column) -> Column:
+    def of_bins(s: Column) -> Column:
         heads = F.filter(
-            F.sequence(F.lit(0), F.size(s) - 1), lambda i: (i == 0) | (bin_of(of(s, i)) != bin_of(of(s, i - 1)))
+            F.sequence(F.lit(0), F.size(s) - 1), lambda i: (i == 0) | (_bin(_get(s, i)) != _bin(_get(s, i - 1)))
         )
 
         def one(i: Column) -> Column:
-            b = bin_of(of(s, i))
-            chosen = F.filter(F.slice(s, i.cast("int") + 1, L), lambda x: bin_of(x) == b)
-            ordered = F.array_sort(F.transform(chosen, lambda x: F.struct(x["at"].alias("at"), x["v"].alias("v"))))
-            tuple_hash = F.xxhash64(F.transform(ordered, lambda x: x["v"]))
-            return F.shiftleft(b, 58).bitwiseOR(F.shiftrightunsigned(tuple_hash, 6))
+            chosen = F.filter(F.slice(s, i + 1, L), lambda x: _bin(x) == _bin(_get(s, i)))
+            # position in the upper bits orders them by text; rotated, a long stays unique
+            ordered = F.sort_array(
+                F.transform(
+                    chosen, lambda x: F.shiftleft(x, 64 - AT_BITS).bitwiseOR(F.shiftrightunsigned(x, AT_BITS))
+                )
+            )
+            tuple_hash = F.xxhash64(F.transform(ordered, lambda x: x.bitwiseAND(F.lit((1 << (64 - AT_BITS)) - 1))))
+            return F.shiftleft(_bin(_get(s, i)), 58).bitwiseOR(F.shiftrightunsigned(tuple_hash, 6))
 
         return F.transform(heads, one)
 
-    return _let(small, tuples)
+    return _let(small, of_bins)
 
 
 def likeness(a: Column, b: Column) -> Column:
