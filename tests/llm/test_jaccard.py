@@ -1,0 +1,130 @@
+"""Linked groups against brute force, with tiles small enough to take every path."""
+
+import random
+import re
+from collections import defaultdict
+
+import numpy as np
+import pytest
+
+from stratalake.llm import jaccard
+
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+LOWER = {i: i + 32 for i in range(65, 91)}
+
+
+def shingles(text, k=4):
+    w = WORD.findall((text or "").translate(LOWER))
+    return {tuple(w[i : i + k]) for i in range(len(w) - k + 1)} if len(w) >= k else {tuple(w)} if w else set()
+
+
+def brute(rows, percent=85):
+    sets = [(i, shingles(t)) for i, t in rows]
+    parent = {i: i for i, _ in sets if i is not None}
+
+    def find(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    known = [(i, s) for i, s in sets if i is not None and s]
+    for n, (i, a) in enumerate(known):
+        for j, b in known[:n]:
+            both = len(a & b)
+            if 100 * both >= percent * (len(a) + len(b) - both):
+                x, y = sorted((find(i), find(j)))
+                parent[y] = x
+    return sorted(((i, len(s), None if i is None else find(i)) for i, s in sets), key=repr)
+
+
+def run(spark, rows, **kw):
+    df = spark.createDataFrame([(i, t, 1) for i, t in rows], "doc_id long, text string, n long").repartition(5)
+    return sorted((tuple(r) for r in jaccard.link_groups(df, **kw).collect()), key=repr)
+
+
+def variants(r, words, count, edits):
+    out = []
+    for _ in range(count):
+        w = list(words)
+        for _ in range(r.randrange(edits + 1)):
+            at = r.randrange(len(w))
+            if r.random() < 0.5:
+                w[at] = f"e{r.randrange(1000)}"
+            else:
+                w[at : at + 1] = []
+        out.append(" ".join(w))
+    return out
+
+
+def corpus(seed):
+    r = random.Random(seed)
+    texts = []
+    for n in (1, 2, 3, 4, 5, 7, 12, 30, 30, 80, 200, 400):
+        base = [f"w{r.randrange(3000)}" for _ in range(n)]
+        texts += variants(r, base, 9, max(1, n // 16))
+    passage = " ".join(f"p{i}" for i in range(50))
+    texts += [passage + " " + " ".join(f"x{r.randrange(9999)}" for _ in range(r.randrange(0, 60))) for _ in range(20)]
+    texts += ["a b c d e"] * 12 + [None, "", "  ", "A B c D e", "é É"]
+    r.shuffle(texts)
+    return [(i * 3 - 60, t) for i, t in enumerate(texts)] + [(None, "a b c d e"), (None, None), (0, "q w e r t y"), (0, "z u i o p")]
+
+
+@pytest.mark.parametrize("tile", [4, 512])
+def test_against_brute_force(spark, tile):
+    rows = corpus(tile)
+    assert run(spark, rows, tile=tile) == brute(rows)
+
+
+def test_small_tasks_memory_changes_nothing(spark, monkeypatch):
+    monkeypatch.setattr(jaccard, "FLUSH_KEYS", 50)
+    monkeypatch.setattr(jaccard, "TEXTS", 3)
+    rows = corpus(7)
+    assert run(spark, rows, tile=3) == brute(rows)
+
+
+def test_empty_table(spark):
+    assert run(spark, []) == []
+    assert run(spark, [(1, None)]) == [(1, 0, 1)]
+
+
+def test_chain_of_near_copies(spark):
+    # each links with the next only; one group, over many tiles
+    words = [f"w{i}" for i in range(100)]
+    rows = [(i, " ".join(words[i * 3 :] + [f"t{j}" for j in range(i * 3)])) for i in range(30)]
+    assert run(spark, rows, tile=4) == brute(rows)
+    assert len({c for *_, c in run(spark, rows, tile=4)}) == 1
+
+
+def test_linked_sets_share_a_key():
+    r = random.Random(5)
+    bands = jaccard.Bands(85)
+    pool = np.array([r.getrandbits(64) for _ in range(5000)], np.uint64)
+    for _ in range(1500):
+        n = r.choice([1, 2, 5, 6, 7, 9, 13, 18, 19, 28, 40, 63, 100, 300])
+        a = np.array(r.sample(list(pool), n), np.uint64)
+        b = a[r.randrange(n // 7 + 1) :]
+        b = np.concatenate((b, np.array([r.getrandbits(64) for _ in range(r.randrange(n // 8 + 1))], np.uint64)))
+        both = len(np.intersect1d(a, b))
+        if len(b) and 100 * both >= 85 * (len(a) + len(b) - both):
+            keys = [set(np.concatenate(bands.keys(np.unique(x))).tolist()) for x in (a, b)]
+            assert keys[0] & keys[1]
+
+
+def test_bitmaps_bound_the_overlap():
+    r = random.Random(6)
+    texts = variants(r, [f"w{i}" for i in range(60)], 40, 12)
+    tile = jaccard.Tile(texts, 4, 85)
+    every = np.arange(len(texts))
+    for i in every:
+        allowed = set(tile.candidates(i, every).tolist())
+        assert {int(j) for j in every if tile.linked(i, j)} <= allowed
+
+
+def test_components_hub_and_cycle(spark):
+    from stratalake.llm.common import components
+
+    edges = [(100, i) for i in range(50)] + [(i, i + 1) for i in range(200, 240)] + [(240, 200), (7, 7), (300, 300)]
+    got = dict(map(tuple, components(spark.createDataFrame(edges, "a long, b long")).collect()))
+    want = defaultdict(int)
+    want.update({i: 0 for i in [*range(50), 100]} | {i: 200 for i in range(200, 241)})
+    assert got == dict(want)

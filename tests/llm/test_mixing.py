@@ -1,0 +1,96 @@
+"""Mixing against plain Python: targets by repeated resharing, the draw by sorting."""
+
+import hashlib
+import math
+import random
+import re
+
+import pytest
+
+from stratalake.llm import mixing
+from stratalake.llm.common import read_table
+
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+SCHEMA = "doc_id long, text string, source string, target string, size string"
+
+
+def brute(rows):
+    docs = [(i, s, len(WORD.findall(t or ""))) for i, t, s in rows]
+    sources = sorted({s for _, s, _ in docs}, key=lambda s: (s is None, (s or "").encode()))
+    size = {s: sum(n for _, x, n in docs if x == s) for s in sources}
+    weight = {s: (3, 1, 2)[k % 3] for k, s in enumerate(sources)}
+    capped, budget = set(), 1.5 * sum(size.values())
+    while True:  # reshare until none is above twice its size
+        free = [s for s in sources if s not in capped]
+        left = budget - sum(2 * size[s] for s in capped)
+        target = {s: 2.0 * size[s] if s in capped else weight[s] * left / sum(weight[x] for x in free) for s in sources}
+        over = {s for s in free if target[s] >= 2 * size[s]}
+        if not over:
+            break
+        capped |= over
+        if len(capped) == len(sources):
+            target = {s: 2.0 * size[s] for s in sources}
+            break
+    out = []
+    for s in sources:
+        own = [(i, n) for i, x, n in docs if x == s]
+        whole = math.floor(target[s] / size[s] + 1e-12) if size[s] else 0
+        room = math.floor(target[s] + 1e-9) - whole * size[s]
+        mass = sum(n * math.sqrt(n) for _, n in own)
+
+        def rank(i, n):
+            u = (int(hashlib.md5(f"mix{'' if i is None else i}".encode()).hexdigest()[:13], 16) + 0.5) / 2**52
+            p = room * math.sqrt(n) / mass if mass else 0
+            if p >= 1:
+                return u - 1
+            if p <= 0:
+                return u + 1
+            odds = (u / (1 - u)) / (p / (1 - p))
+            return odds / (1 + odds)
+
+        order = sorted(range(len(own)), key=lambda k: (rank(*own[k]), own[k][0] is not None, own[k][0] or 0, own[k][1]))
+        extra = set()
+        for _ in range(mixing.PASSES):
+            used = 0
+            for k in [k for k in order if k not in extra and 0 < own[k][1] <= room]:
+                if used + own[k][1] > room:
+                    break
+                used += own[k][1]
+                extra.add(k)
+            room -= used
+        out += [(i, n, size[s], round(target[s], 6), (whole + (k in extra)) * n, s) for k, (i, n) in enumerate(own)]
+    return sorted(out, key=repr)
+
+
+def run(spark, rows):
+    df = spark.createDataFrame([(*r, "x", "y") for r in rows], SCHEMA)
+    got = mixing.mix(df).collect()
+    return sorted(
+        ((r["doc_id"], r["size"], r["source_size"], round(r["target"], 6), r["taken"], r["source"]) for r in got), key=repr
+    )
+
+
+def test_against_brute_force(spark):
+    r = random.Random(4)
+    rows = [(i, " ".join("w" * r.randint(1, 3) for _ in range(int(r.paretovariate(1)))), f"s{min(int(r.expovariate(0.5)), 6)}") for i in range(400)]
+    rows += [(1000, None, "s0"), (1001, "", "s1"), (1002, "a b c", None), (None, "d e", "s2"), (1003, " \x1f ", "é")]
+    assert run(spark, rows) == brute(rows)
+
+
+def test_repeated_rows_and_empty_table(spark):
+    rows = [(1, "a b c", "x")] * 5 + [(2, "a", "y")] * 2
+    got = run(spark, rows)
+    assert len(got) == 7 and all(t <= 2 * n for _, n, _, _, t, _ in got)
+    assert run(spark, []) == []
+    assert all(t == 0 for *_, t, _ in run(spark, [(1, "", "a"), (2, None, None)]))
+
+
+@pytest.mark.parametrize("sf", ["sf0.01"])
+def test_comes_near_targets(spark, sf):
+    docs = read_table(spark, f"/root/testdata/{sf}", "documents")
+    got = mixing.mix(docs).collect()
+    assert sorted(map(str, got)) == sorted(map(str, mixing.mix(docs).collect()))  # reruns agree
+    for s in {r["source"] for r in got}:
+        own = [r for r in got if r["source"] == s]
+        assert abs(sum(r["taken"] for r in own) - own[0]["target"]) <= 0.01 * own[0]["target"] + 1
+        assert all(r["taken"] <= 2 * r["size"] for r in own)

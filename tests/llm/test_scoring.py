@@ -1,0 +1,98 @@
+"""LM scoring against plain counting; the mixture against its own formula."""
+
+import math
+import random
+import re
+import zlib
+from collections import Counter
+
+import numpy as np
+
+from stratalake.llm import scoring
+from stratalake.llm.common import read_table
+
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+LOWER = {i: i + 32 for i in range(65, 91)}
+
+
+def tokens(text):
+    return [*WORD.findall((text or "").translate(LOWER)), None]
+
+
+def crc(i):
+    return zlib.crc32(b"" if i is None else str(i).encode())
+
+
+def run(spark, rows, **kw):
+    df = spark.createDataFrame([(i, t, "x") for i, t in rows], "doc_id long, text string, score string").repartition(3)
+    return scoring.score(df, **kw).collect()
+
+
+def rows_of(seed):
+    r = random.Random(seed)
+    words = ["the", "The", "of", "a", "é", "É"] + [f"w{i}" for i in range(60)]
+    rows = [(i, " ".join(r.choice(words[: r.choice((4, 70))]) for _ in range(r.randrange(40)))) for i in range(300)]
+    return rows + [(900, None), (901, ""), (902, "zz " * 3000), (None, "the of"), (5, "the the"), (5, "the the")]
+
+
+def test_counts_and_base(spark):
+    rows = rows_of(1)
+    c = Counter(w for i, t in rows if crc(i) % 10 for w in tokens(t))
+    n, v = sum(c.values()), len(c)
+    want = sorted(
+        (str(i), crc(i) % 10 == 0, len(w), sum(c[x] > 0 for x in w), n, round(sum(math.log10((c[x] + 0.1) / (n + 0.1 * (v + 1))) for x in w), 6))
+        for i, t in rows
+        for w in [tokens(t)]
+    )
+    got = run(spark, rows)
+    assert sorted((str(r[0]), *r[1:5], round(r[5], 6)) for r in got) == want
+    assert all(r["score"] <= 0 and math.isfinite(r["score"]) for r in got)
+
+
+def test_model_is_the_mixture(spark, monkeypatch):
+    rows = rows_of(2)
+    fixed = np.tile([0.1, 0.5, 0.4], (scoring.CONTEXTS, 1))
+    monkeypatch.setattr(scoring, "weights", lambda cells: fixed)
+    c, pairs, n = Counter(), Counter(), 0
+    for i, t in rows:
+        if crc(i) % 10:
+            w = ["begin", *tokens(t)]
+            c.update(w)
+            pairs.update(zip(w, w[1:]))
+            n += len(w) - 1
+    v = len(c) - 1
+
+    def model(text):
+        w = ["begin", *tokens(text)]
+        return sum(
+            math.log10(0.1 / (v + 1) + 0.5 * c[y] / n + (0.4 * pairs[x, y] / c[x] if c[x] else 0)) for x, y in zip(w, w[1:])
+        )
+
+    want = sorted((str(i), round(model(t), 6)) for i, t in rows)
+    for size in (scoring.BLOCK_TOKENS, 50):  # the size of blocks changes nothing
+        assert sorted((str(r["doc_id"]), round(r["score"], 6)) for r in run(spark, rows, block_tokens=size)) == want
+
+
+def test_weights_are_learned():
+    cell = lambda b, one, two: (b * 4096 + one + 2048) * 4096 + two + 2048
+    w = scoring.weights([(cell(3, 8, 40), 1000), (cell(1, 8, -999), 1000), (cell(0, -999, -999), 500)])
+    assert np.allclose(w.sum(1), 1)
+    assert w[3, 2] > 0.9 and w[1, 1] > 0.8 and w[0, 0] > 0.8
+    assert scoring.weights([]).shape == (scoring.CONTEXTS, 3)
+
+
+def test_held_out_texts_score_better_than_base(spark):
+    got = [r for r in scoring.score(read_table(spark, "/root/testdata/sf0.01", "documents")).collect() if r["held_out"]]
+    assert sum(r["score"] for r in got) > 0.85 * sum(r["base_score"] for r in got)
+
+
+def test_empty_table_and_no_training(spark):
+    assert run(spark, []) == []
+    held = next(i for i in range(1000) if crc(i) % 10 == 0)
+    (r,) = run(spark, [(held, "a b")])
+    assert r["train_tokens"] == 0 and r["n_known"] == 0 and math.isfinite(r["score"]) and r["n_tokens"] == 3
+
+
+def test_numbers_round_trip():
+    for v in ([], [0], [1, 2**63, 255, 256], list(range(1000))):
+        assert scoring._of_numbers(scoring._numbers(np.array(v, np.uint64))).tolist() == v

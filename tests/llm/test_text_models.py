@@ -1,0 +1,122 @@
+"""Language ID, quality and toxicity: held-out accuracy, and what odd rows give."""
+
+import random
+import zlib
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from stratalake.llm import langid, quality, toxicity
+from stratalake.llm.common import read_table
+
+SF = "/root/testdata/sf0.01"
+ODD = [None, "", " \n\t ", "12 34 !!", "é", "a", "x" * 300_000, "word " * 60_000, "a\x00b"]
+
+
+def odd_rows(spark):
+    rows = [(i, t, None, "s") for i, t in enumerate(ODD)] + [(None, "the and of", "en", None), (1, "", None, "s"), (1, "", None, "s")]
+    return spark.createDataFrame(rows, "doc_id long, text string, score string, predicted string")
+
+
+def held_out(i):
+    return zlib.crc32(str(i).encode()) % 5 == 0
+
+
+@pytest.fixture(scope="module")
+def docs(spark):
+    return read_table(spark, SF, "documents")
+
+
+def test_language_held_out(spark, docs):
+    out = langid.identify(docs, langid.learn(docs), keep=["doc_id", "lang"]).collect()
+    mine = [r for r in out if held_out(r["doc_id"])]
+    assert len(out) == docs.count() and len(mine) > 100
+    assert np.mean([r["lang_pred"] == r["lang"] for r in mine]) >= 0.97
+    assert all(0 <= r["score"] <= 1 for r in out)
+
+
+def test_language_odd_rows(spark, docs):
+    known = langid.learn(docs)
+    odd = odd_rows(spark)
+    out = langid.identify(odd, known, keep=["doc_id", F.col("text").alias("t")]).collect()
+    assert len(out) == odd.count()
+    for r in out:
+        letters = r["t"] is not None and any(map(str.isalpha, r["t"]))
+        assert (r["lang_pred"] == "und") == (not letters)
+        assert letters or (r["score"] == 0 and not r["reliable"])
+    assert langid.identify(odd.limit(0), known).count() == 0
+    # nothing to learn from
+    assert langid.learn(docs.withColumn("lang", F.lit(None).cast("string"))) == {}
+    assert {r["lang_pred"] for r in langid.identify(odd, {}).collect()} == {"und"}
+
+
+def test_language_margin():
+    d = {"a": b"lorem ipsum dolor sit amet consectetur " * 20, "b": b"zwolf boxkampfer jagen viktor quer uber " * 20}
+    run = langid.classifier(d)
+    lang, score, margin, ok = run(["Lorem ipsum dolor sit amet", "qqq"])
+    assert lang[0] == "a" and ok[0] and score[0] > 0.9
+    assert not ok[1] and margin[1] < langid.MIN_MARGIN  # same size with either: rejected
+
+
+def test_quality_held_out(spark, docs):
+    labels = read_table(spark, SF, "labels")
+    weights = quality.learn(docs, labels, most=400)
+    out = quality.score(docs.join(labels, "doc_id"), weights, keep=["doc_id", F.col("quality").alias("y")]).collect()
+    mine = [r for r in out if held_out(r["doc_id"])]
+    assert np.mean([r["predicted"] == r["y"] for r in mine]) >= 0.9
+    odd = odd_rows(spark)
+    got = quality.score(odd, weights, keep=["doc_id"]).collect()
+    assert len(got) == odd.count() and all(0 <= r["score"] <= 1 for r in got)
+    assert quality.score(odd.limit(0), weights).count() == 0
+
+
+def test_quality_long_text_in_blocks(monkeypatch):
+    r = random.Random(2)
+    text = bytes(r.choice(b"abcdef \n") for _ in range(5003))
+    net = quality.Network()
+    whole = net.logits([text, b"", b"abc", text[:37]])
+    monkeypatch.setattr(quality, "BLOCK", 400)
+    assert np.allclose(net.logits([text, b"", b"abc", text[:37]]), whole, atol=1e-5)
+
+
+def test_quality_without_labels(spark, docs):
+    labels = spark.createDataFrame([(1, None, None)], "doc_id long, quality int, toxic int")
+    weights = quality.learn(docs, labels)
+    assert {round(r["score"], 6) for r in quality.score(docs.limit(3), weights).collect()} == {0.5}
+
+
+def test_toxicity_held_out(spark):
+    sf = "/root/testdata/sf0.1"
+    docs, labels = read_table(spark, sf, "documents"), read_table(spark, sf, "labels")
+    learned = toxicity.learn(docs, labels)
+    out = toxicity.score(docs.join(labels, "doc_id"), learned, keep=["doc_id", "toxic"]).collect()
+    mine = [r for r in out if held_out(r["doc_id"])]
+    toxic = [r["predicted"] for r in mine if r["toxic"] == 1]
+    clean = [r["predicted"] for r in mine if r["toxic"] == 0]
+    assert np.mean(toxic) >= 0.85 and np.mean(clean) <= 0.01
+    odd = odd_rows(spark)
+    got = toxicity.score(odd, learned, keep=["doc_id"]).collect()
+    assert len(got) == odd.count() and all(0 <= r["score"] <= 1 and r["predicted"] == 0 for r in got)
+
+
+def test_toxicity_copies_are_no_evidence():
+    r = random.Random(1)
+    words = [f"w{i}" for i in range(200)]
+    base = [[r.choice(words) for _ in range(60)] for _ in range(300)]
+    copied = [f"c{i}" for i in range(50)]
+    toxic = [t + copied for t in base[:100]]  # one passage in every toxic text
+    for t in toxic[:100]:
+        t.insert(r.randrange(len(t)), "slur")
+    names: dict = {}
+    seqs = [np.array([names.setdefault(w, len(names)) for w in t]) for t in toxic + base[100:]]
+    model = toxicity.Model(seqs, [1] * 100 + [0] * 200, list(names))
+    assert model.words["slur"] > 1
+    assert not [w for w in copied[1:] if w in model.words]
+    assert model.features(["slur", *words])[1] > model.features(words)[1]
+
+
+def test_toxicity_without_labels(spark, docs):
+    labels = spark.createDataFrame([], "doc_id long, quality int, toxic int")
+    learned = toxicity.learn(docs, labels)
+    assert {r["score"] for r in toxicity.score(docs.limit(3), learned).collect()} == {0.5}
