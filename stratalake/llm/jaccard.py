@@ -3,8 +3,9 @@
 1. Every text becomes the set of its distinct word shingles (64-bit hashes). Sizes are
    cut into bands. Two linked sets differ in so few shingles that, if a band's hash
    range is cut into one segment more than that, some segment is the same in both
-   (pigeonhole): its content is a key, and linked sets share a key. Sets near a band's
-   end also make the keys of the next band. Keys met twice within a task are settled
+   (pigeonhole): its content is a key, and linked sets share a key. There are some
+   segments more than that, so that thin ones, which a common line alone may fill, need
+   no key. Sets near a band's end also make the keys of the next band. Keys met twice within a task are settled
    there (the later document points to the earlier one), so a key leaves a task once,
    however many copies there are.
 2. Keys met by several tasks connect their documents; connected components of these
@@ -33,6 +34,8 @@ from .common import components, groups, staged, word_hasher
 SHINGLE = 4
 PERCENT = 85  # links: 100 * intersection >= PERCENT * union
 BAND = 1.5  # ratio of a band's sizes
+FULL = 3  # shingles that make a segment worth a key of its own
+SPARE = 32  # one more segment than needed for each so many shingles, so that thin ones can be left out
 TILE = 512
 FLUSH_KEYS = 2_000_000  # keys held by a task before it settles them
 TEXTS = 500
@@ -103,20 +106,24 @@ class Bands:
             if high is None:
                 self.band(self.lows[band])
                 high = self.lows[band + 1]
-            segments = self.differ(high - 1, high - 1) + 1 + -(-high // 256)
+            segments = self.differ(high - 1, high - 1) + 1 + -(-high // SPARE)
             seg = (s >> np.uint64(16)) % np.uint64(segments)
             order = np.argsort(seg, kind="stable")
             seg, sets = seg[order], s[order]
             start = np.flatnonzero(np.append(True, seg[1:] != seg[:-1]))
             used = seg[start]
             body = np.add.reduceat(sets * (sets | np.uint64(1)), start) ^ np.bitwise_xor.reduceat(sets, start)
-            where = np.uint64(band) * np.uint64(0x100000001B3) + used
-            # without an empty segment's key, enough segments must stay untouched
+            # at least segments - differ() segments are the same in a partner; if fewer than
+            # that are thin, one of the full ones is, and thin segments need no key
+            full = np.diff(np.append(start, n)) >= FULL
             spare = segments - self.differ(n, min(largest, high - 1)) - 1
-            if segments - len(used) > spare:
+            if segments - int(full.sum()) <= spare:
+                used, body = used[full], body[full]
+            else:
                 empty = np.setdiff1d(np.arange(segments, dtype=np.uint64), used)
                 body = np.concatenate((body, np.zeros(len(empty), np.uint64)))
-                where = np.concatenate((where, np.uint64(band) * np.uint64(0x100000001B3) + empty))
+                used = np.concatenate((used, empty))
+            where = np.uint64(band) * np.uint64(0x100000001B3) + used
             k = (body ^ (where * np.uint64(0x9E3779B97F4A7C15))) * np.uint64(0xD6E8FEB86659FD93)  # odd, fixed
             out.append(k ^ (k >> np.uint64(32)))
         return out
@@ -325,9 +332,9 @@ def _tiles(members: DataFrame, tile: int) -> DataFrame:
     return members.join(size, "sc").withColumn("tile", F.pmod(F.xxhash64("doc"), F.col("tiles")).cast("int"))
 
 
-def _run_tiles(tiles: DataFrame, texts: DataFrame, shingle: int, percent: int, cross: bool) -> DataFrame:
+def _run_tiles(tiles: DataFrame, shingle: int, percent: int, cross: bool) -> DataFrame:
     side = ["side"] if cross else []
-    rows = tiles.join(texts, "doc").select("sc", "tile", "doc", "grp", "text", *side)
+    rows = tiles.select("sc", "tile", "doc", "grp", "text", *side)
     rows = rows.repartition("sc", "tile").sortWithinPartitions("sc", "tile", "doc")
     return rows.mapInPandas(_link_tiles(shingle, percent, cross), "doc long, other long, kind byte")
 
@@ -368,18 +375,21 @@ def link_groups(
     )
     near = rep(rep(near, "a"), "b").where("a <> b").distinct()
     members = components(near).select(F.col("node").alias("doc"), F.col("comp").alias("sc"))
-    members = _tiles(members, tile).withColumn("grp", F.col("doc")).checkpoint()
+    # the texts of documents that may have links, found once
+    texts = _tiles(members, tile).withColumn("grp", F.col("doc")).join(known, "doc")
+    texts = staged(texts.select("doc", "sc", "tile", "tiles", "grp", "text"), "jaccard")
 
     links = [certain]
-    first = staged(_run_tiles(members, known, shingle, percent, False), "jaccard")
+    first = staged(_run_tiles(texts, shingle, percent, False), "jaccard")
     links.append(edge(first, SAME))
 
     # components of several tiles: groups' first documents meet
-    wide = members.where("tiles > 1").select("doc", "sc", "tile", "tiles").checkpoint()
+    wide = texts.where("tiles > 1").select("doc", "sc", "tile", "tiles").distinct().checkpoint()
+    with_text = lambda df: df.join(texts.where("tiles > 1").select("doc", "text"), "doc")
     if not wide.isEmpty():
         state = wide.join(first.where(F.col("kind") == DOC).select("doc", F.col("other").alias("grp")).distinct(), "doc")
         heads = _tiles(state.where("doc = grp").select("sc", "doc", "grp"), tile)
-        again = staged(_run_tiles(heads, known, shingle, percent, False), "jaccard")
+        again = staged(_run_tiles(with_text(heads), shingle, percent, False), "jaccard")
         links.append(edge(again, SAME))
         merged = components(edge(again, SAME)).select(F.col("node").alias("grp"), "comp")
         state = state.join(merged, "grp", "left").withColumn("grp", F.coalesce("comp", "grp")).drop("comp")
@@ -414,7 +424,7 @@ def link_groups(
                 F.lit(1).alias("side"),
             )
             blocks = outside.unionByName(inside).withColumn("tile", F.col("o") * F.col("alls") + F.col("t"))
-            last = staged(_run_tiles(blocks, known, shingle, percent, True), "jaccard")
+            last = staged(_run_tiles(with_text(blocks), shingle, percent, True), "jaccard")
             links.append(edge(last, SAME))
 
     every = links[0]
