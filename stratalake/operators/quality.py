@@ -48,10 +48,10 @@ log = logging.getLogger(__name__)
 # Fixed values.
 # Text classes for string columns, tested in this order, first match wins
 # (a NULL value is class "Null"; anything unmatched is "String"). Patterns are
-# anchored full matches.
-#   Fractional  ^(-|\+| )?\d*\.\d*$
-#   Integral    ^(-|\+| )?\d*$
-#   Boolean     ^(true|false)$
+# matched against the whole value (\z: a trailing line feed is not passed over).
+#   Fractional  ^(-|\+| )?\d*\.\d*\z
+#   Integral    ^(-|\+| )?\d*\z
+#   Boolean     ^(true|false)\z
 # Report wording: statuses "Success" / "Failure"; check levels "Error" /
 # "Warning"; failure messages below.
 # ---------------------------------------------------------------------------
@@ -284,58 +284,6 @@ def _scan_metric(df: DataFrame, c: Constraint, cls: str | None = None) -> Column
     raise ValueError(c.kind)
 
 
-def _partials(df: DataFrame, c: Constraint, cls: str | None) -> list[Column]:
-    """Per-group partial sums of a scan-shareable metric (see :func:`_fused_metrics`)."""
-    if c.kind == "completeness":
-        return [F.count(F.col(c.columns[0]))]
-    if c.kind == "compliance":
-        pred = F.expr(c.predicate)
-        if c.nulls == "pass":
-            pred = F.coalesce(pred, F.lit(True))
-        return [F.count_if(pred)]
-    if c.kind == "datatype":
-        col = c.columns[0]
-        klass = F.col(cls) if cls is not None else value_class(df, col)
-        return [F.count_if(klass.isin(*DATA_TYPES[c.data_type])), F.count(F.col(col))]
-    raise ValueError(c.kind)
-
-
-def _from_partials(c: Constraint, parts: list[Column], rows: Column) -> Column:
-    if c.kind in ("completeness", "compliance"):
-        return _ratio(parts[0], rows)
-    share = F.coalesce(_ratio(parts[0], parts[1]), F.lit(0.0))
-    return F.when(rows > 0, share)
-
-
-def _fused_metrics(df: DataFrame, entries, scan_ids: list[int], key: Sequence[str]) -> DataFrame:
-    """Scan metrics and the uniqueness of ``key`` in ONE pass over ``df``.
-
-    Every scan metric is a ratio of sums, so it is computed as per-group partial
-    sums inside the uniqueness ``groupBy(key)`` and summed afterwards. The input
-    is read (and, for an expensive lineage, computed) once; the only shuffle is
-    the one uniqueness needs anyway, and map-side partial aggregation collapses
-    a hot key before it.
-    """
-    classes = _class_columns(df, entries)
-    prep = df.withColumns(classes) if classes else df
-    aggs = [F.count(F.lit(1)).alias("_n")]
-    layout = {}
-    for i in scan_ids:
-        c = entries[i][1]
-        cls = _class_name(entries, c.columns[0]) if c.kind == "datatype" else None
-        ps = _partials(df, c, cls)
-        layout[i] = [f"_p{i}_{k}" for k in range(len(ps))]
-        aggs += [p.alias(n) for p, n in zip(ps, layout[i])]
-    groups = prep.groupBy(*key).agg(*aggs)
-    any_set = reduce(lambda a, b: a | b, [F.col(k).isNotNull() for k in key])
-    rows = F.sum("_n")
-    out = [_ratio(F.count_if((F.col("_n") == 1) & any_set), F.sum(F.when(any_set, F.col("_n"))))
-           .alias("u")]
-    for i in scan_ids:
-        out.append(_from_partials(entries[i][1], [F.sum(n) for n in layout[i]], rows).alias(f"m{i}"))
-    return groups.agg(*out)
-
-
 def _uniqueness_metric(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """One-row frame with the uniqueness ratio of ``cols``."""
     any_set = reduce(lambda a, b: a | b, [F.col(c).isNotNull() for c in cols])
@@ -366,9 +314,11 @@ def _required(checks: Sequence[Check]) -> set[str]:
 
 
 def metrics(df: DataFrame, *checks: Check) -> DataFrame:
-    """Metric rows ``(cid, check, check_level, constraint, metric[, passed])``.
+    """Metric rows ``(cid, check_id, check, check_level, constraint, metric, passed)``.
 
-    ``passed`` is present for Column-expressible assertions and NULL otherwise.
+    ``check_id`` is the position of the check, so checks of one name stay apart. The
+    input is computed once for the scan metrics and once per uniqueness key: store an
+    expensive input first. ``passed`` is present for Column-expressible assertions and NULL otherwise.
     """
     require_columns(df, _required(checks))
     entries = list(_entries(checks))
@@ -379,6 +329,7 @@ def metrics(df: DataFrame, *checks: Check) -> DataFrame:
         passed = F.coalesce(c.assertion.column(m), F.lit(False)) if c.lazy else F.lit(None).cast("boolean")
         return [
             F.lit(i).alias("cid"),
+            F.lit(next(k for k, x in enumerate(checks) if x is chk)).alias("check_id"),
             F.lit(chk.name).alias("check"),
             F.lit(chk.level).alias("check_level"),
             F.lit(c.name).alias("constraint"),
@@ -389,15 +340,9 @@ def metrics(df: DataFrame, *checks: Check) -> DataFrame:
     parts: list[DataFrame] = []
     scan = [(i, chk, c) for i, (chk, c) in enumerate(entries) if c.kind != "uniqueness"]
     uniq = [i for i, (_, c) in enumerate(entries) if c.kind == "uniqueness"]
-    fused_key = entries[uniq[0]][1].columns if (scan and uniq) else None
-    if fused_key is not None:
-        # one pass: scan metrics ride along the first uniqueness key's groupBy
-        one = _fused_metrics(df, entries, [i for i, _, _ in scan], fused_key)
-        structs = [F.struct(*meta(i, chk, c, F.col(f"m{i}"))) for i, chk, c in scan]
-        structs += [F.struct(*meta(i, *entries[i], F.col("u")))
-                    for i in uniq if entries[i][1].columns == fused_key]
-        parts.append(one.select(F.inline(F.array(*structs))))
-    elif scan:
+    if scan:
+        # one pass without a shuffle of rows; each uniqueness key is its own count per key,
+        # so the exchange on the key carries nothing but the key and that count
         prep = df.withColumns(_class_columns(df, entries)) if _class_columns(df, entries) else df
         one = prep.agg(*[
             _scan_metric(df, c, _class_name(entries, c.columns[0]) if c.kind == "datatype" else None)
@@ -407,9 +352,8 @@ def metrics(df: DataFrame, *checks: Check) -> DataFrame:
         parts.append(one.select(F.inline(F.array(*structs))))
     for i in uniq:
         chk, c = entries[i]
-        if c.columns != fused_key:
-            u = _uniqueness_metric(df, c.columns)
-            parts.append(u.select(*meta(i, chk, c, F.col("metric"))))
+        u = _uniqueness_metric(df, c.columns)
+        parts.append(u.select(*meta(i, chk, c, F.col("metric"))))
     return reduce(DataFrame.unionByName, parts)
 
 
@@ -425,14 +369,14 @@ def _decide(entries, values: dict) -> list[tuple]:
             except Exception:  # an assertion that raises is a failed constraint
                 log.exception("assertion of %s raised", c.name)
         passed[i] = ok
-    failed_checks = {chk.name for i, (chk, _) in enumerate(entries) if not passed[i]}
+    failed_checks = {id(chk) for i, (chk, _) in enumerate(entries) if not passed[i]}
     rows = []
     for i, (chk, c) in enumerate(entries):
         v = values.get(i)
         ok = passed[i]
         msg = "" if ok else (MSG_EMPTY if v is None else MSG_FAILED)
         rows.append((
-            chk.name, chk.level, chk.level if chk.name in failed_checks else SUCCESS,
+            chk.name, chk.level, chk.level if id(chk) in failed_checks else SUCCESS,
             c.name, SUCCESS if ok else FAILURE, msg, None if v is None else float(v),
         ))
     return rows
@@ -487,7 +431,7 @@ class ObservedVerification:
 def _finish(m: DataFrame) -> DataFrame:
     failed_error = F.max(
         F.when(~F.col("passed"), F.col("check_level")).otherwise(F.lit(None))
-    ).over(Window.partitionBy("check"))
+    ).over(Window.partitionBy("check_id"))
     return m.select(
         "check",
         "check_level",

@@ -18,16 +18,17 @@ from ..operators.geo import inversion_counts, repair_coordinates
 from ..operators.quality import MSG_EMPTY, MSG_FAILED, Check, at_least, type_histogram, verify
 from ..operators.rollup import distinct_rollup
 from ..sources import storage
-from ..sources.paged import ParquetPages, parse_records, read_paged
+from ..sources.paged import parse_records, read_paged
+from ..sources.schema import load_schema
 from ..sources.sinks import read_table, write_json, write_partitioned
 from ..sources.snapshots import (
-    LABEL_SPARK_FORMAT,
+    label_of,
     latest_snapshot,
     read_latest_snapshot,
     read_snapshots,
     write_snapshots,
 )
-from .stages import EntityColumns, entity_checks, rollup_checks, to_gold, to_silver
+from .stages import EntityColumns, entity_checks, rollup_checks, to_bronze, to_gold, to_silver
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -291,7 +292,7 @@ SQL_JSON_SCHEMA_READ = """SELECT event_id, ts, user_id, event_type, value, props
 def _day_snapshots(spark, d) -> str:
     base = storage.scratch_path(spark, "bronze")
     ev = table(spark, d, "events")
-    write_snapshots(ev, base, F.date_format(F.date_trunc("day", "ts"), LABEL_SPARK_FORMAT))
+    write_snapshots(ev, base, label_of("ts", grain="day"))
     return base
 
 
@@ -622,16 +623,61 @@ SELECT country, state, kind, count(DISTINCT id) AS n_entities FROM p GROUP BY 1,
 # ---------------------------------------------------------------------------
 # Paged source over events (page p = event_id in [(p-1)*200, p*200))
 # ---------------------------------------------------------------------------
+class _EventPages:
+    """Fetcher over ``events``: page ``p`` holds the ids from ``(p-1)*per_page`` on.
+
+    Stands for a remote service in the registered queries; ids must be dense.
+    """
+
+    def __init__(self, spark, d):
+        self.path = f"{d.rstrip('/')}/events.parquet"
+        r = table(spark, d, "events").agg(F.min("event_id"), F.max("event_id"), F.count_distinct("event_id")).first()
+        if r[2] and (r[0], r[1]) != (0, r[2] - 1):
+            raise ValueError("event ids are not dense: pages would have gaps")
+        self._held = None
+
+    def __getstate__(self):
+        return {"path": self.path, "_held": None}
+
+    def _rows(self, lo: int, hi: int) -> list[dict]:
+        import pyarrow.dataset as ds
+
+        key = ds.field("event_id")
+        found = ds.dataset(self.path, format="parquet").to_table(columns=EVENT_COLS, filter=(key >= lo) & (key < hi))
+        return found.sort_by("event_id").to_pylist()
+
+    def prefetch(self, first: int, last: int, per_page: int) -> None:
+        lo = (first - 1) * per_page
+        self._held = (lo, last * per_page, self._rows(lo, last * per_page))
+
+    def __call__(self, page: int, per_page: int) -> list[dict]:
+        lo, hi = (page - 1) * per_page, page * per_page
+        if self._held and self._held[0] <= lo and hi <= self._held[1]:
+            return self._held[2][lo - self._held[0] : hi - self._held[0]]
+        return self._rows(lo, hi)
+
+
 def q_paged_read(spark, d):
-    fetch = ParquetPages(f"{d.rstrip('/')}/events.parquet", key="event_id", columns=EVENT_COLS)
-    recs = read_paged(spark, fetch, per_page=200, pages_per_partition=16)
-    return parse_records(recs, EVENTS_SCHEMA)
+    return parse_records(read_paged(spark, _EventPages(spark, d), per_page=200), EVENTS_SCHEMA)
 
 
 SQL_PAGED_READ = """SELECT CAST(event_id // 200 + 1 AS INTEGER) AS page, event_id, ts, user_id, event_type, value, props
 FROM events"""
 
 
+EVENTS_CONFIG = {"bronze": {"events": {"fields": {f.name: f.dataType.simpleString() for f in EVENTS_SCHEMA.fields}}}}
+
+
+def q_source_to_bronze(spark, d):
+    """The first stage: paged source -> raw snapshot, read back with a configured schema."""
+    base = storage.scratch_path(spark, "bronze")
+    to_bronze(spark, _EventPages(spark, d), base, label="2024-12-31T23-59")
+    return read_snapshots(spark, base, load_schema(EVENTS_CONFIG, "bronze", "events"))
+
+
+SQL_SOURCE_TO_BRONZE = "SELECT *, '2024-12-31T23-59' AS dt_extraction FROM events"
+
+
 QUERIES: dict[str, Query] = {
     "geo_atomic": q_geo_atomic,
     "geo_sequential": q_geo_sequential,
@@ -659,6 +705,7 @@ QUERIES: dict[str, Query] = {
     "incremental_silver": q_incremental_silver,
     "medallion_end_to_end": q_medallion_end_to_end,
     "paged_read": q_paged_read,
+    "source_to_bronze": q_source_to_bronze,
 }
 
 ORACLE_SQL: dict[str, str] = {
@@ -688,4 +735,5 @@ ORACLE_SQL: dict[str, str] = {
     "incremental_silver": SQL_SILVER_CLEAN,
     "medallion_end_to_end": SQL_MEDALLION,
     "paged_read": SQL_PAGED_READ,
+    "source_to_bronze": SQL_SOURCE_TO_BRONZE,
 }

@@ -1,19 +1,18 @@
 """Command-line entry points for the three stages (one scheduled task each).
 
-    python -m stratalake bronze --url https://host/v1/items --param by_state=ohio --bronze PATH
+    python -m stratalake bronze --url https://host/v1/items --param region=north --bronze PATH
     python -m stratalake bronze --fetcher pkg.module:callable --bronze PATH
     python -m stratalake silver --bronze PATH --silver PATH --config tables.yaml --table venues
     python -m stratalake silver ... --checkpoint PATH     # incremental: only new snapshots
     python -m stratalake gold   --silver PATH --gold PATH   --config tables.yaml --table venues \\
                                 --keys country,state,venue_type --alias venue_count
-    python -m stratalake recover --path PATH [--stale-hours 24]
+    python -m stratalake clean --path PATH
 
 The session comes from ``SparkSession.builder.getOrCreate()`` (master, memory
 and ``spark.checkpoint.dir`` are set by ``spark-submit`` / the cluster). The
 exit status is 0 on success, 2 when a quality gate blocks the write and 1 on
-any other error. ``recover`` repairs a table whose publish was interrupted
-(see :func:`stratalake.sources.storage.recover_dir`); every publish also does
-this first.
+any other error. ``clean`` deletes what crashed publishes left in a table's folder
+(see :func:`stratalake.sources.storage.clean_table`); run it while no publish runs.
 """
 
 from __future__ import annotations
@@ -59,7 +58,6 @@ def parser() -> argparse.ArgumentParser:
     b.add_argument("--bronze", required=True)
     b.add_argument("--label", default=None)
     b.add_argument("--per-page", type=int, default=200)
-    b.add_argument("--on-error", choices=["fail", "keep_prefix"], default="fail")
 
     for name in ("silver", "gold"):
         s = sub.add_parser(name)
@@ -89,10 +87,8 @@ def parser() -> argparse.ArgumentParser:
             s.add_argument("--keys", default=None, help="comma-separated (default country,state,kind)")
             s.add_argument("--alias", default="n_entities")
 
-    r = sub.add_parser("recover", help="repair a table whose publish was interrupted")
+    r = sub.add_parser("clean", help="delete versions that crashed publishes left behind")
     r.add_argument("--path", required=True, help="the published table's path")
-    r.add_argument("--stale-hours", type=float, default=storage.STALE_STAGING_SEC / 3600,
-                   help="delete staging folders older than this")
     return p
 
 
@@ -109,11 +105,10 @@ def run(argv: list[str] | None = None, spark=None) -> int:
                 fetch = HttpPages(a.url, params, timeout=a.timeout)
             else:
                 fetch = _fetcher(a.fetcher)
-            path = to_bronze(spark, fetch, a.bronze, label=a.label,
-                             per_page=a.per_page, on_error=a.on_error)
+            path = to_bronze(spark, fetch, a.bronze, label=a.label, per_page=a.per_page)
             log.info("bronze snapshot: %s", path)
-        elif a.stage == "recover":
-            storage.recover_dir(spark, a.path, stale_after_sec=a.stale_hours * 3600)
+        elif a.stage == "clean":
+            log.info("deleted: %s", storage.clean_table(spark, a.path) or "nothing")
         elif a.stage == "silver":
             schema = load_schema(a.config, a.layer, a.table)
             empty_as = None if a.keep_empty_labels else "unknown"

@@ -3,15 +3,13 @@
 Each stage is extract -> transform -> verify (gate) -> load. Column names,
 checks and paths are parameters, so the same stages serve any entity table.
 
-Publishing (:func:`publish`) is write-then-verify-then-promote by default:
-the transformed rows are written once to a hidden staging folder next to the
-target (same file system, so the final move is a rename), the checks run
-during that write and over the staged Parquet (reading only the columns they
-need), and only if the gate passes is the staging folder moved to the target
-path. The transform is therefore computed exactly once, a lost
-executor is covered by task retry on a durable output, and a failed gate
-leaves the published table untouched. ``verify_on="input"`` instead persists
-the input, verifies it, then writes it.
+Publishing (:func:`publish`) is write, verify, promote: the transformed rows are
+written once to a new version folder of the target, the checks run during that write
+and over the written Parquet (reading only the columns they need), and only if the
+gate passes a small note makes the new version the table. No data is renamed or
+copied, the transform is computed exactly once, readers of the version before are not
+disturbed, and whatever fails removes its own version. ``verify_on="input"`` persists
+and verifies the input before anything is written.
 """
 
 from __future__ import annotations
@@ -21,17 +19,17 @@ from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .._cols import require_columns
-from ..functions import geo as G
 from ..functions.text import NULL_LABEL, clean_code, clean_label
+from ..operators.geo import repair_coordinates
 from ..operators.quality import REPORT_SCHEMA, Check, ObservedVerification, gate, verify
 from ..operators.rollup import distinct_rollup
 from ..sources import storage
-from ..sources.paged import read_paged
+from ..sources.paged import DEFAULT_RETRIES, paged_errors, raw_pages
 from ..sources.sinks import prepare_partitions, read_table, write_partitioned, write_table
 from ..sources.snapshots import LABEL_COL, current_label, read_latest_snapshot
 
@@ -64,24 +62,17 @@ def clean_entities(
     """
     require_columns(df, [cols.lat, cols.lon, cols.state, cols.country])
     labels = {cols.state: clean_label(cols.state), cols.country: clean_code(cols.country)}
-    if mode == "atomic":
-        return df.withColumns(
-            {
-                cols.lat: G.repaired_lat(cols.lat, cols.lon),
-                cols.lon: G.repaired_lon(cols.lat, cols.lon),
-                **labels,
-            }
-        )
-    if mode != "sequential":
-        raise ValueError("mode must be 'atomic' or 'sequential'")
-    out = df.withColumn(cols.lat, G.repaired_lat(cols.lat, cols.lon))
-    out = out.withColumn(cols.lon, G.repaired_lon(cols.lat, cols.lon))
-    return out.withColumns(labels)
+    return repair_coordinates(df, cols.lat, cols.lon, mode=mode).withColumns(labels)
 
 
 # ---------------------------------------------------------------------------
 # Default checks
 # ---------------------------------------------------------------------------
+def _quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
+# The names of the two range checks in the report.
 def entity_checks(
     cols: EntityColumns = EntityColumns(),
     *,
@@ -110,8 +101,8 @@ def entity_checks(
     return (
         chk.has_data_type(cols.lat, "Numeric")
         .has_data_type(cols.lon, "Numeric")
-        .satisfies(f"{cols.lat} >= -90 AND {cols.lat} <= 90", "Latitude within range", nulls="pass")
-        .satisfies(f"{cols.lon} >= -180 AND {cols.lon} <= 180", "Longitude within range", nulls="pass")
+        .satisfies(f"{_quoted(cols.lat)} BETWEEN -90 AND 90", "Latitude within range", nulls="pass")
+        .satisfies(f"{_quoted(cols.lon)} BETWEEN -180 AND 180", "Longitude within range", nulls="pass")
     )
 
 
@@ -171,45 +162,45 @@ def publish(
     Returns the verification report (materialised, one row per constraint).
     Raises :class:`~stratalake.operators.quality.VerificationError` on failure.
     """
-    spark = df.sparkSession
-    storage.recover_dir(spark, path)  # finish or undo a swap a crashed run left behind
-    df = prepare_partitions(df, partition_cols, empty_as) if partition_cols else df
     if verify_on not in ("staged", "input"):
         raise ValueError("verify_on must be 'staged' or 'input'")
-    if not checks:
-        if verify_on == "input":  # in place, as chosen for stores without atomic rename
-            _write(df, path, partition_cols, empty_as, rebalance=rebalance)
-        else:  # staged and swapped, so an interrupted write never leaves a partial table
-            staging = storage.sibling_path(path, "staging")
-            _write(df, staging, partition_cols, empty_as, rebalance=rebalance)
-            storage.replace_dir(spark, staging, path)
-        return spark.createDataFrame([], REPORT_SCHEMA)
-    if verify_on == "input":
-        df = df.persist(StorageLevel.MEMORY_AND_DISK)
-        try:
-            report = spark.createDataFrame(verify(df, *checks).collect(), REPORT_SCHEMA)
-            gate(report)
-            _write(df, path, partition_cols, empty_as, rebalance=rebalance)
-        finally:
-            df.unpersist()
-        return report
-    staging = storage.sibling_path(path, "staging")  # same file system as the target
-    if _stored_as_written(df, partition_cols, empty_as):
-        # Scan metrics are observed during the write itself; only uniqueness
-        # re-reads the staged files (its key columns only).
-        ov = ObservedVerification(df, *checks)
-        _write(df, staging, partition_cols, empty_as, observe=ov.attach, rebalance=rebalance)
-        report = ov.report(read_table(spark, staging, df.schema))
-    else:
-        _write(df, staging, partition_cols, empty_as, rebalance=rebalance)
-        staged = read_table(spark, staging, df.schema)
-        report = spark.createDataFrame(verify(staged, *checks).collect(), REPORT_SCHEMA)
+    spark = df.sparkSession
+    df = prepare_partitions(df, partition_cols, empty_as) if partition_cols else df
+    version = storage.new_version(path)
+    report = spark.createDataFrame([], REPORT_SCHEMA)
+
+    def write(observe=None) -> None:
+        _write(df, version, partition_cols, empty_as, observe=observe, rebalance=rebalance)
+
+    def verified(frame: DataFrame) -> DataFrame:
+        return spark.createDataFrame(verify(frame, *checks).collect(), REPORT_SCHEMA)
+
     try:
-        gate(report)
-    except AssertionError:
-        storage.delete(spark, staging)
+        if not checks:
+            write()
+        elif verify_on == "input":
+            df = df.persist(StorageLevel.MEMORY_AND_DISK)
+            try:
+                report = verified(df)
+                gate(report)
+                write()
+            finally:
+                df.unpersist()
+        elif _stored_as_written(df, partition_cols, empty_as):
+            # Scan metrics are observed during the write itself; only uniqueness
+            # re-reads the written files (its key columns only).
+            ov = ObservedVerification(df, *checks)
+            write(ov.attach)
+            report = ov.report(read_table(spark, version, df.schema))
+            gate(report)
+        else:
+            write()
+            report = verified(read_table(spark, version, df.schema))
+            gate(report)
+        storage.promote(spark, path, version)
+    except BaseException:
+        storage.delete(spark, version)
         raise
-    storage.replace_dir(spark, staging, path)
     log.info("published %s", path)
     return report
 
@@ -218,16 +209,20 @@ def run_stage(
     extract: Callable[[], DataFrame],
     transforms: Sequence[Callable[[DataFrame], DataFrame]],
     load: Callable[[DataFrame], DataFrame | None],
+    checks: Sequence[Check] = (),
 ) -> DataFrame | None:
-    """Generic template: ``load(transform_n(...transform_1(extract())))``.
+    """Generic template: extract, transform one after the other, validate, load.
 
-    Put verification inside ``load`` (e.g. :func:`publish`) so that a failed
-    gate stops the write. Errors are logged and re-raised.
+    With ``checks`` the transformed rows are verified and gated before ``load`` runs
+    (one pass over them). A ``load`` that verifies what it writes (:func:`publish`)
+    needs none. Errors are logged and re-raised.
     """
     try:
         df = extract()
         for t in transforms:
             df = df.transform(t)
+        if checks:
+            gate(verify(df, *checks))
         return load(df)
     except Exception:
         log.exception("stage failed")
@@ -244,30 +239,41 @@ def to_bronze(
     *,
     label: str | None = None,
     per_page: int = 200,
-    on_error: str = "fail",
-    pages_per_partition: int = 16,
+    pages_per_partition: int | None = None,
+    retries: int = DEFAULT_RETRIES,
     label_col: str = LABEL_COL,
 ) -> str:
     """Paged source -> one dated raw snapshot (JSON Lines of the source records).
 
-    Refuses to write an empty snapshot. Returns the snapshot directory.
+    Pages go from the tasks straight into the snapshot's files. A page that cannot be
+    read fails the write as a whole (:class:`PagedReadError`), and the writer's commit
+    leaves nothing behind; a snapshot is complete or absent. Refuses to write an empty
+    snapshot. Returns the snapshot directory.
     """
-    recs = read_paged(
-        spark, fetch, per_page=per_page, on_error=on_error,
-        pages_per_partition=pages_per_partition,
-    )
-    if recs.isEmpty():
-        raise ValueError("No data returned by the source; nothing written to bronze.")
     label = label or current_label()
-    (
-        recs.select("record")
-        .withColumn(label_col, F.lit(label))
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(label_col)
-        .text(bronze_base)
-    )
-    return f"{bronze_base.rstrip('/')}/{label_col}={label}"
+
+    def load(pages: DataFrame) -> str:
+        rows = Observation()
+        with paged_errors():
+            (
+                pages.select("record")
+                .withColumn(label_col, F.lit(label))
+                .observe(rows, F.count(F.lit(1)).alias("rows"))
+                .write.mode("overwrite")
+                .option("partitionOverwriteMode", "dynamic")
+                .partitionBy(label_col)
+                .text(bronze_base)
+            )
+        # writing no rows makes no directory, so an empty source leaves nothing
+        if not rows.get["rows"]:
+            raise ValueError("No data returned by the source; nothing written to bronze.")
+        log.info("bronze snapshot %s: %s records", label, rows.get["rows"])
+        return f"{bronze_base.rstrip('/')}/{label_col}={label}"
+
+    def extract() -> DataFrame:
+        return raw_pages(spark, fetch, per_page=per_page, pages_per_partition=pages_per_partition, retries=retries)
+
+    return run_stage(extract, [], load)
 
 
 def to_silver(
@@ -292,11 +298,16 @@ def to_silver(
     """
     partition_cols = [cols.country, cols.state] if partition_cols is None else list(partition_cols)
     checks = [entity_checks(cols)] if checks is None else checks
-    df = read_latest_snapshot(spark, bronze_base, schema, multiline=multiline,
-                              filename=filename).drop(LABEL_COL)
-    df = clean_entities(df, cols, mode)
-    return publish(df, silver_path, checks, partition_cols=partition_cols,
-                   empty_as=empty_as, verify_on=verify_on)
+
+    def extract() -> DataFrame:
+        return read_latest_snapshot(spark, bronze_base, schema, multiline=multiline,
+                                    filename=filename).drop(LABEL_COL)
+
+    def load(df: DataFrame) -> DataFrame:
+        return publish(df, silver_path, checks, partition_cols=partition_cols,
+                       empty_as=empty_as, verify_on=verify_on)
+
+    return run_stage(extract, [lambda df: clean_entities(df, cols, mode)], load)
 
 
 def to_gold(
@@ -312,7 +323,9 @@ def to_gold(
     verify_on: str = "staged",
 ) -> DataFrame:
     """Silver table -> distinct-count roll-up by ``keys``, verified, written unpartitioned."""
-    silver = read_table(spark, silver_path, schema)
-    gold = distinct_rollup(silver, keys, id_col, alias)
     checks = [rollup_checks(keys, alias)] if checks is None else checks
-    return publish(gold, gold_path, checks, verify_on=verify_on)
+    return run_stage(
+        lambda: read_table(spark, silver_path, schema),
+        [lambda silver: distinct_rollup(silver, keys, id_col, alias)],
+        lambda gold: publish(gold, gold_path, checks, verify_on=verify_on),
+    )

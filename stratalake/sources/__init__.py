@@ -1,6 +1,6 @@
 """Sources and sinks: schemas, dated snapshots, paged sources, tables."""
 
-from .paged import HttpPages, ParquetPages, PagedReadError, parse_records, raw_pages, read_paged
+from .paged import HttpPages, PagedReadError, paged_errors, parse_records, raw_pages, read_paged
 from .schema import load_schema, parse_type, schema_from_fields, with_field
 from .sinks import prepare_partitions, read_table, write_json, write_partitioned, write_table
 from .snapshots import (
@@ -13,7 +13,7 @@ from .snapshots import (
     newest_label_value,
     read_latest_snapshot,
     read_snapshots,
-    snapshot_files,
+    snapshot_labels,
     write_snapshot,
     write_snapshots,
 )
@@ -23,7 +23,7 @@ __all__ = [
     "HttpPages",
     "LABEL_COL",
     "PagedReadError",
-    "ParquetPages",
+    "paged_errors",
     "current_label",
     "label_of",
     "label_time",
@@ -36,7 +36,7 @@ __all__ = [
     "raw_pages",
     "read_latest_snapshot",
     "newest_label_value",
-    "snapshot_files",
+    "snapshot_labels",
     "read_paged",
     "read_snapshots",
     "read_table",

@@ -6,20 +6,20 @@ The caller supplies a *fetcher*: any picklable callable
 slicer, ...). It may also offer ``prefetch(first, last, per_page)``, called
 once per input partition before its pages are fetched.
 
-How the pages are read in parallel while keeping the sequential stop rule
-"pages 1, 2, ... up to (not including) the first empty or failing page":
-
-1. on the driver, ``partitions()`` finds a page that is empty (or fails) with
-   an exponential probe followed by a binary search -- O(log pages) fetches --
-   and plans input partitions of ``pages_per_partition`` consecutive pages up
-   to that page;
-2. each task fetches its pages in order (retrying each up to ``retries``
-   times with exponential back-off and full jitter) and stops its range at the
-   first empty or failing page, emitting a status row for it;
-3. the raw result is checkpointed to the shared checkpoint folder (each page
-   is fetched exactly once, and a lost executor does not trigger refetching
-   after the checkpoint), a one-row aggregate gives the first stop page, and
-   only pages before it are kept.
+How the pages are read in parallel while keeping the sequential rule "pages 1, 2,
+... up to the first empty page", completely or not at all:
+
+1. the driver finds an empty page whose predecessor has records, with an exponential
+   probe and a binary search -- O(log pages) fetches. A page that fails is not taken
+   for the end: if the search ends at one, the read fails;
+2. the pages before that end are dealt to tasks; every one of them must have records.
+   A page that fails (after ``retries`` tries with exponential back-off and full
+   jitter) or is empty fails the read;
+3. the last task has no upper end: it goes on past the probed end until it sees an
+   empty page itself, so records that came meanwhile are not lost.
+
+A probed page is fetched again by its task; besides that a page is fetched once per
+evaluation. :func:`read_paged` therefore checkpoints what it read.
 
 Records leave the source as their JSON text (``record`` column), so typing is
 schema-on-read exactly as for a JSON file (see :func:`parse_records`).
@@ -31,9 +31,12 @@ imports the standard library and PySpark at module level.
 from __future__ import annotations
 
 import json
+import logging
 import random
+import re
 import sys
 import time
+from contextlib import contextmanager
 from dataclasses import dataclass
 from datetime import date, datetime
 
@@ -45,12 +48,28 @@ from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 # Default page size and retry policy of the paged source.
 DEFAULT_PER_PAGE = 200
 DEFAULT_RETRIES = 5
-RAW_SCHEMA = "page int, status string, record string"
-OK, EMPTY, ERROR = "ok", "empty", "error"
+RAW_SCHEMA = "page int, record string"
+TASKS_PER_CORE = 4
+
+log = logging.getLogger("stratalake.sources.paged")
 
 
 class PagedReadError(RuntimeError):
-    """A page failed before the end of the data (``on_error="fail"``)."""
+    """A page could not be read, or the pages do not fit together; nothing is returned."""
+
+
+@contextmanager
+def paged_errors():
+    """Turn a Spark job's failure caused by a :class:`PagedReadError` in a task into one."""
+    try:
+        yield
+    except PagedReadError:
+        raise
+    except Exception as e:
+        m = re.search(r"PagedReadError: (page .*)", str(e))
+        if m:
+            raise PagedReadError(m[1]) from e
+        raise
 
 
 def _jsonable(v):
@@ -64,77 +83,82 @@ def fetch_with_retry(fetch, page: int, per_page: int, retries: int, base_wait: f
     for attempt in range(retries):
         try:
             return fetch(page, per_page)
-        except Exception:
+        except Exception as e:
+            log.warning("page %s, try %s of %s: %s: %s", page, attempt + 1, retries, type(e).__name__, e)
             if attempt + 1 >= retries:
                 raise
             time.sleep(random.uniform(0, base_wait * (2**attempt)))
     return None
 
 
+def probe_end(fetch, per_page: int, retries: int, base_wait: float) -> int:
+    """Some empty page p whose predecessor has records (or p == 1)."""
+    errors: dict[int, Exception] = {}
+
+    def has_records(page: int) -> bool:
+        try:
+            return bool(fetch_with_retry(fetch, page, per_page, retries, base_wait))
+        except Exception as e:
+            errors[page] = e  # perhaps only beyond the end; the search goes on below it
+            return False
+
+    hi = 1
+    while has_records(hi):
+        hi *= 2
+    lo = hi // 2  # has records (or is 0)
+    while hi - lo > 1:
+        mid = (lo + hi) // 2
+        if has_records(mid):
+            lo = mid
+        else:
+            hi = mid
+    if hi in errors:
+        raise PagedReadError(f"page {hi} failed: {type(errors[hi]).__name__}: {errors[hi]}") from errors[hi]
+    log.info("probe: page %s is empty, page %s is the last with records", hi, hi - 1)
+    return hi
+
+
 @dataclass
 class PageRange(InputPartition):
     first: int
-    last: int
+    last: int | None  # None: until an empty page
 
 
 class _Reader(DataSourceReader):
-    def __init__(self, fetch, per_page, pages_per_partition, retries, base_wait):
+    def __init__(self, fetch, per_page, pages_per_partition, end, retries, base_wait):
         self.fetch = fetch
         self.per_page = per_page
         self.ppp = pages_per_partition
+        self.end = end
         self.retries = retries
         self.base_wait = base_wait
 
-    def _status(self, page: int) -> str:
-        try:
-            recs = fetch_with_retry(self.fetch, page, self.per_page, self.retries, self.base_wait)
-        except Exception:
-            return ERROR
-        return OK if recs else EMPTY
-
-    def _end_page(self) -> int:
-        """Some page p >= 1 whose status is not OK while p-1 is OK (or p == 1)."""
-        hi = 1
-        while self._status(hi) == OK:
-            hi *= 2
-        lo = hi // 2  # OK (or 0)
-        while hi - lo > 1:
-            mid = (lo + hi) // 2
-            if self._status(mid) == OK:
-                lo = mid
-            else:
-                hi = mid
-        return hi
-
     def partitions(self):
-        end = self._end_page()
-        return [PageRange(a, min(a + self.ppp - 1, end)) for a in range(1, end + 1, self.ppp)]
+        starts = list(range(1, self.end, self.ppp)) or [1]
+        return [PageRange(a, a + self.ppp - 1) for a in starts[:-1]] + [PageRange(starts[-1], None)]
 
     def read(self, partition: PageRange):
         """One Arrow batch per page (no per-row conversion on the way to the JVM)."""
         import pyarrow as pa
 
-        def batch(page, status, records):
-            return pa.RecordBatch.from_arrays(
-                [pa.array([page] * len(records), pa.int32()),
-                 pa.array([status] * len(records), pa.string()),
-                 pa.array(records, pa.string())],
-                names=["page", "status", "record"],
-            )
-
         prefetch = getattr(self.fetch, "prefetch", None)
         if prefetch is not None:
-            prefetch(partition.first, partition.last, self.per_page)
-        for page in range(partition.first, partition.last + 1):
+            prefetch(partition.first, partition.last or self.end, self.per_page)
+        page = partition.first
+        while partition.last is None or page <= partition.last:
             try:
                 recs = fetch_with_retry(self.fetch, page, self.per_page, self.retries, self.base_wait)
-            except Exception as e:  # recorded; the driver decides
-                yield batch(page, ERROR, [f"{type(e).__name__}: {e}"])
-                return
+            except Exception as e:
+                raise PagedReadError(f"page {page} failed: {type(e).__name__}: {e}") from e
             if not recs:
-                yield batch(page, EMPTY, [None])
+                if page < self.end:
+                    raise PagedReadError(f"page {page} is empty, but page {self.end - 1} had records when probed")
                 return
-            yield batch(page, OK, [json.dumps(r, default=_jsonable) for r in recs])
+            records = [json.dumps(r, default=_jsonable) for r in recs]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([page] * len(records), pa.int32()), pa.array(records, pa.string())], names=["page", "record"]
+            )
+            page += 1
 
 
 SOURCE_NAME = "stratalake_paged"
@@ -159,7 +183,8 @@ class PagedSource(DataSource):
         return _Reader(
             cloudpickle.loads(base64.b64decode(o["fetcher"])),
             int(o.get("per_page", DEFAULT_PER_PAGE)),
-            int(o.get("pages_per_partition", 16)),
+            int(o["pages_per_partition"]),
+            int(o["end"]),
             int(o.get("retries", DEFAULT_RETRIES)),
             float(o.get("base_wait", 0.5)),
         )
@@ -170,15 +195,22 @@ def raw_pages(
     fetch,
     *,
     per_page: int = DEFAULT_PER_PAGE,
-    pages_per_partition: int = 16,
+    pages_per_partition: int | None = None,
     retries: int = DEFAULT_RETRIES,
     base_wait: float = 0.5,
 ) -> DataFrame:
-    """Lazy ``(page, status, record)`` rows straight from the source (not checkpointed)."""
+    """Lazy ``(page, record)`` rows straight from the source (not checkpointed).
+
+    ``pages_per_partition`` defaults to what gives every core a few tasks. Run actions
+    inside :func:`paged_errors` to get a :class:`PagedReadError` from a failing page.
+    """
     import base64
 
     from pyspark import cloudpickle
 
+    end = probe_end(fetch, per_page, retries, base_wait)
+    if pages_per_partition is None:
+        pages_per_partition = max(1, -(-(end - 1) // (TASKS_PER_CORE * spark.sparkContext.defaultParallelism)))
     # Ship this module by value: executors need not have the package installed.
     cloudpickle.register_pickle_by_value(sys.modules[__name__])
     spark.dataSource.register(PagedSource)
@@ -187,6 +219,7 @@ def raw_pages(
         .option("fetcher", base64.b64encode(cloudpickle.dumps(fetch)).decode("ascii"))
         .option("per_page", per_page)
         .option("pages_per_partition", pages_per_partition)
+        .option("end", end)
         .option("retries", retries)
         .option("base_wait", base_wait)
         .load()
@@ -198,39 +231,27 @@ def read_paged(
     fetch,
     *,
     per_page: int = DEFAULT_PER_PAGE,
-    on_error: str = "fail",
-    pages_per_partition: int = 16,
+    pages_per_partition: int | None = None,
     retries: int = DEFAULT_RETRIES,
     base_wait: float = 0.5,
 ) -> DataFrame:
-    """All records of pages before the first empty (or failing) page: ``(page, record)``.
+    """All records of the pages before the first empty one: ``(page, record)``, checkpointed.
 
-    ``on_error="fail"`` raises :class:`PagedReadError` when a page fails before
-    the end; ``on_error="keep_prefix"`` keeps the pages before the failing one.
+    Raises :class:`PagedReadError` if any page before the end cannot be read, or is
+    empty although a later one had records. There is no partial result.
     """
-    if on_error not in ("fail", "keep_prefix"):
-        raise ValueError("on_error must be 'fail' or 'keep_prefix'")
-    raw = raw_pages(
-        spark, fetch, per_page=per_page, pages_per_partition=pages_per_partition,
-        retries=retries, base_wait=base_wait,
-    )
     from .storage import shared_dir
 
     shared_dir(spark)  # make sure a reliable checkpoint folder is configured
-    raw = raw.checkpoint(eager=True)
-    stops = raw.agg(
-        F.min(F.when(F.col("status") == EMPTY, F.col("page"))).alias("empty"),
-        F.min(F.when(F.col("status") == ERROR, F.col("page"))).alias("error"),
-    ).first()
-    candidates = [p for p in (stops["empty"], stops["error"]) if p is not None]
-    stop = min(candidates) if candidates else None
-    if on_error == "fail" and stops["error"] is not None and stop == stops["error"]:
-        msg = raw.where((F.col("page") == stop) & (F.col("status") == ERROR)).first()
-        raise PagedReadError(f"page {stop} failed: {msg['record'] if msg else ''}")
-    keep = F.col("status") == OK
-    if stop is not None:
-        keep = keep & (F.col("page") < F.lit(stop))
-    return raw.where(keep).select("page", "record")
+    with paged_errors():
+        raw = raw_pages(
+            spark, fetch, per_page=per_page, pages_per_partition=pages_per_partition,
+            retries=retries, base_wait=base_wait,
+        ).checkpoint(eager=True)
+    if log.isEnabledFor(logging.INFO):
+        total = raw.agg(F.count(F.lit(1)).alias("rows"), F.max("page").alias("last")).first()
+        log.info("read %s records from %s pages", total["rows"], total["last"] or 0)
+    return raw
 
 
 def parse_records(df: DataFrame, schema: T.StructType, record_col: str = "record") -> DataFrame:
@@ -248,7 +269,8 @@ class HttpPages:
     """Fetcher for a JSON REST endpoint that pages with query parameters.
 
     ``fetch(page, per_page)`` issues ``GET url?page=..&per_page=..&<params>``
-    (or formats ``{page}`` / ``{per_page}`` placeholders in ``url``) and returns
+    (or fills the ``{page}`` / ``{per_page}`` placeholders in ``url`` and adds
+    ``params``; they may not name the paging parameters) and returns
     the decoded JSON list. HTTP errors (4xx and 5xx alike), connection errors and
     timeouts raise, so the paged reader retries them; a body that is not JSON
     raises ``ValueError``. ``timeout`` is applied to connecting and to each read.
@@ -257,6 +279,9 @@ class HttpPages:
     def __init__(self, url: str, params: dict | None = None, *, page_param: str = "page",
                  per_page_param: str = "per_page", timeout: float = 30.0,
                  headers: dict | None = None):
+        clash = {page_param, per_page_param} & set(params or {})
+        if clash:
+            raise ValueError(f"reserved for paging: {', '.join(sorted(clash))}")
         self.url = url
         self.params = dict(params or {})
         self.page_param = page_param
@@ -268,9 +293,10 @@ class HttpPages:
         from urllib.parse import urlencode
 
         if "{page}" in self.url:
-            return self.url.format(page=page, per_page=per_page)
-        query = urlencode({self.page_param: page, self.per_page_param: per_page, **self.params})
-        return f"{self.url}{'&' if '?' in self.url else '?'}{query}"
+            url, query = self.url.replace("{page}", str(page)).replace("{per_page}", str(per_page)), dict(self.params)
+        else:
+            url, query = self.url, {self.page_param: page, self.per_page_param: per_page, **self.params}
+        return f"{url}{'&' if '?' in url else '?'}{urlencode(query)}" if query else url
 
     def __call__(self, page: int, per_page: int) -> list:
         from urllib.request import Request, urlopen
@@ -287,46 +313,3 @@ class HttpPages:
         if not isinstance(data, list):
             raise ValueError(f"page {page}: expected a JSON list, got {type(data).__name__}")
         return data
-
-
-class ParquetPages:
-    """Fetcher that serves a Parquet table as pages of a dense integer key.
-
-    Page ``p`` holds the rows with ``(p-1)*per_page <= key < p*per_page``,
-    ordered by ``key``. ``prefetch`` reads one partition's key range once
-    (row-group pruning on the key) so each page is then an in-memory slice.
-    """
-
-    def __init__(self, path: str, key: str, columns: list[str] | None = None):
-        self.path = path
-        self.key = key
-        self.columns = columns
-        self._cache = None  # (lo, hi, table sorted by key)
-
-    def __getstate__(self):
-        return {"path": self.path, "key": self.key, "columns": self.columns, "_cache": None}
-
-    def _read(self, lo: int, hi: int):
-        import pyarrow.compute as pc
-        import pyarrow.dataset as ds
-
-        d = ds.dataset(self.path, format="parquet")
-        k = ds.field(self.key)
-        t = d.to_table(columns=self.columns, filter=(k >= lo) & (k < hi))
-        return t.take(pc.sort_indices(t, sort_keys=[(self.key, "ascending")]))
-
-    def prefetch(self, first: int, last: int, per_page: int) -> None:
-        lo, hi = (first - 1) * per_page, last * per_page
-        self._cache = (lo, hi, self._read(lo, hi))
-
-    def __call__(self, page: int, per_page: int) -> list[dict]:
-        import pyarrow.compute as pc
-
-        lo, hi = (page - 1) * per_page, page * per_page
-        if self._cache is not None and self._cache[0] <= lo and hi <= self._cache[1]:
-            t = self._cache[2]
-            k = t.column(self.key)
-            t = t.filter(pc.and_(pc.greater_equal(k, lo), pc.less(k, hi)))
-        else:
-            t = self._read(lo, hi)
-        return t.to_pylist()

@@ -53,15 +53,27 @@ def schema_from_fields(fields: Mapping[str, str]) -> T.StructType:
 
 
 def read_config(path: str) -> dict:
-    """Load a YAML (``.yaml``/``.yml``) or JSON config file."""
-    if not os.path.exists(path):
-        raise FileNotFoundError(f"Configuration file not found: {path}")
-    with open(path) as fh:
-        if path.endswith((".yaml", ".yml")):
-            import yaml  # optional dependency
-
-            return yaml.safe_load(fh)
-        return json.load(fh)
+    """Load a YAML (``.yaml``/``.yml``) or JSON config file: a local path, or a URI that
+    the active session's Hadoop file systems read."""
+    if "://" in path:
+        from pyspark.sql import SparkSession
+
+        from . import storage
+
+        spark = SparkSession.active()
+        if not storage.exists(spark, path):
+            raise FileNotFoundError(f"Configuration file not found: {path}")
+        text = storage.read_text(spark, path)
+    else:
+        if not os.path.exists(path):
+            raise FileNotFoundError(f"Configuration file not found: {path}")
+        with open(path) as fh:
+            text = fh.read()
+    if path.endswith((".yaml", ".yml")):
+        import yaml  # optional dependency
+
+        return yaml.safe_load(text)
+    return json.loads(text)
 
 
 def load_schema(config: Mapping | str, layer: str, table: str) -> T.StructType:

@@ -9,6 +9,7 @@ from pyspark.sql import types as T
 
 from .._cols import require_columns
 from ..functions.text import NULL_LABEL, empty_as as _empty_as
+from .storage import current_path
 
 OVERWRITE_MODES = ("static", "dynamic")
 
@@ -107,11 +108,11 @@ def read_table(
 ) -> DataFrame:
     """Read a table, typed by ``schema`` when given (partition columns included).
 
-    With a declared schema a partition value ``007`` stays the string
+    A published table is read from its current version. With a declared schema a partition value ``007`` stays the string
     ``"007"``; columns missing from the files read as NULL. Partition columns
     come last, after the file columns.
     """
     reader = spark.read
     if schema is not None:
         reader = reader.schema(schema)
-    return reader.format(fmt).load(path)
+    return reader.format(fmt).load(current_path(spark, path))

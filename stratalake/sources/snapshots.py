@@ -29,7 +29,6 @@ log = logging.getLogger(__name__)
 # ---------------------------------------------------------------------------
 LABEL_COL = "dt_extraction"
 LABEL_PY_FORMAT = "%Y-%m-%dT%H-%M"
-LABEL_SPARK_FORMAT = "yyyy-MM-dd'T'HH-mm"
 LABEL_REGEX = r"(\d{4}-\d{2}-\d{2}T\d{2}-\d{2})"
 # JSON text keeps full microsecond precision (Spark's default writes milliseconds).
 JSON_TIME_OPTIONS = {
@@ -54,15 +53,29 @@ def current_label(now: datetime | None = None) -> str:
     return now.strftime(LABEL_PY_FORMAT)
 
 
-def label_of(ts) -> Column:
-    """Label Column from a timestamp Column (minute grain)."""
-    return F.date_format(as_col(ts), LABEL_SPARK_FORMAT)
+def label_of(ts, grain: str = "minute") -> Column:
+    """UTC label of a timestamp Column, whatever the session's time zone.
+
+    A TIMESTAMP_NTZ is taken as UTC wall time as it stands; a TIMESTAMP (an instant) is
+    counted from the epoch. ``grain="day"`` gives the label of the day's first minute.
+    """
+    if grain not in ("minute", "day"):
+        raise ValueError("grain must be 'minute' or 'day'")
+    ts = as_col(ts)
+    epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+    instant = F.timestamp_add("MINUTE", F.floor(F.unix_seconds(ts.cast("timestamp")) / 60).cast("int"), epoch)
+    wall = F.when(F.typeof(ts) == "timestamp_ntz", ts.cast("string")).otherwise(instant.cast("string"))
+    day = F.substring(wall, 1, 10)
+    if grain == "day":
+        return F.concat(day, F.lit("T00-00"))
+    return F.concat(day, F.lit("T"), F.substring(wall, 12, 2), F.lit("-"), F.substring(wall, 15, 2))
 
 
 def label_time(label) -> Column:
-    """Parse a label (prefix match); NULL for names that are not a valid label."""
+    """TIMESTAMP_NTZ of a label (prefix match); NULL for names that are not a valid label."""
     prefix = F.regexp_extract(as_col(label), "^" + LABEL_REGEX, 1)
-    return F.try_to_timestamp(prefix, F.lit(LABEL_SPARK_FORMAT))
+    text = F.concat(F.substring(prefix, 1, 10), F.lit(" "), F.translate(F.substring(prefix, 12, 5), "-", ":"))
+    return text.try_cast("timestamp_ntz")
 
 
 def _writer(df: DataFrame, fmt: str, label_col: str):
@@ -191,14 +204,11 @@ def read_latest_snapshot(
     return reader.format(fmt).load(path)
 
 
-def snapshot_files(spark: SparkSession, base: str, label_col: str = LABEL_COL) -> DataFrame:
-    """One row per file under ``base`` with its ``label_col`` (directory metadata only)."""
-    return (
-        spark.read.format("binaryFile")
-        .schema(with_field(FILE_SCHEMA, label_col, "string"))
-        .load(base)
-        .select("path", label_col)
-    )
+def snapshot_labels(spark: SparkSession, base: str, label_col: str = LABEL_COL) -> DataFrame:
+    """One row per snapshot folder under ``base`` (one listing of folder names)."""
+    prefix = f"{label_col}="
+    names = [n[len(prefix):] for n in storage.list_names(spark, base) if n.startswith(prefix)]
+    return spark.createDataFrame([(n,) for n in names], T.StructType([T.StructField(label_col, T.StringType())]))
 
 
 def newest_label_value(labels: DataFrame, label_col: str = LABEL_COL) -> Column:
@@ -221,10 +231,12 @@ def latest_snapshot(df: DataFrame, label_col: str = LABEL_COL, *, base: str | No
     the comparison as a runtime partition filter, so only the winning directory
     is scanned by the outer query.
 
-    Pass ``base``, the folder ``df`` was read from, so the subquery runs over a
-    file listing of that folder (one row per file; no file is opened). Without
-    it, the subquery scans ``df``'s own rows. That is cheap for Parquet (row
-    counts come from footers) but reads every byte of every snapshot for JSON.
+    Pass ``base``, the folder ``df`` was read from, so the subquery runs over the
+    names of its snapshot folders (no file is listed or opened). Without it the
+    labels are those in ``df``'s rows: cheap for Parquet (row counts come from
+    footers), but for JSON files it is refused, as it would read them all.
     """
-    labels = snapshot_files(df.sparkSession, base, label_col) if base else df
+    if base is None and any(f.endswith((".json", ".json.gz")) for f in df.inputFiles()[:1]):
+        raise ValueError("pass base: finding the newest label would read every JSON snapshot")
+    labels = snapshot_labels(df.sparkSession, base, label_col) if base else df
     return df.where(F.col(label_col) == newest_label_value(labels, label_col))

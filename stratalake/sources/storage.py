@@ -1,16 +1,21 @@
 """Shared-storage paths and file-system calls through the session's Hadoop FS.
 
-Everything that must be visible to every executor (scratch tables, staging
-output, checkpoints) lives under the folder named by ``spark.checkpoint.dir``.
-A job never invents a machine-local folder; only when the session has no such
-setting (unit tests, a laptop) do we create one and register it.
+Everything that must be visible to every executor (scratch tables, checkpoints)
+lives under the folder named by ``spark.checkpoint.dir``. Without that setting a
+local session (unit tests, a laptop) gets a temporary folder; on a cluster it is an
+error, as a folder of the driver's machine is not shared.
+
+Published tables are versioned. ``<table>/v-<id>/`` holds the files of one publish and
+numbered notes ``<table>/_current-<n>`` say which version is the table: the complete
+note with the highest number. Publishing never renames or copies data; it adds one
+small file. The version before stays for running readers until the next publish.
 """
 
 from __future__ import annotations
 
+import json
 import re
 import tempfile
-import time
 import uuid
 
 from pyspark.sql import SparkSession
@@ -19,33 +24,34 @@ CHECKPOINT_CONF = "spark.checkpoint.dir"
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The cluster's shared folder (``spark.checkpoint.dir``), set only if unset."""
+    """The cluster's shared folder (``spark.checkpoint.dir``); made only in local mode."""
     sc = spark.sparkContext
     d = sc.getCheckpointDir()
     if d:
         return d
     d = spark.conf.get(CHECKPOINT_CONF, None)
     if not d:
+        if not re.match(r"local(\[|$)", sc.master):
+            raise RuntimeError(f"set {CHECKPOINT_CONF} to a folder that all executors share")
         d = tempfile.mkdtemp(prefix="stratalake-ckpt-")
     sc.setCheckpointDir(d)
     return sc.getCheckpointDir() or d
 
 
-def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh, unique path under the shared folder."""
-    return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
-
+_scratch: dict[str, str] = {}  # application id -> its scratch folder
 
-def sibling_path(path: str, tag: str) -> str:
-    """A hidden sibling of ``path`` on the same file system / bucket.
 
-    Names starting with ``_`` are skipped by Spark's file listing, so readers
-    of the parent folder never see staging or set-aside copies; being on the
-    same file system is what makes the final rename possible.
-    """
-    p = path.rstrip("/")
-    parent, _, name = p.rpartition("/")
-    return f"{parent}/_{tag}-{name}-{uuid.uuid4().hex}"
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A fresh, unique path in the session's scratch folder, which lies in the shared
+    folder and is deleted when the driver's JVM ends."""
+    app = spark.sparkContext.applicationId
+    if app not in _scratch:
+        root = f"{shared_dir(spark).rstrip('/')}/scratch-{uuid.uuid4().hex}"
+        fs, p = _fs(spark, root)
+        fs.mkdirs(p)
+        fs.deleteOnExit(p)
+        _scratch[app] = root
+    return f"{_scratch[app]}/{name}-{uuid.uuid4().hex}"
 
 
 def _fs(spark: SparkSession, path: str):
@@ -76,74 +82,105 @@ def delete(spark: SparkSession, path: str) -> None:
         fs.delete(p, True)
 
 
-def replace_dir(spark: SparkSession, src: str, dst: str) -> None:
-    """Make ``src`` the new ``dst``.
+def read_text(spark: SparkSession, path: str) -> str:
+    """A small text file, from whatever file system ``path`` names."""
+    fs, p = _fs(spark, path)
+    ins = fs.open(p)
+    try:
+        return spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(ins, "UTF-8")
+    finally:
+        ins.close()
+
+
+# ---------------------------------------------------------------------------
+# Numbered notes: small texts that are replaced as a whole
+# ---------------------------------------------------------------------------
+def _notes(spark: SparkSession, folder: str, name: str) -> list[int]:
+    """Numbers of the notes ``name`` in ``folder``, highest first."""
+    fs, p = _fs(spark, folder)
+    if not fs.exists(p):
+        return []
+    pattern = re.compile(re.escape(name) + r"-(\d+)")
+    found = (pattern.fullmatch(s.getPath().getName()) for s in fs.listStatus(p))
+    return sorted((int(m[1]) for m in found if m), reverse=True)
+
+
+def read_note(spark: SparkSession, folder: str, name: str) -> str | None:
+    """Text of the newest complete note, or None.
 
-    The old ``dst`` is first renamed aside, then ``src`` is renamed into place
-    and only then is the old copy deleted; if the second rename fails the old
-    table is put back. On file systems with atomic rename (HDFS, local) readers
-    see the old or the new table except for the instant between two renames.
+    A note that its writer is still writing, or never finished, lacks the closing
+    line feed; the one before it holds.
     """
-    fs, s = _fs(spark, src)
-    _, d = _fs(spark, dst)
-    jvm = spark.sparkContext._jvm
-    parent = d.getParent()
-    if parent is not None and not fs.exists(parent):
-        fs.mkdirs(parent)
-    old = None
-    if fs.exists(d):
-        old = jvm.org.apache.hadoop.fs.Path(sibling_path(dst, "old"))
-        if not fs.rename(d, old):
-            raise OSError(f"could not move the current {dst} aside")
-    if not fs.rename(s, d):
-        if old is not None:
-            fs.rename(old, d)
-        raise OSError(f"could not move {src} to {dst}")
-    if old is not None:
-        fs.delete(old, True)
-
-
-STALE_STAGING_SEC = 24 * 3600
-
-
-def recover_dir(spark: SparkSession, dst: str, *, stale_after_sec: float = STALE_STAGING_SEC) -> None:
-    """Repair what an interrupted :func:`replace_dir` or publish left next to ``dst``.
-
-    * ``dst`` missing but set-aside copies (``_old-<name>-<id>``) present: the
-      driver died between the two renames, so the newest copy (the table that
-      was live) is renamed back to ``dst``.
-    * set-aside copies next to an existing ``dst`` are leftovers of swaps that
-      completed; they are deleted.
-    * staging folders (``_staging-<name>-<id>``) older than ``stale_after_sec``
-      belong to runs that died before promotion; they are deleted. Younger ones
-      are left alone, as they may belong to a run still in progress.
-
-    Only directory metadata is read. Concurrent publishes to the same ``dst``
-    are not supported (as with any static overwrite).
+    for n in _notes(spark, folder, name):
+        text = read_text(spark, f"{folder.rstrip('/')}/{name}-{n:09d}")
+        if text.endswith("\n"):
+            return text[:-1]
+    return None
+
+
+def write_note(spark: SparkSession, folder: str, name: str, text: str) -> None:
+    """Add the next note. Fails if another writer took the same number meanwhile.
+
+    The two notes before it are kept, older ones deleted.
     """
-    fs, d = _fs(spark, dst)
-    parent = d.getParent()
-    if parent is None or not fs.exists(parent):
-        return
-    jvm = spark.sparkContext._jvm
-    name = d.getName()
-    glob_name = re.sub(r"([{}\[\]*?\\])", r"\\\1", name)  # escape glob characters
-
-    def siblings(tag: str) -> list:
-        # The glob is matched JVM-side: only candidate names cross to Python.
-        found = fs.globStatus(jvm.org.apache.hadoop.fs.Path(parent, f"_{tag}-{glob_name}-*")) or []
-        pat = re.compile(rf"_{tag}-{re.escape(name)}-[0-9a-f]{{32}}")
-        return [st for st in found if pat.fullmatch(st.getPath().getName())]
-
-    olds, stagings = siblings("old"), siblings("staging")
-    olds.sort(key=lambda st: st.getModificationTime(), reverse=True)
-    if olds and not fs.exists(d):
-        if not fs.rename(olds[0].getPath(), d):
-            raise OSError(f"could not restore {dst} from {olds[0].getPath().toString()}")
-        olds = olds[1:]
-    for st in olds:
-        fs.delete(st.getPath(), True)
-    cutoff_ms = (time.time() - stale_after_sec) * 1000
-    for st in stagings:
-        if st.getModificationTime() < cutoff_ms:
-            fs.delete(st.getPath(), True)
+    numbers = _notes(spark, folder, name)
+    fs, p = _fs(spark, f"{folder.rstrip('/')}/{name}-{(numbers[0] if numbers else 0) + 1:09d}")
+    out = fs.create(p, False)
+    try:
+        out.write(bytearray(f"{text}\n".encode()))
+    finally:
+        out.close()
+    for n in numbers[2:]:
+        delete(spark, f"{folder.rstrip('/')}/{name}-{n:09d}")
+
+
+# ---------------------------------------------------------------------------
+# Versioned tables
+# ---------------------------------------------------------------------------
+CURRENT = "_current"
+
+
+def new_version(path: str) -> str:
+    """Folder for the files of one publish of the table at ``path``."""
+    return f"{path.rstrip('/')}/v-{uuid.uuid4().hex}"
+
+
+def _state(spark: SparkSession, path: str) -> dict:
+    text = read_note(spark, path, CURRENT)
+    return json.loads(text) if text else {}
+
+
+def current_path(spark: SparkSession, path: str) -> str:
+    """Where the files of the table at ``path`` are: its current version, or, for a
+    folder that was never published to, ``path`` itself."""
+    version = _state(spark, path).get("current")
+    return f"{path.rstrip('/')}/{version}" if version else path
+
+
+def promote(spark: SparkSession, path: str, version: str) -> None:
+    """Make the folder ``version`` (from :func:`new_version`) the table at ``path``.
+
+    The version it replaces is kept, the one before that deleted. Versions that no
+    note mentions belong to other runs and are left alone.
+    """
+    state = _state(spark, path)
+    new = {"current": version.rstrip("/").rpartition("/")[2], "previous": state.get("current")}
+    write_note(spark, path, CURRENT, json.dumps(new))
+    if state.get("previous"):
+        delete(spark, f"{path.rstrip('/')}/{state['previous']}")
+
+
+def clean_table(spark: SparkSession, path: str) -> list[str]:
+    """Delete versions that are neither current nor previous; return their names.
+
+    Only for when no publish to ``path`` is running: they are then what crashed
+    runs left behind.
+    """
+    state = _state(spark, path)
+    if not state:
+        return []
+    keep = {state.get("current"), state.get("previous")}
+    gone = [n for n in list_names(spark, path) if re.fullmatch(r"v-[0-9a-f]{32}", n) and n not in keep]
+    for n in gone:
+        delete(spark, f"{path.rstrip('/')}/{n}")
+    return gone

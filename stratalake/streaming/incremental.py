@@ -13,6 +13,7 @@ makes reruns skip files already processed, and survives driver restarts.
 from __future__ import annotations
 
 import logging
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -22,8 +23,9 @@ from pyspark.sql import types as T
 from ..functions.text import NULL_LABEL
 from ..operators.quality import Check, VerificationError
 from ..plans.stages import EntityColumns, clean_entities, entity_checks, publish
+from ..sources import storage
 from ..sources.schema import with_field
-from ..sources.snapshots import FILE_SCHEMA, LABEL_COL, LABEL_PY_FORMAT, LABEL_REGEX, label_time
+from ..sources.snapshots import FILE_SCHEMA, LABEL_COL, LABEL_REGEX, label_time
 
 log = logging.getLogger(__name__)
 
@@ -31,49 +33,13 @@ MARKER = "_published_label"
 
 
 def _published_label(spark: SparkSession, checkpoint: str) -> str | None:
-    """Label last published from ``checkpoint`` (a one-line file), or None."""
-    from ..sources import storage
-
-    path = f"{checkpoint.rstrip('/')}/{MARKER}"
-    storage.recover_dir(spark, path)  # a crash while the marker was being replaced
-    if not storage.exists(spark, path):
-        return None
-    fs, p = storage._fs(spark, path)
-    if fs.getFileStatus(p).isDirectory():  # marker written as a JSON folder by older versions
-        row = spark.read.schema("label string").json(path).first()
-        return row["label"] if row else None
-    ins = fs.open(p)
-    try:
-        text = spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(ins, "UTF-8")
-    finally:
-        ins.close()
-    return text.strip() or None
+    """Label last published from ``checkpoint``, or None."""
+    return storage.read_note(spark, checkpoint, MARKER)
 
 
 def _mark_published(spark: SparkSession, checkpoint: str, label: str) -> None:
-    """Replace the marker by a staged copy and a swap, so it is never lost half-way.
-
-    The marker is one small file written through the Hadoop file system (no
-    Spark job).
-    """
-    from ..sources import storage
-
-    path = f"{checkpoint.rstrip('/')}/{MARKER}"
-    staging = storage.sibling_path(path, "staging")
-    fs, p = storage._fs(spark, staging)
-    out = fs.create(p, True)
-    try:
-        out.write(bytearray(f"{label}\n".encode("utf-8")))
-    finally:
-        out.close()
-    storage.replace_dir(spark, staging, path)
-
-
-def _label_dt(label: str):
-    import re
-    from datetime import datetime
-
-    return datetime.strptime(re.match(LABEL_REGEX, label).group(1), LABEL_PY_FORMAT)
+    """Add a note with the label; the one before it holds until it is complete."""
+    storage.write_note(spark, checkpoint, MARKER, label)
 
 
 def newest_label(batch: DataFrame, label_col: str = LABEL_COL) -> str | None:
@@ -92,8 +58,8 @@ def newest_label(batch: DataFrame, label_col: str = LABEL_COL) -> str | None:
 
 def _older(label: str, than: str) -> bool:
     """``label`` loses to ``than`` under the latest-snapshot rule (newest time,
-    ties to the smallest name)."""
-    a, b = _label_dt(label), _label_dt(than)
+    ties to the smallest name). The time part has a fixed width: text order is time order."""
+    a, b = (re.match(LABEL_REGEX, x).group(1) for x in (label, than))
     return a < b or (a == b and label > than)
 
 

@@ -159,20 +159,32 @@ def test_observed_verification_matches_verify_and_sits_in_result_stage(spark, tm
     assert plan.index("CollectMetrics") < plan.index("Exchange")  # metrics above the shuffle
 
 
-def test_uniqueness_and_scan_metrics_share_one_pass(spark):
-    """With a uniqueness constraint present, the input is scanned once in total."""
+def test_exchange_on_the_key_carries_only_key_and_count(spark):
+    import re
+
     from .conftest import SF_SMALL
 
-    df = spark.read.parquet(f"{SF_SMALL}/orders.parquet")
-    chk = (Check("o").is_complete("o_orderkey").is_unique("o_orderkey")
-           .has_data_type("o_orderpriority", "String").satisfies("o_totalprice > 0", "positive"))
-    rep = verify(df, chk)
-    plan = rep._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("FileScan parquet") == 1
-    got = {r.constraint: r.metric for r in rep.collect()}
-    assert got["Uniqueness(o_orderkey)"] == 1.0 and got["Completeness(o_orderkey)"] == 1.0
-    # same numbers as the unfused computation
-    sep = {r.constraint: r.metric for r in verify(df, Check("o")
-           .is_complete("o_orderkey").has_data_type("o_orderpriority", "String")
-           .satisfies("o_totalprice > 0", "positive")).collect()}
-    assert all(got[k] == v for k, v in sep.items())
+    orders = spark.read.parquet(f"{SF_SMALL}/orders.parquet")
+    df = orders.selectExpr("o_orderkey AS id", "cast(o_orderkey % 7 as string) AS s", "o_totalprice AS x")
+    chk = Check("c").is_unique("id").is_complete("s").has_data_type("s", "Numeric").satisfies("x >= 0", "x")
+    m = verify(df, chk)
+    plan = m._jdf.queryExecution().executedPlan().toString()
+    on_key = [x for x in re.findall(r"Exchange hashpartitioning\(id.*\n.*HashAggregate\(keys=\[id.*", plan)]
+    assert on_key, plan
+    for x in on_key:
+        functions = re.search(r"functions=\[([^\]]*)\]", x)[1]
+        assert functions == "partial_count(1)", x
+    got = {r.constraint: r.metric for r in m.collect()}
+    assert got["Uniqueness(id)"] == 1.0 and got["DataType(s,Numeric)"] == 1.0 and got["Compliance(x)"] == 1.0
+
+
+def test_checks_of_one_name_keep_their_own_status(bad):
+    """Both ways of deciding agree: a check's status follows its own constraints only."""
+    def both(assertion):
+        one = Check("same").is_complete("id", **assertion)
+        two = Check("same", level="Warning").satisfies("n > 0 OR n IS NULL", "n")
+        return sorted((r.check_level, r.check_status, r.constraint_status) for r in verify(bad, one, two).collect())
+
+    want = [("Error", "Error", "Failure"), ("Warning", "Success", "Success")]
+    assert both({}) == want
+    assert both({"assertion": lambda v: v == 1.0}) == want

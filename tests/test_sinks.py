@@ -105,94 +105,95 @@ def test_hot_partition_value_is_split_over_tasks(spark, tmp_dir):
     assert back.count() == 300000 and back.where("state = 'hot'").count() == 100000
 
 
-def test_replace_dir_swaps_tables(spark, tmp_dir, frame):
-    from stratalake.sources import storage
-
-    target, staged = os.path.join(tmp_dir, "t"), os.path.join(tmp_dir, "s")
-    write_table(frame, target)
-    write_table(frame.limit(2), staged)
-    storage.replace_dir(spark, staged, target)
-    assert read_table(spark, target).count() == 2
-    assert sorted(os.listdir(tmp_dir)) == ["t"]  # staging moved, old copy removed
-    aside = storage.sibling_path(target, "old")
-    assert os.path.dirname(aside) == tmp_dir and os.path.basename(aside).startswith("_old-t-")
-
-
 def test_rebalance_can_be_skipped(spark, tmp_dir, frame):
     write_partitioned(frame, tmp_dir, ["state"], rebalance=False)
     assert read_table(spark, tmp_dir, SCHEMA).count() == len(STATES)
 
 
-def _crash_between_renames(spark, target):
-    """State left when the driver dies after moving the live table aside."""
-    from stratalake.sources import storage
-
-    fs, t = storage._fs(spark, target)
-    aside = storage.sibling_path(target, "old")
-    assert fs.rename(t, spark.sparkContext._jvm.org.apache.hadoop.fs.Path(aside))
-    return aside
+def versions(path):
+    return sorted(n for n in os.listdir(path) if n.startswith("v-"))
 
 
-def test_recover_restores_table_moved_aside(spark, tmp_dir, frame):
+def test_publish_switches_versions_and_keeps_the_one_before(spark, tmp_dir, frame):
+    from stratalake.plans.stages import publish
     from stratalake.sources import storage
 
     target = os.path.join(tmp_dir, "t")
-    write_table(frame, target)
-    _crash_between_renames(spark, target)
-    assert not os.path.exists(target)
-    storage.recover_dir(spark, target)
-    assert read_table(spark, target).count() == len(STATES)
-    assert sorted(os.listdir(tmp_dir)) == ["t"]
+    publish(frame, target, [], partition_cols=["state"])
+    reader = read_table(spark, target, SCHEMA)  # planned before the next publish
+    first = storage.current_path(spark, target)
+    publish(frame.limit(2), target, [])
+    assert read_table(spark, target, SCHEMA).count() == 2
+    assert reader.count() == len(STATES)  # a running reader keeps its files
+    assert len(versions(target)) == 2
+    publish(frame.limit(1), target, [])
+    assert read_table(spark, target, SCHEMA).count() == 1
+    assert len(versions(target)) == 2 and os.path.basename(first) not in versions(target)
+    with pytest.raises(ValueError, match="verify_on"):
+        publish(frame, target, [], verify_on="nowhere")
 
 
-def test_recover_removes_leftovers_of_finished_swaps(spark, tmp_dir, frame):
-    from stratalake.sources import storage
+@pytest.mark.parametrize("verify_on", ["staged", "input"])
+def test_any_failure_removes_its_own_version(spark, tmp_dir, frame, verify_on):
+    from pyspark.sql import functions as F
 
-    target = os.path.join(tmp_dir, "t")
-    write_table(frame, storage.sibling_path(target, "old"))  # swap done, delete never ran
-    write_table(frame.limit(1), target)
-    fresh = storage.sibling_path(target, "staging")  # a run still writing
-    write_table(frame, fresh)
-    storage.recover_dir(spark, target)
-    assert sorted(os.listdir(tmp_dir)) == sorted(["t", os.path.basename(fresh)])
-    assert read_table(spark, target).count() == 1
-    storage.recover_dir(spark, target, stale_after_sec=-1)  # now treat it as abandoned
-    assert sorted(os.listdir(tmp_dir)) == ["t"]
-
-
-def test_publish_recovers_before_writing(spark, tmp_dir, frame):
     from stratalake.operators import Check
     from stratalake.plans.stages import publish
 
     target = os.path.join(tmp_dir, "t")
-    write_table(frame, target)
-    _crash_between_renames(spark, target)
-    publish(frame.limit(3), target, [Check("rows").is_complete("id")])
-    assert read_table(spark, target).count() == 3
-    assert sorted(os.listdir(tmp_dir)) == ["t"]  # restored copy replaced, nothing left beside it
-
+    publish(frame, target, [])
+    before = os.listdir(target)
+    broken = frame.withColumn("id", F.raise_error(F.lit("boom")).cast("string"))
+    with pytest.raises(Exception, match="boom"):
+        publish(broken, target, [Check("c").is_complete("id")], verify_on=verify_on)
+    with pytest.raises(AssertionError):
+        publish(frame, target, [Check("c").satisfies("id = 'none'", "never")], verify_on=verify_on)
+    assert sorted(os.listdir(target)) == sorted(before)
+    assert read_table(spark, target, SCHEMA).count() == len(STATES)
+
+
+def test_clean_deletes_only_what_no_note_mentions(spark, tmp_dir, frame):
+    from stratalake.plans.stages import publish
+    from stratalake.sources import storage
 
-def test_recover_with_glob_characters_in_the_name(spark, tmp_dir, frame):
+    target = os.path.join(tmp_dir, "t")
+    assert storage.clean_table(spark, target) == []
+    publish(frame, target, [])
+    publish(frame.limit(2), target, [])
+    crashed = storage.new_version(target)
+    write_table(frame, crashed)
+    publish(frame.limit(3), target, [])  # leaves the other run's version alone
+    assert os.path.exists(crashed)
+    assert storage.clean_table(spark, target) == [os.path.basename(crashed)]
+    assert read_table(spark, target, SCHEMA).count() == 3 and len(versions(target)) == 2
+
+
+def test_unfinished_note_is_passed_over(spark, tmp_dir):
     from stratalake.sources import storage
 
-    target = os.path.join(tmp_dir, "t[1]{a}")
-    other = os.path.join(tmp_dir, "t1a")  # would match an unescaped pattern
-    write_table(frame, target)
-    write_table(frame, storage.sibling_path(other, "old"))
-    write_table(frame, other)
-    _crash_between_renames(spark, target)
-    storage.recover_dir(spark, target)
-    assert read_table(spark, target).count() == len(STATES)
-    assert len(os.listdir(tmp_dir)) == 3  # the other table's leftover is not touched
+    assert storage.read_note(spark, tmp_dir, "n") is None
+    for text in ("a", "b", "c", "d"):
+        storage.write_note(spark, tmp_dir, "n", text)
+    assert storage.read_note(spark, tmp_dir, "n") == "d"
+    assert len([n for n in os.listdir(tmp_dir) if n.startswith("n-")]) == 3
+    with open(os.path.join(tmp_dir, "n-000000005"), "w") as fh:
+        fh.write("half")  # the writer died
+    assert storage.read_note(spark, tmp_dir, "n") == "d"
+    storage.write_note(spark, tmp_dir, "n", "e")
+    assert storage.read_note(spark, tmp_dir, "n") == "e"
 
 
-def test_publish_without_checks_is_staged_and_swapped(spark, tmp_dir, frame):
-    from stratalake.plans.stages import publish
+def test_plain_folder_is_read_as_it_is(spark, tmp_dir, frame):
+    write_table(frame, tmp_dir)
+    assert read_table(spark, tmp_dir).count() == len(STATES)
 
-    target = os.path.join(tmp_dir, "t")
-    write_table(frame, target)
-    assert publish(frame.limit(2), target, [], partition_cols=["state"]).count() == 0
-    assert read_table(spark, target, SCHEMA).count() == 2
-    assert sorted(os.listdir(tmp_dir)) == ["t"]  # staging moved in, old copy removed
-    with pytest.raises(ValueError, match="verify_on"):
-        publish(frame, target, [], verify_on="nowhere")
+
+def test_no_local_folder_on_a_cluster(spark, monkeypatch):
+    from types import SimpleNamespace
+
+    from stratalake.sources import storage
+
+    sc = SimpleNamespace(getCheckpointDir=lambda: None, master="yarn")
+    fake = SimpleNamespace(sparkContext=sc, conf=SimpleNamespace(get=lambda *a: None))
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        storage.shared_dir(fake)

@@ -7,7 +7,7 @@ from pyspark.sql import types as T
 
 from stratalake.operators import Check, VerificationError
 from stratalake.plans import EntityColumns, entity_checks, run_stage, to_bronze, to_gold, to_silver
-from stratalake.sources import read_table, write_snapshot
+from stratalake.sources import PagedReadError, read_table, write_snapshot
 from stratalake.streaming import incremental_silver
 
 COLS = EntityColumns(kind="venue_type")
@@ -29,6 +29,11 @@ ROWS = [
 ]
 
 
+def tables(path):
+    """Versions and notes under ``path``."""
+    return [n for n in os.listdir(path) if not n.startswith(".")] if os.path.exists(path) else []
+
+
 class Pages:
     def __init__(self, rows, per_page):
         self.rows, self.per_page = rows, per_page
@@ -69,7 +74,7 @@ def test_gate_blocks_publish(spark, tmp_dir):
     write_snapshot(spark.createDataFrame(dup, SCHEMA), bronze, "2024-01-01T00-00")
     with pytest.raises(VerificationError, match="Uniqueness"):
         to_silver(spark, bronze, silver, SCHEMA, cols=COLS)
-    assert not os.path.exists(silver)
+    assert not tables(silver)
 
 
 def test_gate_blocks_publish_input_mode(spark, tmp_dir):
@@ -77,7 +82,7 @@ def test_gate_blocks_publish_input_mode(spark, tmp_dir):
     write_snapshot(spark.createDataFrame(ROWS + [dict(ROWS[0])], SCHEMA), bronze, "2024-01-01T00-00")
     with pytest.raises(VerificationError):
         to_silver(spark, bronze, silver, SCHEMA, cols=COLS, verify_on="input")
-    assert not os.path.exists(silver)
+    assert not tables(silver)
 
 
 def test_empty_label_reference_mode_fails_type_check_downstream(spark, tmp_dir):
@@ -103,6 +108,32 @@ def test_run_stage_template(spark):
     assert out == "done" and calls == [[0, 2, 4]]
     with pytest.raises(ZeroDivisionError):
         run_stage(lambda: 1 / 0, [], lambda d: None)
+    loaded = []
+    with pytest.raises(VerificationError):
+        run_stage(lambda: spark.range(3), [], loaded.append, checks=[Check("c").satisfies("id > 0", "positive")])
+    assert loaded == []
+    run_stage(lambda: spark.range(3), [], loaded.append, checks=[Check("c").is_complete("id")])
+    assert len(loaded) == 1
+
+
+def test_failed_page_leaves_no_snapshot(spark, tmp_dir):
+    class Broken(Pages):
+        calls = 0
+
+        def __call__(self, page, per_page):
+            if page == 2 and not hasattr(self, "probed"):
+                self.probed = True  # the driver's own copy answers once, the tasks' copies fail
+            elif page == 2:
+                raise ConnectionError("down")
+            return super().__call__(page, per_page)
+
+        def __getstate__(self):
+            return {"rows": self.rows, "per_page": self.per_page, "probed": True}
+
+    base = os.path.join(tmp_dir, "b")
+    with pytest.raises(PagedReadError, match="page 2"):
+        to_bronze(spark, Broken(ROWS, 1), base, per_page=1, retries=1, label="2025-01-01T00-00")
+    assert not os.path.exists(os.path.join(base, "dt_extraction=2025-01-01T00-00"))
 
 
 def test_incremental_picks_newest_and_skips_old(spark, tmp_dir):
@@ -145,13 +176,13 @@ def test_command_line_stages(spark, tmp_dir):
     dup_bronze = os.path.join(tmp_dir, "b2")
     write_snapshot(spark.createDataFrame(ROWS + [ROWS[0]], SCHEMA), dup_bronze, "2024-01-01T00-00")
     assert run(["silver", "--bronze", dup_bronze, "--silver", silver, *common], spark) == 2
-    # a gold publish that died between its two renames, repaired from the command line
+    # what a crashed publish left, removed from the command line
     from stratalake.sources import storage
 
-    aside = storage.sibling_path(gold, "old")
-    os.rename(gold, aside)
-    assert run(["recover", "--path", gold], spark) == 0
-    assert read_table(spark, gold).count() == 3 and not os.path.exists(aside)
+    left = storage.new_version(gold)
+    os.makedirs(left)
+    assert run(["clean", "--path", gold], spark) == 0
+    assert read_table(spark, gold).count() == 3 and not os.path.exists(left)
 
 
 def test_silver_from_json_array_file(spark, tmp_dir):
@@ -192,7 +223,7 @@ def test_publish_empty_input_fails_gate_and_writes_nothing(spark, tmp_dir, parts
     target = os.path.join(tmp_dir, "t")
     with pytest.raises(VerificationError, match="Completeness"):
         publish(empty, target, [Check("c").is_complete("id")], partition_cols=parts)
-    assert not os.path.exists(target)
+    assert not tables(target)
 
 
 def test_command_line_bronze_from_url(spark, tmp_dir):
@@ -220,17 +251,16 @@ def test_incremental_gate_failure_does_not_block_later_snapshots(spark, tmp_dir)
     write_snapshot(spark.createDataFrame(ROWS + [ROWS[0]], SCHEMA), bronze, "2024-01-01T00-00")
     with pytest.raises(VerificationError, match="Uniqueness"):
         incremental_silver(spark, bronze, silver, SCHEMA, ckpt, cols=COLS, checks=checks)
-    assert not os.path.exists(silver)
+    assert not tables(silver)
     write_snapshot(spark.createDataFrame(ROWS[1:], SCHEMA), bronze, "2024-01-02T00-00")
     assert incremental_silver(spark, bronze, silver, SCHEMA, ckpt, cols=COLS, checks=checks) == [
         "2024-01-02T00-00"]
     assert sorted(r.id for r in read_table(spark, silver, SCHEMA).collect()) == ["b2", "c3", "d4"]
 
 
-def test_incremental_marker_survives_a_crash_while_replaced(spark, tmp_dir):
-    """If the driver dies while the published-label marker is swapped, the next run
-    restores it, so a late older snapshot still does not replace the table."""
-    from stratalake.sources import storage
+def test_incremental_marker_survives_a_crash_while_written(spark, tmp_dir):
+    """If the driver dies while a marker is written, the one before it holds, so a
+    late older snapshot still does not replace the table."""
     from stratalake.streaming.incremental import MARKER
 
     bronze, silver, ckpt = (os.path.join(tmp_dir, n) for n in ("b", "s", "c"))
@@ -238,26 +268,13 @@ def test_incremental_marker_survives_a_crash_while_replaced(spark, tmp_dir):
     write_snapshot(spark.createDataFrame(ROWS[1:], SCHEMA), bronze, "2024-01-02T00-00")
     assert incremental_silver(spark, bronze, silver, SCHEMA, ckpt, cols=COLS, checks=checks) == [
         "2024-01-02T00-00"]
-    marker = os.path.join(ckpt, MARKER)
-    os.rename(marker, storage.sibling_path(marker, "old"))  # crash between the two renames
+    with open(os.path.join(ckpt, f"{MARKER}-000000002"), "w") as fh:
+        fh.write("2024-0")
     write_snapshot(spark.createDataFrame(ROWS[:1], SCHEMA), bronze, "2023-12-31T00-00")
     assert incremental_silver(spark, bronze, silver, SCHEMA, ckpt, cols=COLS, checks=checks) == []
     assert sorted(r.id for r in read_table(spark, silver, SCHEMA).collect()) == ["b2", "c3", "d4"]
 
 
-def test_published_marker_file_and_legacy_folder(spark, tmp_dir):
-    from stratalake.streaming.incremental import MARKER, _mark_published, _published_label
-
-    assert _published_label(spark, tmp_dir) is None
-    _mark_published(spark, tmp_dir, "2024-01-02T00-00")
-    _mark_published(spark, tmp_dir, "2024-01-03T00-00")  # replaces, leaves nothing beside it
-    assert _published_label(spark, tmp_dir) == "2024-01-03T00-00"
-    assert sorted(n for n in os.listdir(tmp_dir) if not n.startswith(".")) == [MARKER]  # .crc: local FS
-    legacy = os.path.join(tmp_dir, "legacy")
-    spark.createDataFrame([("2024-01-01T00-00",)], "label string").write.json(os.path.join(legacy, MARKER))
-    assert _published_label(spark, legacy) == "2024-01-01T00-00"
-
-
 def test_command_line_incremental_silver(spark, tmp_dir):
     import json
 
