@@ -25,7 +25,7 @@ from .common import groups, remainder, staged, word_hasher
 
 FOLDS = 10
 ESTIMATE_FOLDS = 20  # one in so many training texts is held out for the weights
-BLOCK_TOKENS = 3_000_000
+BLOCK_TOKENS = 2_000_000
 BUCKET_CHARS = 16_000_000  # of text for each bucket of the hash range
 CONTEXTS = 32  # buckets of context frequency
 CELLS = 4  # cells an octave, of the ratios that the weights are learned from
@@ -93,7 +93,12 @@ def _codes(tokens, lengths, size: int):
     return before * size + tokens
 
 
-def _pair_hashes(codes, vocabulary, size: int):
+def hash_bits(chars: int) -> int:
+    """Bits of a pair's hash, growing with the text: about one pair in a million collides."""
+    return min(64, max(40, chars.bit_length() + 18))
+
+
+def _pair_hashes(codes, vocabulary, size: int, bits: int):
     import numpy as np
     import xxhash
 
@@ -101,10 +106,11 @@ def _pair_hashes(codes, vocabulary, size: int):
     h = np.append(vocabulary, begin)[codes // size] * np.uint64(0x9E3779B97F4A7C15)  # fixed value: 2**64 / golden ratio
     h ^= vocabulary[codes % size]
     h = (h ^ (h >> np.uint64(32))) * np.uint64(0x9E3779B97F4A7C15)
-    return h ^ (h >> np.uint64(29))
+    h ^= h >> np.uint64(29)
+    return h & ~np.uint64((1 << (64 - bits)) - 1)
 
 
-def _blocks(buckets: int, block_tokens: int):
+def _blocks(buckets: int, block_tokens: int, bits: int):
     """Stage 1 in a task: texts -> lists for the buckets, and the texts as word numbers."""
 
     def run(batches: Iterator) -> Iterator:
@@ -135,9 +141,10 @@ def _blocks(buckets: int, block_tokens: int):
             flat = np.concatenate(arrays)
             arrays.clear()
             vocabulary, tokens, n = np.unique(flat, return_inverse=True, return_counts=True)
+            del flat
             size = len(vocabulary) + 1
             codes, m = np.unique(_codes(tokens, lengths, size), return_counts=True)
-            hashed = _pair_hashes(codes, vocabulary, size)
+            hashed = _pair_hashes(codes, vocabulary, size, bits)
             order = np.argsort(hashed, kind="stable")
             rows = []
             for kind, keys, counts in ((WORDS, vocabulary, n), (PAIRS, hashed[order], m[order])):
@@ -214,32 +221,36 @@ def _answer(batches: Iterator) -> Iterator:
         yield pd.DataFrame(rows, columns=NAMES)
 
 
-def _assemble(batches: Iterator) -> Iterator:
+def _assemble(bits: int):
     """Stage 3 in a task, rows sorted by (block, kind, dest): one row per block, self-contained."""
-    import numpy as np
-    import pandas as pd
 
-    for (block,), pdf in groups(batches, ["block"]):
-        if block < 0:
-            yield pdf[NAMES]
-            continue
-        kind, payload, fold = pdf["kind"].to_numpy(), pdf["payload"].tolist(), int(pdf["fold"].iloc[0])
-        body = _parts(next(p for p, k in zip(payload, kind) if k == TEXTS))
-        tokens, lengths = (_of_numbers(x).astype(np.int64) for x in body[:2])
-        words = [_parts(p) for p, k in zip(payload, kind) if k == WORDS]
-        pairs = [_parts(p) for p, k in zip(payload, kind) if k == PAIRS]
-        vocabulary = np.concatenate([np.cumsum(_of_numbers(p[-1]), dtype=np.uint64) for p in words])
-        size = len(vocabulary) + 1
-        codes = np.unique(_codes(tokens, lengths, size))
-        order = np.argsort(_pair_hashes(codes, vocabulary, size), kind="stable")
-        counts = []
-        for i in range(2 if fold == ESTIMATE else 1):
-            counts.append(np.concatenate([_of_numbers(p[i]) for p in words]))
-            by_code = np.empty(len(codes), np.uint64)
-            by_code[order] = np.concatenate([_of_numbers(p[i]) for p in pairs])
-            counts.append(by_code)
-        rows = [(0, block, TEXTS, fold, _joined([*body, *map(_numbers, counts)]))]
-        yield pd.DataFrame(rows, columns=NAMES)
+    def run(batches: Iterator) -> Iterator:
+        import numpy as np
+        import pandas as pd
+
+        for (block,), pdf in groups(batches, ["block"]):
+            if block < 0:
+                yield pdf[NAMES]
+                continue
+            kind, payload, fold = pdf["kind"].to_numpy(), pdf["payload"].tolist(), int(pdf["fold"].iloc[0])
+            body = _parts(next(p for p, k in zip(payload, kind) if k == TEXTS))
+            tokens, lengths = (_of_numbers(x).astype(np.int64) for x in body[:2])
+            words = [_parts(p) for p, k in zip(payload, kind) if k == WORDS]
+            pairs = [_parts(p) for p, k in zip(payload, kind) if k == PAIRS]
+            vocabulary = np.concatenate([np.cumsum(_of_numbers(p[-1]), dtype=np.uint64) for p in words])
+            size = len(vocabulary) + 1
+            codes = np.unique(_codes(tokens, lengths, size))
+            order = np.argsort(_pair_hashes(codes, vocabulary, size, bits), kind="stable")
+            counts = []
+            for i in range(2 if fold == ESTIMATE else 1):
+                counts.append(np.concatenate([_of_numbers(p[i]) for p in words]))
+                by_code = np.empty(len(codes), np.uint64)
+                by_code[order] = np.concatenate([_of_numbers(p[i]) for p in pairs])
+                counts.append(by_code)
+            rows = [(0, block, TEXTS, fold, _joined([*body, *map(_numbers, counts)]))]
+            yield pd.DataFrame(rows, columns=NAMES)
+
+    return run
 
 
 def _events(payload: bytes, which: int):
@@ -360,9 +371,10 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", block
     d = docs.select(F.col(id_col).cast("long").alias("doc"), fold.alias("fold"), F.col(text_col).alias("text"))
     chars = d.agg(F.sum(F.length("text"))).first()[0] or 0
     buckets = 1 + int(chars // BUCKET_CHARS)
-    asked = d.mapInPandas(_blocks(buckets, block_tokens), ROW)
+    bits = hash_bits(chars)
+    asked = d.mapInPandas(_blocks(buckets, block_tokens, bits), ROW)
     answered = asked.repartition(buckets, "dest").sortWithinPartitions("dest", "kind", "block").mapInPandas(_answer, ROW)
-    blocks = answered.repartition(buckets, "block").sortWithinPartitions("block", "kind", "dest").mapInPandas(_assemble, ROW)
+    blocks = answered.repartition(buckets, "block").sortWithinPartitions("block", "kind", "dest").mapInPandas(_assemble(bits), ROW)
     blocks = staged(blocks, "lm")
 
     import numpy as np
