@@ -1,0 +1,49 @@
+"""Registered queries of this folder against their SQL, and their columns."""
+
+import os
+import sys
+
+import pytest
+
+from stratalake.llm import queries
+
+from ..conftest import ROOT, SF_ORACLE
+
+sys.path.insert(0, os.path.join(ROOT, "tools"))
+
+CONTRACT = {
+    "op1_language_id": "doc_id bigint, held_out boolean, lang_pred string, score double",
+    "op2_mixing": "doc_id bigint, size bigint, source_size bigint, target double, taken bigint",
+    "op4_packing": "doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, sequence_id bigint, offset bigint",
+    "op5_neighbours": "query_id bigint, rank int, vec_id bigint, score double",
+    "op6_lm_score": "doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, train_tokens bigint, base_score double, score double",
+    "op7_quality": "doc_id bigint, held_out boolean, score double, predicted int",
+    "op8_fingerprint": "doc_id bigint, n_chars bigint, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double",
+    "op9_jaccard": "doc_id bigint, n_shingles bigint, component_id bigint",
+    "op10_toxicity": "doc_id bigint, held_out boolean, score double, predicted int",
+}
+
+
+@pytest.mark.parametrize("name", sorted(queries.ORACLE_SQL))
+def test_oracle_parity(spark, name):
+    from compare_oracle import compare
+
+    rec = compare(spark, SF_ORACLE, [name])[name]
+    assert "error" not in rec, rec.get("error")
+    assert rec["match"] and rec["type_diff"] == [], rec
+
+
+def test_every_operator_is_registered():
+    import __spark_entry__ as entry
+
+    numbers = sorted(int(n.split("_")[0][2:]) for n in queries.QUERIES)
+    assert numbers == list(range(1, 11))
+    assert set(queries.QUERIES) | {"pipeline"} <= set(entry.queries())
+
+
+@pytest.mark.parametrize("name", sorted(CONTRACT))
+def test_columns_on_the_smallest_tables(spark, name):
+    df = queries.QUERIES[name](spark, "/root/testdata/sf0.001")
+    want = [tuple(c.split()) for c in CONTRACT[name].split(", ")]
+    assert df.dtypes[: len(want)] == want
+    assert df.count() >= 5
