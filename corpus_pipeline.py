@@ -45,12 +45,20 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
     Of rows of one id one stays (the smallest text); rows without an id all stay.
     """
-    groups = jaccard.link_groups(docs)
-    first = groups.where("doc_id = component_id").select("doc_id").distinct()
+    groups = jaccard.link_groups(docs).select("doc_id", "component_id")
+    groups = staged(groups, "groups")
+    # the few that go are joined, so that Spark may broadcast them if they are small
+    gone = staged(groups.where("doc_id <> component_id").select("doc_id").distinct(), "gone")
+    kept = docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    twice = groups.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").select("doc_id")
+    twice = staged(twice, "twice")
+    if twice.isEmpty():
+        return kept
     others = [F.col(c) for c in docs.columns if c != "doc_id" and docs.schema[c].dataType.typeName() != "map"]
-    one = Window.partitionBy("doc_id").orderBy("text", *others)
-    kept = docs.join(first, "doc_id", "left_semi").withColumn("_n_of_id", F.row_number().over(one))
-    return kept.where("_n_of_id = 1").select(*docs.columns).unionByName(docs.where(F.col("doc_id").isNull()))
+    first = Window.partitionBy("doc_id").orderBy("text", *others)
+    again = kept.join(twice, "doc_id", "left_semi").withColumn("_n_of_id", F.row_number().over(first))
+    again = again.where("_n_of_id = 1").select(*docs.columns)
+    return kept.join(twice, "doc_id", "left_anti").select(*docs.columns).unionByName(again)
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
