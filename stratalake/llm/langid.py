@@ -36,11 +36,11 @@ def letters(text: str) -> str:
 def learn(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> dict[str, bytes]:
     """One dictionary per language, from rows whose crc32(id) mod ``FOLDS`` is not 0.
 
-    Uses at most ``SAMPLE_TEXTS`` texts of a language (those of smallest hash) and of
+    Uses at most ``SAMPLE_TEXTS`` texts of a language (those of smallest hash of id and text) and of
     each a slice of ``SLICE_CHARS`` characters; a missing text or label teaches nothing.
     """
     text = F.col(text_col)
-    h = F.xxhash64(text)
+    h = F.xxhash64(id_col, text_col)  # with the id, so that copies of a text do not fill a sample
     at = F.pmod(h, F.greatest(F.length(text) - SLICE_CHARS, F.lit(1))).cast("int") + 1
     rows = docs.where(text.isNotNull() & F.col(lang_col).isNotNull() & (remainder(id_col, FOLDS) != 0)).select(
         F.col(lang_col).alias("lang"), h.alias("h"), F.substring(text, at, F.lit(SLICE_CHARS)).alias("piece")
