@@ -10,7 +10,7 @@
    however many copies there are.
 2. Keys met by several tasks connect their documents; connected components of these
    candidate edges hold every linked pair and are small.
-3. Each component is dealt into tiles of at most about ``TILE`` documents. In a tile,
+3. Each component is dealt into tiles of about ``TILE`` shingles. In a tile,
    for pairs of sets not yet in one group: sizes, then bitmap signatures (a hashed bit
    per shingle; bits set in one only are shingles missing in the other, which bounds
    the overlap from above), then the exact intersection of the sorted arrays.
@@ -36,7 +36,7 @@ PERCENT = 85  # links: 100 * intersection >= PERCENT * union
 BAND = 1.5  # ratio of a band's sizes
 FULL = 3  # shingles that make a segment worth a key of its own
 SPARE = 32  # one more segment than needed for each so many shingles, so that thin ones can be left out
-TILE = 512
+TILE = 1_500_000  # shingles of a tile of documents
 FLUSH_KEYS = 2_000_000  # keys held by a task before it settles them
 TEXTS = 500
 
@@ -252,6 +252,10 @@ class Tile:
         for i, s in enumerate(self.sets):
             bit = (s >> np.uint64(8)) % np.uint64(width)
             np.bitwise_or.at(self.maps[i], (bit // np.uint64(64)).astype(np.int64), np.uint64(1) << (bit % np.uint64(64)))
+        # sorted arrays of small numbers, end to end
+        self.ends = np.cumsum(self.n)
+        names, self.flat = np.unique(np.concatenate(self.sets) if self.sets else np.zeros(0, np.uint64), return_inverse=True)
+        self.mine = np.zeros(len(names) + 1, bool)
 
     def candidates(self, i: int, others):
         """Those of ``others`` whose sizes and bitmaps allow a link with i."""
@@ -270,11 +274,22 @@ class Tile:
         theirs_lost = np.bitwise_count(theirs & ~mine).sum(1, dtype=np.int64)
         return others[(np.minimum(a - lost, b - theirs_lost) >= need)]
 
-    def linked(self, i: int, j: int) -> bool:
+    def numbers(self, i: int):
+        return self.flat[self.ends[i] - self.n[i] : self.ends[i]]
+
+    def linked(self, i: int, others):
+        """Those of ``others`` (no empty sets) that are linked with i, by exact intersection."""
         import numpy as np
 
-        same = len(np.intersect1d(self.sets[i], self.sets[j], assume_unique=True))
-        return 100 * same >= self.percent * (len(self.sets[i]) + len(self.sets[j]) - same)
+        if not len(others):
+            return others
+        own = self.numbers(i)
+        self.mine[own] = True
+        sizes = self.n[others]
+        hits = self.mine[np.concatenate([self.numbers(j) for j in others])]
+        self.mine[own] = False
+        same = np.add.reduceat(hits.astype(np.int64), np.cumsum(sizes) - sizes)
+        return others[100 * same >= self.percent * (self.n[i] + sizes - same)]
 
     def links(self, groups, left=None, right=None) -> list[tuple[int, int]]:
         """Links that join different groups (numbers, changed in place), among all or left x right."""
@@ -286,8 +301,8 @@ class Tile:
         for place, i in enumerate(left):
             others = left[:place] if whole else right
             others = others[groups[others] != groups[i]]
-            for j in self.candidates(i, others):
-                if groups[j] != groups[i] and self.linked(i, j):
+            for j in self.linked(i, self.candidates(i, others)):
+                if groups[j] != groups[i]:
                     found.append((int(i), int(j)))
                     groups[groups == groups[j]] = groups[i]
         return found
@@ -327,8 +342,8 @@ def _link_tiles(shingle: int, percent: int, cross: bool):
 
 
 def _tiles(members: DataFrame, tile: int) -> DataFrame:
-    """Adds ``tile``: the documents of a component dealt by hash into tiles of about ``tile``, and ``tiles``."""
-    size = members.groupBy("sc").agg(F.ceil(F.count("*") / tile).cast("int").alias("tiles"))
+    """Adds ``tile``: the documents of a component dealt by hash into tiles of about ``tile`` shingles, and ``tiles``."""
+    size = members.groupBy("sc").agg(F.greatest(F.ceil(F.sum("n") / tile), F.lit(1)).cast("int").alias("tiles"))
     return members.join(size, "sc").withColumn("tile", F.pmod(F.xxhash64("doc"), F.col("tiles")).cast("int"))
 
 
@@ -376,30 +391,32 @@ def link_groups(
     near = rep(rep(near, "a"), "b").where("a <> b").distinct()
     members = components(near).select(F.col("node").alias("doc"), F.col("comp").alias("sc"))
     # the texts of documents that may have links, found once
+    sizes = met.where(F.col("kind") == DOC).select("doc", "n")
+    members = members.join(sizes.groupBy("doc").agg(F.max("n").alias("n")), "doc")
     texts = _tiles(members, tile).withColumn("grp", F.col("doc")).join(known, "doc")
-    texts = staged(texts.select("doc", "sc", "tile", "tiles", "grp", "text"), "jaccard")
+    texts = staged(texts.select("doc", "sc", "tile", "tiles", "grp", "n", "text"), "jaccard")
 
     links = [certain]
     first = staged(_run_tiles(texts, shingle, percent, False), "jaccard")
     links.append(edge(first, SAME))
 
     # components of several tiles: groups' first documents meet
-    wide = texts.where("tiles > 1").select("doc", "sc", "tile", "tiles").distinct().checkpoint()
+    wide = texts.where("tiles > 1").select("doc", "sc", "n", "tile", "tiles").distinct().checkpoint()
     with_text = lambda df: df.join(texts.where("tiles > 1").select("doc", "text"), "doc")
     if not wide.isEmpty():
         state = wide.join(first.where(F.col("kind") == DOC).select("doc", F.col("other").alias("grp")).distinct(), "doc")
-        heads = _tiles(state.where("doc = grp").select("sc", "doc", "grp"), tile)
+        heads = _tiles(state.where("doc = grp").select("sc", "doc", "grp", "n"), tile)
         again = staged(_run_tiles(with_text(heads), shingle, percent, False), "jaccard")
         links.append(edge(again, SAME))
         merged = components(edge(again, SAME)).select(F.col("node").alias("grp"), "comp")
         state = state.join(merged, "grp", "left").withColumn("grp", F.coalesce("comp", "grp")).drop("comp")
         # the largest group of each component, and what is outside of it
-        sizes = state.groupBy("sc", "grp").agg(F.count("*").alias("m"))
-        top = sizes.groupBy("sc").agg(F.max(F.struct("m", F.col("grp").alias("big"))).alias("t"), F.count("*").alias("parts"))
+        by_group = state.groupBy("sc", "grp").agg(F.count("*").alias("m"))
+        top = by_group.groupBy("sc").agg(F.max(F.struct("m", F.col("grp").alias("big"))).alias("t"), F.count("*").alias("parts"))
         top = top.where("parts > 1").select("sc", F.col("t.big").alias("big"))
         state = state.join(top, "sc").checkpoint()
         if not state.isEmpty():
-            out = _tiles(state.where("grp <> big").select("sc", "doc", "grp"), tile)
+            out = _tiles(state.where("grp <> big").select("sc", "doc", "grp", "n"), tile)
             every = state.select("sc", "doc", "grp", "tile", "tiles")
             # each tile of the outside meets each tile of the component: blocks, not pairs
             span = out.groupBy("sc").agg(F.max("tiles").alias("outs")).join(
@@ -431,7 +448,6 @@ def link_groups(
     for more in links[1:]:
         every = every.unionByName(more)
     comp = components(every)
-    sizes = met.where(F.col("kind") == DOC).select("doc", "n")
     nulls = d.where(F.col("doc").isNull()).mapInPandas(_sizes(shingle), "n long")
     return (
         sizes.join(comp, F.col("doc") == F.col("node"), "left")
