@@ -4,8 +4,8 @@
    cut into bands. Two linked sets differ in so few shingles that, if a band's hash
    range is cut into one segment more than that, some segment is the same in both
    (pigeonhole): its content is a key, and linked sets share a key. There are some
-   segments more than that, so that thin ones, which a common line alone may fill, need
-   no key. Sets near a band's end also make the keys of the next band. Keys met twice within a task are settled
+   segments more than that, so that thin ones, and those of shingles that many texts
+   share (lines, passages), mostly need no key. Sets near a band's end also make the keys of the next band. Keys met twice within a task are settled
    there (the later document points to the earlier one), so a key leaves a task once,
    however many copies there are.
 2. Keys met by several tasks connect their documents; connected components of these
@@ -34,8 +34,9 @@ from .common import components, groups, staged, word_hasher
 SHINGLE = 4
 PERCENT = 85  # links: 100 * intersection >= PERCENT * union
 BAND = 1.5  # ratio of a band's sizes
-FULL = 3  # shingles that make a segment worth a key of its own
 SPARE = 32  # one more segment than needed for each so many shingles, so that thin ones can be left out
+SAMPLE, SAMPLE_TASKS = 20_000, 4  # texts in which common shingles are looked for
+COMMON = 0.001  # of these texts
 TILE = 1_500_000  # shingles of a tile of documents
 FLUSH_KEYS = 2_000_000  # keys held by a task before it settles them
 TEXTS = 500
@@ -93,13 +94,25 @@ class Bands:
         p = self.percent
         return (100 - p) * (a + b) // (100 + p)
 
-    def keys(self, s) -> list:
-        """Arrays of keys, one per band that a set may meet a partner in."""
+    def keys(self, s, common=()) -> list:
+        """Arrays of keys, one per band that a set may meet a partner in.
+
+        Shingles are dealt into ``segments`` segments by hash, common ones into as many
+        of their own. At least 2 * segments - differ() of these are the same in a
+        partner, so a set may leave out all but differ() + 1 of them. In this order:
+        (a) the common segments and those of fewer than 3, 2 or 1 shingles, (b) the
+        empty ones, (c) none. Of two partners, what the choice of the one that leaves
+        out more is sure to have in common, the other has not left out either.
+        """
         import numpy as np
 
         n = len(s)
         own = self.band(n)
         largest = 100 * n // self.percent  # partner
+        usual = np.zeros(n, bool)
+        if len(common):
+            at = np.minimum(np.searchsorted(common, s), len(common) - 1)
+            usual = common[at] == s
         out = []
         for band in range(own, self.band(largest) + 1):
             high = self.lows[band + 1] if band + 1 < len(self.lows) else None
@@ -107,33 +120,63 @@ class Bands:
                 self.band(self.lows[band])
                 high = self.lows[band + 1]
             segments = self.differ(high - 1, high - 1) + 1 + -(-high // SPARE)
+            spare = segments - self.differ(n, min(largest, high - 1)) - 1
             seg = (s >> np.uint64(16)) % np.uint64(segments)
+            seg[usual] += np.uint64(segments)
             order = np.argsort(seg, kind="stable")
             seg, sets = seg[order], s[order]
             start = np.flatnonzero(np.append(True, seg[1:] != seg[:-1]))
             used = seg[start]
             body = np.add.reduceat(sets * (sets | np.uint64(1)), start) ^ np.bitwise_xor.reduceat(sets, start)
-            # at least segments - differ() segments are the same in a partner; if fewer than
-            # that are thin, one of the full ones is, and thin segments need no key
-            full = np.diff(np.append(start, n)) >= FULL
-            spare = segments - self.differ(n, min(largest, high - 1)) - 1
-            if segments - int(full.sum()) <= spare:
-                used, body = used[full], body[full]
+            size = np.where(used < segments, np.diff(np.append(start, n)), 0)
+            for least in (3, 2, 1):
+                full = size >= least
+                if segments - int(full.sum()) <= spare:
+                    used, body = used[full], body[full]
+                    break
             else:
-                empty = np.setdiff1d(np.arange(segments, dtype=np.uint64), used)
-                body = np.concatenate((body, np.zeros(len(empty), np.uint64)))
-                used = np.concatenate((used, empty))
+                if 2 * segments - len(used) > segments + spare:
+                    empty = np.setdiff1d(np.arange(2 * segments, dtype=np.uint64), used)
+                    body = np.concatenate((body, np.zeros(len(empty), np.uint64)))
+                    used = np.concatenate((used, empty))
             where = np.uint64(band) * np.uint64(0x100000001B3) + used
             k = (body ^ (where * np.uint64(0x9E3779B97F4A7C15))) * np.uint64(0xD6E8FEB86659FD93)  # odd, fixed
             out.append(k ^ (k >> np.uint64(32)))
         return out
 
 
+def common_shingles(known: DataFrame, shingle: int):
+    """Sorted hashes of shingles in at least ``COMMON`` of a sample of about ``SAMPLE`` texts.
+
+    Only steers which keys are made: any set gives the same, exact result. At most the
+    sample's shingles / (COMMON * SAMPLE) hashes, so it may go to every task.
+    """
+    import numpy as np
+
+    def count(batches: Iterator) -> Iterator:
+        import pandas as pd
+
+        sets = shingle_sets(shingle)
+        for pdf in batches:
+            found = [sets(t) for t in pdf["text"].tolist()]
+            if found:
+                names, n = np.unique(np.concatenate(found), return_counts=True)
+                some = n > 1
+                yield pd.DataFrame({"s": names[some].view(np.int64), "n": n[some]})
+
+    total = known.count()
+    sample = known.where(F.pmod(F.xxhash64("doc"), F.lit(max(1, total // SAMPLE))) == 0).select("text")
+    least = max(4, int(COMMON * min(total, SAMPLE)))
+    counts = sample.repartition(SAMPLE_TASKS).mapInPandas(count, "s long, n long").groupBy("s").agg(F.sum("n").alias("n"))
+    got = [r["s"] for r in counts.where(F.col("n") >= least).select("s").collect()]
+    return np.sort(np.array(got, np.int64).view(np.uint64))
+
+
 #: kinds of rows that step 1 makes
 DOC, SAME, NEAR, KEY, SET = range(5)
 
 
-def _sketch(shingle: int, percent: int):
+def _sketch(shingle: int, percent: int, common=()):
     """Step 1 in a task: (key, doc, other, n, kind) rows."""
 
     def run(batches: Iterator) -> Iterator:
@@ -197,7 +240,7 @@ def _sketch(shingle: int, percent: int):
                         continue
                     reps.append(doc)
                     digests.append(raw)
-                    for k in bands.keys(s):
+                    for k in bands.keys(s, common):
                         keys.append(k)
                         owners.append(np.full(len(k), doc, np.int64))
                         held += len(k)
@@ -372,7 +415,8 @@ def link_groups(
     """
     d = docs.select(F.col(id_col).cast("long").alias("doc"), F.col(text_col).alias("text"))
     known = d.where(F.col("doc").isNotNull())
-    rows = known.mapInPandas(_sketch(shingle, percent), "key long, doc long, other long, n long, kind byte")
+    common = common_shingles(known, shingle)
+    rows = known.mapInPandas(_sketch(shingle, percent, common), "key long, doc long, other long, n long, kind byte")
     met = rows.repartition("key").sortWithinPartitions("key", "kind", "other", "doc").mapInPandas(
         _meet, "doc long, other long, n long, kind byte"
     )

@@ -95,10 +95,14 @@ def test_chain_of_near_copies(spark):
     assert len({c for *_, c in run(spark, rows, tile=200)}) == 1
 
 
-def test_linked_sets_share_a_key():
+@pytest.mark.parametrize("share", [0, 0.2, 0.7, 1])
+def test_linked_sets_share_a_key(share):
+    """Whatever shingles are taken as common."""
     r = random.Random(5)
     bands = jaccard.Bands(85)
     pool = np.array([r.getrandbits(64) for _ in range(5000)], np.uint64)
+    common = np.sort(pool[: int(share * len(pool))])
+    links = 0
     for _ in range(1500):
         n = r.choice([1, 2, 5, 6, 7, 9, 13, 18, 19, 28, 40, 63, 100, 300])
         a = np.array(r.sample(list(pool), n), np.uint64)
@@ -106,8 +110,10 @@ def test_linked_sets_share_a_key():
         b = np.concatenate((b, np.array([r.getrandbits(64) for _ in range(r.randrange(n // 8 + 1))], np.uint64)))
         both = len(np.intersect1d(a, b))
         if len(b) and 100 * both >= 85 * (len(a) + len(b) - both):
-            keys = [set(np.concatenate(bands.keys(np.unique(x))).tolist()) for x in (a, b)]
+            links += 1
+            keys = [set(np.concatenate(bands.keys(np.unique(x), common)).tolist()) for x in (a, b)]
             assert keys[0] & keys[1]
+    assert links > 500
 
 
 def test_bitmaps_bound_the_overlap():
