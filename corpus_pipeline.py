@@ -16,6 +16,9 @@ from stratalake.llm import jaccard, langid, mixing, packing
 from stratalake.llm import quality as quality_op
 from stratalake.llm.common import read_table, staged
 
+#: Near copies have at least 80 % of their five-word shingles in common (the query op9_jaccard has its own numbers).
+SHINGLE, PERCENT = 5, 80
+
 
 def _where(docs: DataFrame, judge: Callable[[DataFrame, str, list], DataFrame], stays: Column) -> DataFrame:
     """Rows of ``docs`` that ``judge`` (frame, text column, columns to keep) lets stay.
@@ -41,11 +44,11 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of linked documents the one with the smallest id stays.
+    """Of each group of linked documents (``SHINGLE``, ``PERCENT``) the one with the smallest id stays.
 
     Of rows of one id one stays (the smallest text); rows without an id all stay.
     """
-    groups = jaccard.link_groups(docs).select("doc_id", "component_id")
+    groups = jaccard.link_groups(docs, shingle=SHINGLE, percent=PERCENT).select("doc_id", "component_id")
     groups = staged(groups, "groups")
     # the few that go are joined, so that Spark may broadcast them if they are small
     gone = staged(groups.where("doc_id <> component_id").select("doc_id").distinct(), "gone")
