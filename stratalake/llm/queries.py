@@ -19,9 +19,10 @@ def q_op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from .mixing import mix
+    from .mixing import PASSES, mix
 
-    return mix(read_table(spark, sf_dir, "documents"))
+    # as many passes as its SQL has
+    return mix(read_table(spark, sf_dir, "documents"), passes=PASSES)
 
 
 def q_op3_preference(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,0 +1,33 @@
+"""The draw against a walk through the ranks that takes whatever fits, on sources with very long documents."""
+
+import random
+
+from stratalake.llm import mixing
+
+from . import test_mixing
+
+
+def corpus(seed):
+    """A source of many short and some very long documents, sizes log-uniform."""
+    r = random.Random(seed)
+    sizes = [int(10 ** r.uniform(0, 1.5)) for _ in range(300)] + [int(10 ** r.uniform(1.5, 4)) for _ in range(20)]
+    r.shuffle(sizes)
+    rows = [(seed * 1000 + i, "w " * n, "long") for i, n in enumerate(sizes)]
+    return rows + [(10**6 + i, "w " * r.randint(1, 50), "short") for i in range(100)] + [(None, "", "long"), (None, "a b", None)]
+
+
+def test_nothing_more_fits(spark, monkeypatch):
+    for seed in (4, 5):
+        rows = corpus(seed)
+        got = test_mixing.run(spark, rows)
+        with monkeypatch.context() as m:
+            m.setattr(mixing, "PASSES", len(rows))  # of the plain-Python version only: until nothing fits
+            want = test_mixing.brute(rows)
+        assert sum(a != b for a, b in zip(got, want)) == 0 and len(got) == len(want)
+        for s in {x[5] for x in got}:
+            own = [x for x in got if x[5] == s]
+            size, target = own[0][2], own[0][3]
+            left = target - sum(x[4] for x in own)
+            whole = int(target / size)
+            undrawn = [n for _, n, _, _, taken, _ in own if n and taken == whole * n]
+            assert left >= 0 and all(n > left for n in undrawn)
