@@ -227,13 +227,14 @@ def _sketch(shingle: int, percent: int, common=()):
         for pdf in batches:
             for at in range(0, len(pdf), TEXTS):
                 part = pdf.iloc[at : at + TEXTS]
-                docs, sizes, same, reps, digests = part["doc"].to_numpy(), [], [], [], []
+                docs, sizes, names, same, reps, digests = part["doc"].to_numpy(), [], [], [], [], []
                 for doc, text in zip(docs.tolist(), part["text"].tolist()):
                     s = sets(text)
+                    raw = xxhash.xxh3_128_digest(s.tobytes())
                     sizes.append(len(s))
+                    names.append(int.from_bytes(raw[:8], "little", signed=True))
                     if not len(s):
                         continue
-                    raw = xxhash.xxh3_128_digest(s.tobytes())
                     rep = first.setdefault(raw, doc)
                     if rep != doc:
                         same.append((doc, rep))
@@ -244,7 +245,7 @@ def _sketch(shingle: int, percent: int, common=()):
                         keys.append(k)
                         owners.append(np.full(len(k), doc, np.int64))
                         held += len(k)
-                yield frame(DOC, docs, docs, n=sizes)
+                yield frame(DOC, docs, docs, names, sizes)  # other: 64 bits of the set
                 if same:
                     a = np.array(same)
                     yield frame(SAME, a[:, 0], a[:, 0], a[:, 1])
@@ -425,8 +426,16 @@ def link_groups(
     certain = edge(met, SAME)
     near = edge(met, NEAR)
 
-    # documents of one set are one; candidate edges between those that stand for sets
-    same = components(certain).withColumnRenamed("comp", "rep").checkpoint()
+    # documents of one set are one, unless one of them has rows of other sets, which nobody else
+    # would stand for; candidate edges between those that stand for sets
+    several = met.where((F.col("kind") == DOC) & (F.col("n") > 0)).groupBy("doc")
+    several = several.agg(F.min("other").alias("low"), F.max("other").alias("high")).where("low <> high").select("doc")
+    several = staged(several, "jaccard")
+    alike = certain
+    if not several.isEmpty():
+        for c in ("a", "b"):
+            alike = alike.join(several.withColumnRenamed("doc", c), c, "left_anti").select("a", "b")
+    same = components(alike).withColumnRenamed("comp", "rep").checkpoint()
     rep = lambda df, c: (
         df.join(same.select(F.col("node").alias(c), F.col("rep").alias(f"r{c}")), c, "left")
         .withColumn(c, F.coalesce(f"r{c}", c))
