@@ -176,3 +176,124 @@ def map_texts(df: DataFrame, text_col: str, keep: list | None, make: Callable, a
 
 
 SLICE = 500
+
+
+class Remembered:
+    """Arrays computed from words, remembered: each word's slice of one array per column.
+
+    ``make(words)`` returns how many items each word has and the items of all of them,
+    one array a column. When about ``limit`` words are held, those met in one batch only
+    since the last time are forgotten, and of the others the least met beyond half the
+    limit. A forgotten word is made again: memory is bounded, results never change.
+    """
+
+    def __init__(self, make: Callable, limit: int):
+        self.make, self.limit = make, limit
+        self.row: dict[str, int] = {}
+        self.n = self.items = 0
+        self.first = self.held = self.met = None
+        self.columns: list = []
+
+    def rows(self, words: list[str]):
+        """Row numbers of distinct words, good until the next call."""
+        import numpy as np
+
+        got = list(map(self.row.get, words))
+        new = [w for w, r in zip(words, got) if r is None]
+        if new and self.n + len(new) > self.limit and self.n:
+            self._forget()
+            got = list(map(self.row.get, words))
+            new = [w for w, r in zip(words, got) if r is None]
+        if new:
+            held, *columns = self.make(new)
+            held = np.asarray(held, np.int64)
+            if self.first is None:
+                self.first, self.held, self.met = (np.zeros(0, t) for t in (np.int64, np.int64, np.int32))
+                self.columns = [c[:0] for c in columns]
+            first = self.items + np.cumsum(held) - held
+            self.first, self.held = self._put(self.first, first, self.n), self._put(self.held, held, self.n)
+            self.met = self._put(self.met, np.zeros(len(new), np.int32), self.n)
+            self.columns = [self._put(old, c, self.items) for old, c in zip(self.columns, columns)]
+            self.row.update(zip(new, range(self.n, self.n + len(new))))
+            self.n, self.items = self.n + len(new), self.items + int(held.sum())
+            got = list(map(self.row.__getitem__, words))
+        rows = np.array(got, np.int64)
+        if len(rows):
+            self.met[rows] += 1
+        return rows
+
+    def expand(self, rows):
+        """Items of the rows, end to end: their places in ``columns``; and how many each has."""
+        import numpy as np
+
+        if self.first is None or not len(rows):
+            return np.zeros(0, np.int64), np.zeros(len(rows), np.int64)
+        many = self.held[rows]
+        return np.repeat(self.first[rows] - (np.cumsum(many) - many), many) + np.arange(many.sum()), many
+
+    @staticmethod
+    def _put(old, new, at: int):
+        import numpy as np
+
+        if at + len(new) > len(old):
+            grown = np.zeros(max(2 * len(old), at + len(new)), old.dtype)
+            grown[:at] = old[:at]
+            old = grown
+        old[at : at + len(new)] = new
+        return old
+
+    def _forget(self) -> None:
+        import numpy as np
+
+        met = self.met[: self.n]
+        keep = np.flatnonzero(met > 1)
+        if len(keep) > self.limit // 2:
+            most = np.argpartition(-met[keep], self.limit // 2)[: self.limit // 2]
+            keep = np.sort(keep[most])
+        words = list(self.row)
+        items, held = self.expand(keep)
+        self.columns = [c[items] for c in self.columns]
+        self.first, self.held = np.cumsum(held) - held, held
+        self.met = np.zeros(len(keep), np.int32)
+        self.row = {words[r]: i for i, r in enumerate(keep.tolist())}
+        self.n, self.items = len(keep), len(items)
+
+
+def translated(texts, table: bytes):
+    """Arrow strings with each byte replaced by ``table`` (null: empty)."""
+    import numpy as np
+    import pyarrow as pa
+    import pyarrow.compute as pc
+
+    texts = pc.fill_null(texts.cast(pa.large_string()), "")
+    _, ends, data = texts.buffers()
+    ends = np.frombuffer(ends, np.int64)[texts.offset : texts.offset + len(texts) + 1] if len(texts) else np.zeros(1, np.int64)
+    raw = data.slice(int(ends[0]), int(ends[-1] - ends[0])).to_pybytes() if data is not None else b""
+    return pa.Array.from_buffers(
+        pa.large_string(), len(texts), [None, pa.py_buffer(ends - ends[0]), pa.py_buffer(raw.translate(table))]
+    )
+
+
+def stretches(texts):
+    """Arrow strings cut at spaces: how many stretches each has (empty ones included),
+    the number of each stretch among the distinct ones, and these."""
+    import numpy as np
+    import pyarrow as pa
+    import pyarrow.compute as pc
+
+    cut = pc.split_pattern(pc.fill_null(texts.cast(pa.large_string()), ""), " ")
+    flat = pc.dictionary_encode(cut.flatten())
+    return np.diff(np.asarray(cut.offsets)), np.asarray(flat.indices), flat.dictionary.to_numpy(zero_copy_only=False).tolist()
+
+
+def by_bytes(batch, column: int, most: int) -> Iterator:
+    """Slices of a batch that hold about ``most`` bytes of text each (a longer text is alone or last)."""
+    import numpy as np
+    import pyarrow.compute as pc
+
+    if not batch.num_rows:
+        return
+    size = np.asarray(pc.fill_null(pc.binary_length(batch.column(column)), 0)).astype(np.int64)
+    cuts = [0, *(np.flatnonzero(np.diff(np.cumsum(size) // most)) + 1).tolist(), batch.num_rows]
+    for at, to in zip(cuts, cuts[1:]):
+        yield batch.slice(at, to - at)

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from . import resampling
 from .common import read_table, remainder
 
 
@@ -86,6 +87,12 @@ def q_op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score(docs, learn(docs, read_table(spark, sf_dir, "labels")), keep=["doc_id", held])
 
 
+def q_op11_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .resampling import resample
+
+    return resample(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
 QUERIES = {
     "op1_language_id": q_op1_language_id,
     "op2_mixing": q_op2_mixing,
@@ -97,6 +104,7 @@ QUERIES = {
     "op8_fingerprint": q_op8_fingerprint,
     "op9_jaccard": q_op9_jaccard,
     "op10_toxicity": q_op10_toxicity,
+    "op11_resampling": q_op11_resampling,
 }
 
 #: Sizes, targets and the Pareto order sample itself, with plain windows.
@@ -184,4 +192,5 @@ ORACLE_SQL: dict[str, str] = {
     "op2_mixing": _MIX,
     "op3_preference": _PREFERENCE,
     "op9_jaccard": _JACCARD,
+    "op11_resampling": resampling.SQL,
 }

@@ -21,6 +21,7 @@ CONTRACT = {
     "op8_fingerprint": "doc_id bigint, n_chars bigint, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double",
     "op9_jaccard": "doc_id bigint, n_shingles bigint, component_id bigint",
     "op10_toxicity": "doc_id bigint, held_out boolean, score double, predicted int",
+    "op11_resampling": "doc_id bigint, n_features bigint, weight bigint, score bigint, rank bigint",
 }
 
 
@@ -37,7 +38,7 @@ def test_every_operator_is_registered():
     import __spark_entry__ as entry
 
     numbers = sorted(int(n.split("_")[0][2:]) for n in queries.QUERIES)
-    assert numbers == list(range(1, 11))
+    assert numbers == list(range(1, 12))
     assert set(queries.QUERIES) | {"pipeline"} <= set(entry.queries())
 
 
