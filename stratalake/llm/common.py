@@ -111,6 +111,25 @@ def components(edges: DataFrame) -> DataFrame:
     )
 
 
+#: A key counts as heavy if more than one in so many rows have it; so there are fewer heavy keys than this.
+HEAVY = 1000
+
+
+def join_unique(rows: DataFrame, unique: DataFrame, on: list[str], many: str, how: str) -> DataFrame:
+    """``rows`` joined (inner or left) with a table that has each key once.
+
+    Column ``many`` of ``unique`` says how many of the rows have its key. Heavy keys,
+    fewer than ``HEAVY`` whatever the input, are joined by broadcast, the others by
+    a shuffle in which none of them weighs much. ``unique`` should be narrow; both are read twice.
+    """
+    unique = staged(unique, "unique")
+    total = unique.agg(F.sum(many)).first()[0] or 0
+    heavy = F.col(many) > total / HEAVY
+    few = unique.where(heavy)
+    met = rows.join(F.broadcast(few), on)
+    return met.unionByName(rows.join(F.broadcast(few.select(*on)), on, "left_anti").join(unique.where(~heavy), on, how))
+
+
 def word_hasher(limit: int = 400_000) -> Callable[[list[str]], list[int]]:
     """64-bit hashes of words, remembered up to ``limit`` words (then forgotten, never wrong)."""
     import xxhash

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import resampling
+from . import resampling, trie
 from .common import read_table, remainder
 
 
@@ -88,9 +88,11 @@ def q_op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_op11_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from .resampling import resample
+    return resampling.resample(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
 
-    return resample(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+def q_op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return trie.rebuilt_trie(read_table(spark, sf_dir, "conversations"))
 
 
 QUERIES = {
@@ -105,6 +107,7 @@ QUERIES = {
     "op9_jaccard": q_op9_jaccard,
     "op10_toxicity": q_op10_toxicity,
     "op11_resampling": q_op11_resampling,
+    "op12_prefix_trie": q_op12_prefix_trie,
 }
 
 #: Sizes, targets and the Pareto order sample itself, with plain windows.
@@ -193,4 +196,5 @@ ORACLE_SQL: dict[str, str] = {
     "op3_preference": _PREFERENCE,
     "op9_jaccard": _JACCARD,
     "op11_resampling": resampling.SQL,
+    "op12_prefix_trie": trie.SQL,
 }

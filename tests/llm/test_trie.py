@@ -1,0 +1,113 @@
+"""Prefix trie of conversations against plain Python that lists every path."""
+
+import hashlib
+import random
+import re
+import zlib
+
+import pytest
+
+from stratalake.llm import common, trie
+
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+SCHEMA = "conv_id long, turn long, role string, text string, depth string, pos string, n string, said string, key string"
+
+
+def frame(spark, rows):
+    return spark.createDataFrame([(*r, "x", "y", "z", "u", "v") for r in rows], SCHEMA).repartition(4)
+
+
+def in_order(rows):
+    convs: dict = {}
+    for c, turn, role, text in rows:
+        if c is not None:
+            role, text = role or "", text or ""
+            tie = hashlib.md5(f"{len(role)}:{role}{text}".encode()).digest()
+            convs.setdefault(c, []).append(((turn is not None, turn or 0, tie), (role, text)))
+    return {c: [t for _, t in sorted(v, key=lambda x: x[0])] for c, v in convs.items()}
+
+
+def rebuilt(convs):
+    out = {}
+    for c, own in convs.items():
+        h = zlib.crc32(str(c).encode()) % 4
+        base = c - (abs(c) % 20) * (1 if c >= 0 else -1)
+        out[c] = convs.get(base, [])[:h] + own[h:]
+    return out
+
+
+def plain(convs):
+    nodes: dict = {}
+    for c, turns in convs.items():
+        for d in range(len(turns) + 1):
+            nodes.setdefault(tuple(turns[:d]), []).append(c)
+    kids: dict = {}
+    for p in nodes:
+        if p:
+            kids[p[:-1]] = kids.get(p[:-1], 0) + 1
+    leaves, saved = dict.fromkeys(nodes, 0), dict.fromkeys(nodes, 0)
+    for p, members in nodes.items():
+        add = (len(members) - 1) * len(WORD.findall(p[-1][1])) if p else 0
+        for i in range(len(p) + 1):
+            saved[p[:i]] += add
+            leaves[p[:i]] += p not in kids
+    rows = []
+    for p, members in nodes.items():
+        ends = ",".join(str(c) for c in sorted(m for m in members if len(convs[m]) == len(p)))
+        rows.append((
+            min(members), len(p), min(nodes[p[:-1]]) if p else None, len(members), kids.get(p, 0), leaves[p], saved[p],
+            hashlib.sha256(ends.encode()).hexdigest(),
+        ))
+    return sorted(rows, key=lambda r: (r[0], r[1]))
+
+
+def of(df):
+    return sorted(map(tuple, df.collect()), key=lambda r: (r[0], r[1]))
+
+
+def sample(seed, n=60):
+    """Conversations that share beginnings of many lengths, some alike, some within others."""
+    rng = random.Random(seed)
+    say = ["", "hi", "hi there you", " \t", "a b", None]
+    rows = []
+    for c in range(-5, n):
+        if rng.random() < 0.1:
+            continue
+        for turn in range(rng.choice([1, 2, 3, 4, 5, 8, 9, 13])):
+            role = ["user", "assistant"][turn % 2] if rng.random() < 0.95 else None
+            rows.append((c, turn * 3, role, say[min(len(say) - 1, int(rng.expovariate(1.6)))]))
+    return rows
+
+
+ODD = [
+    (None, 0, "user", "lost"), (1, None, "user", "b"), (1, None, "user", "a"), (1, -4, None, None), (1, 7, "user", "a"), (1, 7, "user", "a"),
+    (21, 0, "user", "short"), (22, 0, "user", "x"), (9, 5, "user", "long " * 30_000), (-40, 0, "a", "b"), (-41, 1, "a", "b"), (-41, 2, "c", "d"),
+]
+
+
+@pytest.mark.parametrize("block,slot,heavy", [(4, 256, 1000), (3, 6, 4)])
+def test_against_plain_python(spark, monkeypatch, block, slot, heavy):
+    rows = sample(block) + ODD
+    monkeypatch.setattr(trie, "BLOCK", block)
+    monkeypatch.setattr(trie, "SLOT", slot)
+    monkeypatch.setattr(common, "HEAVY", heavy)
+    convs = in_order(rows)
+    assert of(trie.rebuilt_trie(frame(spark, rows))) == plain(rebuilt(convs))
+
+
+def test_long_and_alike(spark):
+    """Turns over many slots, numbered with gaps: two alike but for one turn, one that stops early.
+    And more members that end in one node than fit into a run of ids."""
+    long = [(k * 5, "user", f"w{k} x") for k in range(700)]
+    rows = [(c, t, r, x) for c in (3, 9) for t, r, x in long]
+    rows += [(5, t, r, x if t != 2000 else "other") for t, r, x in long] + [(8, t, r, x) for t, r, x in long[:600]]
+    rows += [(c * 7 + 14, t, "user", "same words") for c in range(600) for t in range(2)] + [(1, 0, "user", "same words")]
+    assert of(trie.prefix_trie(frame(spark, rows))) == plain(in_order(rows))
+
+
+def test_empty_and_turnless(spark):
+    assert of(trie.rebuilt_trie(frame(spark, []))) == []
+    alone = next(c for c in range(21, 40) if zlib.crc32(str(c).encode()) % 4)
+    rows = [(alone, 0, "user", "gone")]
+    assert of(trie.rebuilt_trie(frame(spark, rows))) == plain(rebuilt(in_order(rows)))
+    assert of(trie.rebuilt_trie(frame(spark, rows)))[0][1:6] == (0, None, 1, 0, 1)
