@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import resampling, trie
+from . import resampling, trie, warc
 from .common import read_table, remainder
 
 
@@ -95,6 +95,10 @@ def q_op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return trie.rebuilt_trie(read_table(spark, sf_dir, "conversations"))
 
 
+def q_op13_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.archived(read_table(spark, sf_dir, "pages"))
+
+
 QUERIES = {
     "op1_language_id": q_op1_language_id,
     "op2_mixing": q_op2_mixing,
@@ -108,6 +112,7 @@ QUERIES = {
     "op10_toxicity": q_op10_toxicity,
     "op11_resampling": q_op11_resampling,
     "op12_prefix_trie": q_op12_prefix_trie,
+    "op13_warc": q_op13_warc,
 }
 
 #: Sizes, targets and the Pareto order sample itself, with plain windows.
@@ -197,4 +202,5 @@ ORACLE_SQL: dict[str, str] = {
     "op9_jaccard": _JACCARD,
     "op11_resampling": resampling.SQL,
     "op12_prefix_trie": trie.SQL,
+    "op13_warc": warc.SQL,
 }

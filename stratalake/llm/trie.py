@@ -128,6 +128,12 @@ def _key(at: Column) -> Column:
     return F.struct(F.xxhash64(F.lit(3), *base, some).alias("a"), F.xxhash64(F.lit(4), *base, some).alias("b"))
 
 
+def _root_key() -> Column:
+    """What :func:`_key` gives at the start of every conversation."""
+    none, zero = F.array().cast("array<binary>"), _long(0)
+    return F.struct(F.xxhash64(F.lit(3), zero, zero, none).alias("a"), F.xxhash64(F.lit(4), zero, zero, none).alias("b"))
+
+
 def _blocks(slots: DataFrame, *extra: str) -> DataFrame:
     """One row a block: conv_id, depth and prefix before it, keys, words of its turns, ``said`` words before each, ends."""
     rows = slots.withColumn("at", F.explode(F.sequence(F.lit(0), F.size("digests") - 1, F.lit(BLOCK))))
@@ -212,7 +218,6 @@ def trie(turns: DataFrame, convs: DataFrame) -> DataFrame:
     included. One row a node: conv_id (smallest member), depth, parent_conv_id, n_convs,
     n_children, n_leaves, saved_tokens, ends_sha256. No conversation, no node.
     """
-    spark = turns.sparkSession
     convs = staged(convs, "trie-convs")
     slots = _slots(turns)
     slots = staged(slots.join(convs, "conv_id"), "trie-prefixes")  # a slot is many turns: no conversation is a hot key here
@@ -234,19 +239,17 @@ def trie(turns: DataFrame, convs: DataFrame) -> DataFrame:
     saved = [F.sum(F.greatest(F.col("shared") - F.get("said", F.lit(j)), _long(0))).alias(c) for j, c in enumerate(each)]
     nodes = _refine(blocks.groupBy(*BLOCK_KEY).agg(*member, F.sum("leaf").alias("leaves"), *saved), ["leaves"], each)
 
-    start = spark.range(1).select(F.array().cast("array<binary>").alias("digests"), *[_long(0).alias(c) for c in ("p1", "p2", "h1", "h2")])
-    start = start.select(_key(F.lit(0)).alias("key"))
     root = owner.agg(
         F.min("conv_id").alias("conv_id"), F.count("*").alias("n"), F.sum((F.col("n") == 0).cast("long")).alias("ends"),
         F.greatest(F.sum("leaf"), _long(1)).alias("leaves"), F.sum("shared").alias("saved"),
-    ).where("n > 0").crossJoin(F.broadcast(start))  # one row with one row
-    root = root.select(_long(0).alias("depth"), "key", F.lit(None).cast("struct<a: long, b: long>").alias("parent"), "conv_id", "n", "ends", "leaves", "saved")
+    ).where("n > 0")
+    root = root.select(_long(0).alias("depth"), _root_key().alias("key"), F.lit(None).cast("struct<a: long, b: long>").alias("parent"), "conv_id", "n", "ends", "leaves", "saved")
     nodes = staged(nodes.select(*root.columns).unionByName(root), "trie-nodes")
 
     kids = nodes.where("depth > 0").groupBy((F.col("depth") - 1).alias("depth"), F.col("parent").alias("key"))
     nodes = nodes.join(kids.agg(F.count("*").alias("n_children")), ["depth", "key"], "left").fillna(0, ["n_children"])
     ends = _blocks(slots).where("ends").select((F.col("depth") + F.size("keys")).alias("depth"), F.element_at("keys", -1).alias("key"), "conv_id")
-    turnless = convs.where("n = 0").select(_long(0).alias("depth"), "conv_id").crossJoin(F.broadcast(start))  # with one row
+    turnless = convs.where("n = 0").select(_long(0).alias("depth"), _root_key().alias("key"), "conv_id")
     ends = ends.unionByName(turnless)
     nodes = staged(nodes.join(_member_digests(ends), ["depth", "key"], "left"), "trie-linked")
 

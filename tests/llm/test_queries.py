@@ -23,6 +23,7 @@ CONTRACT = {
     "op10_toxicity": "doc_id bigint, held_out boolean, score double, predicted int",
     "op11_resampling": "doc_id bigint, n_features bigint, weight bigint, score bigint, rank bigint",
     "op12_prefix_trie": "conv_id bigint, depth bigint, parent_conv_id bigint, n_convs bigint, n_children bigint, n_leaves bigint, saved_tokens bigint, ends_sha256 string",
+    "op13_warc": "page_id bigint, payload_bytes bigint, payload_digest string, record_type string, refers_to bigint",
 }
 
 
@@ -39,7 +40,7 @@ def test_every_operator_is_registered():
     import __spark_entry__ as entry
 
     numbers = sorted(int(n.split("_")[0][2:]) for n in queries.QUERIES)
-    assert numbers == list(range(1, 13))
+    assert numbers == list(range(1, 14))
     assert set(queries.QUERIES) | {"pipeline"} <= set(entry.queries())
 
 
