@@ -234,8 +234,9 @@ class Remembered:
             self.met = self._put(self.met, np.zeros(len(new), np.int32), self.n)
             self.columns = [self._put(old, c, self.items) for old, c in zip(self.columns, columns)]
             self.row.update(zip(new, range(self.n, self.n + len(new))))
+            numbers = iter(range(self.n, self.n + len(new)))
+            got = [next(numbers) if r is None else r for r in got]
             self.n, self.items = self.n + len(new), self.items + int(held.sum())
-            got = list(map(self.row.__getitem__, words))
         rows = np.array(got, np.int64)
         if len(rows):
             self.met[rows] += 1

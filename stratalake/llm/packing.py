@@ -14,11 +14,12 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Iterator
+from itertools import chain
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import per_worker, staged
+from .common import Remembered, per_worker, staged, stretches, translated
 
 WINDOW = 2048
 OPEN_WINDOWS = 32
@@ -26,7 +27,8 @@ MAX_PAD = 16
 MERGE_TASKS = 16
 END_ID = 1
 CACHE_WORDS = 1_000_000
-TEXTS = 500
+TEXTS = 1000
+SPACES = bytes(32 if b == 10 else b for b in range(256))
 
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 
@@ -73,66 +75,69 @@ def tokenizer(path: str, cache_words: int = CACHE_WORDS):
     """texts -> ids of each text as little-endian unsigned 32-bit, without special tokens.
 
     Spaces and line feeds separate tokens, so texts are encoded word by word, each
-    distinct word once as long as it is remembered (at most ``cache_words`` are). A
-    word of Latin letters before ASCII punctuation is put together from the two if
-    the tokenizer is byte-level, keeps them apart and ignores case (tried on samples
-    first); any other word is encoded whole.
+    distinct word of a batch once, and once altogether as long as it is remembered (about
+    ``cache_words`` are, those met again before others). A word of Latin letters before
+    ASCII punctuation is put together from the two if the tokenizer is byte-level, keeps
+    them apart and ignores case (tried on samples first); any other word is encoded whole.
+    Lower-case Latin words go to the tokenizer's model at once, without normalisation.
     """
     import re
-    import struct
 
+    import numpy as np
+    import pyarrow as pa
     from tokenizers import Tokenizer
 
     model = Tokenizer.from_file(path)
     plain = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-&(-/:-@\[-`{-~]*)").fullmatch
+    latin = re.compile(r"[a-zß-öø-ÿ]+").fullmatch
     # byte-level vocabularies write printable bytes as themselves, the others from U+0100 on
     printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
     others = [b for b in range(256) if b not in printable]
     as_char = {b: chr(b) for b in printable} | {b: chr(256 + i) for i, b in enumerate(others)}
-    known: dict[str, bytes] = {"": b""}
-    stems: dict[str, bytes] = {"": b""}
-
-    def packed(ids: list[int]) -> bytes:
-        return struct.pack(f"<{len(ids)}I", *ids)
-
-    def whole(words: list[str]) -> list[bytes]:
-        return [packed(e.ids) for e in model.encode_batch_fast(words, add_special_tokens=False)]
-
-    def stem(w: str) -> bytes:
-        got = stems.get(w)
-        if got is None:
-            if w.isalpha():
-                spelled = w if w.isascii() else "".join(map(as_char.__getitem__, w.encode()))
-                got = packed([t.id for t in model.model.tokenize(spelled)])
-            else:
-                got = whole([w])[0]
-            stems[w] = got
-        return got
-
-    def split(w: str) -> bytes:
-        m = plain(w)
-        return stem(m[1].lower()) + stem(m[2])
+
+    def whole(words: list[str]) -> list[list[int]]:
+        return [e.ids for e in model.encode_batch_fast(words, add_special_tokens=False)]
+
+    def flat(ids: list[list[int]]):
+        return np.fromiter(map(len, ids), np.int64, len(ids)), np.fromiter(chain.from_iterable(ids), np.uint32)
+
+    def merged(w: str) -> list[int]:
+        spelled = w if w.isascii() else "".join(map(as_char.__getitem__, w.encode()))
+        return [t.id for t in model.model.tokenize(spelled)]
+
+    def stems_made(stems: list[str]):
+        rest = [s for s in stems if not (apart and latin(s))]
+        ids = dict(zip(rest, whole(rest)))
+        return flat([ids[s] if s in ids else merged(s) for s in stems])
+
+    def split(w: str) -> tuple[str, str]:
+        m = plain(w) if apart else None
+        return (m[1].lower(), m[2]) if m else (w, "")
+
+    def words_made(words: list[str]):
+        parts = list(chain.from_iterable(map(split, words)))
+        distinct = list(dict.fromkeys(parts))
+        number = dict(zip(distinct, stems.rows(distinct).tolist()))
+        places, many = stems.expand(np.fromiter(map(number.__getitem__, parts), np.int64, len(parts)))
+        return many.reshape(-1, 2).sum(1), stems.columns[0][places]
 
     tries = ["Abcxyz!!", "THE,", "zzqj$$$###", "Ing.)", "a", "It-&", "ÀÉñçßüÿ,", "éèêôíóúäöÜÑ"]
-    apart = [split(w) for w in tries] == whole(tries)
-
-    def encode(texts: list[str]) -> list[bytes]:
-        if len(known) + len(stems) > cache_words:
-            known.clear()
-            stems.clear()
-            known[""] = stems[""] = b""
-        words = [t.replace("\n", " ").split(" ") for t in texts]
-        out = [list(map(known.get, w)) for w in words]
-        new = {x for w, got in zip(words, out) if None in got for x, y in zip(w, got) if y is None}
-        odd = []
-        for w in new:
-            if apart and plain(w):
-                known[w] = split(w)
-            else:
-                odd.append(w)
-        known.update(zip(odd, whole(odd)))
-        get = known.__getitem__
-        return [b"".join(map(get, w) if None in got else got) for w, got in zip(words, out)]
+    apart = True
+    stems = Remembered(stems_made, cache_words)
+    known = Remembered(words_made, cache_words)
+    spelled = known.expand(known.rows(tries))[0]
+    if known.columns[0][spelled].tolist() != list(chain.from_iterable(whole(tries))):
+        apart = False
+        stems, known = Remembered(stems_made, cache_words), Remembered(words_made, cache_words)
+
+    def encode(texts) -> list[bytes]:
+        # separators alike, so that stretches between spaces are words
+        texts = translated(pa.array(texts, pa.large_string()), SPACES)
+        of_text, at, entries = stretches(texts)
+        places, many = known.expand(known.rows(entries)[at])
+        raw = known.columns[0][places].astype("<u4").tobytes() if len(places) else b""
+        ends = 4 * np.concatenate([[0], np.cumsum(many)])[np.concatenate([[0], np.cumsum(of_text)])]
+        return [raw[a:b] for a, b in zip(ends.tolist(), ends[1:].tolist())]
 
     return encode
 

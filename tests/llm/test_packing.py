@@ -88,3 +88,36 @@ def test_best_fit(sizes, most):
     if most == 2:
         # 500 goes beside 1500 (best fit), 48 fills it up; no window is cut as padding is allowed
         assert [x[0] for x in out[0]] == [0, 2, 3]
+
+
+@pytest.mark.parametrize("cache_words", [1_000_000, 40])
+def test_any_text_is_encoded_as_the_tokenizer_does(cache_words):
+    import random
+
+    rng = random.Random(5)
+    signs = [*"abcXYZ  \n'!,.-é日ÀßİΣς́0189_[]{}@#\t\x1c\x85<|>😀ŐñÑ", "<|endoftext|>", "'s", "'ll", "the", "ing"]
+    texts = ["".join(rng.choice(signs) for _ in range(rng.randrange(40))) for _ in range(4000)]
+    encode, model = packing.tokenizer(PATH, cache_words), Tokenizer.from_file(PATH)
+    got = [raw for at in range(0, len(texts), 300) for raw in encode(texts[at : at + 300])]
+    for text, raw in zip(texts, got):
+        assert memoryview(raw).cast("I").tolist() == model.encode(text, add_special_tokens=False).ids, repr(text)
+
+
+def test_words_met_again_are_remembered():
+    from stratalake.llm.common import Remembered
+
+    made: list = []
+
+    def make(words):
+        import numpy as np
+
+        made.extend(words)
+        return np.array([len(w) for w in words]), np.array([ord(c) for w in words for c in w], np.uint32)
+
+    r = Remembered(make, 8)
+    for k in range(40):
+        words = ["often", "x", *(f"once{k}-{i}" for i in range(3))]
+        places, many = r.expand(r.rows(words))
+        assert "".join(map(chr, r.columns[0][places])) == "".join(words) and many.tolist() == [len(w) for w in words]
+        assert len(r.row) <= 8
+    assert made.count("often") == 1 and made.count("x") == 1
