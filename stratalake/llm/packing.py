@@ -26,8 +26,8 @@ OPEN_WINDOWS = 32
 MAX_PAD = 16
 MERGE_TASKS = 16
 END_ID = 1
-CACHE_WORDS = 1_000_000
-TEXTS = 1000
+CACHE_WORDS = 600_000
+TEXTS = 500
 SPACES = bytes(32 if b == 10 else b for b in range(256))
 
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
