@@ -1,5 +1,6 @@
 """DataFrame -> DataFrame operators."""
 
+from .changes import changed_partitions, rollup_on_changes, row_changes
 from .geo import inversion_counts, inversion_flags, repair_coordinates
 from .guards import require_columns, require_rows
 from .quality import (
@@ -22,6 +23,7 @@ __all__ = [
     "at_least",
     "at_most",
     "between",
+    "changed_partitions",
     "distinct_rollup",
     "gate",
     "inversion_counts",
@@ -31,6 +33,8 @@ __all__ = [
     "repair_coordinates",
     "require_columns",
     "require_rows",
+    "rollup_on_changes",
+    "row_changes",
     "type_histogram",
     "verify",
 ]

@@ -28,7 +28,7 @@ from ..sources.snapshots import (
     read_snapshots,
     write_snapshots,
 )
-from .stages import EntityColumns, entity_checks, rollup_checks, to_bronze, to_gold, to_silver
+from .stages import EntityColumns, entity_checks, publish, rollup_checks, to_bronze, to_gold, to_silver
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -620,6 +620,86 @@ SQL_MEDALLION = f"""WITH {SQL_SILVER_PUBLISHED}
 SELECT country, state, kind, count(DISTINCT id) AS n_entities FROM p GROUP BY 1, 2, 3"""
 
 
+# ---------------------------------------------------------------------------
+# Versions: gold that follows silver, roll-up on changes, publishing some partitions
+# ---------------------------------------------------------------------------
+def entities_before(spark, d) -> DataFrame:
+    """The entities as an earlier version had them: all of them, some under another id, state or kind."""
+    n = F.col("id").cast("long")
+    return entities(spark, d).withColumns(
+        {
+            "id": F.when(n % 5 == 0, F.concat(F.lit("was-"), F.col("id"))).otherwise(F.col("id")),
+            "state": F.when(n % 7 == 0, F.lit("elsewhere")).otherwise(F.col("state")),
+            "kind": F.when(n % 11 == 0, F.lit("other")).otherwise(F.col("kind")),
+        }
+    )
+
+
+GOLD_KEYS = ["country", "state", "kind"]
+GOLD_CHECK = rollup_checks(GOLD_KEYS, "n_entities", text_columns=["country", "state"])
+
+
+def q_incremental_gold(spark, d):
+    """Gold after two versions of silver: the second run recounts what changed."""
+    from ..streaming.gold import incremental_gold
+    from .stages import clean_entities
+
+    silver, gold, ckpt = (storage.scratch_path(spark, n) for n in ("silver", "gold", "stream"))
+    for rows in (entities_before(spark, d), entities(spark, d)):
+        publish(clean_entities(rows, COLS), silver, [SILVER_CHECK], partition_cols=["country", "state"], overwrite="changed")
+        incremental_gold(spark, silver, gold, ENTITY_SCHEMA, ckpt, keys=GOLD_KEYS, checks=[GOLD_CHECK])
+    return read_table(spark, gold)
+
+
+def _orders_versions(spark, d) -> tuple[str, storage.Version, storage.Version]:
+    """Orders by priority, all totals 1 too high; then two of the priorities published anew."""
+    path = storage.scratch_path(spark, "orders")
+    o = table(spark, d, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderpriority")
+    publish(o.withColumn("o_totalprice", F.col("o_totalprice") + 1), path, [], partition_cols=["o_orderpriority"])
+    old = storage.current_version(spark, path)
+    some = o.where(F.col("o_orderpriority").isin(REPUBLISHED))
+    publish(some, path, [Check("orders").is_unique("o_orderkey").is_complete("o_custkey")],
+            partition_cols=["o_orderpriority"], overwrite="dynamic")
+    return path, old, storage.current_version(spark, path)
+
+
+REPUBLISHED = ("1-URGENT", "3-MEDIUM")
+PRIORITY_SCHEMA = T.StructType(
+    [
+        T.StructField("o_orderkey", T.LongType()),
+        T.StructField("o_custkey", T.LongType()),
+        T.StructField("o_orderstatus", T.StringType()),
+        T.StructField("o_totalprice", T.DoubleType()),
+        T.StructField("o_orderpriority", T.StringType()),
+    ]
+)
+
+
+def q_publish_partitions(spark, d):
+    path, _, _ = _orders_versions(spark, d)
+    return read_table(spark, path, PRIORITY_SCHEMA)
+
+
+SQL_PUBLISH_PARTITIONS = f"""SELECT o_orderkey, o_custkey, o_orderstatus,
+  CASE WHEN o_orderpriority IN {REPUBLISHED} THEN o_totalprice ELSE o_totalprice + 1 END AS o_totalprice, o_orderpriority FROM orders"""
+
+
+def q_row_changes(spark, d):
+    """What publishing two partitions anew has changed, rows before and after; other partitions are not read."""
+    from ..operators.changes import row_changes
+
+    path, old, new = _orders_versions(spark, d)
+    # the first version lists no partitions, so they are told apart by their folders now
+    before = read_table(spark, path, PRIORITY_SCHEMA, version=old).where(F.col("o_orderpriority").isin(REPUBLISHED))
+    after = read_table(spark, path, PRIORITY_SCHEMA, version=new, only=set(new.parts[new.folder]))
+    return row_changes(before, after, PRIORITY_SCHEMA.names)
+
+
+SQL_ROW_CHANGES = f"""SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice + s AS o_totalprice, o_orderpriority,
+  CASE WHEN s = 1 THEN -1 ELSE 1 END::BIGINT AS change
+FROM orders, (VALUES (0), (1)) v(s) WHERE o_orderpriority IN {REPUBLISHED}"""
+
+
 # ---------------------------------------------------------------------------
 # Paged source over events (page p = event_id in [(p-1)*200, p*200))
 # ---------------------------------------------------------------------------
@@ -704,6 +784,9 @@ QUERIES: dict[str, Query] = {
     "silver_clean": q_silver_clean,
     "incremental_silver": q_incremental_silver,
     "medallion_end_to_end": q_medallion_end_to_end,
+    "incremental_gold": q_incremental_gold,
+    "publish_partitions": q_publish_partitions,
+    "row_changes": q_row_changes,
     "paged_read": q_paged_read,
     "source_to_bronze": q_source_to_bronze,
 }
@@ -734,6 +817,9 @@ ORACLE_SQL: dict[str, str] = {
     "silver_clean": SQL_SILVER_CLEAN,
     "incremental_silver": SQL_SILVER_CLEAN,
     "medallion_end_to_end": SQL_MEDALLION,
+    "incremental_gold": SQL_MEDALLION,
+    "publish_partitions": SQL_PUBLISH_PARTITIONS,
+    "row_changes": SQL_ROW_CHANGES,
     "paged_read": SQL_PAGED_READ,
     "source_to_bronze": SQL_SOURCE_TO_BRONZE,
 }

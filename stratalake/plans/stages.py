@@ -30,7 +30,7 @@ from ..operators.quality import REPORT_SCHEMA, Check, ObservedVerification, gate
 from ..operators.rollup import distinct_rollup
 from ..sources import storage
 from ..sources.paged import DEFAULT_RETRIES, paged_errors, raw_pages
-from ..sources.sinks import prepare_partitions, read_table, write_partitioned, write_table
+from ..sources.sinks import partition_digests, prepare_partitions, read_table, write_partitioned, write_table
 from ..sources.snapshots import LABEL_COL, current_label, read_latest_snapshot
 
 log = logging.getLogger(__name__)
@@ -147,6 +147,27 @@ def _stored_as_written(df: DataFrame, partition_cols: Sequence[str], empty_as) -
     return True
 
 
+def _with_replaced(spark: SparkSession, path: str, before: storage.Version | None, folder: str, parts: dict[str, str],
+                   depth: int, keep_others: bool) -> dict[str, dict[str, str]]:
+    """The partitions of a table after those in ``parts`` came from ``folder``; of equal digests the old files stay."""
+    old = before.parts if before else {}
+    if old is None:
+        # a version that did not list its partitions
+        listed = storage.partition_folders(spark, f"{path.rstrip('/')}/{before.folder}", depth)
+        if not listed and storage.exists(spark, f"{path.rstrip('/')}/{before.folder}"):
+            raise ValueError("the version before is not partitioned that way: publish it whole once")
+        old = {before.folder: dict.fromkeys(listed, "")}
+    out: dict[str, dict[str, str]] = {}
+    held = {d: (f, x) for f, dirs in old.items() for d, x in dirs.items()}
+    for d, x in parts.items():
+        f, was = held.pop(d, (None, ""))
+        out.setdefault(f if x and x == was else folder, {})[d] = x
+    if keep_others:
+        for d, (f, x) in held.items():
+            out.setdefault(f, {})[d] = x
+    return out
+
+
 def publish(
     df: DataFrame,
     path: str,
@@ -156,18 +177,36 @@ def publish(
     empty_as: str | None = NULL_LABEL,
     verify_on: str = "staged",
     rebalance: bool = True,
+    overwrite: str = "static",
+    extra: Callable[[], Sequence[tuple]] | None = None,
 ) -> DataFrame:
     """Verify ``checks`` and write ``df`` to ``path`` only if the gate passes.
 
+    ``overwrite="static"`` replaces the table; ``"dynamic"`` only the partitions that
+    ``df`` has rows of; ``"changed"`` replaces the table, too, but a partition whose rows
+    are those it had before keeps its files (one more pass over what was written
+    computes a digest for each partition, which the note keeps). The last two write
+    only new folders, and the note names each partition's: nothing is moved, and a crash
+    before the note leaves the table as it was. Uniqueness is verified over the table
+    as it would be, everything else over the rows written.
+
+    ``extra`` gives further report rows, asked for after the write and before the gate.
     Returns the verification report (materialised, one row per constraint).
     Raises :class:`~stratalake.operators.quality.VerificationError` on failure.
     """
     if verify_on not in ("staged", "input"):
         raise ValueError("verify_on must be 'staged' or 'input'")
+    if overwrite not in ("static", "dynamic", "changed"):
+        raise ValueError("overwrite must be 'static', 'dynamic' or 'changed'")
+    if overwrite != "static" and (not partition_cols or verify_on == "input"):
+        raise ValueError(f"overwrite={overwrite!r} needs partition columns and verify_on='staged'")
     spark = df.sparkSession
     df = prepare_partitions(df, partition_cols, empty_as) if partition_cols else df
     version = storage.new_version(path)
+    folder = version.rpartition("/")[2]
+    before = storage.current_version(spark, path) if overwrite != "static" else None
     report = spark.createDataFrame([], REPORT_SCHEMA)
+    parts = None
 
     def write(observe=None) -> None:
         _write(df, version, partition_cols, empty_as, observe=observe, rebalance=rebalance)
@@ -175,14 +214,33 @@ def publish(
     def verified(frame: DataFrame) -> DataFrame:
         return spark.createDataFrame(verify(frame, *checks).collect(), REPORT_SCHEMA)
 
+    def gated(rep: DataFrame) -> DataFrame:
+        if extra is not None:
+            rep = rep.unionByName(spark.createDataFrame(list(extra()), REPORT_SCHEMA))
+        gate(rep)
+        return rep
+
+    def table() -> DataFrame:
+        """The table as the note would make it."""
+        if overwrite != "dynamic":
+            return read_table(spark, version, df.schema)
+        return read_table(spark, path, df.schema, version=storage.Version(0, folder, replaced()))
+
+    def replaced() -> dict[str, dict[str, str]]:
+        if overwrite == "changed":
+            new = partition_digests(spark, version, df.schema, partition_cols)
+        else:
+            new = dict.fromkeys(storage.partition_folders(spark, version, len(partition_cols)), "")
+        return _with_replaced(spark, path, before, folder, new, len(partition_cols), overwrite == "dynamic")
+
     try:
         if not checks:
             write()
+            report = gated(report)
         elif verify_on == "input":
             df = df.persist(StorageLevel.MEMORY_AND_DISK)
             try:
-                report = verified(df)
-                gate(report)
+                report = gated(verified(df))
                 write()
             finally:
                 df.unpersist()
@@ -191,16 +249,20 @@ def publish(
             # re-reads the written files (its key columns only).
             ov = ObservedVerification(df, *checks)
             write(ov.attach)
-            report = ov.report(read_table(spark, version, df.schema))
-            gate(report)
+            report = gated(ov.report(table()))
         else:
             write()
-            report = verified(read_table(spark, version, df.schema))
-            gate(report)
-        storage.promote(spark, path, version)
+            report = gated(verified(table()))
+        if overwrite != "static":
+            parts = replaced()
+        storage.promote(spark, path, version, parts, before.number if before else (0 if overwrite != "static" else None))
     except BaseException:
         storage.delete(spark, version)
         raise
+    for d in sorted(set(storage.partition_folders(spark, version, len(partition_cols))) - set(parts[folder])) if parts and folder in parts else ():
+        storage.delete(spark, f"{version}/{d}")  # copies of what is shared
+    if parts is not None and folder not in parts:
+        storage.delete(spark, version)
     log.info("published %s", path)
     return report
 

@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Collection, Sequence
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .._cols import require_columns
 from ..functions.text import NULL_LABEL, empty_as as _empty_as
-from .storage import current_path
+from .storage import Version, current_version, exists
 
 OVERWRITE_MODES = ("static", "dynamic")
 
@@ -105,14 +107,62 @@ def read_table(
     schema: T.StructType | None = None,
     *,
     fmt: str = "parquet",
+    version: Version | None = None,
+    only: Collection[str] | None = None,
 ) -> DataFrame:
     """Read a table, typed by ``schema`` when given (partition columns included).
 
-    A published table is read from its current version. With a declared schema a partition value ``007`` stays the string
-    ``"007"``; columns missing from the files read as NULL. Partition columns
-    come last, after the file columns.
+    A published table is read from its current version, or from ``version``. With a
+    declared schema a partition value ``007`` stays the string ``"007"``; columns missing
+    from the files read as NULL. Partition columns come last, after the file columns.
+
+    A version that shares partitions with others is a union of one scan per version
+    folder; it needs a schema unless one folder holds it all. ``only`` limits such a
+    version to some of its partition folders (no other file is listed).
+    """
+    version = version or current_version(spark, path)
+    root = path.rstrip("/")
+
+    def reader():
+        r = spark.read.format(fmt)
+        return r.schema(schema) if schema is not None else r
+
+    if version is None:
+        return reader().load(path)
+    if version.parts is None:
+        if only is not None:
+            raise ValueError("the version does not list its partitions")
+        return reader().load(f"{root}/{version.folder}")
+    frames = []
+    for folder, dirs in sorted(version.parts.items()):
+        paths = [f"{root}/{folder}/{d}" for d in sorted(dirs) if only is None or d in only]
+        if paths:
+            frames.append(reader().option("basePath", f"{root}/{folder}").load(paths))
+    if schema is None and len(frames) != 1:
+        raise ValueError("pass the schema: the table's partitions lie in several versions")
+    if not frames:
+        return spark.createDataFrame([], schema)
+    out = frames[0]
+    for f in frames[1:]:
+        out = out.unionByName(f)
+    return out
+
+
+def partition_digests(
+    spark: SparkSession, folder: str, schema: T.StructType, partition_cols: Sequence[str], fmt: str = "parquet"
+) -> dict[str, str]:
+    """Partition folder -> a digest of its rows, whatever their order (count, xor and sum of row hashes).
+
+    One pass with map-side sums; a row for each partition reaches the driver.
     """
-    reader = spark.read
-    if schema is not None:
-        reader = reader.schema(schema)
-    return reader.format(fmt).load(current_path(spark, path))
+    data = [F.col(f"`{f.name}`") for f in schema.fields if f.name not in set(partition_cols)]
+    if not exists(spark, folder):
+        return {}
+    rows = spark.read.format(fmt).schema(schema).load(folder)
+    where = F.regexp_replace(F.col("_metadata.file_path"), "/[^/]*$", "")
+    h = F.xxhash64(F.lit(1), *data)
+    sums = rows.groupBy(where.alias("d")).agg(
+        F.count("*").alias("n"), F.bit_xor(h).alias("x"), F.sum(F.xxhash64(F.lit(2), *data).cast("decimal(38,0)")).alias("s")
+    )
+    depth = len(partition_cols)
+    return {"/".join(unquote(r["d"]).split("/")[-depth:]): f"{r['n']}:{r['x']}:{r['s']}" for r in sums.collect()}

@@ -1,5 +1,6 @@
 """Structured Streaming jobs."""
 
+from .gold import incremental_gold
 from .incremental import incremental_silver, newest_label
 
-__all__ = ["incremental_silver", "newest_label"]
+__all__ = ["incremental_gold", "incremental_silver", "newest_label"]
