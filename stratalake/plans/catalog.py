@@ -620,6 +620,64 @@ SQL_MEDALLION = f"""WITH {SQL_SILVER_PUBLISHED}
 SELECT country, state, kind, count(DISTINCT id) AS n_entities FROM p GROUP BY 1, 2, 3"""
 
 
+# ---------------------------------------------------------------------------
+# Damaged records, and a snapshot that is written again
+# ---------------------------------------------------------------------------
+RECORD_SCHEMA = T.StructType(
+    [T.StructField("event_id", T.LongType()), T.StructField("user_id", T.LongType()), T.StructField("event_type", T.StringType())]
+)
+# One record in ten is cut off, one has a wrong type, one is no object.
+_RECORD = """CASE event_id % 10
+  WHEN 3 THEN '{"event_id":' || event_id || ',"user_id":'
+  WHEN 5 THEN '{"event_id":"no ' || event_id || '","user_id":' || user_id || ',"event_type":"' || event_type || '"}'
+  WHEN 8 THEN '"' || event_id || '"'
+  ELSE '{"event_id":' || event_id || ',"user_id":' || user_id || ',"event_type":"' || event_type || '"}' END"""
+
+
+def q_damaged_records(spark, d):
+    """Good records published, damaged ones in quarantine; both are returned."""
+    from ..sources.snapshots import write_run
+    from .stages import DAMAGED, Damaged
+
+    bronze, silver, bad = (storage.scratch_path(spark, n) for n in ("bronze", "silver", "quarantine"))
+    lines = table(spark, d, "events").select(F.expr(_RECORD).alias("record"))
+
+    def write(folder, options):
+        lines.write.mode("append").options(**options).text(folder)
+        return 1
+
+    write_run(spark, bronze, "2024-01-01T00-00", write, allow_empty=True)
+    apart = Damaged(bad)
+    rows = apart.take_out(read_latest_snapshot(spark, bronze, RECORD_SCHEMA, damaged=DAMAGED)).drop("dt_extraction")
+    publish(rows, silver, [Check("records").is_complete("event_id")], extra=apart.report)
+    kept = read_table(spark, silver, RECORD_SCHEMA).withColumn("record", F.lit(None).cast("string"))
+    if not storage.exists(spark, bad):
+        return kept
+    return kept.unionByName(read_table(spark, bad, T.StructType.fromDDL("record string, dt_extraction string")).select("record"), allowMissingColumns=True)
+
+
+SQL_DAMAGED_RECORDS = f"""WITH r AS (SELECT event_id, user_id, event_type, event_id % 10 IN (3, 5, 8) AS bad, {_RECORD} AS record FROM events)
+SELECT CASE WHEN NOT bad THEN event_id END AS event_id, CASE WHEN NOT bad THEN user_id END AS user_id,
+  CASE WHEN NOT bad THEN event_type END AS event_type, CASE WHEN bad THEN record END AS record FROM r"""
+
+
+def q_snapshot_rerun(spark, d):
+    """A label written twice, and a run that died before its manifest: the second run is the snapshot."""
+    from ..sources.snapshots import write_snapshot
+
+    base = storage.scratch_path(spark, "bronze")
+    ev = table(spark, d, "events").select("event_id", "user_id", "event_type")
+    write_snapshot(ev.withColumn("event_type", F.lit("first run")), base, "2024-01-01T00-00")
+    write_snapshot(ev, base, "2024-01-01T00-00")
+    dying = {"mapreduce.output.basename": "run-died"}
+    ev.withColumn("event_type", F.lit("died")).write.mode("append").options(**dying).json(f"{base}/dt_extraction=2024-01-01T00-00")
+    ev.write.mode("append").options(**dying).json(f"{base}/dt_extraction=2024-01-02T00-00")
+    return read_latest_snapshot(spark, base, RECORD_SCHEMA)
+
+
+SQL_SNAPSHOT_RERUN = "SELECT event_id, user_id, event_type, '2024-01-01T00-00' AS dt_extraction FROM events"
+
+
 # ---------------------------------------------------------------------------
 # Versions: gold that follows silver, roll-up on changes, publishing some partitions
 # ---------------------------------------------------------------------------
@@ -657,7 +715,7 @@ def _orders_versions(spark, d) -> tuple[str, storage.Version, storage.Version]:
     o = table(spark, d, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderpriority")
     publish(o.withColumn("o_totalprice", F.col("o_totalprice") + 1), path, [], partition_cols=["o_orderpriority"])
     old = storage.current_version(spark, path)
-    some = o.where(F.col("o_orderpriority").isin(REPUBLISHED))
+    some = o.where(F.col("o_orderpriority").isin(*REPUBLISHED))
     publish(some, path, [Check("orders").is_unique("o_orderkey").is_complete("o_custkey")],
             partition_cols=["o_orderpriority"], overwrite="dynamic")
     return path, old, storage.current_version(spark, path)
@@ -690,7 +748,7 @@ def q_row_changes(spark, d):
 
     path, old, new = _orders_versions(spark, d)
     # the first version lists no partitions, so they are told apart by their folders now
-    before = read_table(spark, path, PRIORITY_SCHEMA, version=old).where(F.col("o_orderpriority").isin(REPUBLISHED))
+    before = read_table(spark, path, PRIORITY_SCHEMA, version=old).where(F.col("o_orderpriority").isin(*REPUBLISHED))
     after = read_table(spark, path, PRIORITY_SCHEMA, version=new, only=set(new.parts[new.folder]))
     return row_changes(before, after, PRIORITY_SCHEMA.names)
 
@@ -784,6 +842,8 @@ QUERIES: dict[str, Query] = {
     "silver_clean": q_silver_clean,
     "incremental_silver": q_incremental_silver,
     "medallion_end_to_end": q_medallion_end_to_end,
+    "damaged_records": q_damaged_records,
+    "snapshot_rerun": q_snapshot_rerun,
     "incremental_gold": q_incremental_gold,
     "publish_partitions": q_publish_partitions,
     "row_changes": q_row_changes,
@@ -817,6 +877,8 @@ ORACLE_SQL: dict[str, str] = {
     "silver_clean": SQL_SILVER_CLEAN,
     "incremental_silver": SQL_SILVER_CLEAN,
     "medallion_end_to_end": SQL_MEDALLION,
+    "damaged_records": SQL_DAMAGED_RECORDS,
+    "snapshot_rerun": SQL_SNAPSHOT_RERUN,
     "incremental_gold": SQL_MEDALLION,
     "publish_partitions": SQL_PUBLISH_PARTITIONS,
     "row_changes": SQL_ROW_CHANGES,

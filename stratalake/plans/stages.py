@@ -31,7 +31,7 @@ from ..operators.rollup import distinct_rollup
 from ..sources import storage
 from ..sources.paged import DEFAULT_RETRIES, paged_errors, raw_pages
 from ..sources.sinks import partition_digests, prepare_partitions, read_table, write_partitioned, write_table
-from ..sources.snapshots import LABEL_COL, current_label, read_latest_snapshot
+from ..sources.snapshots import LABEL_COL, current_label, read_latest_snapshot, split_damaged, write_run
 
 log = logging.getLogger(__name__)
 
@@ -178,7 +178,7 @@ def publish(
     verify_on: str = "staged",
     rebalance: bool = True,
     overwrite: str = "static",
-    extra: Callable[[], Sequence[tuple]] | None = None,
+    extra: Callable[[DataFrame], Sequence[tuple]] | None = None,
 ) -> DataFrame:
     """Verify ``checks`` and write ``df`` to ``path`` only if the gate passes.
 
@@ -190,7 +190,7 @@ def publish(
     before the note leaves the table as it was. Uniqueness is verified over the table
     as it would be, everything else over the rows written.
 
-    ``extra`` gives further report rows, asked for after the write and before the gate.
+    ``extra`` gives further report rows from the rows written, before the gate.
     Returns the verification report (materialised, one row per constraint).
     Raises :class:`~stratalake.operators.quality.VerificationError` on failure.
     """
@@ -214,9 +214,10 @@ def publish(
     def verified(frame: DataFrame) -> DataFrame:
         return spark.createDataFrame(verify(frame, *checks).collect(), REPORT_SCHEMA)
 
-    def gated(rep: DataFrame) -> DataFrame:
+    def gated(rep: DataFrame, written: DataFrame | None = None) -> DataFrame:
         if extra is not None:
-            rep = rep.unionByName(spark.createDataFrame(list(extra()), REPORT_SCHEMA))
+            written = read_table(spark, version, df.schema) if written is None else written
+            rep = rep.unionByName(spark.createDataFrame(list(extra(written)), REPORT_SCHEMA))
         gate(rep)
         return rep
 
@@ -240,7 +241,7 @@ def publish(
         elif verify_on == "input":
             df = df.persist(StorageLevel.MEMORY_AND_DISK)
             try:
-                report = gated(verified(df))
+                report = gated(verified(df), df)
                 write()
             finally:
                 df.unpersist()
@@ -294,6 +295,48 @@ def run_stage(
 # ---------------------------------------------------------------------------
 # The three stages
 # ---------------------------------------------------------------------------
+DAMAGED = "_damaged"
+
+
+class Damaged:
+    """Takes damaged records out of the way of a stage, counted by the pass that reads them.
+
+    Only if that pass has met any are they read once more and published to ``table``
+    (partition: label), so sound input costs nothing. The count of that pass only says
+    whether there are any: a task that runs again counts again. Numbers in the report are
+    those of the rows stored.
+    """
+
+    def __init__(self, table: str | None, most: float = 1.0):
+        self.table, self.most = table, most
+        self.seen: Observation | None = None
+        self.bad: DataFrame | None = None
+
+    def take_out(self, rows: DataFrame) -> DataFrame:
+        self.seen = Observation()
+        good, bad = split_damaged(rows, DAMAGED)
+        self.bad = bad.select(F.col(DAMAGED).alias("record"), LABEL_COL)
+        counted = rows.observe(self.seen, F.count(DAMAGED).alias("damaged"))
+        return split_damaged(counted, DAMAGED)[0] if self.table else counted.drop(DAMAGED)
+
+    def report(self, written: DataFrame) -> list[tuple]:
+        n = self.seen.get["damaged"]
+        if n:
+            log.warning("%s damaged records%s", n, f" go to {self.table}" if self.table else " are read as far as they go")
+        if not self.table:
+            return []
+        share = 0.0
+        if n:
+            publish(self.bad, self.table, [], partition_cols=[LABEL_COL], overwrite="dynamic")
+            labels = [r[0] for r in self.bad.select(LABEL_COL).distinct().collect()]  # one: a stage reads one snapshot
+            stored = read_table(written.sparkSession, self.table, self.bad.schema).where(F.col(LABEL_COL).isin(labels)).count()
+            share = stored / (stored + written.count())
+        passed = share <= self.most
+        status = "Success" if passed else "Error"
+        return [("damaged records", "Error", status, "Damaged(share)", "Success" if passed else "Failure",
+                 "" if passed else f"more than {self.most}", share)]
+
+
 def to_bronze(
     spark: SparkSession,
     fetch,
@@ -307,30 +350,20 @@ def to_bronze(
 ) -> str:
     """Paged source -> one dated raw snapshot (JSON Lines of the source records).
 
-    Pages go from the tasks straight into the snapshot's files. A page that cannot be
-    read fails the write as a whole (:class:`PagedReadError`), and the writer's commit
-    leaves nothing behind; a snapshot is complete or absent. Refuses to write an empty
-    snapshot. Returns the snapshot directory.
+    Pages go from the tasks straight into the files of a new run. A page that cannot be
+    read fails the write as a whole (:class:`PagedReadError`) before its manifest; a
+    snapshot is complete, or what it was before. Refuses to write an empty snapshot.
+    Returns the snapshot directory.
     """
-    label = label or current_label()
-
     def load(pages: DataFrame) -> str:
-        rows = Observation()
-        with paged_errors():
-            (
-                pages.select("record")
-                .withColumn(label_col, F.lit(label))
-                .observe(rows, F.count(F.lit(1)).alias("rows"))
-                .write.mode("overwrite")
-                .option("partitionOverwriteMode", "dynamic")
-                .partitionBy(label_col)
-                .text(bronze_base)
-            )
-        # writing no rows makes no directory, so an empty source leaves nothing
-        if not rows.get["rows"]:
-            raise ValueError("No data returned by the source; nothing written to bronze.")
-        log.info("bronze snapshot %s: %s records", label, rows.get["rows"])
-        return f"{bronze_base.rstrip('/')}/{label_col}={label}"
+        def write(folder: str, options: dict[str, str]) -> int:
+            rows = Observation()
+            counted = pages.select("record").observe(rows, F.count(F.lit(1)).alias("rows"))
+            with paged_errors():
+                counted.write.mode("append").options(**options).text(folder)
+            return rows.get["rows"]
+
+        return write_run(spark, bronze_base, label or current_label(), write, label_col=label_col)
 
     def extract() -> DataFrame:
         return raw_pages(spark, fetch, per_page=per_page, pages_per_partition=pages_per_partition, retries=retries)
@@ -352,22 +385,33 @@ def to_silver(
     multiline: bool = False,
     verify_on: str = "staged",
     filename: str | None = None,
+    overwrite: str = "static",
+    quarantine: str | None = None,
+    most_damaged: float = 1.0,
 ) -> DataFrame:
     """Newest bronze snapshot -> cleaned, verified silver table partitioned by country/state.
 
     ``multiline=True`` reads snapshots written as one JSON array per file;
-    ``filename`` reads a single file of the newest snapshot.
+    ``filename`` reads a single file of the newest snapshot. ``overwrite`` as in :func:`publish`.
+
+    Records that do not fit the schema (cut off, of wrong types, no objects) are counted
+    while the snapshot is read. With a ``quarantine`` table their texts go there, to the
+    partition of their snapshot's label, the others go on, and the report has a
+    constraint on their share, which may be ``most_damaged``. Without one they go on with
+    what could be read of them, as NULLs otherwise, and a warning says how many.
     """
     partition_cols = [cols.country, cols.state] if partition_cols is None else list(partition_cols)
     checks = [entity_checks(cols)] if checks is None else checks
 
+    apart = Damaged(quarantine, most_damaged)
+
     def extract() -> DataFrame:
-        return read_latest_snapshot(spark, bronze_base, schema, multiline=multiline,
-                                    filename=filename).drop(LABEL_COL)
+        rows = read_latest_snapshot(spark, bronze_base, schema, multiline=multiline, filename=filename, damaged=DAMAGED)
+        return apart.take_out(rows).drop(LABEL_COL)
 
     def load(df: DataFrame) -> DataFrame:
-        return publish(df, silver_path, checks, partition_cols=partition_cols,
-                       empty_as=empty_as, verify_on=verify_on)
+        return publish(df, silver_path, checks, partition_cols=partition_cols, empty_as=empty_as,
+                       verify_on=verify_on, overwrite=overwrite, extra=apart.report)
 
     return run_stage(extract, [lambda df: clean_entities(df, cols, mode)], load)
 

@@ -5,6 +5,7 @@ from .schema import load_schema, parse_type, schema_from_fields, with_field
 from .sinks import prepare_partitions, read_table, write_json, write_partitioned, write_table
 from .snapshots import (
     LABEL_COL,
+    clean_snapshots,
     current_label,
     label_of,
     label_time,
@@ -13,7 +14,10 @@ from .snapshots import (
     newest_label_value,
     read_latest_snapshot,
     read_snapshots,
+    snapshot_files,
     snapshot_labels,
+    split_damaged,
+    write_run,
     write_snapshot,
     write_snapshots,
 )
@@ -22,6 +26,10 @@ from .storage import scratch_path, shared_dir
 __all__ = [
     "HttpPages",
     "LABEL_COL",
+    "clean_snapshots",
+    "snapshot_files",
+    "split_damaged",
+    "write_run",
     "PagedReadError",
     "paged_errors",
     "current_label",

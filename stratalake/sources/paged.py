@@ -254,13 +254,18 @@ def read_paged(
     return raw
 
 
-def parse_records(df: DataFrame, schema: T.StructType, record_col: str = "record") -> DataFrame:
+def parse_records(df: DataFrame, schema: T.StructType, record_col: str = "record", damaged: str | None = None) -> DataFrame:
     """Type JSON record text with a declared schema (permissive, like a JSON file read).
 
     Fields absent from the record are NULL, undeclared fields are dropped and
-    a value that does not fit its declared type is NULL in that field only.
+    a value that does not fit its declared type is NULL in that field only. ``damaged``
+    names a column for the text of records that do not fit (null for all others).
     """
-    parsed = F.from_json(F.col(record_col), schema, {"mode": "PERMISSIVE"})
+    options = {"mode": "PERMISSIVE"}
+    if damaged:
+        schema = T.StructType([*schema.fields, T.StructField(damaged, T.StringType())])
+        options["columnNameOfCorruptRecord"] = damaged
+    parsed = F.from_json(F.col(record_col), schema, options)
     keep = [c for c in df.columns if c != record_col]
     return df.select(*keep, parsed.alias("_r")).select(*keep, "_r.*")
 

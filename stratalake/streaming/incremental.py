@@ -25,7 +25,7 @@ from ..operators.quality import Check, VerificationError
 from ..plans.stages import EntityColumns, clean_entities, entity_checks, publish
 from ..sources import storage
 from ..sources.schema import with_field
-from ..sources.snapshots import FILE_SCHEMA, LABEL_COL, LABEL_REGEX, label_time
+from ..sources.snapshots import FILE_SCHEMA, LABEL_COL, LABEL_REGEX, label_time, snapshot_files, snapshot_labels
 
 log = logging.getLogger(__name__)
 
@@ -105,24 +105,31 @@ def incremental_silver(
         reader = reader.option("maxFilesPerTrigger", int(max_files_per_trigger))
     stream = reader.load(bronze_base).select(label_col)
     published: list[str] = []
+    tried: set[str] = set()
     rejected: list[tuple[str, VerificationError]] = []
 
     def on_batch(batch: DataFrame, epoch_id: int) -> None:
-        s = batch.sparkSession
         label = newest_label(batch, label_col)
-        if label is None:
-            return
+        if label is not None:
+            take(batch.sparkSession, label, epoch_id)
+
+    def take(s: SparkSession, label: str, epoch_id: int | None = None) -> None:
         done = _published_label(s, checkpoint)
         if done is not None and _older(label, done):
             log.info("batch %s: snapshot %s is older than %s; skipped", epoch_id, label, done)
             return
+        files = snapshot_files(s, f"{bronze_base.rstrip('/')}/{label_col}={label}")
+        if not files:
+            log.info("batch %s: snapshot %s has no manifest yet", epoch_id, label)
+            return
         rows = (
             s.read.schema(full_schema)
             .option("multiline", str(multiline).lower())
             .option("basePath", bronze_base)
-            .json(f"{bronze_base.rstrip('/')}/{label_col}={label}")
+            .json(files)
             .drop(label_col)
         )
+        tried.add(label)
         try:
             publish(clean_entities(rows, cols, mode), silver_path, checks,
                     partition_cols=partition_cols, empty_as=empty_as)
@@ -140,6 +147,12 @@ def incremental_silver(
         .start()
     )
     q.awaitTermination()
+    # a manifest written after the stream met its snapshot's files, which it meets only once
+    label = newest_label(snapshot_labels(spark, bronze_base, label_col), label_col)
+    if label is not None and label not in tried:
+        done = _published_label(spark, checkpoint)
+        if done is None or (label != done and not _older(label, done)):
+            take(spark, label)
     if rejected:
         raise VerificationError([f for _, e in rejected for f in e.failures])
     return published
