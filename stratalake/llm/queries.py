@@ -20,10 +20,9 @@ def q_op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from .mixing import PASSES, mix
+    from .mixing import mix
 
-    # as many passes as its SQL has
-    return mix(read_table(spark, sf_dir, "documents"), passes=PASSES)
+    return mix(read_table(spark, sf_dir, "documents"))
 
 
 def q_op3_preference(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -115,9 +114,9 @@ QUERIES = {
     "op13_warc": q_op13_warc,
 }
 
-#: Sizes, targets and the Pareto order sample itself, with plain windows.
+#: Sizes and targets with plain windows; then one walk through each source's ranks.
 _MIX = """
-WITH d AS (
+WITH RECURSIVE d AS (
   SELECT doc_id, source, CASE WHEN text IS NULL THEN 0 ELSE len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')) END::BIGINT AS size
   FROM documents),
 p AS (SELECT source, sum(size)::BIGINT AS source_size, sum(size * sqrt(size::DOUBLE)) AS mass FROM d GROUP BY 1),
@@ -142,12 +141,14 @@ k AS (
   SELECT *, CASE WHEN p >= 1 THEN u - 1 WHEN p <= 0 THEN u + 1 ELSE
     ((u / (1 - u)) / (p / (1 - p))) / (1 + (u / (1 - u)) / (p / (1 - p))) END AS rank
   FROM r),
-a1 AS (SELECT *, sum(CASE WHEN size <= room THEN size ELSE 0 END) OVER (PARTITION BY source ORDER BY rank, doc_id, size ROWS UNBOUNDED PRECEDING) <= room AND size BETWEEN 1 AND room AS x1 FROM k),
-g1 AS (SELECT *, room - coalesce(sum(size) FILTER (x1) OVER (PARTITION BY source), 0) AS room1 FROM a1),
-a2 AS (SELECT *, sum(CASE WHEN NOT x1 AND size <= room1 THEN size ELSE 0 END) OVER (PARTITION BY source ORDER BY rank, doc_id, size ROWS UNBOUNDED PRECEDING) <= room1 AND NOT x1 AND size BETWEEN 1 AND room1 AS x2 FROM g1),
-g2 AS (SELECT *, room1 - coalesce(sum(size) FILTER (x2) OVER (PARTITION BY source), 0) AS room2 FROM a2),
-a3 AS (SELECT *, sum(CASE WHEN NOT x1 AND NOT x2 AND size <= room2 THEN size ELSE 0 END) OVER (PARTITION BY source ORDER BY rank, doc_id, size ROWS UNBOUNDED PRECEDING) <= room2 AND NOT x1 AND NOT x2 AND size BETWEEN 1 AND room2 AS x3 FROM g2)
-SELECT doc_id, size, source_size, target, (whole + (x1 OR x2 OR x3)::BIGINT) * size AS taken, source, whole + (x1 OR x2 OR x3)::BIGINT AS copies FROM a3
+n AS (SELECT *, row_number() OVER (PARTITION BY source ORDER BY rank, doc_id, size) AS i FROM k),
+x AS (
+  SELECT source, 0::BIGINT AS i, any_value(room) AS room, false AS extra FROM n GROUP BY 1
+  UNION ALL
+  SELECT n.source, n.i, x.room - CASE WHEN n.size BETWEEN 1 AND x.room THEN n.size ELSE 0 END, n.size BETWEEN 1 AND x.room
+  FROM x JOIN n ON n.source IS NOT DISTINCT FROM x.source AND n.i = x.i + 1)
+SELECT doc_id, size, source_size, target, (whole + extra::BIGINT) * size AS taken, n.source, whole + extra::BIGINT AS copies
+FROM n JOIN x ON n.source IS NOT DISTINCT FROM x.source AND n.i = x.i
 """
 
 #: Turn by turn; the sides differ first where their turns do.

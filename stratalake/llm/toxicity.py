@@ -2,9 +2,10 @@
 
 Two bigram models, of toxic and of ordinary texts, with absolute discounting. Both
 back off to one shared continuation distribution (in how many contexts a word was
-seen, in either class). An expression (word or pair of words) that is rare, so that
-its class counts may differ by chance (G test below ``EVIDENCE``), has no class
-estimate of its own: it is smoothed through the shared counts and says nothing.
+seen, in either class). The rarer an expression (word or pair of words), the likelier its
+class counts differ by chance: its difference is shrunk by its evidence, the G statistic
+of its contexts, towards what the shared counts say of it, which is none. A pair with
+hardly any evidence (below ``PAIR_EVIDENCE``) is judged by its last word.
 
 A text is scored by the difference of the two log-likelihoods per word: over the
 whole text, and over the most toxic stretch of ``STRETCH`` words, so that a few toxic
@@ -26,7 +27,8 @@ __all__ = ["FOLDS", "learn", "score"]
 
 SAMPLE = 3000  # training texts of each class
 SAMPLE_CHARS = 20_000  # longer texts are not sampled
-EVIDENCE = 30.0
+EVIDENCE = 12.0  # G statistic at which half of a difference counts
+PAIR_EVIDENCE = 4.0
 STRETCH = 16
 THRESHOLD = 0.5
 PARTS = 2  # of the sample, for the logistic unit
@@ -54,6 +56,11 @@ def _evidence(a, b, na: float, nb: float):
         return 2 * (np.where(a > 0, a * np.log(a / ea), 0) + np.where(b > 0, b * np.log(b / eb), 0))
 
 
+def _belief(g):
+    """How much of a difference counts, by its G statistic: from 0 (none) to 1."""
+    return g * g / (g * g + EVIDENCE * EVIDENCE)
+
+
 class Model:
     """Differences of log-probability, toxic minus ordinary: of words, and of pairs."""
 
@@ -62,10 +69,13 @@ class Model:
         import numpy as np
 
         size = max(len(names), 1)
-        tokens = [np.concatenate([s for s, y in zip(texts, toxic) if y == c] or [np.zeros(0, np.int64)]) for c in (0, 1)]
-        # a text's first word has no context of its own: the last word of the text before
+        none = [np.zeros(0, np.int64)]
+        tokens = [np.concatenate([s for s, y in zip(texts, toxic) if y == c] or none) for c in (0, 1)]
+        # which text a word is of: pairs and triples lie within one text
+        of = [np.repeat(np.arange(toxic.count(c)), [len(s) for s, y in zip(texts, toxic) if y == c]) for c in (0, 1)]
         uni = [np.bincount(t, minlength=size).astype(float) for t in tokens]
-        found = [np.unique(t[:-1] * size + t[1:], return_counts=True) for t in tokens]
+        pairs = [(t[:-1] * size + t[1:])[o[:-1] == o[1:]] for t, o in zip(tokens, of)]
+        found = [np.unique(p, return_counts=True) for p in pairs]
         every = np.union1d(found[0][0], found[1][0])
         bi = [np.zeros(len(every)), np.zeros(len(every))]
         for y in (0, 1):
@@ -82,9 +92,10 @@ class Model:
             prob.append(np.maximum(uni[y] - d, 0) / n[y] + d * (uni[y] > 0).sum() / n[y] * shared + 1e-12)
         # evidence counts contexts, not occurrences: copies of a passage are no evidence
         kinds = [np.bincount(second, bi[y] > 0, minlength=size) for y in (0, 1)]
-        told = _evidence(kinds[1], kinds[0], max(kinds[1].sum(), 1), max(kinds[0].sum(), 1)) >= EVIDENCE
-        diff = np.log(prob[1] / prob[0])
-        self.words = {names[i]: float(diff[i]) for i in np.flatnonzero(told)}
+        believed = _belief(_evidence(kinds[1], kinds[0], max(kinds[1].sum(), 1), max(kinds[0].sum(), 1)))
+        both = (prob[0] + prob[1]) / 2
+        diff = believed * np.log(prob[1] / prob[0])
+        self.words = {names[i]: float(diff[i]) for i in np.flatnonzero(diff)}
 
         # pairs: the context's own counts, backing off to the class's word model
         logs, seen, total = [], [], []
@@ -92,19 +103,22 @@ class Model:
             d = _discount(bi[y])
             context = np.bincount(first, bi[y], minlength=size)[first]
             followers = np.bincount(first, bi[y] > 0, minlength=size)
-            base = np.where(told[second], prob[y][second], (prob[0] + prob[1])[second] / 2)
+            base = (both * (prob[y] / both) ** believed)[second]
             with np.errstate(divide="ignore", invalid="ignore"):
                 p = np.maximum(bi[y] - d, 0) / context + d * followers[first] / context * base
             logs.append(np.log(np.where(context > 0, p, base)))
             t = tokens[y]
-            where = np.searchsorted(every, t[1:-1] * size + t[2:]) if len(t) > 2 else np.zeros(0, np.int64)
-            three = np.unique(where * size + t[:-2]) if len(t) > 2 else where
+            inside = of[y][:-2] == of[y][2:]
+            where = np.searchsorted(every, (t[1:-1] * size + t[2:])[inside])
+            three = np.unique(where * size + t[:-2][inside])
             seen.append(np.bincount(three // size, minlength=len(every)))
             total.append(np.maximum(np.bincount(first, seen[y], minlength=size)[first], 1))
-        strong = np.flatnonzero(_evidence(seen[1], seen[0], total[1], total[0]) >= EVIDENCE)
+        g = _evidence(seen[1], seen[0], total[1], total[0])
+        # a pair believed in part: the rest is its last word's difference
+        value = _belief(g) * (logs[1] - logs[0]) + (1 - _belief(g)) * diff[second]
         self.pairs: dict = {}
-        for i in strong:
-            self.pairs.setdefault(names[second[i]], {})[names[first[i]]] = float(logs[1][i] - logs[0][i])
+        for i in np.flatnonzero(g >= PAIR_EVIDENCE):
+            self.pairs.setdefault(names[second[i]], {})[names[first[i]]] = float(value[i])
 
     def features(self, text: list) -> tuple[float, float]:
         """Difference per word over the text, and over its most toxic stretch."""
