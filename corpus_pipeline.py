@@ -20,15 +20,32 @@ from stratalake.llm.common import read_table, staged
 SHINGLE, PERCENT = 5, 80
 
 
+def _plain(docs: DataFrame) -> tuple[DataFrame, list[str], dict[str, str]]:
+    """``docs`` under plain column names (c0, c1, ...), its own names, and name -> plain name.
+
+    So no name of the input, whatever it is, clashes with a column that a stage adds.
+    """
+    names = docs.columns
+    return docs.toDF(*[f"c{i}" for i in range(len(names))]), names, {n: f"c{i}" for i, n in enumerate(names)}
+
+
+def _named(plain: DataFrame, names: list[str]) -> DataFrame:
+    return plain.select(*[f"c{i}" for i in range(len(names))]).toDF(*names)
+
+
+def _row_key(at: dict[str, str]) -> Column:
+    """A 64-bit key of a row's id (of any type) and text; nulls count."""
+    a, b = F.col(at["doc_id"]), F.col(at["text"])
+    return F.xxhash64(a.isNull(), a.cast("string"), b.isNull(), b)
+
+
 def _where(docs: DataFrame, judge: Callable[[DataFrame, str, list], DataFrame], stays: Column) -> DataFrame:
     """Rows of ``docs`` that ``judge`` (frame, text column, columns to keep) lets stay.
 
     Columns get plain names for the while, so that none clashes with what is added.
     """
-    names = docs.columns
-    plain = [f"c{i}" for i in range(len(names))]
-    judged = judge(docs.toDF(*plain), plain[names.index("text")], plain)
-    return judged.where(stays).select(*plain).toDF(*names)
+    plain, names, at = _plain(docs)
+    return _named(judge(plain, at["text"], plain.columns).where(stays), names)
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -44,37 +61,54 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of linked documents (``SHINGLE``, ``PERCENT``) the one with the smallest id stays.
+    """Of each group of linked rows (``SHINGLE``, ``PERCENT``) the one with the smallest id stays (null last).
 
-    Of rows of one id one stays (the smallest text); rows without an id all stay.
+    Rows are linked by their own texts, whatever their ids: rows of one id with different
+    texts stay or go each for itself. Of rows equal in id and text one stays (ties in
+    other columns: any). Rows without words are linked with nothing and all stay.
     """
-    groups = jaccard.link_groups(docs, shingle=SHINGLE, percent=PERCENT).select("doc_id", "component_id")
-    groups = staged(groups, "groups")
-    # the few that go are joined, so that Spark may broadcast them if they are small
-    gone = staged(groups.where("doc_id <> component_id").select("doc_id").distinct(), "gone")
-    kept = docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
-    twice = groups.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").select("doc_id")
-    twice = staged(twice, "twice")
+    plain, names, at = _plain(docs)
+    plain = plain.withColumn("key", _row_key(at))
+    rows = plain.select("key", F.col(at["doc_id"]).alias("id"), F.col(at["text"]).alias("text"))
+    groups = jaccard.link_groups(rows, id_col="key", shingle=SHINGLE, percent=PERCENT)
+    groups = staged(groups.select(F.col("doc_id").alias("key"), F.col("component_id").alias("group"), "n_shingles"), "groups")
+    # the few that are linked are joined, so that Spark may broadcast them if they are small
+    linked = groups.where("key <> group").select("key", "group").distinct()
+    linked = staged(linked.unionByName(linked.select(F.col("group").alias("key"), "group").distinct()), "linked")
+    least = F.struct(F.col("id").isNull().alias("none"), "id", "key")
+    first = rows.select("key", "id").join(linked, "key").groupBy("group").agg(F.min(least).alias("first"))
+    gone = linked.join(first, "group").where(F.col("key") != F.col("first.key")).select("key")
+    gone = staged(gone, "gone")
+    twice = staged(groups.where("n_shingles > 0").groupBy("key").count().where("count > 1").select("key"), "twice")
+    kept = plain.join(gone, "key", "left_anti")
     if twice.isEmpty():
-        return kept
-    others = [F.col(c) for c in docs.columns if c != "doc_id" and docs.schema[c].dataType.typeName() != "map"]
-    first = Window.partitionBy("doc_id").orderBy("text", *others)
-    again = kept.join(twice, "doc_id", "left_semi").withColumn("_n_of_id", F.row_number().over(first))
-    again = again.where("_n_of_id = 1").select(*docs.columns)
-    return kept.join(twice, "doc_id", "left_anti").select(*docs.columns).unionByName(again)
+        return _named(kept, names)
+    # equal rows: one of them; their number is counted in each task before the shuffle
+    whole = F.struct(*[c for c in plain.columns if c != "key"])
+    once = kept.join(twice, "key", "left_semi").groupBy("key").agg(F.any_value(whole).alias("row")).select("key", "row.*")
+    return _named(kept.join(twice, "key", "left_anti").unionByName(once), names)
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every document as many times as the mix takes it (not at all: it goes)."""
-    key = F.coalesce(F.col("doc_id").cast("long"), F.xxhash64("text"))
-    taken = mixing.mix(docs.select(key.alias("doc_id"), "text", "source"))
-    copies = taken.groupBy(F.col("doc_id").alias("_key")).agg(F.max("copies").alias("_copies")).where("_copies > 0")
-    return (
-        docs.withColumn("_key", key)
-        .join(copies, "_key")
-        .withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies").cast("int"))))
-        .select(*docs.columns)
+    """Every row as many times as the mix takes it (not at all: it goes).
+
+    Rows are known by id and text; of rows equal in both as many are repeated once more
+    as were drawn. A null text has no words and is taken whole times only; a null source
+    is a source of its own. No documents, no rows.
+    """
+    plain, names, at = _plain(docs)
+    plain = plain.withColumn("key", _row_key(at))
+    taken = mixing.mix(plain.select(F.col("key").alias("doc_id"), F.col(at["text"]).alias("text"), F.col(at["source"]).alias("source")))
+    copies = taken.groupBy(F.col("doc_id").alias("key")).agg(
+        F.min("copies").alias("low"), F.max("copies").alias("high"), F.sum("copies").alias("all"), F.count("*").alias("rows")
     )
+    met = plain.join(copies.where("high > 0"), "key")
+    # only rows equal in id and text can differ in copies, by the one that is drawn
+    drawn = F.row_number().over(Window.partitionBy("key").orderBy("key")) <= F.col("all") - F.col("rows") * F.col("low")
+    same = met.where("low = high").withColumn("times", F.col("high"))
+    some = met.where("low < high").withColumn("times", F.col("low") + drawn.cast("long"))
+    out = same.unionByName(some).where("times > 0")
+    return _named(out.withColumn("time", F.explode(F.sequence(F.lit(1), F.col("times").cast("int")))), names)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
