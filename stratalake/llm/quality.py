@@ -201,20 +201,17 @@ def sample(docs: DataFrame, labels: DataFrame, label: str, id_col: str, text_col
     """(texts, classes, share of class 1 among all training labels).
 
     At most ``most`` rows of each class, those of smallest id hash, of crc32(id) mod
-    ``FOLDS`` not 0; only labels 0 and 1 of documents with a text count. Of a text of more
-    than ``longest`` characters a stretch of that length is taken, from a place that its
-    id's hash chooses. Bounded, so it may go to the driver.
+    ``FOLDS`` not 0; only labels 0 and 1 of documents with a text of at most ``longest``
+    characters count. Bounded, so it may go to the driver.
     """
     text = F.col(text_col)
-    d = docs.where(text.isNotNull()).select(F.col(id_col).alias("_id"), text.alias("_t"))
+    d = docs.where(text.isNotNull() & (F.length(text) <= longest)).select(F.col(id_col).alias("_id"), text.alias("_t"))
     rows = labels.where(remainder(id_col, FOLDS) != 0).select(F.col(id_col).alias("_id"), F.col(label).alias("_y"))
     rows = rows.where(F.col("_y").isin(0, 1) & F.col("_id").isNotNull()).join(d.select("_id"), "_id", "left_semi")
     rows = staged(rows, "labelled")
     n = {r["_y"]: r["n"] for r in rows.groupBy("_y").agg(F.count("*").alias("n")).collect()}
     picks = [rows.where(F.col("_y") == c).orderBy(F.xxhash64("_id"), "_id").limit(most) for c in (0, 1)]
     few = F.broadcast(picks[0].unionByName(picks[1]))  # at most 2 * most ids
-    spare = F.greatest(F.length("_t") - longest, F.lit(0))
-    d = d.withColumn("_t", F.substring("_t", (F.pmod(F.xxhash64("_id"), spare + 1) + 1).cast("int"), F.lit(longest)))
     found = d.join(few, "_id").orderBy(F.xxhash64("_id"), "_t", "_y").limit(2 * most).collect()
     total = sum(n.values())
     return [r["_t"] for r in found], [r["_y"] for r in found], (n.get(1, 0) / total if total else 0.5)

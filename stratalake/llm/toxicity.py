@@ -3,9 +3,9 @@
 Two bigram models, of toxic and of ordinary texts, with absolute discounting. Both
 back off to one shared continuation distribution (in how many contexts a word was
 seen, in either class). The rarer an expression (word or pair of words), the likelier its
-class counts differ by chance: its difference is shrunk by its evidence, the G statistic
-of its contexts, towards what the shared counts say of it, which is none. A pair with
-hardly any evidence (below ``PAIR_EVIDENCE``) is judged by its last word.
+class counts differ by chance: its difference is shrunk, towards what the shared counts
+say of it (none), by the odds that the classes do differ, which follow from the G
+statistic of its contexts and ``PRIOR``. A pair is so shrunk towards its last word.
 
 A text is scored by the difference of the two log-likelihoods per word: over the
 whole text, and over the most toxic stretch of ``STRETCH`` words, so that a few toxic
@@ -27,8 +27,8 @@ __all__ = ["FOLDS", "learn", "score"]
 
 SAMPLE = 3000  # training texts of each class
 SAMPLE_CHARS = 20_000  # longer texts are not sampled
-EVIDENCE = 12.0  # G statistic at which half of a difference counts
-PAIR_EVIDENCE = 4.0
+PRIOR = 1e-4  # odds, before any evidence, that an expression tells the classes apart
+LEAST = 0.01  # smaller differences of a word, and smaller beliefs in a pair, are left out
 STRETCH = 16
 THRESHOLD = 0.5
 PARTS = 2  # of the sample, for the logistic unit
@@ -58,7 +58,9 @@ def _evidence(a, b, na: float, nb: float):
 
 def _belief(g):
     """How much of a difference counts, by its G statistic: from 0 (none) to 1."""
-    return g * g / (g * g + EVIDENCE * EVIDENCE)
+    import numpy as np
+
+    return 1 / (1 + np.exp(-np.minimum(g, 100) / 2) / PRIOR)
 
 
 class Model:
@@ -95,7 +97,7 @@ class Model:
         believed = _belief(_evidence(kinds[1], kinds[0], max(kinds[1].sum(), 1), max(kinds[0].sum(), 1)))
         both = (prob[0] + prob[1]) / 2
         diff = believed * np.log(prob[1] / prob[0])
-        self.words = {names[i]: float(diff[i]) for i in np.flatnonzero(diff)}
+        self.words = {names[i]: float(diff[i]) for i in np.flatnonzero(np.abs(diff) >= LEAST)}
 
         # pairs: the context's own counts, backing off to the class's word model
         logs, seen, total = [], [], []
@@ -113,11 +115,10 @@ class Model:
             three = np.unique(where * size + t[:-2][inside])
             seen.append(np.bincount(three // size, minlength=len(every)))
             total.append(np.maximum(np.bincount(first, seen[y], minlength=size)[first], 1))
-        g = _evidence(seen[1], seen[0], total[1], total[0])
-        # a pair believed in part: the rest is its last word's difference
-        value = _belief(g) * (logs[1] - logs[0]) + (1 - _belief(g)) * diff[second]
+        pair = _belief(_evidence(seen[1], seen[0], total[1], total[0]))
+        value = pair * (logs[1] - logs[0]) + (1 - pair) * diff[second]
         self.pairs: dict = {}
-        for i in np.flatnonzero(g >= PAIR_EVIDENCE):
+        for i in np.flatnonzero(pair >= LEAST):
             self.pairs.setdefault(names[second[i]], {})[names[first[i]]] = float(value[i])
 
     def features(self, text: list) -> tuple[float, float]:

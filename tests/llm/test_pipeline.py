@@ -36,7 +36,8 @@ def test_decisions_take_effect(spark, steps):
     assert good.join(clean, "doc_id", "left_semi").count() >= 0.97 * clean.count()
     assert known.count() >= 0.97 * good.where(F.col("text").rlike(r"\p{L}")).count()
     assert single.groupBy("text").count().where("count > 1").isEmpty()
-    assert single.groupBy("doc_id").count().where("doc_id is not null and count > 1").isEmpty()
+    # id 3 has two texts that are not alike: a row stays or goes by its own text
+    assert sorted(single.where("doc_id = 3").select("text").distinct().collect()) == sorted(known.where("doc_id = 3").select("text").distinct().collect())
     assert mixed.groupBy("doc_id").count().agg(F.max("count")).first()[0] == 2
     tokens = packed.agg(F.sum("length")).first()[0]
     ends = mixed.count()  # every document ends with one id of its own

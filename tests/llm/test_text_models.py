@@ -120,3 +120,55 @@ def test_toxicity_without_labels(spark, docs):
     labels = spark.createDataFrame([], "doc_id long, quality int, toxic int")
     learned = toxicity.learn(docs, labels)
     assert {r["score"] for r in toxicity.score(docs.limit(3), learned).collect()} == {0.5}
+
+
+def test_rare_toxic_words_count_by_their_evidence():
+    """A word in k of 1,000 toxic texts and in no ordinary one: the more texts, the more it weighs, without a step."""
+    weight = {}
+    for k in (3, 8, 12, 15, 20, 30, 60):
+        r = random.Random(k)
+        words = [f"w{i}" for i in range(3000)]
+        base = [[r.choice(words) for _ in range(60)] for _ in range(2000)]
+        for t in base[:k]:
+            t.insert(r.randrange(60), "slur")
+        names: dict = {}
+        seqs = [np.array([names.setdefault(w, len(names)) for w in t]) for t in base]
+        weight[k] = toxicity.Model(seqs, [1] * 1000 + [0] * 1000, list(names)).words.get("slur", 0.0)
+    assert 0 <= weight[3] <= weight[8] < weight[12] < weight[15] < weight[20]
+    assert weight[8] > 0.01 and weight[15] > 1 and weight[20] > 3 and weight[60] > 3
+
+
+def test_toxicity_counts_against_plain_python():
+    """Class-conditional Kneser-Ney, word by word: pairs lie within a text."""
+    import math
+    from collections import Counter
+
+    r = random.Random(4)
+    texts = [[r.choice("abcdefgh") for _ in range(r.randrange(1, 12))] + (["bad", "x"] if i % 2 else []) for i in range(120)]
+    toxic = [i % 2 for i in range(120)]
+    names: dict = {}
+    seqs = [np.array([names.setdefault(w, len(names)) for w in t]) for t in texts]
+    model = toxicity.Model(seqs, toxic, list(names))
+    uni = [Counter(w for t, y in zip(texts, toxic) if y == c for w in t) for c in (0, 1)]
+    bi = [Counter(p for t, y in zip(texts, toxic) if y == c for p in zip(t, t[1:])) for c in (0, 1)]
+    every = set(bi[0]) | set(bi[1])
+    contexts = Counter(b for _, b in every)
+    rest = sum(contexts.values()) + 0.5 * (len(names) + 1)
+
+    def discount(counts):
+        one, two = (sum(1 for v in counts.values() if v == k) for k in (1, 2))
+        return one / (one + 2 * two) if one and two else 0.75
+
+    def believed(a, b, na, nb):
+        g = 2 * sum(x * math.log(x * (na + nb) / ((a + b) * n)) for x, n in ((a, na), (b, nb)) if x)
+        return 1 / (1 + math.exp(-g / 2) / toxicity.PRIOR)
+
+    kinds = [Counter(b for _, b in c) for c in bi]
+    for w in names:
+        p = []
+        for c in (0, 1):
+            n, d = sum(uni[c].values()), discount(uni[c])
+            p.append(max(uni[c][w] - d, 0) / n + d * len(uni[c]) / n * (contexts[w] + 0.5) / rest + 1e-12)
+        want = believed(kinds[1][w], kinds[0][w], sum(kinds[1].values()), sum(kinds[0].values())) * math.log(p[1] / p[0])
+        assert abs(model.words.get(w, 0.0) - want) < max(1e-9, toxicity.LEAST * (w not in model.words))
+    assert "bad" in model.words or "x" in model.words or any(f for f in model.pairs.values())
