@@ -153,14 +153,39 @@ def word_hasher(limit: int = 400_000) -> Callable[[list[str]], list[int]]:
 
 def per_worker(key, make: Callable):
     """What ``make`` returns, made once for each Python worker process (functions and
-    their globals are unpickled for each task, so a module global would not last)."""
+    their globals are unpickled for each task, so a module global would not last).
+
+    A worker serves one operator after the other and keeps the last one's only, so what
+    an operator remembers takes no memory from the next.
+    """
     import sys
     import types
 
     kept = sys.modules.setdefault("_per_worker", types.ModuleType("_per_worker")).__dict__
-    if key not in kept:
-        kept[key] = make()
-    return kept[key]
+    if kept.get("key") != key:
+        forget_worker()
+        kept["made"], kept["key"] = make(), key
+    return kept["made"]
+
+
+def forget_worker() -> None:
+    """Drop what :func:`per_worker` has kept in this process and hand the memory back."""
+    import ctypes
+    import gc
+    import sys
+
+    kept = getattr(sys.modules.get("_per_worker"), "__dict__", {})
+    if kept.pop("key", None) is None:
+        return
+    kept.pop("made", None)
+    gc.collect()
+    if sys.platform == "linux":
+        import pyarrow as pa
+
+        pa.default_memory_pool().release_unused()
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+        if trim:
+            trim(0)
 
 
 def map_texts(df: DataFrame, text_col: str, keep: list | None, make: Callable, added: str) -> DataFrame:
@@ -181,6 +206,7 @@ def map_texts(df: DataFrame, text_col: str, keep: list | None, make: Callable, a
         import pyarrow as pa
         from pyspark.sql.pandas.types import to_arrow_type
 
+        forget_worker()
         work = make()
         types = [(f.name, to_arrow_type(f.dataType)) for f in new.fields]
         for batch in batches:

@@ -26,7 +26,7 @@ OPEN_WINDOWS = 32
 MAX_PAD = 16
 MERGE_TASKS = 16
 END_ID = 1
-CACHE_WORDS = 600_000
+CACHE_WORDS = 400_000
 TEXTS = 500
 SPACES = bytes(32 if b == 10 else b for b in range(256))
 
