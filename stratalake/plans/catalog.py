@@ -767,19 +767,23 @@ class _EventPages:
     Stands for a remote service in the registered queries; ids must be dense.
     """
 
-    def __init__(self, spark, d):
+    def __init__(self, spark, d, before: int | None = None):
+        """``before``: only ids below it, the source as it was earlier."""
         self.path = f"{d.rstrip('/')}/events.parquet"
+        self.before = before
         r = table(spark, d, "events").agg(F.min("event_id"), F.max("event_id"), F.count_distinct("event_id")).first()
         if r[2] and (r[0], r[1]) != (0, r[2] - 1):
             raise ValueError("event ids are not dense: pages would have gaps")
+        self.rows = r[2]
         self._held = None
 
     def __getstate__(self):
-        return {"path": self.path, "_held": None}
+        return {"path": self.path, "before": self.before, "_held": None}
 
     def _rows(self, lo: int, hi: int) -> list[dict]:
         import pyarrow.dataset as ds
 
+        hi = hi if self.before is None else min(hi, self.before)
         key = ds.field("event_id")
         found = ds.dataset(self.path, format="parquet").to_table(columns=EVENT_COLS, filter=(key >= lo) & (key < hi))
         return found.sort_by("event_id").to_pylist()
@@ -803,6 +807,16 @@ SQL_PAGED_READ = """SELECT CAST(event_id // 200 + 1 AS INTEGER) AS page, event_i
 FROM events"""
 
 
+def q_paged_stream(spark, d):
+    """The same source followed while it grows: a third of the records, then all; no record twice."""
+    from ..streaming.pages import incremental_pages, read_pages
+
+    path, ckpt = storage.scratch_path(spark, "pages"), storage.scratch_path(spark, "stream")
+    for fetch in (_EventPages(spark, d, before=_EventPages(spark, d).rows // 3), _EventPages(spark, d)):
+        incremental_pages(spark, fetch, path, ckpt, per_page=200)
+    return parse_records(read_pages(spark, path), EVENTS_SCHEMA)
+
+
 EVENTS_CONFIG = {"bronze": {"events": {"fields": {f.name: f.dataType.simpleString() for f in EVENTS_SCHEMA.fields}}}}
 
 
@@ -848,6 +862,7 @@ QUERIES: dict[str, Query] = {
     "publish_partitions": q_publish_partitions,
     "row_changes": q_row_changes,
     "paged_read": q_paged_read,
+    "paged_stream": q_paged_stream,
     "source_to_bronze": q_source_to_bronze,
 }
 
@@ -883,5 +898,6 @@ ORACLE_SQL: dict[str, str] = {
     "publish_partitions": SQL_PUBLISH_PARTITIONS,
     "row_changes": SQL_ROW_CHANGES,
     "paged_read": SQL_PAGED_READ,
+    "paged_stream": SQL_PAGED_READ,
     "source_to_bronze": SQL_SOURCE_TO_BRONZE,
 }

@@ -1,6 +1,6 @@
 """Sources and sinks: schemas, dated snapshots, paged sources, tables."""
 
-from .paged import HttpPages, PagedReadError, paged_errors, parse_records, raw_pages, read_paged
+from .paged import HttpPages, PagedReadError, paged_errors, parse_records, raw_pages, read_paged, stream_pages
 from .schema import load_schema, parse_type, schema_from_fields, with_field
 from .sinks import prepare_partitions, read_table, write_json, write_partitioned, write_table
 from .snapshots import (
@@ -42,6 +42,7 @@ __all__ = [
     "parse_type",
     "prepare_partitions",
     "raw_pages",
+    "stream_pages",
     "read_latest_snapshot",
     "newest_label_value",
     "snapshot_labels",

@@ -21,6 +21,11 @@ How the pages are read in parallel while keeping the sequential rule "pages 1, 2
 A probed page is fetched again by its task; besides that a page is fetched once per
 evaluation. :func:`read_paged` therefore checkpoints what it read.
 
+A source whose records only grow at the end can also be followed: :func:`stream_pages`.
+Its offset is a page and how many of that page's records are taken, so a last page that
+was partly filled is read again from there, and a micro-batch that is replayed reads
+exactly the records it stood for.
+
 Records leave the source as their JSON text (``record`` column), so typing is
 schema-on-read exactly as for a JSON file (see :func:`parse_records`).
 
@@ -43,7 +48,7 @@ from datetime import date, datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
+from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceStreamReader, InputPartition
 
 # Default page size and retry policy of the paged source.
 DEFAULT_PER_PAGE = 200
@@ -91,8 +96,8 @@ def fetch_with_retry(fetch, page: int, per_page: int, retries: int, base_wait: f
     return None
 
 
-def probe_end(fetch, per_page: int, retries: int, base_wait: float) -> int:
-    """Some empty page p whose predecessor has records (or p == 1)."""
+def probe_end(fetch, per_page: int, retries: int, base_wait: float, first: int = 1) -> int:
+    """Some empty page p whose predecessor has records (or p == ``first``)."""
     errors: dict[int, Exception] = {}
 
     def has_records(page: int) -> bool:
@@ -102,10 +107,10 @@ def probe_end(fetch, per_page: int, retries: int, base_wait: float) -> int:
             errors[page] = e  # perhaps only beyond the end; the search goes on below it
             return False
 
-    hi = 1
-    while has_records(hi):
-        hi *= 2
-    lo = hi // 2  # has records (or is 0)
+    lo, span = first - 1, 1  # lo has records (or is before the first)
+    while has_records(first - 1 + span):
+        lo, span = first - 1 + span, 2 * span
+    hi = first - 1 + span
     while hi - lo > 1:
         mid = (lo + hi) // 2
         if has_records(mid):
@@ -139,8 +144,6 @@ class _Reader(DataSourceReader):
 
     def read(self, partition: PageRange):
         """One Arrow batch per page (no per-row conversion on the way to the JVM)."""
-        import pyarrow as pa
-
         prefetch = getattr(self.fetch, "prefetch", None)
         if prefetch is not None:
             prefetch(partition.first, partition.last or self.end, self.per_page)
@@ -154,13 +157,89 @@ class _Reader(DataSourceReader):
                 if page < self.end:
                     raise PagedReadError(f"page {page} is empty, but page {self.end - 1} had records when probed")
                 return
-            records = [json.dumps(r, default=_jsonable) for r in recs]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([page] * len(records), pa.int32()), pa.array(records, pa.string())], names=["page", "record"]
-            )
+            yield _batch(page, recs)
             page += 1
 
 
+def _batch(page: int, recs: list):
+    import pyarrow as pa
+
+    records = [json.dumps(r, default=_jsonable) for r in recs]
+    return pa.RecordBatch.from_arrays(
+        [pa.array([page] * len(records), pa.int32()), pa.array(records, pa.string())], names=["page", "record"]
+    )
+
+
+@dataclass
+class PageSlice(InputPartition):
+    """Pages ``first`` to ``last``, without the first ``skip`` records of the first and
+    only the first ``upto`` of the last (None: all)."""
+
+    first: int
+    last: int
+    skip: int
+    upto: int | None
+
+
+class _StreamReader(DataSourceStreamReader):
+    """Offsets ``{"page": p, "taken": n}``: everything before page p and n records of it."""
+
+    def __init__(self, fetch, per_page, pages_per_partition, retries, base_wait):
+        self.fetch = fetch
+        self.per_page = per_page
+        self.ppp = pages_per_partition
+        self.retries = retries
+        self.base_wait = base_wait
+        self.known = None  # an offset that pages are known to reach; probing goes on there
+
+    def initialOffset(self):
+        return {"page": 1, "taken": 0}
+
+    def latestOffset(self):
+        at = self.known or self.initialOffset()
+        end = probe_end(self.fetch, self.per_page, self.retries, self.base_wait, first=at["page"])
+        if end == at["page"]:
+            if at["taken"]:
+                raise PagedReadError(f"page {end} is empty, but had {at['taken']} records before")
+        else:
+            n = len(self._page(end - 1))
+            at = {"page": end, "taken": 0} if n >= self.per_page else {"page": end - 1, "taken": n}
+        self.known = at
+        return at
+
+    def partitions(self, start, end):
+        last, upto = (end["page"], end["taken"]) if end["taken"] else (end["page"] - 1, None)
+        firsts = list(range(start["page"], last + 1, self.ppp))
+        return [
+            PageSlice(a, min(a + self.ppp - 1, last), start["taken"] if a == firsts[0] else 0, upto if a == firsts[-1] else None)
+            for a in firsts
+        ]
+
+    def _page(self, page: int) -> list:
+        try:
+            return fetch_with_retry(self.fetch, page, self.per_page, self.retries, self.base_wait) or []
+        except Exception as e:
+            raise PagedReadError(f"page {page} failed: {type(e).__name__}: {e}") from e
+
+    def read(self, partition: PageSlice):
+        prefetch = getattr(self.fetch, "prefetch", None)
+        if prefetch is not None:
+            prefetch(partition.first, partition.last, self.per_page)
+        for page in range(partition.first, partition.last + 1):
+            recs = self._page(page)
+            skip = partition.skip if page == partition.first else 0
+            upto = partition.upto if page == partition.last else None
+            least = max(skip, upto or 1)
+            if len(recs) < least:
+                raise PagedReadError(f"page {page} has {len(recs)} records, but had {least} before")
+            if recs[skip:upto]:
+                yield _batch(page, recs[skip:upto])
+
+    def commit(self, end):
+        if self.known is None:
+            self.known = dict(end)
+
+
 SOURCE_NAME = "stratalake_paged"
 
 
@@ -189,6 +268,32 @@ class PagedSource(DataSource):
             float(o.get("base_wait", 0.5)),
         )
 
+    def streamReader(self, schema):
+        import base64
+
+        from pyspark import cloudpickle
+
+        o = self.options
+        return _StreamReader(
+            cloudpickle.loads(base64.b64decode(o["fetcher"])),
+            int(o.get("per_page", DEFAULT_PER_PAGE)),
+            int(o["pages_per_partition"]),
+            int(o.get("retries", DEFAULT_RETRIES)),
+            float(o.get("base_wait", 0.5)),
+        )
+
+
+def _with_options(source, fetch, **options):
+    """A reader (batch or stream) of :class:`PagedSource` with its options."""
+    import base64
+
+    from pyspark import cloudpickle
+
+    # Ship this module by value: executors need not have the package installed.
+    cloudpickle.register_pickle_by_value(sys.modules[__name__])
+    options["fetcher"] = base64.b64encode(cloudpickle.dumps(fetch)).decode("ascii")
+    return source.format(SOURCE_NAME).options(**options)
+
 
 def raw_pages(
     spark: SparkSession,
@@ -204,26 +309,38 @@ def raw_pages(
     ``pages_per_partition`` defaults to what gives every core a few tasks. Run actions
     inside :func:`paged_errors` to get a :class:`PagedReadError` from a failing page.
     """
-    import base64
-
-    from pyspark import cloudpickle
-
     end = probe_end(fetch, per_page, retries, base_wait)
     if pages_per_partition is None:
         pages_per_partition = max(1, -(-(end - 1) // (TASKS_PER_CORE * spark.sparkContext.defaultParallelism)))
-    # Ship this module by value: executors need not have the package installed.
-    cloudpickle.register_pickle_by_value(sys.modules[__name__])
     spark.dataSource.register(PagedSource)
-    return (
-        spark.read.format(SOURCE_NAME)
-        .option("fetcher", base64.b64encode(cloudpickle.dumps(fetch)).decode("ascii"))
-        .option("per_page", per_page)
-        .option("pages_per_partition", pages_per_partition)
-        .option("end", end)
-        .option("retries", retries)
-        .option("base_wait", base_wait)
-        .load()
-    )
+    return _with_options(
+        spark.read, fetch, per_page=per_page, pages_per_partition=pages_per_partition, end=end, retries=retries, base_wait=base_wait
+    ).load()
+
+
+def stream_pages(
+    spark: SparkSession,
+    fetch,
+    *,
+    per_page: int = DEFAULT_PER_PAGE,
+    pages_per_partition: int = 50,
+    retries: int = DEFAULT_RETRIES,
+    base_wait: float = 0.5,
+) -> DataFrame:
+    """A streaming frame ``(page, record)`` of a source that grows at its end only.
+
+    A micro-batch holds the records that came since the one before, each exactly once
+    (also after a restart from the query's checkpoint): full pages once, a last page that
+    was partly filled again, without the records taken. A micro-batch reads what its
+    offsets say, so one that is replayed is the same. A page that cannot be read, or has
+    lost records, fails the micro-batch; nothing is passed over. ``per_page`` must stay
+    the same for one checkpoint. Each micro-batch probes O(log new pages) pages, the first
+    one after a restart O(log all pages).
+    """
+    spark.dataSource.register(PagedSource)
+    return _with_options(
+        spark.readStream, fetch, per_page=per_page, pages_per_partition=pages_per_partition, retries=retries, base_wait=base_wait
+    ).load()
 
 
 def read_paged(

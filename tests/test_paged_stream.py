@@ -1,0 +1,88 @@
+"""Following a paged source that grows: every record once, also over restarts and failures."""
+
+import json
+import os
+
+import pytest
+
+from stratalake.sources import PagedReadError, read_paged
+from stratalake.sources.paged import _StreamReader, probe_end
+from stratalake.streaming import incremental_pages, read_pages
+
+
+class Growing:
+    """The first ``n`` records, ``per_page`` a page; ``broken`` pages cannot be read."""
+
+    def __init__(self, n, broken=()):
+        self.n, self.broken = n, set(broken)
+
+    def __call__(self, page, per_page):
+        if page in self.broken:
+            raise ConnectionError(f"page {page} unavailable")
+        return [{"id": i} for i in range((page - 1) * per_page, min(page * per_page, self.n))]
+
+
+def run(spark, d, fetch, **kw):
+    return incremental_pages(spark, fetch, f"{d}/pages", f"{d}/ckpt", per_page=3, base_wait=0, retries=1, pages_per_partition=2, **kw)
+
+
+def stored(spark, d):
+    return sorted((r.page, json.loads(r.record)["id"]) for r in read_pages(spark, f"{d}/pages").collect())
+
+
+def test_runs_over_a_growing_source_add_up_to_one_read(spark, tmp_dir):
+    sizes = [0, 7, 7, 9, 25]  # empty, partly filled, nothing new, filled up, many
+    before = 0
+    for n in sizes:
+        assert run(spark, tmp_dir, Growing(n)) == n - before
+        want = [(i // 3 + 1, i) for i in range(n)]
+        if os.path.exists(f"{tmp_dir}/pages"):
+            assert stored(spark, tmp_dir) == want
+        else:
+            assert not want
+        before = n
+    whole = read_paged(spark, Growing(before), per_page=3, base_wait=0)
+    assert stored(spark, tmp_dir) == sorted((r.page, json.loads(r.record)["id"]) for r in whole.collect())
+
+
+def test_a_failing_page_stops_the_run_and_the_next_one_goes_on(spark, tmp_dir):
+    run(spark, tmp_dir, Growing(4))
+    with pytest.raises(PagedReadError, match="page 5 failed"):
+        run(spark, tmp_dir, Growing(20, broken=[5]))
+    assert stored(spark, tmp_dir) == [(i // 3 + 1, i) for i in range(4)]
+    run(spark, tmp_dir, Growing(26))
+    assert stored(spark, tmp_dir) == [(i // 3 + 1, i) for i in range(26)]
+
+
+def test_lost_records_fail_the_run(spark, tmp_dir):
+    run(spark, tmp_dir, Growing(8))
+    with pytest.raises(PagedReadError):
+        run(spark, tmp_dir, Growing(7))
+    assert stored(spark, tmp_dir) == [(i // 3 + 1, i) for i in range(8)]
+
+
+def taken(reader, start, end):
+    return [json.loads(r)["id"] for p in reader.partitions(start, end) for b in reader.read(p) for r in b.column(1).to_pylist()]
+
+
+@pytest.mark.parametrize("ppp", [1, 2, 50])
+def test_a_replayed_range_is_the_same_although_the_source_has_grown(ppp):
+    at = {"page": 1, "taken": 0}
+    ends = []
+    for n in [2, 3, 4, 11, 30]:
+        reader = _StreamReader(Growing(n), 3, ppp, 1, 0)
+        reader.commit(at)  # as after a restart
+        end = reader.latestOffset()
+        assert reader.latestOffset() == end
+        ends.append((at, end, taken(reader, at, end)))
+        at = end
+    assert [i for _, _, ids in ends for i in ids] == list(range(30))
+    late = _StreamReader(Growing(100), 3, ppp, 1, 0)
+    assert all(taken(late, a, b) == ids for a, b, ids in ends)
+    assert late.partitions(at, at) == []
+
+
+def test_probing_goes_on_where_it_stopped():
+    for n in range(0, 40):
+        for first in range(1, -(-n // 3) + 2):
+            assert probe_end(Growing(n), 3, 1, 0, first) == -(-n // 3) + 1
