@@ -5,6 +5,7 @@ from .geo import inversion_counts, inversion_flags, repair_coordinates
 from .guards import require_columns, require_rows
 from .quality import (
     Check,
+    Recent,
     VerificationError,
     at_least,
     at_most,
@@ -19,6 +20,7 @@ from .rollup import distinct_rollup
 
 __all__ = [
     "Check",
+    "Recent",
     "VerificationError",
     "at_least",
     "at_most",

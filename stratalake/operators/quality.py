@@ -23,7 +23,7 @@ Execution plan:
 
 Metric conventions: a ratio over zero rows is NULL (``try_divide``) and a NULL
 metric is a Failure. Completeness = non-NULL / rows. Uniqueness = values that
-occur exactly once / rows whose key is not entirely NULL. Data type = share of
+occur exactly once / rows whose key is not entirely NULL. Size = rows. Data type = share of
 non-NULL values in the wanted class (0 when every value is NULL). Compliance =
 rows whose predicate is TRUE / rows (NULL counts as not compliant unless
 ``nulls="pass"``).
@@ -127,7 +127,38 @@ def between(lo: float, hi: float) -> Bound:
     return Bound(lo, hi, f"in [{lo}, {hi}]")
 
 
-Assertion = Bound | Callable[[float], bool]
+@dataclass(frozen=True)
+class Recent:
+    """An assertion that looks back: between ``lo`` and ``hi`` times the mean of the metric
+    in the last ``last`` published versions.
+
+    Only where reports are kept (``publish(reports=...)``), which puts a :class:`Bound` in
+    its place. Versions in which the metric was missing do not count; with fewer than
+    ``least`` that do, any metric passes.
+    """
+
+    lo: float | None = None
+    hi: float | None = None
+    last: int = 3
+    least: int = 1
+
+    def __post_init__(self):
+        if self.last < 1 or self.least < 1:
+            raise ValueError("last and least must be at least 1")
+
+    def bound(self, mean: float | None, versions: int) -> Bound:
+        if mean is None or versions < self.least:
+            return Bound(None, None, "too few versions to compare with")
+        ends = [None if x is None else x * mean for x in (self.lo, self.hi)]
+        # of a negative mean the smaller multiple is the upper end
+        lo, hi = ends if mean >= 0 else reversed(ends)
+        return Bound(lo, hi, f"in [{lo}, {hi}], by {versions} versions")
+
+    def __call__(self, value: float) -> bool:
+        raise ValueError("an assertion on recent versions needs kept reports: publish(..., reports=...)")
+
+
+Assertion = Bound | Recent | Callable[[float], bool]
 
 
 # ---------------------------------------------------------------------------
@@ -135,7 +166,7 @@ Assertion = Bound | Callable[[float], bool]
 # ---------------------------------------------------------------------------
 @dataclass(frozen=True)
 class Constraint:
-    kind: str  # completeness | uniqueness | datatype | compliance
+    kind: str  # size | completeness | uniqueness | datatype | compliance
     columns: tuple[str, ...]
     name: str
     assertion: Assertion = field(default_factory=is_one)
@@ -163,6 +194,10 @@ class Check:
     def _add(self, c: Constraint) -> Check:
         return replace(self, constraints=(*self.constraints, c))
 
+    def has_size(self, assertion: Assertion) -> Check:
+        """An assertion on the number of rows."""
+        return self._add(Constraint("size", (), "Size(*)", assertion))
+
     def is_complete(self, column: str, assertion: Assertion | None = None) -> Check:
         return self._add(
             Constraint("completeness", (column,), f"Completeness({column})",
@@ -267,6 +302,8 @@ def _scan_metric(df: DataFrame, c: Constraint, cls: str | None = None) -> Column
     ``cls`` names a pre-projected class column for data-type constraints.
     """
     rows = F.count(F.lit(1))
+    if c.kind == "size":
+        return rows.cast("double")
     if c.kind == "completeness":
         return _ratio(F.count(F.col(c.columns[0])), rows)
     if c.kind == "compliance":
@@ -309,6 +346,12 @@ def _entries(checks: Sequence[Check]):
             yield chk, c
 
 
+def _no_recent(checks: Sequence[Check]) -> None:
+    for _, c in _entries(checks):
+        if isinstance(c.assertion, Recent):
+            raise ValueError(f"{c.name}: an assertion on recent versions needs kept reports: publish(..., reports=...)")
+
+
 def _required(checks: Sequence[Check]) -> set[str]:
     return {col for _, c in _entries(checks) for col in c.columns}
 
@@ -321,6 +364,7 @@ def metrics(df: DataFrame, *checks: Check) -> DataFrame:
     expensive input first. ``passed`` is present for Column-expressible assertions and NULL otherwise.
     """
     require_columns(df, _required(checks))
+    _no_recent(checks)
     entries = list(_entries(checks))
     if not entries:
         raise ValueError("no constraints to verify")
@@ -398,6 +442,7 @@ class ObservedVerification:
         from pyspark.sql import Observation
 
         require_columns(df, _required(checks))
+        _no_recent(checks)
         self.entries = list(_entries(checks))
         self.scan = [i for i, (_, c) in enumerate(self.entries) if c.kind != "uniqueness"]
         self.obs = Observation()

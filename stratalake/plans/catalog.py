@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 
 from ..functions.text import clean_code, clean_label, null_default
 from ..operators.geo import inversion_counts, repair_coordinates
-from ..operators.quality import MSG_EMPTY, MSG_FAILED, Check, at_least, type_histogram, verify
+from ..operators.quality import MSG_EMPTY, MSG_FAILED, Check, Recent, VerificationError, at_least, type_histogram, verify
 from ..operators.rollup import distinct_rollup
 from ..sources import storage
 from ..sources.paged import parse_records, read_paged
@@ -758,6 +758,45 @@ SQL_ROW_CHANGES = f"""SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice
 FROM orders, (VALUES (0), (1)) v(s) WHERE o_orderpriority IN {REPUBLISHED}"""
 
 
+def q_kept_reports(spark, d):
+    """Three publishes of orders, the third rejected: it has lost more than half of the rows of those before."""
+    from .reports import kept_reports
+
+    path, reports = storage.scratch_path(spark, "orders"), storage.scratch_path(spark, "reports")
+    o = table(spark, d, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderpriority")
+    check = Check("orders").has_size(Recent(lo=0.5, last=2)).is_complete("o_custkey").is_unique("o_orderkey")
+    for rows in (o, o.where("o_orderpriority <> '5-LOW'"), o.where("o_orderpriority = '1-URGENT'")):
+        try:
+            publish(rows, path, [check], reports=reports, table_name="orders")
+        except VerificationError:
+            pass  # kept as rejected
+    return kept_reports(spark, reports, "orders").drop("verified_at", "version")
+
+
+def _sql_kept_reports() -> str:
+    runs = [(1, "true"), (2, "o_orderpriority <> '5-LOW'"), (None, "o_orderpriority = '1-URGENT'")]
+    rows = []
+    for number, kept in runs:
+        src = f"(SELECT * FROM orders WHERE {kept})"
+        bad = number is None
+        for name, metric in (
+            ("Size(*)", f"(SELECT count(*)::DOUBLE FROM {src})"),
+            ("Completeness(o_custkey)", sql_completeness(src, "o_custkey")),
+            ("Uniqueness(o_orderkey)", sql_uniqueness(src, ["o_orderkey"])),
+        ):
+            size = bad and name == "Size(*)"
+            rows.append(
+                f"SELECT {'NULL' if bad else number}::BIGINT AS number, 'orders' AS \"check\", 'Error' AS check_level, "
+                f"'{'Error' if bad else 'Success'}' AS check_status, '{name}' AS \"constraint\", "
+                f"'{'Failure' if size else 'Success'}' AS constraint_status, "
+                f"'{MSG_FAILED if size else ''}' AS constraint_message, {metric} AS metric, 'orders' AS table_name"
+            )
+    return " UNION ALL ".join(rows)
+
+
+SQL_KEPT_REPORTS = _sql_kept_reports()
+
+
 # ---------------------------------------------------------------------------
 # Paged source over events (page p = event_id in [(p-1)*200, p*200))
 # ---------------------------------------------------------------------------
@@ -861,6 +900,7 @@ QUERIES: dict[str, Query] = {
     "incremental_gold": q_incremental_gold,
     "publish_partitions": q_publish_partitions,
     "row_changes": q_row_changes,
+    "kept_reports": q_kept_reports,
     "paged_read": q_paged_read,
     "paged_stream": q_paged_stream,
     "source_to_bronze": q_source_to_bronze,
@@ -897,6 +937,7 @@ ORACLE_SQL: dict[str, str] = {
     "incremental_gold": SQL_MEDALLION,
     "publish_partitions": SQL_PUBLISH_PARTITIONS,
     "row_changes": SQL_ROW_CHANGES,
+    "kept_reports": SQL_KEPT_REPORTS,
     "paged_read": SQL_PAGED_READ,
     "paged_stream": SQL_PAGED_READ,
     "source_to_bronze": SQL_SOURCE_TO_BRONZE,

@@ -26,12 +26,13 @@ from pyspark.sql import types as T
 from .._cols import require_columns
 from ..functions.text import NULL_LABEL, clean_code, clean_label
 from ..operators.geo import repair_coordinates
-from ..operators.quality import REPORT_SCHEMA, Check, ObservedVerification, gate, verify
+from ..operators.quality import REPORT_SCHEMA, Check, ObservedVerification, VerificationError, gate, verify
 from ..operators.rollup import distinct_rollup
 from ..sources import storage
 from ..sources.paged import DEFAULT_RETRIES, paged_errors, raw_pages
 from ..sources.sinks import partition_digests, prepare_partitions, read_table, write_partitioned, write_table
 from ..sources.snapshots import LABEL_COL, current_label, read_latest_snapshot, split_damaged, write_run
+from .reports import drop_report, keep_report, with_history
 
 log = logging.getLogger(__name__)
 
@@ -179,6 +180,8 @@ def publish(
     rebalance: bool = True,
     overwrite: str = "static",
     extra: Callable[[DataFrame], Sequence[tuple]] | None = None,
+    reports: str | None = None,
+    table_name: str | None = None,
 ) -> DataFrame:
     """Verify ``checks`` and write ``df`` to ``path`` only if the gate passes.
 
@@ -191,6 +194,9 @@ def publish(
     as it would be, everything else over the rows written.
 
     ``extra`` gives further report rows from the rows written, before the gate.
+    ``reports`` names a folder that keeps the report, also of a version that is rejected,
+    under ``table_name`` (default: ``path``); see :mod:`stratalake.plans.reports`. Assertions
+    of type :class:`~stratalake.operators.quality.Recent` compare with the kept ones.
     Returns the verification report (materialised, one row per constraint).
     Raises :class:`~stratalake.operators.quality.VerificationError` on failure.
     """
@@ -204,7 +210,10 @@ def publish(
     df = prepare_partitions(df, partition_cols, empty_as) if partition_cols else df
     version = storage.new_version(path)
     folder = version.rpartition("/")[2]
-    before = storage.current_version(spark, path) if overwrite != "static" else None
+    before = storage.current_version(spark, path) if overwrite != "static" or reports else None
+    table_name = table_name or path.rstrip("/")
+    if reports:
+        checks = with_history(checks, spark, reports, table_name, (before.number if before else 0) + 1)
     report = spark.createDataFrame([], REPORT_SCHEMA)
     parts = None
 
@@ -218,7 +227,12 @@ def publish(
         if extra is not None:
             written = read_table(spark, version, df.schema) if written is None else written
             rep = rep.unionByName(spark.createDataFrame(list(extra(written)), REPORT_SCHEMA))
-        gate(rep)
+        try:
+            gate(rep)
+        except VerificationError:
+            if reports:
+                keep_report(rep, reports, table_name, folder, None)
+            raise
         return rep
 
     def table() -> DataFrame:
@@ -256,9 +270,17 @@ def publish(
             report = gated(verified(table()))
         if overwrite != "static":
             parts = replaced()
-        storage.promote(spark, path, version, parts, before.number if before else (0 if overwrite != "static" else None))
+        after = before.number if before else 0
+        if reports:
+            keep_report(report, reports, table_name, folder, after + 1)
+        storage.promote(spark, path, version, parts, after if overwrite != "static" or reports else None)
+    except VerificationError:
+        storage.delete(spark, version)
+        raise
     except BaseException:
         storage.delete(spark, version)
+        if reports:
+            drop_report(spark, reports, table_name, folder)
         raise
     for d in sorted(set(storage.partition_folders(spark, version, len(partition_cols))) - set(parts[folder])) if parts and folder in parts else ():
         storage.delete(spark, f"{version}/{d}")  # copies of what is shared
@@ -388,11 +410,12 @@ def to_silver(
     overwrite: str = "static",
     quarantine: str | None = None,
     most_damaged: float = 1.0,
+    reports: str | None = None,
 ) -> DataFrame:
     """Newest bronze snapshot -> cleaned, verified silver table partitioned by country/state.
 
     ``multiline=True`` reads snapshots written as one JSON array per file;
-    ``filename`` reads a single file of the newest snapshot. ``overwrite`` as in :func:`publish`.
+    ``filename`` reads a single file of the newest snapshot. ``overwrite`` and ``reports`` as in :func:`publish`.
 
     Records that do not fit the schema (cut off, of wrong types, no objects) are counted
     while the snapshot is read. With a ``quarantine`` table their texts go there, to the
@@ -411,7 +434,7 @@ def to_silver(
 
     def load(df: DataFrame) -> DataFrame:
         return publish(df, silver_path, checks, partition_cols=partition_cols, empty_as=empty_as,
-                       verify_on=verify_on, overwrite=overwrite, extra=apart.report)
+                       verify_on=verify_on, overwrite=overwrite, extra=apart.report, reports=reports)
 
     return run_stage(extract, [lambda df: clean_entities(df, cols, mode)], load)
 
@@ -427,11 +450,12 @@ def to_gold(
     alias: str = "n_entities",
     checks: Sequence[Check] | None = None,
     verify_on: str = "staged",
+    reports: str | None = None,
 ) -> DataFrame:
     """Silver table -> distinct-count roll-up by ``keys``, verified, written unpartitioned."""
     checks = [rollup_checks(keys, alias)] if checks is None else checks
     return run_stage(
         lambda: read_table(spark, silver_path, schema),
         [lambda silver: distinct_rollup(silver, keys, id_col, alias)],
-        lambda gold: publish(gold, gold_path, checks, verify_on=verify_on),
+        lambda gold: publish(gold, gold_path, checks, verify_on=verify_on, reports=reports),
     )
