@@ -25,7 +25,8 @@ from .common import groups, staged
 SAMPLE = 6000
 TRIAL = 600  # of the sample, to choose the number of probes
 PARTITION_ROWS = 400
-MOST_PARTITIONS = 64
+LEAST_PARTITIONS, MOST_PARTITIONS = 2, 64
+LARGE = 1e120  # components beyond it are scaled before they are squared
 GRAPH = 10  # neighbours in the graph
 SLACK = 1.1  # largest partition of the sample, times the mean
 TARGET = 0.94
@@ -34,6 +35,28 @@ BLOCK_ROWS = 8192
 BLOCK_QUERIES = 1024
 
 
+def _unit(*arrays) -> float:
+    """1, or, where squares would overflow, the largest component."""
+    import numpy as np
+
+    most = max((float(np.abs(a).max()) for a in arrays if a.size), default=0.0)
+    return most if most > LARGE else 1.0
+
+
+def _distances(x, q):
+    """Euclidean distances of the rows of x to q; also where their squares leave the doubles' range."""
+    import numpy as np
+
+    with np.errstate(over="ignore", under="ignore"):
+        gap = x - q
+        out = np.sqrt((gap**2).sum(1))
+        most = np.abs(gap).max(1)
+        odd = np.flatnonzero(((most > LARGE) | (most < 1 / LARGE)) & (most > 0) & (most < np.inf))
+        if len(odd):
+            out[odd] = most[odd] * np.sqrt(((gap[odd] / most[odd, None]) ** 2).sum(1))
+    return out
+
+
 def _nearest(x, q, k: int):
     """Row numbers of the k nearest in x of each of q."""
     import numpy as np
@@ -92,8 +115,9 @@ class Router:
         import numpy as np
 
         r = np.random.default_rng(seed)
-        self.mean, self.scale = x.mean(0), x.std() + 1e-12
-        z = (x - self.mean) / self.scale
+        self.unit = _unit(x)
+        self.mean, self.scale = (x / self.unit).mean(0), (x / self.unit).std() + 1e-12
+        z = self._scaled(x)
         parts = target.shape[1]
         w = [
             r.normal(0, z.shape[1] ** -0.5, (z.shape[1], HIDDEN)),
@@ -119,28 +143,38 @@ class Router:
                     w[i] = w[i] - RATE * m[i] / (1 - 0.9**step) / (np.sqrt(v[i] / (1 - 0.999**step)) + 1e-8)
         self.w = w
 
+    def _scaled(self, x):
+        import numpy as np
+
+        with np.errstate(over="ignore"):
+            return np.clip((x / self.unit - self.mean) / self.scale, -1e6, 1e6)
+
     def ranked(self, x):
         """Partitions of each vector, most probable first."""
         import numpy as np
 
-        h = np.maximum((x - self.mean) / self.scale @ self.w[0] + self.w[1], 0)
+        h = np.maximum(self._scaled(x) @ self.w[0] + self.w[1], 0)
         return np.argsort(-(h @ self.w[2] + self.w[3]), axis=1, kind="stable")
 
 
 def fit(x, parts: int, k: int, target: float = TARGET):
-    """(router, probes) from a sample of vectors; (None, 1) for a single partition."""
+    """(router, probes) from a sample of vectors; (None, 1) if all of them are equal.
+
+    Vectors of a sample too small to keep some for trial go to every partition.
+    """
     import numpy as np
 
     x = np.asarray(x, float)
-    near = min(GRAPH, len(x) - 1)
-    if parts < 2 or near < 1:
+    if parts < 2 or not len(x):
         return None, 1
-    _, first, copy = np.unique(x, axis=0, return_index=True, return_inverse=True)
+    _, first = np.unique(x, axis=0, return_index=True)
     x = x[np.sort(first)]  # copies would be each other's only neighbours
-    near = min(GRAPH, len(x) - 1)
-    parts = min(parts, max(1, len(x) // (2 * near + 2))) if near >= 1 else 1
+    parts = min(parts, len(x))
     if parts < 2:
         return None, 1
+    unit = _unit(x)
+    x = x / unit
+    near = min(GRAPH, len(x) - 1)
     graph = _nearest(x, x, near + 1)
     label = _partition(x, graph, parts)
     spread = np.zeros((len(x), parts))
@@ -148,9 +182,13 @@ def fit(x, parts: int, k: int, target: float = TARGET):
     trial = np.random.default_rng(3).permutation(len(x))[: min(TRIAL, len(x) // 5)]
     rest = np.setdiff1d(np.arange(len(x)), trial)
     router = Router(x[rest], spread[rest])
-    home = router.ranked(x)[:, 0]
+    router.unit *= unit
+    if not len(trial):
+        return router, parts
+    ranked = router.ranked(x * unit)
+    home = ranked[:, 0]
     truth = _nearest(x[rest], x[trial], min(k, len(rest)))
-    order = np.argsort(router.ranked(x[trial]), axis=1)  # place of each partition
+    order = np.argsort(ranked[trial], axis=1)  # place of each partition
     place = np.take_along_axis(order, home[rest][truth], 1)
     found = np.cumsum(np.bincount(place.ravel(), minlength=parts)) / place.size
     return router, int(np.searchsorted(found, target) + 1) if found[-1] >= target else parts
@@ -187,7 +225,7 @@ def _routed(router, probes: int, sizes=None, k: int = 0):
             rows = np.repeat(np.arange(len(x)), count)
             within = np.arange(len(rows)) - np.repeat(np.cumsum(count) - count, count)
             yield pd.DataFrame(
-                {"vec_id": pdf["vec_id"].to_numpy()[rows], "x": [pdf["x"].iloc[i] for i in rows], "part": ranked[rows, within]}
+                {"vec_id": pdf["vec_id"].to_numpy()[rows], "x": pdf["x"].to_numpy()[rows], "part": ranked[rows, within]}
             )
 
     return run
@@ -207,19 +245,24 @@ def _rerank(k: int):
             x = np.stack(pdf["x"].to_list()).astype(float)
             ids = pdf["vec_id"].to_numpy()
             base, base_ids, q, q_ids = x[~asks], ids[~asks], x[asks], ids[asks]
-            norms = (base * base).sum(1)
+            unit = _unit(base, q)
+            small = base / unit
+            norms = (small * small).sum(1)
             out = []
             for at in range(0, len(q), 256):
                 part = q[at : at + 256]
-                own = (part * part).sum(1)
-                d = own[:, None] + norms - 2 * (part @ base.T)
-                d[q_ids[at : at + 256, None] == base_ids[None]] = np.inf
-                kth = np.partition(d, min(k, d.shape[1]) - 1, axis=1)[:, min(k, d.shape[1]) - 1]
-                # rounding may hide a tie: everything as near as that is measured exactly
-                close = (d <= (kth + 1e-9 * (own + kth + 1))[:, None]) & (d < np.inf)
+                near = part / unit
+                own = (near * near).sum(1)[:, None]
+                d = own + norms - 2 * (near @ small.T)
+                self_ = q_ids[at : at + 256, None] == base_ids[None]
+                # rounding may hide a tie: whatever can be among the k nearest is measured exactly
+                error = 1e-9 * (own + norms)
+                upper = np.where(self_, np.inf, d + error)
+                kth = np.partition(upper, min(k, d.shape[1]) - 1, axis=1)[:, min(k, d.shape[1]) - 1]
+                close = (d - error <= kth[:, None]) & ~self_
                 for i in range(len(part)):
                     some = np.flatnonzero(close[i])
-                    exact = np.sqrt(((base[some] - part[i]) ** 2).sum(1))
+                    exact = _distances(base[some], part[i])
                     best = np.lexsort((base_ids[some], exact))[:k]
                     out.append((np.full(len(best), q_ids[at + i]), base_ids[some][best], exact[best]))
             yield pd.DataFrame({n: np.concatenate([o[j] for o in out]) for j, n in enumerate(("query_id", "vec_id", "score"))})
@@ -232,7 +275,8 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = 10, id_col: str = "v
 
     score is the Euclidean distance in double precision, ties go to the smaller vec_id;
     a query's own id is no candidate. Null ids, and vectors that are null, zero, hold a
-    null or non-finite component, or have another length than most, take no part.
+    null or non-finite component, or have another length than most, take no part. Finite
+    vectors all do, whatever their size (a distance beyond the doubles is infinite).
     Queries of one id count once (the smallest vector); repeated vectors are candidates
     each. Fewer than k rows are returned only if there are fewer candidates. An empty
     table gives no rows. Other columns are ignored.
@@ -246,7 +290,7 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = 10, id_col: str = "v
     asked = _valid(queries, id_col, vector_col).where(F.size("x") == n).groupBy("vec_id").agg(F.min("x").alias("x"))
     rows = length["count"] if length else 0
     sample = [r["x"] for r in base.orderBy(F.xxhash64("vec_id"), "vec_id", "x").limit(SAMPLE).select("x").collect()]
-    router, probes = fit(sample, min(MOST_PARTITIONS, rows // PARTITION_ROWS), k)
+    router, probes = fit(sample, min(MOST_PARTITIONS, max(LEAST_PARTITIONS, rows // PARTITION_ROWS)), k)
 
     routed = "vec_id long, x array<double>, part long"
     placed = staged(base.mapInPandas(_routed(router, 1), routed), "ann")

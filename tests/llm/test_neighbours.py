@@ -49,6 +49,38 @@ def test_few_rows_and_empty_table(spark):
     assert run(spark, [(100, [1.0, 0.0])]) == {}
 
 
+def big(rows, ids, k=10):
+    """Brute force by math.dist, which does not overflow."""
+    import math
+
+    return {q: sorted((math.dist(v, dict(rows)[q]), i) for i, v in rows if i != q)[:k] for q in ids}
+
+
+def test_very_large_and_very_small_vectors(spark):
+    r = np.random.default_rng(7)
+    rows = [(i, [float(v) * 1e200 for v in r.normal(size=6)]) for i in range(120)]
+    rows += [(200 + i, [float(v) * 1e-200 for v in r.normal(size=6)]) for i in range(120)]
+    rows += [(400 + i, [float(v) for v in r.normal(size=6)]) for i in range(120)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(3)
+    got: dict = {}
+    for x in neighbours.search(df, df.where("vec_id % 100 = 0")).orderBy("query_id", "rank").collect():
+        got.setdefault(x["query_id"], []).append((x["score"], x["vec_id"]))
+    want = big(rows, [0, 100, 200, 300, 400, 500])
+    assert got.keys() == want.keys() and all(len(v) == 10 for v in got.values())
+    assert np.mean([len({i for _, i in got[q]} & {i for _, i in want[q]}) / 10 for q in want]) >= 0.9
+    near = dict(rows)
+    for q, found in got.items():
+        assert np.allclose([s for s, _ in found], [big([(i, near[i]), (q, near[q])], [q])[q][0][0] for _, i in found], rtol=1e-12, atol=0)
+
+
+def test_small_tables_are_partitioned_too():
+    r = np.random.default_rng(8)
+    for n in (2, 3, 20, 300):
+        router, probes = neighbours.fit(r.normal(size=(n, 4)), 2, 10)
+        assert router is not None and router.ranked(np.ones((1, 4))).shape == (1, 2) and probes in (1, 2)
+    assert neighbours.fit(np.ones((50, 4)), 2, 10) == (None, 1)
+
+
 def test_many_partitions_and_blocks(spark, monkeypatch):
     monkeypatch.setattr(neighbours, "BLOCK_ROWS", 100)
     monkeypatch.setattr(neighbours, "BLOCK_QUERIES", 3)
