@@ -29,7 +29,7 @@ from collections.abc import Iterator
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import components, groups, staged, word_hasher
+from .common import components, groups, staged, tidy, word_hasher
 
 SHINGLE = 4
 PERCENT = 85  # links: 100 * intersection >= PERCENT * union
@@ -39,6 +39,7 @@ SAMPLE, SAMPLE_TASKS = 20_000, 4  # texts in which common shingles are looked fo
 COMMON = 0.001  # of these texts
 TILE = 1_500_000  # shingles of a tile of documents
 FLUSH_KEYS = 2_000_000  # keys held by a task before it settles them
+PART_KEYS = 100_000  # keys settled at once; rows that a task hands over at once
 TEXTS = 500
 
 
@@ -167,7 +168,7 @@ def common_shingles(known: DataFrame, shingle: int):
     total = known.count()
     sample = known.where(F.pmod(F.xxhash64("doc"), F.lit(max(1, total // SAMPLE))) == 0).select("text")
     least = max(4, int(COMMON * min(total, SAMPLE)))
-    counts = sample.repartition(SAMPLE_TASKS).mapInPandas(count, "s long, n long").groupBy("s").agg(F.sum("n").alias("n"))
+    counts = sample.repartition(SAMPLE_TASKS).mapInPandas(tidy(count), "s long, n long").groupBy("s").agg(F.sum("n").alias("n"))
     got = [r["s"] for r in counts.where(F.col("n") >= least).select("s").collect()]
     return np.sort(np.array(got, np.int64).view(np.uint64))
 
@@ -177,58 +178,73 @@ DOC, SAME, NEAR, KEY, SET = range(5)
 
 
 def _sketch(shingle: int, percent: int, common=()):
-    """Step 1 in a task: (key, doc, other, n, kind) rows."""
+    """Step 1 in a task, over record batches: (key, doc, other, n, kind) rows.
+
+    Keys held are bounded by ``FLUSH_KEYS``; sorting them and handing them over takes
+    memory for about ``PART_KEYS`` more (or the texts of one key, if they are more).
+    """
 
     def run(batches: Iterator) -> Iterator:
         import numpy as np
-        import pandas as pd
+        import pyarrow as pa
         import xxhash
 
         sets = shingle_sets(shingle)
         bands = Bands(percent)
         first: dict[bytes, int] = {}  # set -> document that stands for it
         keys: list = []
-        owners: list = []
+        owners: list = []  # document of each of these arrays
         held = 0
 
-        def frame(kind, key, doc, other=None, n=None):
-            m = len(doc)
-            return pd.DataFrame(
-                {
-                    "key": np.asarray(key).astype(np.uint64).view(np.int64),
-                    "doc": np.asarray(doc, np.int64),
-                    "other": np.asarray(other if other is not None else np.zeros(m), np.int64),
-                    "n": np.asarray(n if n is not None else np.zeros(m), np.int64),
-                    "kind": np.full(m, kind, np.int8),
-                }
-            )
+        def rows(kind, key, doc, other=None, n=None):
+            """Record batches of at most ``PART_KEYS`` rows."""
+            key = np.asarray(key).astype(np.uint64, copy=False).view(np.int64)
+            for at in range(0, len(key), PART_KEYS):
+                m = min(PART_KEYS, len(key) - at)
+                columns = [
+                    pa.array(np.zeros(m, np.int64) if c is None else np.asarray(c[at : at + m], np.int64))
+                    for c in (key, doc, other, n)
+                ]
+                columns.append(pa.array(np.full(m, kind, np.int8)))
+                yield pa.RecordBatch.from_arrays(columns, ["key", "doc", "other", "n", "kind"])
 
         def settle():
             """Keys of this task: one row each; documents behind the first point to it."""
             nonlocal held
             if not keys:
                 return
-            k, o = np.concatenate(keys), np.concatenate(owners)
-            order = np.lexsort((o, k))
-            k, o = k[order], o[order]
-            new = np.append(True, k[1:] != k[:-1])
-            lead = o[new][np.cumsum(new) - 1]
-            a, b = o[~new], lead[~new]
-            order = np.lexsort((b, a))
-            a, b = a[order], b[order]
-            fresh = np.append(True, (a[1:] != a[:-1]) | (b[1:] != b[:-1]))[: len(a)] & (a != b)
-            yield frame(NEAR, a[fresh], a[fresh], b[fresh])
-            yield frame(KEY, k[new], o[new])
+            k = np.concatenate(keys)
+            o = np.repeat(np.array(owners, np.int64), [len(x) for x in keys])
             keys.clear()
             owners.clear()
             first.clear()
             held = 0
-
-        for pdf in batches:
-            for at in range(0, len(pdf), TEXTS):
-                part = pdf.iloc[at : at + TEXTS]
-                docs, sizes, names, same, reps, digests = part["doc"].to_numpy(), [], [], [], [], []
-                for doc, text in zip(docs.tolist(), part["text"].tolist()):
+            # keys are hashes: their remainders deal them into parts of about one size
+            parts = -(-len(k) // PART_KEYS)
+            behind = []
+            for p in range(parts):
+                mine = np.flatnonzero(k % np.uint64(parts) == p) if parts > 1 else slice(None)
+                pk, po = k[mine], o[mine]
+                if not len(pk):
+                    continue
+                order = np.lexsort((po, pk))
+                pk, po = pk[order], po[order]
+                new = np.append(True, pk[1:] != pk[:-1])
+                lead = po[new][np.cumsum(new) - 1]
+                pairs = np.stack((po[~new], lead[~new]), 1)
+                if len(pairs):
+                    behind.append(np.unique(pairs[pairs[:, 0] != pairs[:, 1]], axis=0))
+                yield from rows(KEY, pk[new], po[new])
+            del k, o
+            if behind:
+                a, b = np.unique(np.concatenate(behind), axis=0).T
+                yield from rows(NEAR, a, a, b)
+
+        for batch in batches:
+            for at in range(0, batch.num_rows, TEXTS):
+                part = batch.slice(at, TEXTS)
+                docs, sizes, names, same, reps, digests = part.column(0).to_numpy(), [], [], [], [], []
+                for doc, text in zip(docs.tolist(), part.column(1).to_pylist()):
                     s = sets(text)
                     raw = xxhash.xxh3_128_digest(s.tobytes())
                     sizes.append(len(s))
@@ -243,15 +259,15 @@ def _sketch(shingle: int, percent: int, common=()):
                     digests.append(raw)
                     for k in bands.keys(s, common):
                         keys.append(k)
-                        owners.append(np.full(len(k), doc, np.int64))
+                        owners.append(doc)
                         held += len(k)
-                yield frame(DOC, docs, docs, names, sizes)  # other: 64 bits of the set
+                yield from rows(DOC, docs, docs, names, sizes)  # other: 64 bits of the set
                 if same:
                     a = np.array(same)
-                    yield frame(SAME, a[:, 0], a[:, 0], a[:, 1])
+                    yield from rows(SAME, a[:, 0], a[:, 0], a[:, 1])
                 if reps:
                     halves = np.frombuffer(b"".join(digests), np.uint64).reshape(-1, 2)
-                    yield frame(SET, halves[:, 0], reps, halves[:, 1].copy().view(np.int64))
+                    yield from rows(SET, halves[:, 0], reps, halves[:, 1].copy().view(np.int64))
                 if held >= FLUSH_KEYS:
                     yield from settle()
         yield from settle()
@@ -395,7 +411,7 @@ def _run_tiles(tiles: DataFrame, shingle: int, percent: int, cross: bool) -> Dat
     side = ["side"] if cross else []
     rows = tiles.select("sc", "tile", "doc", "grp", "text", *side)
     rows = rows.repartition("sc", "tile").sortWithinPartitions("sc", "tile", "doc")
-    return rows.mapInPandas(_link_tiles(shingle, percent, cross), "doc long, other long, kind byte")
+    return rows.mapInPandas(tidy(_link_tiles(shingle, percent, cross)), "doc long, other long, kind byte")
 
 
 def link_groups(
@@ -417,9 +433,9 @@ def link_groups(
     d = docs.select(F.col(id_col).cast("long").alias("doc"), F.col(text_col).alias("text"))
     known = d.where(F.col("doc").isNotNull())
     common = common_shingles(known, shingle)
-    rows = known.mapInPandas(_sketch(shingle, percent, common), "key long, doc long, other long, n long, kind byte")
+    rows = known.mapInArrow(tidy(_sketch(shingle, percent, common)), "key long, doc long, other long, n long, kind byte")
     met = rows.repartition("key").sortWithinPartitions("key", "kind", "other", "doc").mapInPandas(
-        _meet, "doc long, other long, n long, kind byte"
+        tidy(_meet), "doc long, other long, n long, kind byte"
     )
     met = staged(met, "jaccard")
     edge = lambda df, *kinds: df.where(F.col("kind").isin(*kinds)).select(F.col("doc").alias("a"), F.col("other").alias("b"))
@@ -501,7 +517,7 @@ def link_groups(
     for more in links[1:]:
         every = every.unionByName(more)
     comp = components(every)
-    nulls = d.where(F.col("doc").isNull()).mapInPandas(_sizes(shingle), "n long")
+    nulls = d.where(F.col("doc").isNull()).mapInPandas(tidy(_sizes(shingle)), "n long")
     return (
         sizes.join(comp, F.col("doc") == F.col("node"), "left")
         .select(F.col("doc").alias("doc_id"), F.col("n").alias("n_shingles"), F.coalesce("comp", "doc").alias("component_id"))
