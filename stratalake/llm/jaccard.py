@@ -29,7 +29,7 @@ from collections.abc import Iterator
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import components, groups, staged, tidy, word_hasher
+from .common import by_bytes, components, groups, staged, tidy
 
 SHINGLE = 4
 PERCENT = 85  # links: 100 * intersection >= PERCENT * union
@@ -41,39 +41,92 @@ TILE = 1_500_000  # shingles of a tile of documents
 FLUSH_KEYS = 2_000_000  # keys held by a task before it settles them
 PART_KEYS = 100_000  # keys settled at once; rows that a task hands over at once
 TEXTS = 500
+CHUNK = 2**18  # bytes of text made into sets at once (a longer text is alone or last)
+LONG = 64  # bytes; longer words are hashed one by one
 
 
 def shingle_sets(shingle: int = SHINGLE):
-    """texts -> sorted arrays of distinct 64-bit shingle hashes (the whole word sequence if shorter)."""
-    import re
+    """A list of texts (or None) -> for each, its sorted distinct 64-bit shingle hashes.
 
+    A text of fewer words has one hash, of the whole word sequence. Words, shingles and
+    sets of about ``CHUNK`` bytes of text are made at once, by array.
+    """
     import numpy as np
     import xxhash
 
-    word = re.compile(r"[^\x20\x09-\x0D]+").findall
-    lower = {i: i + 32 for i in range(65, 91)}  # A-Z only
-    hashes = word_hasher()
-    odd = [np.uint64(2 * xxhash.xxh64_intdigest(f"shingle {i}") % 2**64 + 1) for i in range(shingle)]
+    def fixed(name: str, n: int):
+        return np.array([xxhash.xxh64_intdigest(f"{name} {i}") for i in range(n)], np.uint64)
+
+    lower = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))  # A-Z only; no byte of another character is one of these
+    white = np.zeros(256, bool)
+    white[[*range(9, 14), 32]] = True
+    value = np.where(white, np.uint64(0), fixed("byte", 256))
+    place = fixed("place", LONG) | np.uint64(1)
+    odd = fixed("shingle", shingle) * np.uint64(2) + np.uint64(1)
 
     def mix(h):
         h = h ^ (h >> np.uint64(31))
         h = h * np.uint64(0x9E3779B97F4A7C15)  # fixed value: 2**64 / golden ratio
         return h ^ (h >> np.uint64(29))
 
-    def one(text: str | None):
-        w = word((text or "").translate(lower) if not (text or "").isascii() else (text or "").lower())
-        if not w:
-            return np.zeros(0, np.uint64)
-        h = np.array(hashes(w), np.uint64)
-        if len(h) < shingle:
-            h = np.concatenate((h, np.full(shingle - len(h), len(h), np.uint64)))
-        n = len(h) - shingle + 1
-        s = np.zeros(n, np.uint64)
+    def words(raw: bytes, b, starts, ends):
+        """64-bit hashes of the words: the sum over bytes of a number of the byte times one of its place."""
+        h = np.zeros(len(starts), np.uint64)
+        cuts = np.flatnonzero(np.diff(starts // CHUNK, prepend=-1, append=-1))
+        for lo, hi in zip(cuts, cuts[1:]):
+            own = starts[lo:hi]
+            first = int(own[0])
+            at = own - first
+            n = int(min(ends[hi - 1] - first, at[-1] + LONG))
+            where = np.arange(n) - np.repeat(at, np.diff(at, append=n))
+            # white space between words counts 0, wherever it is
+            h[lo:hi] = np.add.reduceat(value[b[first : first + n]] * place.take(where, mode="clip"), at)
+        for i in np.flatnonzero(ends - starts > LONG).tolist():
+            h[i] = xxhash.xxh64_intdigest(raw[starts[i] : ends[i]])
+        return mix(mix(h))
+
+    def some(texts: list[bytes]) -> list:
+        raw = b"\n".join([b"", *texts, b""]).translate(lower)
+        b = np.frombuffer(raw, np.uint8)
+        edges = white[b]
+        edges = np.flatnonzero(edges[1:] != edges[:-1]) + 1
+        starts, ends = edges[::2], edges[1::2]
+        offsets = np.cumsum([1, *(len(t) + 1 for t in texts)])
+        n = np.diff(np.searchsorted(starts, offsets))
+        h = words(raw, b, starts, ends)
+        short = (n > 0) & (n < shingle)
+        if short.any():  # filled up with their number of words
+            wide = np.where(short, shingle, n)
+            filled = np.repeat(n.astype(np.uint64), wide)
+            filled[np.repeat(np.cumsum(wide) - wide - (np.cumsum(n) - n), n) + np.arange(len(h))] = h
+            h, n = filled, wide
+        m = max(0, len(h) - shingle + 1)
+        s = np.zeros(m, np.uint64)
         for i in range(shingle):
-            s = mix(s + h[i : i + n] * odd[i])
-        return np.unique(s)
-
-    return one
+            s = mix(s + h[i : i + m] * odd[i])
+        ends = np.cumsum(n)
+        keep = np.ones(len(h), bool)  # no shingle starts at a text's last words
+        for i in range(1, shingle):
+            keep[ends[n > 0] - i] = False
+        s = s[keep[:m]]
+        n = np.maximum(n - shingle + 1, 0)
+        ends = np.cumsum(n)
+        for lo, hi in zip((ends - n).tolist(), ends.tolist()):
+            s[lo:hi].sort()
+        new = np.ones(len(s), bool)
+        new[1:] = s[1:] != s[:-1]
+        new[(ends - n)[n > 0]] = True
+        ends = np.append(0, np.cumsum(new))[ends]
+        s = s[new]
+        return [s[lo:hi] for lo, hi in zip([0, *ends[:-1].tolist()], ends.tolist())]
+
+    def sets(texts: list) -> list:
+        raw = [(t or "").encode("utf-8", "surrogatepass") for t in texts]
+        total = np.cumsum([len(t) for t in raw], dtype=np.int64)
+        cuts = np.flatnonzero(np.diff(total // CHUNK, prepend=-1, append=-1)).tolist()
+        return [s for lo, hi in zip(cuts, cuts[1:]) for s in some(raw[lo:hi])]
+
+    return sets
 
 
 class Bands:
@@ -107,43 +160,45 @@ class Bands:
         """
         import numpy as np
 
-        n = len(s)
-        own = self.band(n)
-        largest = 100 * n // self.percent  # partner
-        usual = np.zeros(n, bool)
+        k, _, many = self.keys_of([s], common)
+        return np.split(k, np.cumsum(many)[:-1])
+
+    def keys_of(self, sets: list, common=()):
+        """The keys of several sets, end to end, one run for each set (not empty) and band
+        as in :meth:`keys`: the numbers of the runs' sets, and how many keys a run has."""
+        import numpy as np
+
+        runs = [(i, n, band) for i, n in enumerate(map(len, sets)) for band in range(self.band(n), self.band(100 * n // self.percent) + 1)]
+        if not runs:
+            return np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.band(self.lows[max(band for *_, band in runs)])  # so that each band has an end
+        of, sizes, bands = np.array(runs, np.int64).T
+        high = np.array(self.lows, np.int64)[bands + 1]
+        segments = self.differ(high - 1, high - 1) + 1 + -(-high // SPARE)
+        spare = segments - self.differ(sizes, np.minimum(100 * sizes // self.percent, high - 1)) - 1
+        s = np.concatenate([sets[i] for i in of.tolist()])
+        run = np.repeat(np.arange(len(runs)), sizes)
+        # cells: the segments of a run, then those of its common shingles
+        first = np.cumsum(2 * segments) - 2 * segments
+        cell = ((s >> np.uint64(16)) % segments.astype(np.uint64)[run]).astype(np.int64) + first[run]
         if len(common):
-            at = np.minimum(np.searchsorted(common, s), len(common) - 1)
-            usual = common[at] == s
-        out = []
-        for band in range(own, self.band(largest) + 1):
-            high = self.lows[band + 1] if band + 1 < len(self.lows) else None
-            if high is None:
-                self.band(self.lows[band])
-                high = self.lows[band + 1]
-            segments = self.differ(high - 1, high - 1) + 1 + -(-high // SPARE)
-            spare = segments - self.differ(n, min(largest, high - 1)) - 1
-            seg = (s >> np.uint64(16)) % np.uint64(segments)
-            seg[usual] += np.uint64(segments)
-            order = np.argsort(seg, kind="stable")
-            seg, sets = seg[order], s[order]
-            start = np.flatnonzero(np.append(True, seg[1:] != seg[:-1]))
-            used = seg[start]
-            body = np.add.reduceat(sets * (sets | np.uint64(1)), start) ^ np.bitwise_xor.reduceat(sets, start)
-            size = np.where(used < segments, np.diff(np.append(start, n)), 0)
-            for least in (3, 2, 1):
-                full = size >= least
-                if segments - int(full.sum()) <= spare:
-                    used, body = used[full], body[full]
-                    break
-            else:
-                if 2 * segments - len(used) > segments + spare:
-                    empty = np.setdiff1d(np.arange(2 * segments, dtype=np.uint64), used)
-                    body = np.concatenate((body, np.zeros(len(empty), np.uint64)))
-                    used = np.concatenate((used, empty))
-            where = np.uint64(band) * np.uint64(0x100000001B3) + used
-            k = (body ^ (where * np.uint64(0x9E3779B97F4A7C15))) * np.uint64(0xD6E8FEB86659FD93)  # odd, fixed
-            out.append(k ^ (k >> np.uint64(32)))
-        return out
+            usual = common[np.minimum(np.searchsorted(common, s), len(common) - 1)] == s
+            cell[usual] += segments[run[usual]]
+        cells = int(2 * segments.sum())
+        body = np.zeros(cells, np.uint64)
+        np.add.at(body, cell, s * (s | np.uint64(1)))
+        size = np.bincount(cell, minlength=cells)
+        run = np.repeat(np.arange(len(runs)), 2 * segments)
+        seg = np.arange(cells) - first[run]
+        plain = np.where(seg < segments[run], size, 0)
+        used = size > 0
+        used |= (2 * segments - np.add.reduceat(used, first, dtype=np.int64) > segments + spare)[run]
+        for least in (1, 2, 3):
+            full = plain >= least
+            used = np.where((segments - np.add.reduceat(full, first, dtype=np.int64) <= spare)[run], full, used)
+        where = bands.astype(np.uint64)[run] * np.uint64(0x100000001B3) + seg.astype(np.uint64)
+        k = (body[used] ^ (where[used] * np.uint64(0x9E3779B97F4A7C15))) * np.uint64(0xD6E8FEB86659FD93)  # odd, fixed
+        return k ^ (k >> np.uint64(32)), of, np.add.reduceat(used, first, dtype=np.int64)
 
 
 def common_shingles(known: DataFrame, shingle: int):
@@ -159,7 +214,7 @@ def common_shingles(known: DataFrame, shingle: int):
 
         sets = shingle_sets(shingle)
         for pdf in batches:
-            found = [sets(t) for t in pdf["text"].tolist()]
+            found = sets(pdf["text"].tolist())
             if found:
                 names, n = np.unique(np.concatenate(found), return_counts=True)
                 some = n > 1
@@ -193,7 +248,7 @@ def _sketch(shingle: int, percent: int, common=()):
         bands = Bands(percent)
         first: dict[bytes, int] = {}  # set -> document that stands for it
         keys: list = []
-        owners: list = []  # document of each of these arrays
+        owners: list = []  # for each of these arrays: documents, and how many of its keys each has
         held = 0
 
         def rows(kind, key, doc, other=None, n=None):
@@ -214,7 +269,7 @@ def _sketch(shingle: int, percent: int, common=()):
             if not keys:
                 return
             k = np.concatenate(keys)
-            o = np.repeat(np.array(owners, np.int64), [len(x) for x in keys])
+            o = np.concatenate([np.repeat(*x) for x in owners])
             keys.clear()
             owners.clear()
             first.clear()
@@ -244,23 +299,25 @@ def _sketch(shingle: int, percent: int, common=()):
             for at in range(0, batch.num_rows, TEXTS):
                 part = batch.slice(at, TEXTS)
                 docs, sizes, names, same, reps, digests = part.column(0).to_numpy(), [], [], [], [], []
-                for doc, text in zip(docs.tolist(), part.column(1).to_pylist()):
-                    s = sets(text)
-                    raw = xxhash.xxh3_128_digest(s.tobytes())
-                    sizes.append(len(s))
-                    names.append(int.from_bytes(raw[:8], "little", signed=True))
-                    if not len(s):
-                        continue
-                    rep = first.setdefault(raw, doc)
-                    if rep != doc:
-                        same.append((doc, rep))
-                        continue
-                    reps.append(doc)
-                    digests.append(raw)
-                    for k in bands.keys(s, common):
-                        keys.append(k)
-                        owners.append(doc)
-                        held += len(k)
+                for few in by_bytes(part, 1, CHUNK):
+                    new = []
+                    for doc, s in zip(few.column(0).to_pylist(), sets(few.column(1).to_pylist())):
+                        raw = xxhash.xxh3_128_digest(s.tobytes())
+                        sizes.append(len(s))
+                        names.append(int.from_bytes(raw[:8], "little", signed=True))
+                        if not len(s):
+                            continue
+                        rep = first.setdefault(raw, doc)
+                        if rep != doc:
+                            same.append((doc, rep))
+                            continue
+                        reps.append(doc)
+                        digests.append(raw)
+                        new.append((doc, s))
+                    k, of, many = bands.keys_of([s for _, s in new], common)
+                    keys.append(k)
+                    owners.append((np.array([doc for doc, _ in new], np.int64)[of], many))
+                    held += len(k)
                 yield from rows(DOC, docs, docs, names, sizes)  # other: 64 bits of the set
                 if same:
                     a = np.array(same)
@@ -304,7 +361,7 @@ class Tile:
 
         self.percent = percent
         make = sets or shingle_sets(shingle)
-        self.sets = [make(t) for t in texts]
+        self.sets = make(texts)
         self.n = np.array([len(s) for s in self.sets], np.int64)
         # a bit for each of twice the median size, so that bits of one set rarely meet
         width = int(2 ** np.ceil(np.log2(max(64, 2 * np.median(self.n) if len(self.n) else 64))))
@@ -535,6 +592,6 @@ def _sizes(shingle: int):
 
         sets = shingle_sets(shingle)
         for pdf in batches:
-            yield pd.DataFrame({"n": [len(sets(t)) for t in pdf["text"].tolist()]}, dtype="int64")
+            yield pd.DataFrame({"n": [len(s) for s in sets(pdf["text"].tolist())]}, dtype="int64")
 
     return run
