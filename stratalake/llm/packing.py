@@ -19,15 +19,17 @@ from itertools import chain
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Remembered, per_worker, staged, stretches, translated
+from .common import Remembered, by_bytes, expanded, forget_worker, hand_back, per_worker, staged, stretches, translated
 
 WINDOW = 2048
 OPEN_WINDOWS = 32
 MAX_PAD = 16
 MERGE_TASKS = 16
 END_ID = 1
-CACHE_WORDS = 400_000
-TEXTS = 500
+CACHE_WORDS = 340_000
+CACHE_STEMS = CACHE_WORDS // 4
+SLICE_BYTES = 1 << 18  # of text, tokenized at once (a longer text is tokenized whole)
+HANDED_ROWS = 1000  # rows that a task hands over at once, or somewhat more
 SPACES = bytes(32 if b == 10 else b for b in range(256))
 
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
@@ -71,14 +73,15 @@ class Packer:
         return out
 
 
-def tokenizer(path: str, cache_words: int = CACHE_WORDS):
-    """texts -> ids of each text as little-endian unsigned 32-bit, without special tokens.
+def tokenizer(path: str, cache_words: int = CACHE_WORDS, cache_stems: int = CACHE_STEMS):
+    """texts (a list or Arrow strings) -> ids of each text as little-endian unsigned 32-bit, without special tokens.
 
     Spaces and line feeds separate tokens, so texts are encoded word by word, each
     distinct word of a batch once, and once altogether as long as it is remembered (about
     ``cache_words`` are, those met again before others). A word of Latin letters before
     ASCII punctuation is put together from the two if the tokenizer is byte-level, keeps
     them apart and ignores case (tried on samples first); any other word is encoded whole.
+    Parts that are no words themselves are remembered apart (about ``cache_stems``).
     Lower-case Latin words go to the tokenizer's model at once, without normalisation.
     """
     import re
@@ -116,23 +119,33 @@ def tokenizer(path: str, cache_words: int = CACHE_WORDS):
 
     def words_made(words: list[str]):
         parts = list(chain.from_iterable(map(split, words)))
-        distinct = list(dict.fromkeys(parts))
-        number = dict(zip(distinct, stems.rows(distinct).tolist()))
-        places, many = stems.expand(np.fromiter(map(number.__getitem__, parts), np.int64, len(parts)))
-        return many.reshape(-1, 2).sum(1), stems.columns[0][places]
+        # a part that is a word, too, is split into itself and nothing: known already, or among the new words
+        new, met, own, others = set(words), [], [], []
+        for part in dict.fromkeys(parts):
+            (met if part in known.row else own if part in new else others).append(part)
+        at, met_many = known.expand(np.fromiter(map(known.row.__getitem__, met), np.int64, len(met)))
+        made = [known.columns[0][at]] if len(at) else []
+        own_many, ids = stems_made(own)
+        made.append(ids)
+        at, others_many = stems.expand(stems.rows(others))
+        made += [stems.columns[0][at]] if len(at) else []
+        ids, held = np.concatenate(made), np.concatenate([met_many, own_many, others_many])
+        number = dict(zip(chain(met, own, others), range(len(held))))
+        rows = np.fromiter(map(number.__getitem__, parts), np.int64, len(parts))
+        places, many = expanded(np.cumsum(held) - held, held, rows)
+        return many.reshape(-1, 2).sum(1), ids[places]
 
     tries = ["Abcxyz!!", "THE,", "zzqj$$$###", "Ing.)", "a", "It-&", "ÀÉñçßüÿ,", "éèêôíóúäöÜÑ"]
     apart = True
-    stems = Remembered(stems_made, cache_words)
-    known = Remembered(words_made, cache_words)
+    stems, known = Remembered(stems_made, cache_stems), Remembered(words_made, cache_words)
     spelled = known.expand(known.rows(tries))[0]
     if known.columns[0][spelled].tolist() != list(chain.from_iterable(whole(tries))):
         apart = False
-        stems, known = Remembered(stems_made, cache_words), Remembered(words_made, cache_words)
+        stems, known = Remembered(stems_made, cache_stems), Remembered(words_made, cache_words)
 
     def encode(texts) -> list[bytes]:
         # separators alike, so that stretches between spaces are words
-        texts = translated(pa.array(texts, pa.large_string()), SPACES)
+        texts = translated(texts if isinstance(texts, pa.Array) else pa.array(texts, pa.large_string()), SPACES)
         of_text, at, entries = stretches(texts)
         places, many = known.expand(known.rows(entries)[at])
         raw = known.columns[0][places].astype("<u4").tobytes() if len(places) else b""
@@ -166,27 +179,25 @@ def pack(
     (and ``ids``, little-endian unsigned 32-bit, if ``keep_ids``).
 
     A null text is empty (its only id is the end id); a null id stays null; repeated
-    rows are packed each. Long texts are cut into windows; memory is one batch of
-    texts plus the open windows. An empty table gives no rows. Other columns are ignored.
+    rows are packed each. Long texts are cut into windows; a task's memory is one batch of
+    texts, what is made of ``SLICE_BYTES`` of them, the words its worker remembers and the
+    open windows. An empty table gives no rows. Other columns are ignored.
     """
     d = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     names = [c.split()[0] for c in PIECES.split(", ")]
     schema = PIECES + ", ids binary, task int, open boolean"
 
-    def table(rows: list, task: int):
-        import pandas as pd
-
-        pdf = pd.DataFrame(rows, columns=[*names, "ids", "open"])
-        pdf["doc_id"] = pdf["doc_id"].astype("Int64")
-        pdf["task"] = task
-        return pdf[[*names, "ids", "task", "open"]]
-
     def place(batches: Iterator) -> Iterator:
+        import os
+
+        import pyarrow as pa
         from pyspark import TaskContext
 
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # tasks are what runs side by side
         task = TaskContext.get().partitionId()
         encode = per_worker(("tokenizer", tokenizer_path), lambda: tokenizer(tokenizer_path))
         end = end_id.to_bytes(4, "little")
+        types = [*[(n, pa.int64()) for n in names], ("ids", pa.binary()), ("open", pa.bool_())]
         rows: list = []
         count = [0]
 
@@ -195,27 +206,34 @@ def pack(
             count[0] += 1
             rows.extend((*r[:7], r[7] if keep_ids else None, False) for r in _rows(pieces, sequence, True))
 
+        def table():
+            made = {n: pa.array(c, t) for (n, t), c in zip(types, zip(*rows))}
+            made["task"] = pa.array([task] * len(rows), pa.int32())
+            rows.clear()
+            return pa.RecordBatch.from_pydict({n: made[n] for n in [*names, "ids", "task", "open"]})
+
         packer = Packer(emit, window, open_windows, max_pad)
-        for pdf in batches:
-            for at in range(0, len(pdf), TEXTS):
-                part = pdf.iloc[at : at + TEXTS]
-                null = part["doc_id"].isna().tolist()
-                for doc_id, missing, raw in zip(part["doc_id"].tolist(), null, encode(part["text"].tolist())):
-                    raw += end
-                    packer.add(None if missing else int(doc_id), len(raw) // 4, 0, raw)
+        try:
+            for batch in batches:
+                for part in by_bytes(batch, 1, SLICE_BYTES):
+                    for doc_id, raw in zip(part.column(0).to_pylist(), encode(part.column(1))):
+                        raw += end
+                        packer.add(doc_id, len(raw) // 4, 0, raw)
+                    if len(rows) >= HANDED_ROWS:
+                        yield table()
+                hand_back()
+            for pieces in packer.left():
+                rows.extend((*r, True) for r in _rows(pieces, (task << 32) | count[0], True))
+                count[0] += 1
             if rows:
-                yield table(rows, task)
-                rows.clear()
-        for pieces in packer.left():
-            emit_open = [(*r, True) for r in _rows(pieces, (task << 32) | count[0], True)]
-            count[0] += 1
-            rows.extend(emit_open)
-        if rows:
-            yield table(rows, task)
+                yield table()
+        finally:
+            hand_back()
 
     def merge(key, pdf):
         import pandas as pd
 
+        forget_worker()
         group = int(key[0])
         out: list = []
         count = [0]
@@ -248,7 +266,7 @@ def pack(
         res["doc_id"] = res["doc_id"].astype("Int64")
         return res
 
-    placed = staged(d.mapInPandas(place, schema), "pack")
+    placed = staged(d.mapInArrow(place, schema), "pack")
     done = placed.where(~F.col("open")).select(*names, "ids")
     rest = (
         placed.where("open")
